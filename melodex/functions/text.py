@@ -34,7 +34,4 @@ def display(name: Column, artist: Column, separator: str = DISPLAY_SEPARATOR) ->
 def title_case(text: Column) -> Column:
     """Every run of letters capitalised, as result lists show names (``initcap`` only splits at blanks)."""
     runs = F.regexp_extract_all(text, F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
-    capitalised = F.transform(
-        runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.lower(F.substr(run, F.lit(2))))
-    )
-    return F.array_join(capitalised, "")
+    return F.array_join(F.transform(runs, F.initcap), "")

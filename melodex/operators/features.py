@@ -165,34 +165,43 @@ def fit_encoder(df: DataFrame, spec: EncoderSpec = EncoderSpec()) -> dict[str, D
     }
 
 
-def _parameters(table: DataFrame, fields: Sequence[str]) -> Column:
-    """A table of one row per scaled column, as a map inside a scalar subquery."""
+def _with_parameters(df: DataFrame, name: str, table: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """A table of one row per scaled column as a map in every row, from one scalar subquery."""
     entries = F.collect_list(F.struct("column", F.struct(*fields)))
-    return table.agg(F.map_from_entries(entries)).scalar()
+    return df.withColumn(name, table.agg(F.map_from_entries(entries)).scalar())
 
 
-def standard_scaled(table: DataFrame, columns: Sequence[str]) -> list[Column]:
+def _standard_scaled(column: str) -> Column:
+    fitted = F.col("_standard")[column]
+    return F.when(fitted["std"] > 0, (F.col(column) - fitted["mean"]) / fitted["std"]).otherwise(F.lit(0.0))
+
+
+def _minmax_scaled(column: str) -> Column:
+    fitted = F.col("_minmax")[column]
+    width = fitted["high"] - fitted["low"]
+    return (F.col(column) - fitted["low"]) / F.when(width == 0, F.lit(1.0)).otherwise(width)
+
+
+def standard_scale(df: DataFrame, table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Centred and scaled columns; a constant column becomes zero."""
-    fitted = _parameters(table, ("mean", "std"))
-    return [
-        F.when(fitted[c]["std"] > 0, (F.col(c) - fitted[c]["mean"]) / fitted[c]["std"]).otherwise(F.lit(0.0))
-        for c in columns
-    ]
+    fitted = _with_parameters(df, "_standard", table, ("mean", "std"))
+    return fitted.withColumns({c: _standard_scaled(c) for c in columns}).drop("_standard")
 
 
-def minmax_scaled(table: DataFrame, columns: Sequence[str]) -> list[Column]:
+def minmax_scale(df: DataFrame, table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns scaled to the fitted range; a constant column keeps its distance from the constant."""
-    fitted = _parameters(table, ("low", "high"))
-    width = [fitted[c]["high"] - fitted[c]["low"] for c in columns]
-    return [
-        (F.col(c) - fitted[c]["low"]) / F.when(w == 0, F.lit(1.0)).otherwise(w)
-        for c, w in zip(columns, width, strict=True)
-    ]
+    fitted = _with_parameters(df, "_minmax", table, ("low", "high"))
+    return fitted.withColumns({c: _minmax_scaled(c) for c in columns}).drop("_minmax")
+
+
+def _with_terms(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """The vocabulary as an array in every row (at most max_features entries)."""
+    terms = F.array_sort(F.collect_list(F.struct("idx", "term", "idf")))
+    return df.withColumn("_terms", vocabulary.agg(terms).scalar())
 
 
-def tfidf_vector(vocabulary: DataFrame, text: Column, pattern: str = WORD_PATTERN) -> Column:
+def tfidf_vector(terms: Column, text: Column, pattern: str = WORD_PATTERN) -> Column:
     """Unit-length TF-IDF weights in vocabulary order, row by row: for short texts such as tags."""
-    terms = vocabulary.agg(F.array_sort(F.collect_list(F.struct("idx", "term", "idf")))).scalar()
     tokens = words(text, pattern)
     raw = F.transform(
         terms,
@@ -230,19 +239,23 @@ def transform(
     ``all_known`` skips looking the categories up: true for the rows the encoder was fitted on, or any
     subset of them.
     """
+    rest = spec.rest(df)
     df = _with_categories(df, None if all_known else encoder["categories"], spec.onehot)
     if spec.year_encoding == "raw":
         frequencies = [F.col(c).cast("double") for c in spec.frequency]
     else:
         df = _with_frequencies(df, encoder["frequency"], spec.frequency)
         frequencies = [F.coalesce(F.col(f"_{c}_frequency"), F.lit(0.0)) for c in spec.frequency]
+    df = _with_terms(df, encoder["vocabulary"])
+    df = _with_parameters(df, "_standard", encoder["standard"], ("mean", "std"))
+    df = _with_parameters(df, "_minmax", encoder["minmax"], ("low", "high"))
     dense = F.concat(
         F.array(*frequencies),
-        tfidf_vector(encoder["vocabulary"], F.col(spec.tfidf), spec.word_pattern),
+        tfidf_vector(F.col("_terms"), F.col(spec.tfidf), spec.word_pattern),
         F.array(
-            *standard_scaled(encoder["standard"], spec.standard),
-            *minmax_scaled(encoder["minmax"], spec.minmax),
-            *[F.col(c).cast("double") for c in spec.rest(df)],
+            *[_standard_scaled(c) for c in spec.standard],
+            *[_minmax_scaled(c) for c in spec.minmax],
+            *[F.col(c).cast("double") for c in rest],
         ),
     )
     cats = F.array(*[F.col(f"_{c}_category") for c in spec.onehot])
@@ -273,7 +286,7 @@ def feature_names(df: DataFrame, encoder: Mapping[str, DataFrame], spec: Encoder
         encoder["vocabulary"].select(
             F.lit(after).alias("block"),
             F.col("idx").cast("long").alias("code"),
-            F.concat(F.lit(f"tfidf__"), "term").alias("feature"),
+            F.concat(F.lit("tfidf__"), "term").alias("feature"),
         )
     )
     scaled = (

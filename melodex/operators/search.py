@@ -108,7 +108,8 @@ def fuzzy_matches(
         types = (pa.string(), pa.string(), pa.float64())
         return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["query", "key", "ratio"])
 
-    matched = left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInArrow(
+    left, right = left.groupBy(*tile), right.groupBy(*tile)
+    matched = left.cogroup(right).applyInArrow(
         match_tile, "query string, key string, ratio double"
     )
     best = Window.partitionBy("query").orderBy(F.desc("ratio"), F.desc("key"))

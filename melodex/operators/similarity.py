@@ -9,6 +9,7 @@ size whatever the data.
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -152,9 +153,26 @@ class _Blocks:
         )
 
 
-def _per_tile(items: DataFrame, seeds: DataFrame, function, schema: T.StructType) -> DataFrame:
-    tile = ["item_block", "seed_block"]
-    return items.groupBy(*tile).cogroup(seeds.groupBy(*tile)).applyInArrow(function, schema)
+def _per_tile(
+    left: DataFrame,
+    right: DataFrame,
+    function: Callable[[pa.Table, pa.Table], pa.Table],
+    schema: T.StructType,
+    tile: Sequence[str] = ("item_block", "seed_block"),
+) -> DataFrame:
+    """Apply ``function`` to each pair of blocks.
+
+    Both sides often come from one table, so the right one gets columns of its own before they are paired.
+    """
+    own = {c: f"right_{c}" for c in right.columns}
+    right = right.select(*[F.col(c).alias(name) for c, name in own.items()])
+    names = list(own)
+
+    def apply(a: pa.Table, b: pa.Table) -> pa.Table:
+        return function(a, b.rename_columns(names))
+
+    grouped = right.groupBy(*[own[c] for c in tile])
+    return left.groupBy(*tile).cogroup(grouped).applyInArrow(apply, schema)
 
 
 def _id_field(df: DataFrame, column: str) -> T.StructField:
@@ -297,7 +315,7 @@ def _heavy_products(entries: DataFrame, wanted: DataFrame, users: DataFrame) ->
                 )
         return _result(out, parts)
 
-    return left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInArrow(product_of_tile, schema)
+    return _per_tile(left, right, product_of_tile, schema, tile)
 
 
 def collab_products(interactions: DataFrame, seeds: DataFrame, heavy_items: int = HEAVY_ITEMS) -> DataFrame:
@@ -356,15 +374,14 @@ def collab_top_k(
     first_ids = in_log.orderBy("track_id").limit(2 * k + 1).agg(F.array_sort(F.collect_list("track_id"))).scalar()
     known = listed.join(in_log, "track_id", "left_semi").select(F.col("track_id").alias("seed"))
     found = best.groupBy("seed").agg(F.count("*").alias("n"), F.collect_set("item").alias("items"))
-    short = known.join(found, "seed", "left").filter(F.coalesce("n", F.lit(0)) < k)
-    unused = F.array_except(first_ids, F.coalesce("items", F.array().cast(T.ArrayType(interactions.schema["track_id"].dataType))))
-    unused = F.filter(unused, lambda item: item != F.col("seed"))
-    missing = F.slice(unused, F.lit(1), F.lit(k) - F.coalesce("n", F.lit(0)).cast("int"))
-    filled = short.select(
-        "seed",
-        F.coalesce("n", F.lit(0)).alias("n"),
-        F.posexplode(missing).alias("place", "item"),
-    ).select("seed", "item", F.lit(0.0).alias("score"), (F.col("n") + F.col("place") + 1).cast("int").alias("rank"))
+    short = (
+        known.join(found, "seed", "left")
+        .withColumns({"n": F.coalesce("n", F.lit(0)), "items": F.coalesce("items", F.array())})
+        .filter(F.col("n") < k)
+        .withColumn("unused", F.array_except(first_ids, F.array_append("items", F.col("seed"))))
+    )
+    missing = F.slice("unused", F.lit(1), F.lit(k) - F.col("n").cast("int"))
+    filled = short.select("seed", "n", F.posexplode(missing).alias("place", "item")).select("seed", "item", F.lit(0.0).alias("score"), (F.col("n") + F.col("place") + 1).cast("int").alias("rank"))
     return best.unionByName(filled)
 
 

@@ -86,7 +86,7 @@ def error_ratio(requests: DataFrame) -> DataFrame:
 
 
 def flight_events(requests: DataFrame) -> DataFrame:
-    """+1 when a request starts, -1 when it ends, both at millisecond precision."""
+    """+1 when a request starts, -1 when it ends, both to the microsecond."""
     started = F.unix_micros("ts")
     ended = started + F.round(F.col("latency") * 1_000_000).cast("long")
     marks = F.array(
@@ -104,16 +104,16 @@ def in_flight(requests: DataFrame, step: str = STEP) -> DataFrame:
     """
     steps = flight_events(requests).groupBy(F.window("at", step)).agg(F.sum("delta").alias("delta"))
     steps = steps.select(
-        F.col("window.end").alias("at"), F.to_date("window.start").alias("day"), "delta"
+        F.col("window.end").alias("step_end"), F.to_date("window.start").alias("day"), "delta"
     )
     days = steps.groupBy("day").agg(F.sum("delta").alias("day_delta"))
     earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     carried = F.broadcast(
         days.select("day", F.coalesce(F.sum("day_delta").over(earlier), F.lit(0)).alias("carried"))
     )
-    so_far = Window.partitionBy("day").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("day").orderBy("step_end").rowsBetween(Window.unboundedPreceding, 0)
     return steps.join(carried, "day").select(
-        "at", (F.col("carried") + F.sum("delta").over(so_far)).alias("in_flight")
+        "step_end", (F.col("carried") + F.sum("delta").over(so_far)).alias("in_flight")
     )
 
 
