@@ -271,27 +271,31 @@ def _heavy_users(interactions: DataFrame, heavy_items: int) -> DataFrame:
     ).select("user_id")
 
 
-def _heavy_products(entries: DataFrame, wanted: DataFrame, users: DataFrame) -> DataFrame:
+def _heavy_products(entries: DataFrame, users: DataFrame) -> DataFrame:
     """Partial dot products over the heavy users, by dense tiles of items x users x seeds."""
     n_users = users.agg(F.count("*")).scalar()
     user_blocks = F.greatest(F.ceil(n_users / HEAVY_TILE_USERS), F.lit(1))
-    items = entries.select(F.col("track_id").alias("item"), "user_id", "playcount")
-    seeds = wanted.select(F.col("track_id").alias("seed"), "user_id", "playcount")
+    items = entries.select("item", "user_id", "playcount", "is_seed")
+    seeds = entries.filter("is_seed").select(F.col("item").alias("seed"), "user_id", "playcount")
     blocks = _Blocks(
         items.select("item").distinct(), seeds.select("seed").distinct(), HEAVY_TILE_ITEMS, HEAVY_TILE_SEEDS
     )
     by_user = _block(F.col("user_id"), user_blocks, 3).alias("user_block")
     tile = ["item_block", "seed_block", "user_block"]
-    left = blocks.tile_items(items, by_user, "item", "user_id", "playcount")
+    left = blocks.tile_items(items, by_user, "item", "user_id", "playcount", "is_seed")
     right = blocks.tile_seeds(seeds, by_user, "seed", "user_id", "playcount")
     schema = T.StructType(
-        [_id_field(seeds, "seed"), _id_field(items, "item"), T.StructField("dot", T.DoubleType())]
+        [
+            _id_field(seeds, "seed"),
+            _id_field(items, "item"),
+            T.StructField("is_seed", T.BooleanType()),
+            T.StructField("dot", T.DoubleType()),
+        ]
     )
 
     def product_of_tile(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = pa.schema(
-            [("seed", right.schema.field("seed").type), ("item", left.schema.field("item").type), ("dot", pa.float64())]
-        )
+        id_type = left.schema.field("item").type
+        out = pa.schema([("seed", id_type), ("item", id_type), ("is_seed", pa.bool_()), ("dot", pa.float64())])
         parts = []
         if left.num_rows and right.num_rows:
             users = pc.unique(left["user_id"])
@@ -307,12 +311,21 @@ def _heavy_products(entries: DataFrame, wanted: DataFrame, users: DataFrame) ->
 
             item_ids, item_rows = dense(left, "item")
             seed_ids, seed_rows = dense(right, "seed")
+            item_is_seed = pc.is_in(item_ids, value_set=pc.unique(left.filter(left["is_seed"])["item"]))
             for start in range(0, len(seed_ids), SLICE_ROWS):
                 products = seed_rows[start : start + SLICE_ROWS] @ item_rows.T
                 rows, columns = np.nonzero(products)
-                parts.append(
-                    (seed_ids.take(pa.array(rows + start)), item_ids.take(pa.array(columns)), products[rows, columns])
+                found = pa.Table.from_arrays(
+                    [
+                        seed_ids.take(pa.array(rows + start)),
+                        item_ids.take(pa.array(columns)),
+                        item_is_seed.take(pa.array(columns)),
+                        pa.array(products[rows, columns]),
+                    ],
+                    schema=out,
                 )
+                once = pc.or_(pc.less_equal(found["seed"], found["item"]), pc.invert(found["is_seed"]))
+                parts.append(tuple(_array(column) for column in found.filter(once).columns))
         return _result(out, parts)
 
     return _per_tile(left, right, product_of_tile, schema, tile)
@@ -325,25 +338,38 @@ def collab_products(interactions: DataFrame, seeds: DataFrame, heavy_items: int
     size are joined and summed at once, map-side first. Users with very many items are kept out of that
     join: their rows go to matrix tiles, where the products are summed before anything is shuffled.
     """
-    entries = interactions.filter("playcount != 0").select("track_id", "user_id", "playcount")
-    wanted_tracks = seeds.select("track_id").distinct()
-    heavy = F.broadcast(_heavy_users(entries, heavy_items))
+    wanted = seeds.select("track_id").distinct().withColumn("is_seed", F.lit(True))
+    entries = (
+        interactions.filter("playcount != 0")
+        .join(wanted, "track_id", "left")
+        .select(F.col("track_id").alias("item"), "user_id", "playcount", F.col("is_seed").isNotNull().alias("is_seed"))
+    )
+    heavy = F.broadcast(_heavy_users(interactions.filter("playcount != 0"), heavy_items))
 
     light = entries.join(heavy, "user_id", "left_anti")
-    seed_side = light.join(wanted_tracks, "track_id", "left_semi").select(
-        F.col("track_id").alias("seed"), "user_id", F.col("playcount").alias("seed_playcount")
+    seed_side = light.filter("is_seed").select(
+        F.col("item").alias("seed"), "user_id", F.col("playcount").alias("seed_playcount")
     )
+    # products are symmetric: of two seeds only the pair in id order is summed, and mirrored afterwards
+    once = (F.col("seed") <= F.col("item")) | ~F.col("is_seed")
     light_products = (
         seed_side.join(light, "user_id")
-        .groupBy("seed", F.col("track_id").alias("item"))
-        .agg(F.sum(F.col("seed_playcount") * F.col("playcount")).alias("dot"))
+        .filter(once)
+        .select("seed", "item", "is_seed", (F.col("seed_playcount") * F.col("playcount")).alias("dot"))
     )
-
     heavy_entries = entries.join(heavy, "user_id", "left_semi")
-    heavy_products = _heavy_products(
-        heavy_entries, heavy_entries.join(wanted_tracks, "track_id", "left_semi"), heavy
+    heavy_products = _heavy_products(heavy_entries, heavy)
+    sums = (
+        light_products.unionByName(heavy_products)
+        .groupBy("seed", "item", "is_seed")
+        .agg(F.sum("dot").alias("dot"))
     )
-    return light_products.unionByName(heavy_products).groupBy("seed", "item").agg(F.sum("dot").alias("dot"))
+    as_is = F.array(F.struct("seed", "item"))
+    both_ways = F.array(
+        F.struct("seed", "item"), F.struct(F.col("item").alias("seed"), F.col("seed").alias("item"))
+    )
+    mirrored = F.when(F.col("is_seed") & (F.col("seed") != F.col("item")), both_ways).otherwise(as_is)
+    return sums.select("dot", F.inline(mirrored)).select("seed", "item", "dot")
 
 
 def collab_scores(interactions: DataFrame, seeds: DataFrame, heavy_items: int = HEAVY_ITEMS) -> DataFrame:
@@ -373,16 +399,22 @@ def collab_top_k(
     in_log = interactions.select("track_id").distinct()
     first_ids = in_log.orderBy("track_id").limit(2 * k + 1).agg(F.array_sort(F.collect_list("track_id"))).scalar()
     known = listed.join(in_log, "track_id", "left_semi").select(F.col("track_id").alias("seed"))
-    found = best.groupBy("seed").agg(F.count("*").alias("n"), F.collect_set("item").alias("items"))
-    short = (
-        known.join(found, "seed", "left")
-        .withColumns({"n": F.coalesce("n", F.lit(0)), "items": F.coalesce("items", F.array())})
-        .filter(F.col("n") < k)
-        .withColumn("unused", F.array_except(first_ids, F.array_append("items", F.col("seed"))))
+    # a list holds at most k entries
+    lists = best.groupBy("seed").agg(F.collect_list(F.struct("rank", "item", "score")).alias("found"))
+    unused = F.array_except("first_ids", F.array_append(F.col("found")["item"], F.col("seed")))
+    missing = F.transform(
+        F.slice(unused, F.lit(1), F.lit(k) - F.size("found")),
+        lambda item, i: F.struct(
+            (F.size("found") + i + 1).alias("rank"), item.alias("item"), F.lit(0.0).alias("score")
+        ),
+    )
+    return (
+        known.join(lists, "seed", "left")
+        .withColumns({"found": F.coalesce("found", F.array()), "first_ids": first_ids})
+        .withColumn("list", F.when(F.size("found") < k, F.concat("found", missing)).otherwise(F.col("found")))
+        .select("seed", F.inline("list"))
+        .select("seed", "item", "score", "rank")
     )
-    missing = F.slice("unused", F.lit(1), F.lit(k) - F.col("n").cast("int"))
-    filled = short.select("seed", "n", F.posexplode(missing).alias("place", "item")).select("seed", "item", F.lit(0.0).alias("score"), (F.col("n") + F.col("place") + 1).cast("int").alias("rank"))
-    return best.unionByName(filled)
 
 
 # ---- hybrid --------------------------------------------------------------------------------------

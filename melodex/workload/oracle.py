@@ -362,7 +362,7 @@ FROM (SELECT count(DISTINCT track_id) AS n_tracks, count(DISTINCT user_id) AS n_
         select="""SELECT user_id, track_id, (row_number() OVER (PARTITION BY user_id ORDER BY playcount DESC, track_id))::INT AS rank
 FROM inter QUALIFY rank <= 5""",
     ),
-    "e5_hits": s.query(*COLLAB_REPORT, select="SELECT user_id, item, rank, hit_no FROM hits"),
+    "e5_hits": s.query(*COLLAB_REPORT, select="SELECT user_id, item, rank, hit_no::INT AS hit_no FROM hits"),
     # sorts, limits, sets
     "f1_sorted_tracks": s.query(
         s.TRACKS,
@@ -372,7 +372,8 @@ ORDER BY track_id""",
     ),
     "f2_one_seed": s.query(
         s.FEATURES,
-        "seed AS (SELECT min(track_id) AS track_id FROM tracks WHERE name = 'small ring' AND artist = 'brand#2')",
+        "song AS (SELECT name, artist FROM tracks ORDER BY track_id LIMIT 1)",
+        "seed AS (SELECT min(track_id) AS track_id FROM tracks JOIN song USING (name, artist))",
         "seed_feat AS (SELECT * FROM feat WHERE track_id IN (SELECT track_id FROM seed))",
         s.content("seed_feat"),
         s.top("content", 10),

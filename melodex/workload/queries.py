@@ -456,10 +456,11 @@ def f1_sorted_tracks(spark, folder):
 
 @query
 def f2_one_seed(spark, folder):
-    """The single-seed call: ten tracks most like the first one named so."""
+    """The single-seed call, for the song that leads the catalogue."""
     cleaned = t.tracks(spark, folder)
+    song = cleaned.orderBy("track_id").first()
     encoded = _features(spark, folder)
-    found = recommend.recommend_content("Small Ring", "Brand#2", cleaned, encoded, 10, "reference")
+    found = recommend.recommend_content(song.name.upper(), song.artist, cleaned, encoded, 10, "reference")
     return _rounded(found, "score")
 
 
