@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from melodex.functions.text import WORD_PATTERN, words
-from melodex.functions.vectors import unit
+from melodex.functions.vectors import let, unit
 from melodex.operators.ranking import dictionary
 
 
@@ -202,12 +202,11 @@ def _with_terms(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 def tfidf_vector(terms: Column, text: Column, pattern: str = WORD_PATTERN) -> Column:
     """Unit-length TF-IDF weights in vocabulary order, row by row: for short texts such as tags."""
-    tokens = words(text, pattern)
-    raw = F.transform(
-        terms,
-        lambda t: F.size(F.filter(tokens, lambda word: word == t["term"])) * t["idf"],
-    )
-    return unit(raw)
+
+    def weighted(tokens: Column) -> Column:
+        return F.transform(terms, lambda t: F.size(F.filter(tokens, lambda word: word == t["term"])) * t["idf"])
+
+    return unit(let(words(text, pattern), weighted))
 
 
 def _with_frequencies(df: DataFrame, table: DataFrame, columns: Sequence[str]) -> DataFrame:

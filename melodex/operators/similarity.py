@@ -464,8 +464,9 @@ def hybrid_top_k(
     score_rows = blocks.tile_pairs(
         collab,
         "item",
-        nothing.cast(items.schema["dense"].dataType).alias("dense"),
-        nothing.cast(items.schema["cats"].dataType).alias("cats"),
+        # empty rather than null: writing runs of null lists to Arrow takes quadratic time
+        F.array().cast(items.schema["dense"].dataType).alias("dense"),
+        F.array().cast(items.schema["cats"].dataType).alias("cats"),
         "seed",
         "score",
     )
