@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from melodex.operators.metrics import K_VALUES, combined, evaluate, seed_per_user
-from melodex.operators.split import rows_of_users, sample_users, train_test
+from melodex.operators.split import check_testable, rows_of_users, sample_users, top_half_holdout
 from melodex.plans.recommend import EVALUATED_K, collab_lists, content_lists, hybrid_lists
+from melodex.session import materialise
 
 
 @dataclass(frozen=True)
@@ -22,8 +23,15 @@ class Evaluation:
 
 
 def held_out(interactions: DataFrame, sample: int | None = None, check: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(train, test), the test rows of ``sample`` users if a number is given. Plays of zero do not count."""
-    train, test = train_test(interactions.filter("playcount > 0"), check)
+    """(train, test), the test rows of ``sample`` users if a number is given. Plays of zero do not count.
+
+    The split is written once: seeds, relevant items and counts all read it.
+    """
+    played = interactions.filter("playcount > 0")
+    if check:
+        check_testable(played)
+    marked = materialise(top_half_holdout(played), "split")
+    train, test = marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
     if sample is not None:
         test = rows_of_users(test, sample_users(test, sample))
     return train, test

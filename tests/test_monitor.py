@@ -53,16 +53,18 @@ def test_errors_and_served(spark):
 
 
 def test_stream_drops_late_requests_and_holds_open_windows(spark):
-    """Three files in order: out of order within the lateness counts, beyond it does not."""
+    """Files in order: out of order within the lateness counts, beyond it does not. Spark compares late rows
+    with the watermark of the batch before, hence the third file."""
     source = new_folder(spark, "source")
-    for rows in ([_request(0), _request(300)], [_request(1200), _request(900)], [_request(0), _request(3000)]):
+    files = [[_request(0), _request(300)], [_request(1200), _request(900)], [_request(1300)], [_request(0), _request(3000)]]
+    for rows in files:
         _requests(spark, rows).coalesce(1).write.mode("append").parquet(source)
     stream = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
     out = new_folder(spark, "windows")
     metric = monitor.request_rate(monitor.with_lateness(stream))
     monitor.write_windows(metric, out, new_folder(spark, "progress")).awaitTermination(120)
     found = {(r.window_start, r.n_requests) for r in spark.read.parquet(out).collect()}
-    on_time = _requests(spark, [_request(0), _request(300), _request(1200), _request(900), _request(3000)])
+    on_time = _requests(spark, [_request(0), _request(300), _request(1200), _request(900), _request(1300), _request(3000)])
     closed = F.col("window_end") <= F.lit(START + dt.timedelta(seconds=3000 - 600))
     expected = {(r.window_start, r.n_requests) for r in monitor.request_rate(on_time).filter(closed).collect()}
     assert found == expected
