@@ -91,14 +91,10 @@ def term_counts(df: DataFrame, key: str, text: str, pattern: str = WORD_PATTERN)
     return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
-def fit_vocabulary(
-    df: DataFrame, key: str, text: str, max_features: int, pattern: str = WORD_PATTERN
-) -> DataFrame:
+def vocabulary_of(counts: DataFrame, n_docs: Column, max_features: int) -> DataFrame:
     """(term, idx, corpus_tf, df, idf) of the terms most frequent in the corpus; ties by term."""
-    n_docs = df.agg(F.count("*")).scalar()
     best = (
-        term_counts(df, key, text, pattern)
-        .groupBy("term")
+        counts.groupBy("term")
         .agg(F.sum("tf").alias("corpus_tf"), F.count("*").alias("df"))
         .orderBy(F.desc("corpus_tf"), "term")
         .limit(max_features)
@@ -110,24 +106,30 @@ def fit_vocabulary(
     )
 
 
-def tfidf_weights(
-    df: DataFrame, vocabulary: DataFrame, key: str, text: str, pattern: str = WORD_PATTERN
+def fit_vocabulary(
+    df: DataFrame, key: str, text: str, max_features: int, pattern: str = WORD_PATTERN
 ) -> DataFrame:
-    """(key, term, weight) with unit length per document, as rows: for long documents.
+    return vocabulary_of(term_counts(df, key, text, pattern), df.agg(F.count("*")).scalar(), max_features)
 
-    Words outside the vocabulary leave before the documents are grouped.
-    """
+
+def weights_of(counts: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
+    """(key, term, weight) with unit length per document, as rows: for long documents."""
     known = F.broadcast(vocabulary.select("term", "idf"))  # at most max_features rows
-    raw = (
-        df.select(key, F.explode(words(F.col(text), pattern)).alias("term"))
-        .join(known, "term")
-        .groupBy(key, "term")
-        .agg((F.count("*") * F.first("idf")).alias("raw"))
-    )
+    raw = counts.join(known, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    # at most max_features rows per document
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("raw") / norm).alias("weight"))
 
 
+def tfidf_weights(
+    df: DataFrame, vocabulary: DataFrame, key: str, text: str, pattern: str = WORD_PATTERN
+) -> DataFrame:
+    """As ``weights_of``, from texts. Words outside the vocabulary leave before documents are grouped."""
+    known = F.broadcast(vocabulary.select("term"))
+    terms = df.select(key, F.explode(words(F.col(text), pattern)).alias("term")).join(known, "term", "left_semi")
+    return weights_of(terms.groupBy(key, "term").agg(F.count("*").alias("tf")), vocabulary, key)
+
+
 def fit_standard(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, mean, std) with the population deviation."""
     rows = [

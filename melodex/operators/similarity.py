@@ -437,17 +437,42 @@ def collab_ranges(scores: DataFrame, n_items: Column) -> DataFrame:
     )
 
 
+def collab_ranges_of_seeds(interactions: DataFrame, seeds: DataFrame, n_items: Column) -> DataFrame:
+    """(seed, low, high) of each seed's collaborative scores over the ``n_items`` tracks of the log.
+
+    A seed scores highest against itself, 1, and 0 against any track it shares no listener with. Only a seed
+    that may share listeners with every track needs all its scores: one whose listeners' track counts add
+    up to the number of tracks. Finding those is one pass over the log; mostly there are none.
+    """
+    entries = interactions.filter("playcount != 0").select("track_id", "user_id")
+    sizes = entries.groupBy("user_id").agg(F.count("*").alias("n"))
+    reach = (
+        entries.join(seeds.select("track_id").distinct(), "track_id", "left_semi")
+        .join(sizes, "user_id")
+        .groupBy("track_id")
+        .agg(F.sum("n").alias("reach"))
+    )
+    default = reach.select(F.col("track_id").alias("seed"), F.lit(0.0).alias("low"), F.lit(1.0).alias("high"))
+    far = reach.filter(F.col("reach") >= n_items).select("track_id")
+    if far.isEmpty():
+        return default
+    exact = collab_ranges(collab_scores(interactions, far), n_items)
+    return default.join(exact.withColumnsRenamed({"low": "_low", "high": "_high"}), "seed", "left").select(
+        "seed", F.coalesce("_low", "low").alias("low"), F.coalesce("_high", "high").alias("high")
+    )
+
+
 def hybrid_top_k(
-    items: DataFrame, seeds: DataFrame, collab: DataFrame, k: int, weight_content: float
+    items: DataFrame, seeds: DataFrame, collab: DataFrame, collab_range: DataFrame, k: int, weight_content: float
 ) -> DataFrame:
     """(seed, item, score, rank) by the weighted sum of the two min-max normalised cosines.
 
     ``items`` and ``seeds`` are feature rows of the same universe, ``collab`` the non-zero collaborative
-    scores (seed, item, score) inside it. Pairs missing there score 0. The ranges are known before the
-    tiles run, so a tile can rank final scores and return k items per seed.
+    scores (seed, item, score) inside it and ``collab_range`` their ranges (seed, low, high). Pairs missing
+    in ``collab`` score 0. The ranges are known before the tiles run, so a tile can rank final scores and
+    return k items per seed.
     """
     content_range = content_ranges(items, seeds)
-    collab_range = collab_ranges(collab, items.agg(F.count("*")).scalar())
     ranged = (
         seeds.join(content_range.withColumnsRenamed({"low": "content_low", "high": "content_high"}), "seed")
         .join(collab_range.withColumnsRenamed({"low": "collab_low", "high": "collab_high"}), "seed", "left")

@@ -21,6 +21,7 @@ from melodex.operators.lookup import (
 from melodex.operators.similarity import (
     as_items,
     as_seeds,
+    collab_ranges_of_seeds,
     collab_scores,
     collab_top_k,
     content_top_k,
@@ -65,8 +66,14 @@ def hybrid_lists(
     common = tracks_with_history(features, interactions)
     inside = interactions.join(features.select("track_id"), "track_id", "left_semi")
     listed = seeds.select("track_id").distinct()
+    collab_range = collab_ranges_of_seeds(inside, listed, common.agg(F.count("*")).scalar())
     return hybrid_top_k(
-        as_items(common), _seed_features(common, listed), collab_scores(inside, listed), k, weight_content
+        as_items(common),
+        _seed_features(common, listed),
+        collab_scores(inside, listed),
+        collab_range,
+        k,
+        weight_content,
     )
 
 

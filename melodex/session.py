@@ -34,3 +34,10 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a scan that would keep most cores idle, such as one small file, ahead of costly
+    per-row work. Scans with enough partitions stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 < cores else df

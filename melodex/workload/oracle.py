@@ -416,6 +416,11 @@ FROM tracks GROUP BY year""",
         "raw AS (SELECT doc_id, term, tf * idf AS raw FROM tf JOIN vocab USING (term))",
         select="SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw",
     ),
+    "g3_tfidf_weights_fitted": s.query(
+        s.vocabulary("documents", "doc_id", "text"),
+        "raw AS (SELECT doc_id, term, tf * idf AS raw FROM tf JOIN vocab USING (term))",
+        select="SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw",
+    ),
     "g4_standard_scale": _scaled(s.STANDARD, "({c} - avg({c}::DOUBLE) OVER ()) / stddev_pop({c}::DOUBLE) OVER ()"),
     "g5_minmax_scale": _scaled(s.MINMAX, "({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ())"),
     "g6_passthrough": s.query(s.TRACKS, select="SELECT track_id, mode::DOUBLE AS mode FROM tracks"),

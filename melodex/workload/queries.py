@@ -522,14 +522,23 @@ def g2_onehot_categories(spark, folder):
 
 @query
 def g3_tfidf_vocabulary(spark, folder):
-    documents = t.table(spark, folder, "documents")
+    documents = t.documents(spark, folder)
     return _rounded(features.fit_vocabulary(documents, "doc_id", "text", 85, ASCII_WORD_PATTERN), "idf")
 
 
 @query
 def g3_tfidf_weights(spark, folder):
-    documents = t.table(spark, folder, "documents")
-    known = features.fit_vocabulary(documents, "doc_id", "text", 85, ASCII_WORD_PATTERN)
+    documents = t.documents(spark, folder)
+    counts = materialise(features.term_counts(documents, "doc_id", "text", ASCII_WORD_PATTERN), "terms")
+    known = features.vocabulary_of(counts, documents.agg(F.count("*")).scalar(), 85)
+    return _rounded(features.weights_of(counts, known, "doc_id"), "weight")
+
+
+@query
+def g3_tfidf_weights_fitted(spark, folder):
+    """The same from the texts, for a vocabulary that was fitted before."""
+    documents = t.documents(spark, folder)
+    known = materialise(features.fit_vocabulary(documents, "doc_id", "text", 85, ASCII_WORD_PATTERN), "vocabulary")
     return _rounded(features.tfidf_weights(documents, known, "doc_id", "text", ASCII_WORD_PATTERN), "weight")
 
 
@@ -924,10 +933,10 @@ def k2_latency_quantiles_stream(spark, folder):
 
 @query
 def s1_title_case(spark, folder):
-    return t.table(spark, folder, "documents").select("doc_id", F.md5(title_case(F.col("text"))).alias("title_md5"))
+    return t.documents(spark, folder).select("doc_id", F.md5(title_case(F.col("text"))).alias("title_md5"))
 
 
 @query
 def s2_words(spark, folder):
-    documents = t.table(spark, folder, "documents")
+    documents = t.documents(spark, folder)
     return documents.select("doc_id", F.size(words(F.col("text"), ASCII_WORD_PATTERN)).cast("long").alias("n_words"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from melodex.operators.clean import clean_catalogue
 from melodex.operators.interactions import build_interactions
+from melodex.session import spread
 from melodex.sources.files import read_table
 from melodex.sources.schemas import PREVIEW_URL, SOURCE_ID
 
@@ -38,6 +39,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(spark, f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"))
+
+
 def listings(spark: SparkSession, folder: str) -> DataFrame:
     """Raw catalogue: the columns of the catalogue file, and the order columns."""
     joined = table(spark, folder, "lineitem").join(
