@@ -14,7 +14,8 @@ sys.path.insert(0, str(ROOT))
 def spark():
     session = (
         SparkSession.builder.master("local[*]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
