@@ -31,7 +31,7 @@ from melodex.sources.schemas import PREVIEW_URL
 
 # Default list lengths of the recommenders and of the lists that are evaluated.
 CONTENT_K, COLLAB_K, EVALUATED_K = 10, 5, 100
-REFERENCE_COLUMNS = ("name", "artist", PREVIEW_URL)
+NARROW_COLUMNS = ("name", "artist", PREVIEW_URL)
 
 
 # ---- ranked id lists for a table of seed track ids -----------------------------------------------
@@ -82,8 +82,8 @@ def hybrid_lists(
 
 def attach_catalogue(lists: DataFrame, tracks: DataFrame, project: str = "all") -> DataFrame:
     """Catalogue columns of the recommended tracks. Lists are cut to k before; tracks missing from the
-    catalogue drop out. ``project='reference'`` keeps name, artist and preview address only."""
-    columns = REFERENCE_COLUMNS if project == "reference" else [c for c in tracks.columns if c != "track_id"]
+    catalogue drop out. ``project='narrow'`` keeps name, artist and preview address only."""
+    columns = NARROW_COLUMNS if project == "narrow" else [c for c in tracks.columns if c != "track_id"]
     catalogue = tracks.select(F.col("track_id").alias("item"), *columns)
     return lists.join(catalogue, "item")
 

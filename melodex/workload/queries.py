@@ -251,7 +251,7 @@ def c1_tracks_with_history(spark, folder):
 def c2_attach_catalogue(spark, folder):
     log = _log(spark, folder)
     lists = recommend.collab_lists(log, log.select("track_id"), 5)
-    return _rounded(recommend.attach_catalogue(lists, t.tracks(spark, folder), "reference"), "score").select(
+    return _rounded(recommend.attach_catalogue(lists, t.tracks(spark, folder), "narrow"), "score").select(
         "seed", "item", "score", "rank", "name", "artist", PREVIEW_URL
     )
 
@@ -460,7 +460,7 @@ def f2_one_seed(spark, folder):
     cleaned = t.tracks(spark, folder)
     song = cleaned.orderBy("track_id").first()
     encoded = _features(spark, folder)
-    found = recommend.recommend_content(song.name.upper(), song.artist, cleaned, encoded, 10, "reference")
+    found = recommend.recommend_content(song.name.upper(), song.artist, cleaned, encoded, 10, "narrow")
     return _rounded(found, "score")
 
 

@@ -43,7 +43,7 @@ def test_song_without_history(spark, three_songs):
 
 def test_hybrid_returns_the_other_songs(three_songs):
     tracks, features, log = three_songs
-    found = r.recommend_hybrid("Song A", "Artist X", tracks, features, log, 2, 0.5, project="reference")
+    found = r.recommend_hybrid("Song A", "Artist X", tracks, features, log, 2, 0.5, project="narrow")
     assert [row.name for row in found.collect()] == ["song b", "song c"]
     assert {"name", "artist", "spotify_preview_url"} <= set(found.columns)
 
