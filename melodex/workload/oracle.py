@@ -619,6 +619,13 @@ steps AS (
         "count(*) AS n_requests, round(count(*) / 300e0, 6) AS per_second", group="model_type, status", closed=True
     ),
     "k2_latency_quantiles_stream": _quantiles(closed=True),
+    "k4_served_stream": _windows("coalesce(sum(n_recs), 0)::BIGINT AS n_served", group="model_type", closed=True),
+    "k5_error_ratio_stream": _windows(
+        """count(*) FILTER (status = 'error') AS n_errors, count(*) AS n_requests,
+       round(count(*) FILTER (status = 'error') / count(*)::DOUBLE, 6) AS error_ratio""",
+        group="model_type",
+        closed=True,
+    ),
     # scalar functions
     "s1_title_case": """SELECT doc_id, md5(array_to_string(list_transform(
   regexp_extract_all(text, '\\p{L}+|\\P{L}+'), lambda r: CASE WHEN r[1] = 'ß' THEN 'Ss' ELSE upper(r[1]) END || lower(r[2:])), '')) AS title_md5 FROM documents""",

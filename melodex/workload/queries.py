@@ -928,6 +928,17 @@ def k2_latency_quantiles_stream(spark, folder):
     return _ntz(_rounded(found, "p50", "p95", "p99"), "window_start", "window_end")
 
 
+@query
+def k4_served_stream(spark, folder):
+    return _ntz(_streamed(spark, folder, monitor.recommendations_served), "window_start", "window_end")
+
+
+@query
+def k5_error_ratio_stream(spark, folder):
+    found = _streamed(spark, folder, monitor.error_ratio)
+    return _ntz(_rounded(found, "error_ratio"), "window_start", "window_end")
+
+
 # ---- scalar functions ----------------------------------------------------------------------------
 
 
