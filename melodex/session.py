@@ -36,6 +36,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete what ``materialise`` stored for ``df``, once nothing reads it any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Repartition a scan that would keep most cores idle, such as one small file, ahead of costly
     per-row work. Scans with enough partitions stay as they are."""
