@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from melodex.llm.langid import fit_languages, identify_languages
 from melodex.llm.line_dedup import deduplicate_lines
 from melodex.llm.mixing import mix_sources
+from melodex.llm.pieces import encode_documents
+from melodex.llm.quality import fit_quality, labelled_sample, score_quality
 from melodex.llm.sharding import shard_documents
 from melodex.llm.simhash import simhash_groups
+from melodex.llm.urls import Rule, judge_urls
 
 # weight of documents that are labelled as of low quality
 LOW_QUALITY_WEIGHT = 0.25
+# a document scores at least this much to be kept
+QUALITY_THRESHOLD = 0.3
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+URL_RULES = (
+    Rule("block", "net", "/"),
+    Rule("allow", "example.net", "/en/"),
+    Rule("block", "example.com", "/de/"),
+    Rule("allow", "org", "/fr/"),
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,22 +56,73 @@ def op3_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def fold(id_column: str, folds: int) -> Column:
+    return F.crc32(F.col(id_column).cast("string").cast("binary")) % folds
+
+
+def quality_scores(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Scores by a model that has learned from labelled documents outside the held-out fold."""
+    learned = docs.filter(fold("doc_id", 5) != 0)
+    model = fit_quality(*labelled_sample(learned, table(spark, folder, "labels")))
+    return score_quality(docs, model)
+
+
+def op4_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(spark, table(spark, folder, "documents"), folder).select(
+        "doc_id",
+        (fold("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = deduplicate_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = fold("doc_id", 4) == 2
+    model = fit_languages(docs.filter(~held_out))
+    found = identify_languages(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def piece_model() -> bytes:
+    with open(PIECE_MODEL, "rb") as file:
+        return file.read()
+
+
+def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = encode_documents(table(spark, folder, "documents"), piece_model())
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash_groups(table(spark, folder, "documents"), words=3, radius=2)
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op9_judge_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"), URL_RULES).drop("threshold")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_shard_documents": op3_shard_documents,
+    "op4_quality_scores": op4_quality_scores,
     "op5_line_dedup": op5_line_dedup,
+    "op6_languages": op6_languages,
+    "op7_sentence_pieces": op7_sentence_pieces,
     "op8_simhash_groups": op8_simhash_groups,
+    "op9_judge_urls": op9_judge_urls,
 }
 
 ORACLE: dict[str, str] = {
