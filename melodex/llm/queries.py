@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from melodex.llm.ann import nearest_neighbours
 from melodex.llm.langid import fit_languages, identify_languages
 from melodex.llm.line_dedup import deduplicate_lines
 from melodex.llm.mixing import mix_sources
@@ -114,6 +115,11 @@ def op9_judge_urls(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), URL_RULES).drop("threshold")
 
 
+def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return nearest_neighbours(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_shard_documents": op3_shard_documents,
@@ -123,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sentence_pieces": op7_sentence_pieces,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_judge_urls": op9_judge_urls,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 ORACLE: dict[str, str] = {
