@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ MARKER = "▁"
 # a marked word: a run of markers and what follows up to the next marker; or markers alone at the end
 MARKED_WORD = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+")
 # words kept in a task's table; longer ones are segmented where they stand
-TABLE_WORDS = 100_000
+TABLE_WORDS = 200_000
 TABLE_WORD_LENGTH = 48
 # characters of text whose pieces are held at a time
 BATCH_CHARACTERS = 4_000_000
@@ -39,32 +40,46 @@ class WordTable:
         if crossing or self.library.encode("a b") != self.library.encode("a") + self.library.encode("b"):
             raise ValueError("pieces of this model cross white space: words can't be segmented one by one")
         self.marker_id = self.library.piece_to_id(MARKER)
-        self.words: dict[str, tuple[list[int], str]] = {}
+        self.ids, self.surfaces = _Ids(self), _Surfaces(self)
 
-    def segment(self, word: str) -> tuple[list[int], str]:
-        """Ids of a marked word and the text they stand for, with a blank for every marker."""
+    def segment(self, word: str) -> tuple[bytes, str]:
+        """Ids of a marked word, as 32-bit numbers, and the text they stand for, with a blank for every marker."""
         if word == MARKER:
-            return [self.marker_id], " "
+            return np.int32(self.marker_id).tobytes(), " "
         ids = self.library.encode(word[1:])  # the library puts the first marker back
-        return ids, " " + self.library.decode(ids)
-
-    def encode(self, text: str) -> tuple[list[int], str]:
+        return np.array(ids, np.int32).tobytes(), " " + self.library.decode(ids)
+
+    def add(self, word: str) -> tuple[bytes, str]:
+        entry = self.segment(word)
+        if len(word) <= TABLE_WORD_LENGTH:
+            if len(self.ids) >= TABLE_WORDS:
+                self.ids.clear()
+                self.surfaces.clear()
+            self.ids[word], self.surfaces[word] = entry
+        return entry
+
+    def encode(self, text: str) -> tuple[bytes, str]:
         if not text:
-            return [], ""
-        ids: list[int] = []
-        surfaces: list[str] = []
-        words = self.words
-        for word in MARKED_WORD.findall(MARKER + text.replace(" ", MARKER)):
-            entry = words.get(word)
-            if entry is None:
-                entry = self.segment(word)
-                if len(word) <= TABLE_WORD_LENGTH:
-                    if len(words) >= TABLE_WORDS:
-                        words.clear()
-                    words[word] = entry
-            ids += entry[0]
-            surfaces.append(entry[1])
-        return ids, "".join(surfaces)[1:]
+            return b"", ""
+        words = MARKED_WORD.findall(MARKER + text.replace(" ", MARKER))
+        ids = b"".join(map(self.ids.__getitem__, words))
+        return ids, "".join(map(self.surfaces.__getitem__, words))[1:]
+
+
+class _Ids(dict):
+    def __init__(self, table: WordTable):
+        self.table = table
+
+    def __missing__(self, word: str) -> bytes:
+        return self.table.add(word)[0]
+
+
+class _Surfaces(dict):
+    def __init__(self, table: WordTable):
+        self.table = table
+
+    def __missing__(self, word: str) -> str:
+        return self.table.add(word)[1]
 
 
 def _encode_batches(load):
@@ -72,21 +87,22 @@ def _encode_batches(load):
         table = load()
         for batch in batches:
             texts, start, held = batch.column(1), 0, 0
-            ids, offsets, decoded = [], [0], []
+            ids, decoded = [], []
             for i in range(batch.num_rows):
                 text = texts[i].as_py() or ""
                 found, surface = table.encode(text)
-                ids.extend(found)
-                offsets.append(len(ids))
+                ids.append(found)
                 decoded.append(surface)
                 held += len(text)
                 if held >= BATCH_CHARACTERS or i == batch.num_rows - 1:
-                    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+                    offsets = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
+                    values = pa.array(np.frombuffer(b"".join(ids), np.int32))
+                    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
                     key = batch.column(0).slice(start, i + 1 - start)
                     yield pa.RecordBatch.from_arrays(
                         [key, lists, pa.array(decoded, pa.string())], names=["id", "ids", "decoded"]
                     )
-                    start, held, ids, offsets, decoded = i + 1, 0, [], [0], []
+                    start, held, ids, decoded = i + 1, 0, [], []
 
     return encode
 
