@@ -23,8 +23,8 @@ LANGUAGES = 200  # languages learned at most, those of most texts
 LONGEST_GRAM = 5
 ENTRIES = 60_000  # known words, and known n-grams of each length: the most frequent over all languages
 UNKNOWN = "und"
-# words whose scores a task keeps at hand
-CACHE = 100_000
+# runs whose scores a task keeps at hand
+CACHE = 200_000
 
 # runs of word characters without decimal digits and underscores; what is no letter among them is cut off later
 WORD = re.compile(r"[^\W\d_]+")
@@ -38,13 +38,9 @@ class LanguageModel(NamedTuple):
     gram_scores: list[np.ndarray]
 
 
-def letter_words(text: str | None) -> list[str]:
-    found = WORD.findall((text or "").lower())
-    return [w for run in found for w in ([run] if run.isalpha() else _letters(run))]
-
-
-def _letters(run: str) -> list[str]:
-    return "".join(c if c.isalpha() else " " for c in run).split()
+def letter_words(run: str) -> list[str]:
+    """The words of letters alone in a run of word characters."""
+    return [run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split()
 
 
 def word_grams(word: str, length: int) -> list[str]:
@@ -52,29 +48,39 @@ def word_grams(word: str, length: int) -> list[str]:
     return [marked[i : i + length] for i in range(len(marked) - length + 1)]
 
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, length, entry, times) of a batch's words (length 0) and n-grams."""
+def _counts(language: list, length: list, entry: list, times: list) -> pa.RecordBatch:
+    columns = [
+        pa.array(language, pa.string()),
+        pa.array(length, pa.int32()),
+        pa.array(entry, pa.string()),
+        pa.array(times, pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "length", "entry", "times"])
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, 0, word, times) of each batch of texts."""
+    for batch in batches:
+        runs: dict[str, Counter] = {}
+        languages = batch.column(0).to_pylist()
+        for i, language in enumerate(languages):
+            runs.setdefault(language, Counter()).update(WORD.findall(batch.column(1)[i].as_py().lower()))
+        for language, count in runs.items():
+            words = [(word, times) for run, times in count.items() for word in letter_words(run)]
+            yield _counts([language] * len(words), [0] * len(words), [w[0] for w in words], [w[1] for w in words])
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words given, and (lang, length, n-gram, times) of their n-grams."""
     for batch in batches:
-        words: dict[str, Counter] = {}
-        for i in range(batch.num_rows):
-            words.setdefault(batch.column(0)[i].as_py(), Counter()).update(letter_words(batch.column(1)[i].as_py()))
-        for language, count in words.items():
-            for length in range(LONGEST_GRAM + 1):
-                found = count
-                if length:
-                    found = Counter()
-                    for word, times in count.items():
-                        for gram in word_grams(word, length):
-                            found[gram] += times
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([language] * len(found), pa.string()),
-                        pa.array([length] * len(found), pa.int32()),
-                        pa.array(list(found), pa.string()),
-                        pa.array(list(found.values()), pa.int64()),
-                    ],
-                    names=["lang", "length", "entry", "times"],
-                )
+        yield batch
+        found: Counter = Counter()
+        for language, word, times in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3))):
+            for length in range(1, LONGEST_GRAM + 1):
+                for gram in word_grams(word, length):
+                    found[language, length, gram] += times
+        keys = list(found)
+        yield _counts([k[0] for k in keys], [k[1] for k in keys], [k[2] for k in keys], list(found.values()))
 
 
 def fit_languages(
@@ -87,8 +93,11 @@ def fit_languages(
     common = known.groupBy(language).count().orderBy(F.desc("count"), language).limit(LANGUAGES).collect()
     languages = sorted(row[0] for row in common)
     texts = known.filter(F.col(language).isin(languages)).select(F.col(language).alias("lang"), F.col(text).alias("text"))
-    counted = texts.mapInArrow(_count_batches, "lang string, length int, entry string, times long")
-    counts = counted.groupBy("length", "entry", "lang").agg(F.sum("times").alias("times"))
+    schema = "lang string, length int, entry string, times long"
+    alike = ["lang", "length", "entry"]
+    words = texts.mapInArrow(_count_words, schema).groupBy(*alike).agg(F.sum("times").alias("times"))
+    # n-grams are taken from the distinct words, not from the texts
+    counts = words.mapInArrow(_count_grams, schema).groupBy(*alike).agg(F.sum("times").alias("times"))
     per_entry = counts.groupBy("length", "entry").agg(
         F.sum("times").alias("times"), F.map_from_entries(F.collect_list(F.struct("lang", "times"))).alias("by_lang")
     )
@@ -125,34 +134,45 @@ def word_score(word: str, model: LanguageModel) -> np.ndarray:
     return np.zeros(len(model.languages))
 
 
-def identify(text: str | None, model: LanguageModel, cache: dict[str, np.ndarray]) -> tuple[str, float]:
-    counts = Counter(WORD.findall((text or "").lower()))
-    total, words = np.zeros(len(model.languages)), 0
-    for run, times in counts.items():
-        scored = cache.get(run)
-        if scored is None:
-            parts = [run] if run.isalpha() else _letters(run)
-            scored = sum((word_score(w, model) for w in parts), np.zeros(len(model.languages))), len(parts)
-            if len(cache) >= CACHE:
-                cache.clear()
-            cache[run] = scored
-        total += scored[0] * times
-        words += scored[1] * times
-    if not words or not model.languages:
+class RunTable(dict):
+    """Row of the scores of each run of word characters met, up to ``CACHE`` of them."""
+
+    def __init__(self, model: LanguageModel):
+        self.model = model
+        self.scores = np.zeros((CACHE, len(model.languages) + 1))  # the last column counts words
+
+    def __missing__(self, run: str) -> int:
+        words = letter_words(run)
+        row = self[run] = len(self)
+        self.scores[row, :-1] = sum(word_score(word, self.model) for word in words)
+        self.scores[row, -1] = len(words)
+        return row
+
+
+def identify(text: str | None, table: RunTable) -> tuple[str, float]:
+    languages = table.model.languages
+    runs = WORD.findall((text or "").lower())
+    total = np.zeros(len(languages) + 1)
+    for start in range(0, len(runs), CACHE // 2):
+        part = runs[start : start + CACHE // 2]
+        if len(table) + len(part) > CACHE:
+            table.clear()
+        total += table.scores[np.fromiter(map(table.__getitem__, part), np.int64, len(part))].sum(0)
+    words, total = total[-1], total[:-1]
+    if not words or not languages:
         return UNKNOWN, 0.0
     best = int(total.argmax())  # of equal scores the first in code point order
     # share of the best language if a text's evidence grows with the root of its words
     odds = np.exp((total - total[best]) / math.sqrt(words))
-    return model.languages[best], float(1 / odds.sum())
+    return languages[best], float(1 / odds.sum())
 
 
 def _identify_batches(sent):
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = LanguageModel(*sent.value)
-        cache: dict = {}
+        table = RunTable(LanguageModel(*sent.value))
         for batch in batches:
             texts = batch.column(1)
-            found = [identify(texts[i].as_py(), model, cache) for i in range(batch.num_rows)]
+            found = [identify(texts[i].as_py(), table) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
