@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from melodex.llm.ann import nearest_neighbours
+from melodex.llm.embed_dedup import embedding_groups
 from melodex.llm.langid import fit_languages, identify_languages
 from melodex.llm.line_dedup import deduplicate_lines
 from melodex.llm.mixing import mix_sources
@@ -45,6 +46,10 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents"), quality_weights(spark, folder)).rows
 
 
+def op2_embedding_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_groups(table(spark, folder, "embeddings"), threshold=0.9)
+
+
 def op3_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(table(spark, folder, "documents"), 8).select(
         "doc_id",
@@ -122,6 +127,7 @@ def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_embedding_groups": op2_embedding_groups,
     "op3_shard_documents": op3_shard_documents,
     "op4_quality_scores": op4_quality_scores,
     "op5_line_dedup": op5_line_dedup,
@@ -133,6 +139,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_embedding_groups": """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_sum([x * x FOR x IN embedding::DOUBLE[]])) AS size FROM embeddings
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+  ON a.vec_id <> b.vec_id AND list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.9
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM vectors UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.other = links.a
+), smallest AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM smallest
+""",
     "op5_line_dedup": """
 WITH lines AS (
   SELECT doc_id, text, pos, trim(line, E' \\t\\n\\x0b\\f\\r') AS stripped, line
