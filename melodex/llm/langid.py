@@ -24,7 +24,7 @@ LONGEST_GRAM = 5
 ENTRIES = 60_000  # known words, and known n-grams of each length: the most frequent over all languages
 UNKNOWN = "und"
 # runs whose scores a task keeps at hand
-CACHE = 200_000
+CACHE = 400_000
 
 # runs of word characters without decimal digits and underscores; what is no letter among them is cut off later
 WORD = re.compile(r"[^\W\d_]+")
@@ -32,10 +32,8 @@ WORD = re.compile(r"[^\W\d_]+")
 
 class LanguageModel(NamedTuple):
     languages: list[str]
-    words: dict[str, int]  # word -> row of word_scores
-    word_scores: np.ndarray  # log frequency per language
-    grams: list[dict[str, int]]  # by length, the longest first
-    gram_scores: list[np.ndarray]
+    tables: list[dict[str, int]]  # rows of the known words, then of the n-grams from the longest to the shortest
+    scores: np.ndarray  # log frequency of each row in each language
 
 
 def letter_words(run: str) -> list[str]:
@@ -74,13 +72,14 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words given, and (lang, length, n-gram, times) of their n-grams."""
     for batch in batches:
         yield batch
-        found: Counter = Counter()
+        found: dict[str, Counter] = {}
         for language, word, times in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3))):
+            count = found.setdefault(language, Counter())
             for length in range(1, LONGEST_GRAM + 1):
                 for gram in word_grams(word, length):
-                    found[language, length, gram] += times
-        keys = list(found)
-        yield _counts([k[0] for k in keys], [k[1] for k in keys], [k[2] for k in keys], list(found.values()))
+                    count[gram] += times
+        for language, count in found.items():
+            yield _counts([language] * len(count), [len(g) for g in count], list(count), list(count.values()))
 
 
 def fit_languages(
@@ -109,55 +108,79 @@ def fit_languages(
         .agg(F.sum("times").alias("times"))
         .collect()
     }
-    tables, scores = [], []
+    tables, scores, rows = [], [], 0
     for length in [0, *range(LONGEST_GRAM, 0, -1)]:
         kept = per_entry.filter(F.col("length") == length).orderBy(F.desc("times"), "entry").limit(entries).collect()
-        tables.append({row["entry"]: place for place, row in enumerate(kept)})
+        tables.append({row["entry"]: rows + place for place, row in enumerate(kept)})
+        rows += len(kept)
         values = np.zeros((len(kept), len(languages)))
         for column, name in enumerate(languages):
             total = totals.get((length, name), 0) + len(kept) + 1
             # an entry a language lacks counts as half a sighting
             values[:, column] = [math.log((row["by_lang"].get(name, 0) + 0.5) / total) for row in kept]
         scores.append(values)
-    return LanguageModel(languages, tables[0], scores[0], tables[1:], scores[1:])
+    return LanguageModel(languages, tables, np.concatenate(scores))
 
 
-def word_score(word: str, model: LanguageModel) -> np.ndarray:
-    """Log frequency of a word in each language; of a word not known, the mean over its longest known n-grams."""
-    row = model.words.get(word)
+def rows_of_word(word: str, model: LanguageModel) -> list[int]:
+    """The row of a known word; of another, those of its longest known n-grams. The word scores their mean."""
+    row = model.tables[0].get(word)
     if row is not None:
-        return model.word_scores[row]
-    for k, table in enumerate(model.grams):
-        rows = [table[g] for g in word_grams(word, LONGEST_GRAM - k) if g in table]
+        return [row]
+    for length, table in zip(range(LONGEST_GRAM, 0, -1), model.tables[1:]):
+        rows = [table[gram] for gram in word_grams(word, length) if gram in table]
         if rows:
-            return model.gram_scores[k][rows].mean(0)
-    return np.zeros(len(model.languages))
+            return rows
+    return []
 
 
 class RunTable(dict):
-    """Row of the scores of each run of word characters met, up to ``CACHE`` of them."""
+    """Scores of the runs of word characters met, up to ``CACHE`` of them; new ones are scored together."""
 
     def __init__(self, model: LanguageModel):
         self.model = model
         self.scores = np.zeros((CACHE, len(model.languages) + 1))  # the last column counts words
+        self.new: list[str] = []
 
     def __missing__(self, run: str) -> int:
-        words = letter_words(run)
         row = self[run] = len(self)
-        self.scores[row, :-1] = sum(word_score(word, self.model) for word in words)
-        self.scores[row, -1] = len(words)
+        self.new.append(run)
         return row
 
+    def total(self, runs: list[str]) -> np.ndarray:
+        if len(self) + len(runs) > CACHE:
+            self.clear()
+        places = np.fromiter(map(self.__getitem__, runs), np.int64, len(runs))
+        self._score_new()
+        return self.scores[places].sum(0)
+
+    def _score_new(self) -> None:
+        first = len(self) - len(self.new)
+        self.scores[first : len(self)] = 0
+        rows: list[int] = []
+        starts, counts, runs = [], [], []
+        for place, run in enumerate(self.new, first):
+            words = letter_words(run)
+            self.scores[place, -1] = len(words)
+            for word in words:
+                found = rows_of_word(word, self.model)
+                if found:
+                    starts.append(len(rows))
+                    counts.append(len(found))
+                    runs.append(place)
+                    rows += found
+        if rows:
+            means = np.add.reduceat(self.model.scores[rows], starts, axis=0) / np.array(counts)[:, None]
+            np.add.at(self.scores[:, :-1], runs, means)
+        self.new = []
+
 
 def identify(text: str | None, table: RunTable) -> tuple[str, float]:
     languages = table.model.languages
     runs = WORD.findall((text or "").lower())
     total = np.zeros(len(languages) + 1)
     for start in range(0, len(runs), CACHE // 2):
-        part = runs[start : start + CACHE // 2]
-        if len(table) + len(part) > CACHE:
-            table.clear()
-        total += table.scores[np.fromiter(map(table.__getitem__, part), np.int64, len(part))].sum(0)
+        total += table.total(runs[start : start + CACHE // 2])
     words, total = total[-1], total[:-1]
     if not words or not languages:
         return UNKNOWN, 0.0
