@@ -12,13 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from melodex.llm.common import ship
-from melodex.llm.vectors import exploded, pack, usable_vectors
+from melodex.llm.common import hash_sample, ship
+from melodex.llm.vectors import exploded, usable_vectors
 from melodex.session import materialise
 
 ship(__name__)
 
-TRAINING_VECTORS = 8_192  # vectors the tree is fitted on, the first by hash
+TRAINING_VECTORS = 8_192  # vectors the tree is fitted on, chosen by hash
 BRANCHES = 8
 LEAF_VECTORS = 64  # training vectors of a cell that is not divided further
 CALIBRATION_QUERIES = 64  # queries whose true neighbours are computed to choose the leaf visits
@@ -205,9 +205,9 @@ def _k_nearest(found: DataFrame, k: int) -> DataFrame:
 def leaf_visits(leaves: DataFrame, queries: DataFrame, tree: Tree, sent, k: int, recall: float) -> int:
     """The fewest leaf visits that find the wished share of the true neighbours of some queries.
 
-    The true neighbours come from comparing a bounded number of queries, the first by hash, with all rows.
+    The true neighbours come from comparing a bounded number of queries, chosen by hash, with all rows.
     """
-    chosen = queries.orderBy(F.xxhash64("id"), "id").limit(CALIBRATION_QUERIES).collect()
+    chosen = hash_sample(queries, CALIBRATION_QUERIES, "id").collect()
     if not chosen:
         return 1
     ids, vectors = np.array([row["id"] for row in chosen]), np.array([row["vector"] for row in chosen], float)
@@ -238,7 +238,7 @@ def nearest_neighbours(
 ) -> DataFrame:
     """The ``k`` nearest rows found for each query: query_id, rank (from 1), vec_id, score (Euclidean distance).
 
-    A tree of k-means cells is fitted on at most ``training_vectors`` rows, the first by hash; every row goes
+    A tree of k-means cells is fitted on about ``training_vectors`` rows, chosen by hash; every row goes
     into the leaf reached by always taking the nearest child. A query visits leaves in the order of a
     best-bin-first search, as many as a calibration on some queries needs for ``recall``. Rows of a leaf are dealt
     into blocks of bounded size, and each block is compared with blocks of queries, so a leaf that holds a
@@ -250,7 +250,7 @@ def nearest_neighbours(
     given = usable_vectors(rows, id_column, vector)
     given = materialise(given, "ann-rows")
     asked = usable_vectors(queries, id_column, vector)
-    sample = given.orderBy(F.xxhash64("id"), "id").limit(training_vectors).select("vector").collect()
+    sample = hash_sample(given, training_vectors, "id").orderBy("id").select("vector").collect()
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     tree = fit_tree(np.array([row["vector"] for row in sample], float))

@@ -55,3 +55,14 @@ def total_before(
 def digest(*columns: Column | str) -> list[Column]:
     """Two long columns that together are a 128-bit hash."""
     return [F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)]
+
+
+def hash_sample(df: DataFrame, rows: int, *key: str) -> DataFrame:
+    """About ``rows`` rows (all, if there are no more), chosen by the hash of their key; the same on every run.
+
+    A sorted limit would send that many rows of every partition to one place; this sends only what is kept.
+    """
+    total = df.count()
+    if total <= rows:
+        return df
+    return df.filter(F.xxhash64(F.lit("sample"), *key) < int((rows / total - 0.5) * 2**64))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from melodex.llm.common import digest, ship
+from melodex.llm.common import digest, hash_sample, ship
 from melodex.llm.components import connected_components
 from melodex.llm.vectors import exploded, pack, usable_vectors
 from melodex.session import discard, materialise
@@ -26,7 +26,7 @@ REVERSE_BLOCK = 24  # vectors that list a vector, taken at a time in its local j
 NODES_PER_TASK = 64  # local joins done in one call
 ROUNDS = 3
 GROUP_BLOCK = 512  # vectors of a group compared with each other at a time
-AUDITED = 1_024  # vectors compared with all others, the first by hash
+AUDITED = 1_024  # vectors compared with all others, chosen by hash
 RECALL = 0.995  # share of the audited vectors' links that must lie inside their groups
 ATTEMPTS = 3
 # cosines in single precision this near to the threshold are computed again
@@ -256,10 +256,10 @@ def _audit_batches(sent, threshold: float):
 def audit_links(grouped: DataFrame, threshold: float) -> tuple[float, DataFrame]:
     """Share of the links of some vectors that lie inside their groups, and the links found that don't.
 
-    The vectors, a bounded number and the first by hash, are compared with all others.
+    The vectors, a bounded number chosen by hash, are compared with all others.
     """
     spark = grouped.sparkSession
-    rows = grouped.orderBy(F.xxhash64("node"), "node").limit(AUDITED).collect()
+    rows = hash_sample(grouped, AUDITED, "node").collect()
     sample = (
         np.array([r["node"] for r in rows]),
         np.array([r["component"] for r in rows]),

@@ -21,7 +21,8 @@ ship(__name__)
 
 LANGUAGES = 200  # languages learned at most, those of most texts
 LONGEST_GRAM = 5
-ENTRIES = 60_000  # known words, and known n-grams of each length: the most frequent over all languages
+ENTRIES = 60_000  # known words, and known n-grams of each length, at most: the most frequent over all languages
+LEVELS = 8  # steps of frequency per doubling in which the most frequent are chosen
 UNKNOWN = "und"
 # runs whose scores a task keeps at hand
 CACHE = 400_000
@@ -85,8 +86,8 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_languages(
     docs: DataFrame, *, text: str = "text", language: str = "lang", entries: int = ENTRIES
 ) -> LanguageModel:
-    """Count the words and n-grams of all texts with a language, and keep the ``entries`` most frequent of each
-    length with their counts per language. Null texts and null languages teach nothing; of more than
+    """Count the words and n-grams of all texts with a language, and keep the most frequent of each length, at
+    most ``entries``, with their counts per language; entries of one level of frequency are kept or left together. Null texts and null languages teach nothing; of more than
     ``LANGUAGES`` languages those with the most texts are learned."""
     known = docs.filter(F.col(language).isNotNull() & F.col(text).isNotNull())
     common = known.groupBy(language).count().orderBy(F.desc("count"), language).limit(LANGUAGES).collect()
@@ -108,9 +109,14 @@ def fit_languages(
         .agg(F.sum("times").alias("times"))
         .collect()
     }
+    per_entry = per_entry.withColumn("level", F.floor(F.log2("times") * LEVELS))
+    levels: dict[int, list[tuple[int, int]]] = {}
+    for row in per_entry.groupBy("length", "level").count().collect():  # a few hundred levels of each length
+        levels.setdefault(row["length"], []).append((row["level"], row["count"]))
     tables, scores, rows = [], [], 0
     for length in [0, *range(LONGEST_GRAM, 0, -1)]:
-        kept = per_entry.filter(F.col("length") == length).orderBy(F.desc("times"), "entry").limit(entries).collect()
+        least = _least_level(levels.get(length, []), entries)
+        kept = per_entry.filter((F.col("length") == length) & (F.col("level") >= least)).orderBy("entry").collect()
         tables.append({row["entry"]: rows + place for place, row in enumerate(kept)})
         rows += len(kept)
         values = np.zeros((len(kept), len(languages)))
@@ -122,6 +128,17 @@ def fit_languages(
     return LanguageModel(languages, tables, np.concatenate(scores))
 
 
+def _least_level(counts: list[tuple[int, int]], entries: int) -> int:
+    """The lowest level of frequency that leaves no more entries than wished for."""
+    least, kept = 2**31 - 1, 0
+    for level, count in sorted(counts, reverse=True):
+        kept += count
+        if kept > entries:
+            break
+        least = level
+    return least
+
+
 def rows_of_word(word: str, model: LanguageModel) -> list[int]:
     """The row of a known word; of another, those of its longest known n-grams. The word scores their mean."""
     row = model.tables[0].get(word)

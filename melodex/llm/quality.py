@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from melodex.llm.common import ship
+from melodex.llm.common import hash_sample, ship
 
 ship(__name__)
 
@@ -22,7 +22,7 @@ LENGTH_STEPS = 32
 REPEAT_STEPS = (0.02, 0.1)  # share of words that repeat the word before
 TERMS = TRIGRAM_TERMS + SHAPES * SHAPE_STEPS + LENGTH_STEPS + len(REPEAT_STEPS) + 1
 SHAPE_WEIGHT = 1.5
-TRAINING_TEXTS = 4_000  # labelled texts, the first by hash
+TRAINING_TEXTS = 4_000  # labelled texts, chosen by hash
 DIMENSIONS = 32
 NEIGHBOURS = 11
 BLOCK = 512  # documents compared with all labelled texts in one product
@@ -129,13 +129,13 @@ def labelled_sample(
     text: str = "text",
     training_texts: int = TRAINING_TEXTS,
 ) -> tuple[list[str | None], list[int]]:
-    """At most ``training_texts`` labelled texts, the first by the hash of their id; null labels don't count."""
+    """About ``training_texts`` labelled texts, chosen by the hash of their id; null labels don't count."""
     known = labels.filter(F.col(label).isNotNull()).select(F.col(id_column).alias("__id"), F.col(label).alias("__label"))
     # the ids are chosen before the texts are read, so that only chosen texts are moved
     present = known.join(docs.select(F.col(id_column).alias("__id")), "__id", "left_semi")
-    chosen = present.orderBy(F.xxhash64("__id"), "__id", "__label").limit(training_texts)
-    rows = docs.join(F.broadcast(chosen), F.col(id_column) == F.col("__id")).select("__id", "__label", text)
-    rows = rows.orderBy(F.xxhash64("__id"), "__id", "__label", F.xxhash64(text)).limit(training_texts).collect()
+    chosen = F.broadcast(hash_sample(present, training_texts, "__id"))
+    rows = docs.join(chosen, F.col(id_column) == F.col("__id")).select("__id", "__label", text)
+    rows = sorted(rows.collect(), key=lambda row: (row[0], row[1], row[2] or ""))
     return [row[2] for row in rows], [int(row[1]) for row in rows]
 
 
@@ -160,3 +160,21 @@ def score_quality(
     )
     slim = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     return slim.mapInArrow(_score_batches(sent, neighbours), schema).withColumnRenamed("id", id_column)
+
+
+def _keep_batches(sent, column: int, threshold: float):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = QualityModel(*sent.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, BLOCK):
+                block = batch.slice(start, BLOCK)
+                scores = score_texts(block.column(column).to_pylist(), model)
+                yield block.filter(pa.array(scores >= threshold))
+
+    return keep
+
+
+def keep_by_quality(docs: DataFrame, model: QualityModel, threshold: float, *, text: str = "text") -> DataFrame:
+    """The documents that score ``threshold`` or more, with all their columns; see ``score_quality``."""
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(model))
+    return docs.mapInArrow(_keep_batches(sent, docs.columns.index(text), threshold), docs.schema)

@@ -14,7 +14,7 @@ from melodex.llm.langid import fit_languages, identify_languages
 from melodex.llm.line_dedup import deduplicate_lines
 from melodex.llm.mixing import mix_sources
 from melodex.llm.pieces import encode_documents
-from melodex.llm.quality import fit_quality, labelled_sample, score_quality
+from melodex.llm.quality import QualityModel, fit_quality, labelled_sample, score_quality
 from melodex.llm.sharding import shard_documents
 from melodex.llm.simhash import simhash_groups
 from melodex.llm.urls import Rule, judge_urls
@@ -66,15 +66,14 @@ def fold(id_column: str, folds: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % folds
 
 
-def quality_scores(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Scores by a model that has learned from labelled documents outside the held-out fold."""
-    learned = docs.filter(fold("doc_id", 5) != 0)
-    model = fit_quality(*labelled_sample(learned, table(spark, folder, "labels")))
-    return score_quality(docs, model)
+def quality_model(spark: SparkSession, docs: DataFrame, folder: str) -> QualityModel:
+    """Learned from labelled documents outside the held-out fold."""
+    return fit_quality(*labelled_sample(docs.filter(fold("doc_id", 5) != 0), table(spark, folder, "labels")))
 
 
 def op4_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_scores(spark, table(spark, folder, "documents"), folder).select(
+    docs = table(spark, folder, "documents")
+    return score_quality(docs, quality_model(spark, docs, folder)).select(
         "doc_id",
         (fold("doc_id", 5) == 0).alias("held_out"),
         "score",

@@ -162,7 +162,10 @@ def first_of_each_group(docs: DataFrame, **options) -> DataFrame:
     """
     id_column = options.get("id_column", "doc_id")
     groups = simhash_groups(docs, **options)
-    first = groups.filter(F.col(id_column) == F.col("component_id"))
-    first = first.select(F.col(id_column).alias("__id")).distinct().hint("shuffle_hash")
-    kept = docs.join(first, F.col(id_column) == F.col("__id"), "left_semi").dropDuplicates([id_column])
-    return kept.unionByName(docs.filter(F.col(id_column).isNull()))
+    first = groups.filter(F.col(id_column) == F.col("component_id")).groupBy(F.col(id_column).alias("__id"))
+    first = materialise(first.agg((F.count("*") > 1).alias("__repeated")), "simhash-first").hint("shuffle_hash")
+    kept = docs.join(first, F.col(id_column) == F.col("__id"))
+    # only rows that share their id are sorted to find one of them
+    once = kept.filter("not __repeated").select(*docs.columns)
+    one_of = kept.filter("__repeated").select(*docs.columns).dropDuplicates([id_column])
+    return once.unionByName(one_of).unionByName(docs.filter(F.col(id_column).isNull()))
