@@ -90,6 +90,8 @@ def deduplicate_lines(
         .filter(F.col("documents") >= least_documents)
         .select(F.col("key").alias("__key"), "keeper")
     )
+    # stored, so that the join below can be split where a line is in very many documents
+    shared = materialise(shared, "line-shared")
     dropped = (
         lines.join(shared, F.col("key") == F.col("__key"))
         .filter(~F.col("id").eqNullSafe(F.col("keeper")))
