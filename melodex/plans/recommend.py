@@ -193,14 +193,14 @@ def _resolved_id(resolved: DataFrame, name: str, artist: str, message: str):
         raise ValueError(f"Song '{name.lower()}' by '{artist.lower()}' not found in database")
     if row.status == AMBIGUOUS:
         raise ValueError(
-            f"Multiple songs match '{name.lower()}' by '{artist.lower()}' ({row.n_matches} rows). {message}"
+            f"Multiple songs match {name.lower()!r} / {artist.lower()!r}: {row.n_matches} track ids. {message}"
         )
     if row.status == NO_HISTORY:
         raise ValueError(f"Track ID '{row.track_id}' not found in collaborative filtering data")
     return row.track_id
 
 
-_DEDUPLICATE = "The catalogue must hold a single track per name and artist for this ranking."
+_DEDUPLICATE = "Ask by track id, or clean the catalogue first."
 
 
 def _listed(lists: DataFrame, tracks: DataFrame, project: str) -> DataFrame:

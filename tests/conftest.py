@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -19,6 +20,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -27,21 +29,25 @@ def spark():
 
 
 @pytest.fixture(scope="session")
-def three_songs(spark):
-    """Three songs with identity features and identity interactions."""
+def harbour(spark):
+    """Four tracks of two artists; the features are plane vectors, and three listeners overlap."""
     tracks = spark.createDataFrame(
-        [(1, "song a", "artist x", "url1"), (2, "song b", "artist y", "url2"), (3, "song c", "artist z", "url3")],
+        [
+            (11, "harbour lights", "tide", "p11"),
+            (14, "night ferry", "tide", "p14"),
+            (17, "salt road", "marsh", "p17"),
+            (23, "low water", "marsh", "p23"),
+        ],
         "track_id long, name string, artist string, spotify_preview_url string",
     )
-    return tracks, identity_features(spark, [1, 2, 3]), identity_interactions(spark, [1, 2, 3])
-
-
-def identity_features(spark, ids):
-    rows = [(t, [1.0 if i == j else 0.0 for j in range(len(ids))], []) for i, t in enumerate(ids)]
-    return spark.createDataFrame(rows, "track_id long, dense array<double>, cats array<string>")
+    features = spark.createDataFrame(
+        [(11, [2.0, 0.0], ["tide"]), (14, [1.5, 0.5], ["tide"]), (17, [0.0, 1.0], ["marsh"]), (23, [-1.0, 0.5], [None])],
+        "track_id long, dense array<double>, cats array<string>",
+    )
+    plays = [("ana", 11, 4), ("ana", 14, 2), ("bo", 14, 3), ("bo", 17, 1), ("cy", 17, 5), ("cy", 11, 1), ("di", 23, 2)]
+    return tracks, features, listening(spark, plays)
 
 
-def identity_interactions(spark, ids):
-    return spark.createDataFrame(
-        [(t, f"u{t}", 1.0) for t in ids], "track_id long, user_id string, playcount double"
-    )
+def listening(spark, plays):
+    rows = [(track, user, float(n)) for user, track, n in plays]
+    return spark.createDataFrame(rows, "track_id long, user_id string, playcount double")
