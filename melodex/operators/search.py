@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
-import sys
-from collections import Counter
-from difflib import SequenceMatcher
-
-import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from melodex.functions.text import DISPLAY_SEPARATOR, display, strip
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # How many matches a query returns, and the similarity they need.
 LIMIT, CUTOFF = 10, 0.4
 
-TILE_KEYS = 8192
-TILE_QUERIES = 256
+GRAM_LENGTH = 3
 
 
 def song_index(tracks: DataFrame, separator: str = DISPLAY_SEPARATOR) -> DataFrame:
@@ -35,32 +25,11 @@ def song_index(tracks: DataFrame, separator: str = DISPLAY_SEPARATOR) -> DataFra
     )
 
 
-def _letter_counts(texts: list[str], letters: dict[str, int]) -> np.ndarray:
-    counts = np.zeros((len(texts), len(letters)), dtype=np.int32)
-    for row, text in enumerate(texts):
-        for letter, n in Counter(text).items():
-            if letter in letters:
-                counts[row, letters[letter]] = n
-    return counts
-
-
-def _closest(query: str, keys: list[str], bounds: np.ndarray, limit: int, cutoff: float) -> list[tuple[float, str]]:
-    """The ``limit`` keys with the highest matching-block ratio, best first, equal ratios by key descending.
-
-    ``bounds`` holds an upper bound of each key's ratio. Keys are tried from the highest bound down; once
-    the bound falls below the ratio of the last place, no further key can enter.
-    """
-    matcher = SequenceMatcher()
-    matcher.set_seq2(query)
-    best: list[tuple[float, str]] = []
-    for i in np.argsort(-bounds, kind="stable"):
-        if bounds[i] < cutoff or (len(best) == limit and bounds[i] < best[-1][0]):
-            break
-        matcher.set_seq1(keys[i])
-        ratio = matcher.ratio()
-        if ratio >= cutoff:
-            best = sorted([*best, (ratio, keys[i])], reverse=True)[:limit]
-    return best
+def grams(text: Column) -> Column:
+    """Distinct runs of three characters, with two blanks before the text and one after it."""
+    padded = F.concat(F.lit("  "), text, F.lit(" "))
+    starts = F.sequence(F.lit(1), F.length(padded) - (GRAM_LENGTH - 1))
+    return F.array_distinct(F.transform(starts, lambda i: F.substr(padded, i, F.lit(GRAM_LENGTH))))
 
 
 def fuzzy_matches(
@@ -68,50 +37,35 @@ def fuzzy_matches(
 ) -> DataFrame:
     """(query, key, ratio, rank) of the closest index keys of each distinct query; blank queries match nothing.
 
-    The ratio is 2M/T: M letters in the longest matching blocks, T letters in both texts. Queries and keys
-    meet in tiles of bounded size. Inside a tile the number of letters two texts share, whatever their
-    order, bounds the ratio from above for all keys at once, and only keys that can still enter the
-    ``limit`` best are compared. No key is skipped that could belong to the result.
+    The ratio is 2 S / T: S grams that both texts have, T grams of the two together. A key that reaches the
+    cutoff shares a known number of the query's grams with it, so it has one at least of all but so many of
+    them: queries are joined with keys on their rarest grams only, and no key that belongs to the result is
+    lost. Equal ratios rank by key, descending.
     """
     asked = queries.select(F.lower(strip(F.col("query"))).alias("query")).filter("query != ''").distinct()
-    keys = index.select("key")
-    tasks = 2 * index.sparkSession.sparkContext.defaultParallelism
-    n_keys = keys.agg(F.count("*")).scalar()
-    n_queries = asked.agg(F.count("*")).scalar()
-    query_blocks = F.greatest(F.ceil(n_queries / TILE_QUERIES), F.lit(1))
-    spread = F.least(F.ceil(n_keys / 64), F.ceil(F.lit(tasks) / query_blocks))
-    key_blocks = F.greatest(F.ceil(n_keys / TILE_KEYS), spread, F.lit(1))
-    tile = ["key_block", "query_block"]
-    left = keys.select(
-        F.pmod(F.xxhash64("key"), key_blocks).cast("int").alias("key_block"),
-        F.explode(F.sequence(F.lit(0), (query_blocks - 1).cast("int"))).alias("query_block"),
-        "key",
-    )
-    right = asked.select(
-        F.pmod(F.xxhash64("query"), query_blocks).cast("int").alias("query_block"),
-        F.explode(F.sequence(F.lit(0), (key_blocks - 1).cast("int"))).alias("key_block"),
-        "query",
+    asked = asked.withColumn("query_grams", grams(F.col("query")))
+    keys = index.select("key", grams(F.col("key")).alias("key_grams"))
+    by_gram = keys.select("key", "key_grams", F.explode("key_grams").alias("gram"))
+    rarity = by_gram.groupBy("gram").agg(F.count("*").alias("n_keys"))
+    needed = F.ceil(F.size("query_grams") * F.lit(cutoff / (2 - cutoff)) - 1e-9)
+    ranked = (
+        asked.select("query", "query_grams", F.explode("query_grams").alias("gram"))
+        .join(rarity, "gram")  # grams that no key has can't be shared
+        .groupBy("query")
+        .agg(
+            F.first("query_grams").alias("query_grams"),
+            F.array_sort(F.collect_list(F.struct("n_keys", "gram"))).alias("known"),
+        )
     )
-
-    def match_tile(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts, asked = left["key"].to_pylist(), right["query"].to_pylist()
-        found: list[tuple[str, str, float]] = []
-        if texts and asked:
-            letters = {letter: i for i, letter in enumerate(sorted(set().union(*asked)))}
-            key_counts, query_counts = _letter_counts(texts, letters), _letter_counts(asked, letters)
-            lengths = np.array([len(t) for t in texts])
-            for query, counts in zip(asked, query_counts, strict=True):
-                shared = np.minimum(key_counts, counts).sum(axis=1)
-                bounds = 2.0 * shared / (lengths + len(query))
-                found += [(query, key, ratio) for ratio, key in _closest(query, texts, bounds, limit, cutoff)]
-        columns = list(zip(*found, strict=True)) or [[], [], []]
-        types = (pa.string(), pa.string(), pa.float64())
-        return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["query", "key", "ratio"])
-
-    left, right = left.groupBy(*tile), right.groupBy(*tile)
-    matched = left.cogroup(right).applyInArrow(
-        match_tile, "query string, key string, ratio double"
+    # the grams no key has are the rarest of all and take up places
+    places = F.size("query_grams") - needed + 1 - (F.size("query_grams") - F.size("known"))
+    rare = ranked.filter(places > 0).select(
+        "query", "query_grams", F.explode(F.slice("known", F.lit(1), places.cast("int"))["gram"]).alias("gram")
     )
+    pairs = rare.join(by_gram, "gram").select("query", "key", "query_grams", "key_grams").distinct()
+    shared = F.size(F.array_intersect("query_grams", "key_grams"))
+    ratio = 2.0 * shared / (F.size("query_grams") + F.size("key_grams"))
+    matched = pairs.select("query", "key", ratio.alias("ratio")).filter(F.col("ratio") >= cutoff)
     best = Window.partitionBy("query").orderBy(F.desc("ratio"), F.desc("key"))
     return matched.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= limit)
 
