@@ -6,7 +6,7 @@ and write with the append or update mode; a window is final once the watermark h
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ QUANTILES = (0.50, 0.95, 0.99)
 LATENCY_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
 
 LATENESS = "10 minutes"
+SUCCESS = "success"
 
 
 def with_lateness(requests: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -45,7 +46,7 @@ def request_rate(requests: DataFrame) -> DataFrame:
 
 def latency_histogram(requests: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Successful requests per latency bucket, cumulative: ``le_0`` ... and all of them as ``n_requests``."""
-    timed = requests.filter(F.col("latency").isNotNull())
+    timed = requests.filter(F.col("latency").isNotNull() & (F.col("status") == SUCCESS))
     buckets = {f"le_{i}": F.count_if(F.col("latency") <= bound) for i, bound in enumerate(LATENCY_BOUNDS)}
     return _windowed(timed, list(keys), {**buckets, "n_requests": F.count("*")})
 
@@ -86,14 +87,20 @@ def error_ratio(requests: DataFrame) -> DataFrame:
 
 
 def flight_events(requests: DataFrame) -> DataFrame:
-    """+1 when a request starts, -1 when it ends, both to the microsecond."""
+    """+1 when a request starts, -1 when it ends, both to the microsecond.
+
+    A request with a status has ended: without a latency, it ends when it starts. One without a status is
+    still running and has no end.
+    """
     started = F.unix_micros("ts")
-    ended = started + F.round(F.col("latency") * 1_000_000).cast("long")
+    lasted = F.coalesce(F.round(F.col("latency") * 1_000_000).cast("long"), F.lit(0).cast("long"))
     marks = F.array(
         F.struct(F.timestamp_micros(started).alias("at"), F.lit(1).alias("delta")),
-        F.struct(F.timestamp_micros(ended).alias("at"), F.lit(-1).alias("delta")),
+        F.struct(F.timestamp_micros(started + lasted).alias("at"), F.lit(-1).alias("delta")),
     )
-    return requests.select(F.inline(marks))
+    ended = F.col("status").isNotNull()
+    known = requests.filter(F.col("ts").isNotNull())
+    return known.select(F.inline(F.when(ended, marks).otherwise(F.slice(marks, 1, 1))))
 
 
 def in_flight(requests: DataFrame, step: str = STEP) -> DataFrame:
@@ -122,6 +129,22 @@ def net_flight(requests: DataFrame) -> DataFrame:
     return flight_events(requests).agg(F.sum("delta").alias("in_flight"))
 
 
+def open_windows(
+    requests: DataFrame, metric: Callable[[DataFrame], DataFrame], closed: DataFrame
+) -> DataFrame:
+    """The windows a finished stream has not written yet, from the stored requests of its last minutes.
+
+    A stream writes all windows up to its watermark; those that end later are computed from the table it
+    has read through.
+    """
+    last = closed.agg(F.max("window_end")).first()[0]
+    if last is None:
+        return metric(requests)
+    end = F.lit(last)
+    recent = requests.filter(F.col("ts") >= end - F.expr(f"INTERVAL {RANGE}"))
+    return metric(recent).filter(F.col("window_end") > end)
+
+
 def write_windows(metrics: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Start a query that appends closed windows to parquet and stops when the source is read through."""
     return (
