@@ -14,16 +14,13 @@ MINMAX_EPSILON = 1e-8
 DIVERSITY_STEPS = range(1, 10)
 
 
-def rank_key(score: Column) -> Column:
-    return F.floor(score * F.lit(RANK_SCALE) + F.lit(0.5))
-
+# beyond this a double has no nine decimals left, and ranks as it is
+RANK_LIMIT = 4e6
 
-def minmax(score: Column, low: Column, high: Column) -> Column:
-    return (score - low) / (high - low + F.lit(MINMAX_EPSILON))
 
-
-def blend(content: Column, collab: Column, weight_content: float) -> Column:
-    return F.lit(float(weight_content)) * content + F.lit(1.0 - weight_content) * collab
+def rank_key(score: Column) -> Column:
+    rounded = F.floor(score * F.lit(RANK_SCALE) + F.lit(0.5)).cast("double") / F.lit(RANK_SCALE)
+    return F.when(F.abs(score) < RANK_LIMIT, rounded).otherwise(F.nanvl(score, F.lit(None)))
 
 
 def check_k(k: int, label: str = "k") -> int:

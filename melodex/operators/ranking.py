@@ -80,13 +80,20 @@ def grouped_row_number(
 
 
 def top_k(
-    scored: DataFrame, k: int, keys: Sequence[str] = ("seed",), item: str = "item", score: str = "score"
+    scored: DataFrame,
+    k: int,
+    keys: Sequence[str] = ("seed",),
+    item: str = "item",
+    score: str = "score",
+    exact: bool = False,
 ) -> DataFrame:
-    """The k best items per key with ranks 1..k: score descending, then item id.
+    """The k best items per key with ranks 1..k: score descending, then item id; null and NaN scores last.
 
+    Scores that come from sums of products tie if they agree to nine decimals; ``exact`` ranks on the value.
     Spark limits each key to k rows per partition before the shuffle.
     """
-    best = Window.partitionBy(*keys).orderBy(F.desc(rank_key(F.col(score))), item)
+    value = F.nanvl(F.col(score).cast("double"), F.lit(None)) if exact else rank_key(F.col(score).cast("double"))
+    best = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(value), item)
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 

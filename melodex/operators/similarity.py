@@ -40,6 +40,8 @@ def _array(column: pa.ChunkedArray) -> pa.Array:
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     lists = _array(column)
     values = lists.flatten().to_numpy(zero_copy_only=False)
+    if not np.isfinite(values).all():
+        raise ValueError("feature vectors must be finite: null, NaN and infinite components can't be ranked")
     return values.reshape(len(lists), -1)
 
 
@@ -248,10 +250,8 @@ def content_ranges(items: DataFrame, seeds: DataFrame, tile_rows: int = TILE_ROW
 
 # ---- collaborative -------------------------------------------------------------------------------
 
-# A user with more items than HEAVY_ITEMS and more than one in HEAVY_SHARE of all interactions is scored by
-# matrix tiles. Fewer than HEAVY_SHARE users can be, which bounds the broadcast list of them.
+# A user with more items than this is scored by matrix tiles, so the pairs of one user are bounded by a constant.
 HEAVY_ITEMS = 256
-HEAVY_SHARE = 500_000
 HEAVY_TILE_ITEMS = 2048
 HEAVY_TILE_SEEDS = 1024
 HEAVY_TILE_USERS = 4096
@@ -265,10 +265,7 @@ def item_norms(interactions: DataFrame) -> DataFrame:
 
 def _heavy_users(interactions: DataFrame, heavy_items: int) -> DataFrame:
     sizes = interactions.groupBy("user_id").agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n")).scalar()
-    return sizes.filter(
-        (F.col("n") > heavy_items) & (F.col("n") > F.floor(total / HEAVY_SHARE))
-    ).select("user_id")
+    return sizes.filter(F.col("n") > heavy_items).select("user_id")
 
 
 def _heavy_products(entries: DataFrame, users: DataFrame) -> DataFrame:
@@ -344,7 +341,7 @@ def collab_products(interactions: DataFrame, seeds: DataFrame, heavy_items: int
         .join(wanted, "track_id", "left")
         .select(F.col("track_id").alias("item"), "user_id", "playcount", F.col("is_seed").isNotNull().alias("is_seed"))
     )
-    heavy = F.broadcast(_heavy_users(interactions.filter("playcount != 0"), heavy_items))
+    heavy = _heavy_users(interactions.filter("playcount != 0"), heavy_items)
 
     light = entries.join(heavy, "user_id", "left_anti")
     seed_side = light.filter("is_seed").select(
@@ -453,9 +450,9 @@ def collab_ranges_of_seeds(interactions: DataFrame, seeds: DataFrame, n_items: C
         .agg(F.sum("n").alias("reach"))
     )
     default = reach.select(F.col("track_id").alias("seed"), F.lit(0.0).alias("low"), F.lit(1.0).alias("high"))
-    far = reach.filter(F.col("reach") >= n_items).select("track_id")
-    if far.isEmpty():
-        return default
+    # with negative plays no range is known beforehand
+    least = interactions.agg(F.min("playcount")).scalar()
+    far = reach.filter((F.col("reach") >= n_items) | (least < 0)).select("track_id")
     exact = collab_ranges(collab_scores(interactions, far), n_items)
     return default.join(exact.withColumnsRenamed({"low": "_low", "high": "_high"}), "seed", "left").select(
         "seed", F.coalesce("_low", "low").alias("low"), F.coalesce("_high", "high").alias("high")

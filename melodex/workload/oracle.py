@@ -5,6 +5,9 @@ from __future__ import annotations
 from melodex.workload import sql as s
 from melodex.workload.tables import RECENT
 
+# all tracks of the log, under the name that the named seeds look them up by
+WHOLE_HISTORY = "recent_history AS (SELECT DISTINCT track_id FROM inter)"
+
 RECENT_HISTORY = f"""recent_history AS (
   SELECT DISTINCT l_partkey AS track_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   WHERE o_orderdate >= TIMESTAMP '{RECENT} 00:00:00')"""
@@ -41,20 +44,18 @@ CONTENT_REPORT = (s.FEATURES, s.SPLIT, "seed_feat AS (SELECT * FROM feat WHERE t
                   s.content("seed_feat"), s.top("content", 100), s.evaluation())
 HYBRID_REPORT = (s.FEATURES, s.SPLIT, s.hybrid(0.5, "inter", "seeds"), s.top("hybrid", 100), s.evaluation())
 
-STREAM_END = "(SELECT max(ts) - INTERVAL 10 minutes FROM requests)"
 
 
-def _windows(select: str, where: str = "true", group: str = "", closed: bool = False) -> str:
+def _windows(select: str, where: str = "true", group: str = "") -> str:
     keys = f"{group}, " if group else ""
-    having = f"HAVING window_start + INTERVAL 5 minutes <= {STREAM_END}" if closed else ""
     return s.query(
         s.REQUESTS,
         select=f"""SELECT window_start, window_start + INTERVAL 5 minutes AS window_end, {keys}{select}
-FROM windowed WHERE {where} GROUP BY window_start{', ' + group if group else ''} {having}""",
+FROM windowed WHERE {where} GROUP BY window_start{', ' + group if group else ''}""",
     )
 
 
-def _quantiles(closed: bool = False) -> str:
+def _quantiles() -> str:
     bounds = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
     counts = ", ".join(f"count(*) FILTER (latency <= {b}::DOUBLE) AS le_{i}" for i, b in enumerate(bounds))
 
@@ -68,10 +69,9 @@ def _quantiles(closed: bool = False) -> str:
             )
         return f"round(CASE {' '.join(cases)} ELSE {bounds[-1]}::DOUBLE END, 6) AS p{round(q * 100)}"
 
-    having = f"HAVING window_start + INTERVAL 5 minutes <= {STREAM_END}" if closed else ""
     return s.query(
         s.REQUESTS,
-        f"buckets AS (SELECT window_start, count(*) AS n_requests, {counts} FROM windowed GROUP BY 1 {having})",
+        f"buckets AS (SELECT window_start, count(*) AS n_requests, {counts} FROM windowed WHERE status = 'success' AND latency IS NOT NULL GROUP BY 1)",
         select=f"""SELECT window_start, window_start + INTERVAL 5 minutes AS window_end, n_requests,
        {value(0.5)}, {value(0.95)}, {value(0.99)} FROM buckets""",
     )
@@ -282,7 +282,7 @@ FROM by_content a JOIN by_collab b USING (seed, item)""",
             ["track_id", "name", "artist", "year", "tags"],
         ),
     ),
-    "d3_distinct_tracks": s.query(RECENT_HISTORY, select="SELECT track_id FROM recent_history"),
+    "d3_distinct_tracks": s.query(s.INTERACTIONS, select="SELECT DISTINCT track_id FROM inter"),
     "d4_dictionary_encode": s.query(
         s.LISTINGS, select="SELECT name, row_number() OVER (ORDER BY name) - 1 AS code FROM (SELECT DISTINCT name FROM listings)"
     ),
@@ -366,8 +366,8 @@ FROM inter QUALIFY rank <= 5""",
     # sorts, limits, sets
     "f1_sorted_tracks": s.query(
         s.TRACKS,
-        RECENT_HISTORY,
-        select="""SELECT track_id, name, artist FROM tracks WHERE track_id IN (SELECT track_id FROM recent_history)
+        s.INTERACTIONS,
+        select="""SELECT track_id, name, artist FROM tracks WHERE track_id IN (SELECT track_id FROM inter)
 ORDER BY track_id""",
     ),
     "f2_one_seed": s.query(
@@ -505,15 +505,15 @@ FROM named_status LEFT JOIN lists ON seed = track_id AND status = 'ok'""",
 FROM normal GROUP BY 1""",
     ),
     "h7_hybrid": s.query(s.FEATURES, s.INTERACTIONS, s.hybrid(0.5), s.top("hybrid", 10), select=LISTS),
-    "h7_hybrid_recent": s.query(
-        s.FEATURES, s.RECENT_INTERACTIONS, s.hybrid(0.75, "recent"), s.top("hybrid", 10), select=LISTS
+    "h7_hybrid_towards_content": s.query(
+        s.FEATURES, s.INTERACTIONS, s.hybrid(0.75), s.top("hybrid", 10), select=LISTS
     ),
     "h7_hybrid_named": s.query(
         s.FEATURES,
-        RECENT_HISTORY,
+        s.INTERACTIONS,
+        WHOLE_HISTORY,
         NAMED,
-        s.RECENT_INTERACTIONS,
-        s.hybrid(0.5, "recent"),
+        s.hybrid(0.5),
         s.top("hybrid", 5),
         """named_status AS (
   SELECT seed_id, listed_id, CASE WHEN listed_id IS NULL THEN 'not_found' WHEN listed_matches > 1 THEN 'ambiguous' ELSE 'ok' END AS status
@@ -521,11 +521,8 @@ FROM normal GROUP BY 1""",
         select="""SELECT seed_id, status, CASE WHEN status = 'ok' THEN listed_id END AS seed, item, round(score, 6) AS score, rank
 FROM named_status LEFT JOIN lists ON seed = listed_id AND status = 'ok'""",
     ),
-    "h8_weights": s.query(
-        RECENT_HISTORY,
-        select="""SELECT (SELECT count(*) FROM recent_history) AS n_tracks, d::INT AS diversity, round(1 - d / 10e0, 6) AS weight_content,
-       (10 - d)::INT AS personalised FROM range(1, 10) r(d)""",
-    ),
+    "h8_weights": """SELECT p_partkey AS track_id, p_size % 9 + 1 AS diversity, round(1 - (p_size % 9 + 1) / 10e0, 6) AS weight_content,
+       10 - (p_size % 9 + 1) AS personalised FROM part""",
     "h9_routed": s.query(
         s.FEATURES,
         RECENT_HISTORY,
@@ -594,6 +591,19 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY playcount DESC, track_i
         select="""SELECT lower(display) AS key, name, artist, display FROM (SELECT *, name || ' — ' || artist AS display FROM tracks)
 QUALIFY row_number() OVER (PARTITION BY lower(display) ORDER BY track_id) = 1""",
     ),
+    "j2_fuzzy_matches": s.query(
+        s.TRACKS,
+        """keys AS (SELECT lower(display) AS key, name, artist, display FROM (SELECT *, name || ' — ' || artist AS display FROM tracks)
+QUALIFY row_number() OVER (PARTITION BY lower(display) ORDER BY track_id) = 1)""",
+        "asked AS (SELECT DISTINCT lower(trim(p_name)) AS query FROM part)",
+        """compared AS (
+  SELECT query, keys.*, list_distinct([substr('  ' || query || ' ', i, 3) FOR i IN range(1, length(query) + 2)]) AS q,
+         list_distinct([substr('  ' || key || ' ', i, 3) FOR i IN range(1, length(key) + 2)]) AS k
+  FROM asked CROSS JOIN keys)""",
+        """rated AS (SELECT *, 2e0 * len(list_intersect(q, k)) / (len(q) + len(k)) AS ratio FROM compared)""",
+        select="""SELECT query, key, round(ratio, 6) AS ratio, (row_number() OVER (PARTITION BY query ORDER BY ratio DESC, key DESC))::INT AS rank,
+       name, artist, display FROM rated WHERE ratio >= 0.4 QUALIFY rank <= 10""",
+    ),
     # request metrics
     "k1_request_rate": _windows(
         "count(*) AS n_requests, round(count(*) / 300e0, 6) AS per_second", group="model_type, status"
@@ -616,15 +626,14 @@ steps AS (
         group="model_type",
     ),
     "k1_request_rate_stream": _windows(
-        "count(*) AS n_requests, round(count(*) / 300e0, 6) AS per_second", group="model_type, status", closed=True
+        "count(*) AS n_requests, round(count(*) / 300e0, 6) AS per_second", group="model_type, status"
     ),
-    "k2_latency_quantiles_stream": _quantiles(closed=True),
-    "k4_served_stream": _windows("coalesce(sum(n_recs), 0)::BIGINT AS n_served", group="model_type", closed=True),
+    "k2_latency_quantiles_stream": _quantiles(),
+    "k4_served_stream": _windows("coalesce(sum(n_recs), 0)::BIGINT AS n_served", group="model_type"),
     "k5_error_ratio_stream": _windows(
         """count(*) FILTER (status = 'error') AS n_errors, count(*) AS n_requests,
        round(count(*) FILTER (status = 'error') / count(*)::DOUBLE, 6) AS error_ratio""",
         group="model_type",
-        closed=True,
     ),
     # scalar functions
     "s1_title_case": """SELECT doc_id, md5(array_to_string(list_transform(

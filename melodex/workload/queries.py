@@ -327,7 +327,7 @@ def d3_distinct_counts(spark, folder):
 
 @query
 def d3_distinct_tracks(spark, folder):
-    return interactions.history_tracks(t.history(spark, folder, t.RECENT))
+    return interactions.history_tracks(t.history(spark, folder))
 
 
 @query
@@ -431,7 +431,7 @@ def e3_split_test(spark, folder):
 @query
 def e4_topk_per_user(spark, folder):
     """The five tracks each user plays most."""
-    best = ranking.top_k(t.interactions(spark, folder), 5, ["user_id"], "track_id", "playcount")
+    best = ranking.top_k(t.interactions(spark, folder), 5, ["user_id"], "track_id", "playcount", exact=True)
     return best.select("user_id", "track_id", "rank")
 
 
@@ -450,7 +450,7 @@ def e5_hits(spark, folder):
 @query
 def f1_sorted_tracks(spark, folder):
     return interactions.tracks_with_history(
-        t.tracks(spark, folder), t.history(spark, folder, t.RECENT)
+        t.tracks(spark, folder), t.history(spark, folder)
     ).orderBy("track_id").select("track_id", "name", "artist")
 
 
@@ -710,9 +710,9 @@ def h7_hybrid(spark, folder):
 
 
 @query
-def h7_hybrid_recent(spark, folder):
-    """A sparse log, and a weight that favours content."""
-    encoded, log = _features(spark, folder), _log(spark, folder, t.RECENT)
+def h7_hybrid_towards_content(spark, folder):
+    """A weight that favours content."""
+    encoded, log = _features(spark, folder), _log(spark, folder)
     return _lists(recommend.hybrid_lists(encoded, log, encoded.select("track_id"), 10, 0.75))
 
 
@@ -722,7 +722,7 @@ def h7_hybrid_named(spark, folder):
         _named_seeds(spark, folder),
         t.tracks(spark, folder),
         _features(spark, folder),
-        _log(spark, folder, t.RECENT),
+        _log(spark, folder),
         5,
         diversity=5,
     )
@@ -731,11 +731,12 @@ def h7_hybrid_named(spark, folder):
 
 @query
 def h8_weights(spark, folder):
-    """Weight and chart shares of every diversity setting, with the number of tracks the slider is shown for."""
-    settings = F.explode(F.array(*[F.lit(d) for d in DIVERSITY_STEPS])).alias("diversity")
-    shown = interactions.tracks_with_history(t.tracks(spark, folder), t.history(spark, folder, t.RECENT))
-    return shown.agg(F.count("*").alias("n_tracks")).select("n_tracks", settings).select(
-        "n_tracks",
+    """Weights of a table of requests: every track asked for at the setting that its size gives."""
+    asked = t.table(spark, folder, "part").select(
+        F.col("p_partkey").alias("track_id"), (F.col("p_size") % len(DIVERSITY_STEPS) + 1).alias("diversity")
+    )
+    return asked.select(
+        "track_id",
         "diversity",
         F.round(diversity_weight_column(F.col("diversity")), 6).alias("weight_content"),
         (10 - F.col("diversity")).alias("personalised"),
@@ -913,7 +914,8 @@ def _streamed(spark: SparkSession, folder: str, metric: Callable[[DataFrame], Da
     out = metric(monitor.with_lateness(t.request_stream(spark, folder)))
     path = new_folder(spark, "windows")
     monitor.write_windows(out, path, new_folder(spark, "progress")).awaitTermination()
-    return spark.read.schema(out.schema).parquet(path)
+    closed = spark.read.schema(out.schema).parquet(path)
+    return closed.unionByName(monitor.open_windows(t.requests(spark, folder), metric, closed))
 
 
 @query

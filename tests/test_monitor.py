@@ -44,6 +44,26 @@ def test_in_flight(spark):
     assert monitor.net_flight(_requests(spark, rows)).first().in_flight == 0
 
 
+def test_gauge_returns_to_zero_and_latency_counts_successes(spark):
+    rows = [_request(0, latency=None, status="error"), _request(5, latency=40.0, status="error"), _request(9, latency=0.2)]
+    requests = _requests(spark, rows)
+    steps = [r.in_flight for r in monitor.in_flight(requests).orderBy("step_end").collect()]
+    assert steps == [1, 0] and monitor.net_flight(requests).first().in_flight == 0
+    running = requests.union(_requests(spark, [_request(12, latency=None, status=None)]))
+    assert monitor.net_flight(running).first().in_flight == 1
+    assert [r.in_flight for r in monitor.in_flight(running).orderBy("step_end").collect()] == [2, 1]
+    assert {r.n_requests for r in monitor.latency_quantiles(requests).collect()} == {1}
+
+
+def test_open_windows_complete_what_a_stream_wrote(spark):
+    requests = _requests(spark, [_request(s) for s in (0, 100, 400, 1300, 1310)])
+    whole = monitor.request_rate(requests)
+    closed = whole.filter(F.col("window_end") <= F.lit(START + dt.timedelta(seconds=710)))
+    rest = monitor.open_windows(requests, monitor.request_rate, closed)
+    assert sorted(closed.union(rest).collect()) == sorted(whole.collect())
+    assert monitor.open_windows(requests, monitor.request_rate, whole.limit(0)).count() == whole.count()
+
+
 def test_errors_and_served(spark):
     requests = _requests(spark, [_request(0), _request(1, status="error", n=None), _request(2, model="content_based", n=5)])
     errors = {r.model_type: r.error_ratio for r in monitor.error_ratio(requests).collect()}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
 import math
 import random
 
@@ -55,7 +54,7 @@ def test_csv_round_trip_and_na_values(spark):
 def test_missing_artifacts_are_listed_together(spark):
     folder = new_folder(spark, "artifacts")
     spark.range(1).write.parquet(f"{folder}/tracks")
-    with pytest.raises(FileNotFoundError, match="Missing 8 artifact"):
+    with pytest.raises(FileNotFoundError, match="8 artifacts are not in"):
         files.load_artifacts(spark, folder)
 
 
@@ -96,29 +95,35 @@ def test_dictionary_codes_are_dense_and_sorted(spark, split_rows):
     assert codes == {v: i for i, v in enumerate(sorted(set(values)))}
 
 
-SPLIT_ROWS = [(0, 1, "a"), (0, 2, "b"), (1, 3, "c"), (1, 2, "d"), (1, 1, "e")] + [
-    (2, 6 - i, t) for i, t in enumerate("fghijk")
-]
+# listener -> plays per track; ties fall to the track id
+PLAYS = {
+    "one": {"x": 9},
+    "two": {"x": 1, "y": 1},
+    "three": {"x": 4, "y": 7, "z": 4},
+    "five": {"v": 2, "w": 2, "x": 2, "y": 8, "z": 1},
+}
 
 
-def _split_input(spark, rows=SPLIT_ROWS):
-    return spark.createDataFrame(rows, "user_id int, playcount int, track_id string")
+def _plays(spark, of=PLAYS):
+    rows = [(user, n, track) for user, tracks in of.items() for track, n in tracks.items()]
+    return spark.createDataFrame(rows, "user_id string, playcount int, track_id string")
 
 
-def test_split(spark):
-    df = _split_input(spark)
+def test_split_holds_out_the_most_played_half(spark):
+    df = _plays(spark)
     train, test = split.train_test(df)
-    held = {}
-    for row in test.collect():
-        held.setdefault(row.user_id, set()).add(row.track_id)
-    assert held == {1: {"c", "d"}, 2: {"f", "g", "h"}}
+    held = sorted((row.user_id, row.track_id) for row in test.collect())
+    assert held == [("five", "v"), ("five", "y"), ("three", "x"), ("three", "y")]
     check = split.partition_check(df, train, test).first()
-    assert (check.n_whole, check.n_first, check.n_second, check.n_overlap, check.n_uncovered) == (11, 6, 5, 0, 0)
+    assert (check.n_whole, check.n_first, check.n_second, check.n_overlap, check.n_uncovered) == (11, 7, 4, 0, 0)
+    # a row in both parts must show, and so must one in neither; both are wrongly covered
+    check = split.partition_check(df, train.filter("user_id != 'one'").union(test.limit(1).select(*train.columns)), test)
+    assert (check.first().n_overlap, check.first().n_uncovered) == (1, 2)
 
 
 def test_split_without_test_users(spark):
     with pytest.raises(ValueError, match="No test users"):
-        split.train_test(_split_input(spark, [(0, 1, "a"), (0, 2, "b"), (1, 1, "a"), (1, 2, "b")]))
+        split.train_test(_plays(spark, {"one": PLAYS["one"], "two": PLAYS["two"]}))
 
 
 def _metrics(spark, relevant, lists, ks):
@@ -129,9 +134,13 @@ def _metrics(spark, relevant, lists, ks):
 
 
 def test_metrics_by_hand(spark):
-    row = _metrics(spark, [(0, "a"), (0, "b")], [("a", "a", 1), ("a", "c", 2), ("a", "d", 3)], [5])[(0, 5)]
-    assert (row.precision, row.recall, row.ap) == (0.2, 0.5, 0.5)
-    assert row.ndcg == pytest.approx(1 / (1 + 1 / math.log2(3)))
+    relevant = [(4, "p"), (4, "q"), (4, "r")]
+    lists = [("p", "u", 1), ("p", "r", 2), ("p", "v", 3), ("p", "q", 4)]
+    row = _metrics(spark, relevant, lists, [4])[(4, 4)]  # hits at ranks 2 and 4
+    assert (row.precision, row.recall) == (0.5, pytest.approx(2 / 3))
+    assert row.ap == pytest.approx((1 / 2 + 2 / 4) / 3)
+    gain = 1 / math.log2(3) + 1 / math.log2(5)
+    assert row.ndcg == pytest.approx(gain / (1 + 1 / math.log2(3) + 1 / 2))
 
 
 def test_metrics_of_repeated_items_empty_lists_and_k_zero(spark):
@@ -244,23 +253,38 @@ def test_cosine_expression(spark):
     assert row.same == pytest.approx(1.0) and row.zero == 0.0
 
 
-def test_fuzzy_matches_equal_difflib(spark):
+def _grams(text):
+    padded = f"  {text} "
+    return {padded[i : i + 3] for i in range(len(padded) - 2)}
+
+
+@pytest.mark.parametrize("cutoff", [0.2, 0.4, 0.7])
+def test_fuzzy_matches_equal_a_plain_loop(spark, cutoff):
     random.seed(5)
-    words = ["crazy", "love", "in", "whenever", "wherever", "gold", "the", "night", "blue", "hips"]
-    names = sorted({" ".join(random.sample(words, random.randint(1, 4))) for _ in range(400)})
-    tracks = spark.createDataFrame(
-        [(i, n.title(), f"Artist {i % 17}") for i, n in enumerate(names)], "track_id long, name string, artist string"
-    )
-    keys = [f"{n.title()} — Artist {i % 17}".lower() for i, n in enumerate(names)]
-    asked = ["crazy in love", "  Whenever, WHEREVER\t", "", "   ", "hip dont lie", "zzzzzz", keys[3], "the the the " * 20]
+    parts = ["or", "lan", "ti", "ke", "vel", "mu", "sa"]
+    names = sorted({" ".join("".join(random.choices(parts, k=2)) for _ in range(random.randint(1, 3))) for _ in range(300)})
+    index = spark.createDataFrame([(n,) for n in names], "key string")
+    asked = [names[3], names[9][1:], f"  {names[20].upper()}\t", "", "   ", "qqqq", "x", "tike " * 30]
     queries = spark.createDataFrame([(q,) for q in asked], "query string")
     found = {}
-    for row in sorted(search.search(queries, tracks).collect(), key=lambda row: (row.query, row["rank"])):
-        found.setdefault(row.query, []).append(row.key)
-    for text in asked:
-        cleaned = text.strip().lower()
-        expected = difflib.get_close_matches(cleaned, keys, n=10, cutoff=0.4) if cleaned else []
-        assert found.get(cleaned, []) == expected
+    for row in search.fuzzy_matches(queries, index, 10, cutoff).orderBy("query", "rank").collect():
+        found.setdefault(row.query, []).append((row.key, row.ratio))
+    for query in {q.strip().lower() for q in asked}:
+        own, rated = _grams(query), []
+        for key in names:
+            ratio = 2.0 * len(own & _grams(key)) / (len(own) + len(_grams(key)))
+            if query and ratio >= cutoff:
+                rated.append((ratio, key))
+        assert found.get(query, []) == [(key, ratio) for ratio, key in sorted(rated, reverse=True)[:10]]
+
+
+def test_top_k_ranks_large_and_close_values(spark):
+    rows = [("a", 1, 1e10), ("a", 2, 9e10), ("a", 3, 5e10), ("a", 4, float("nan")), ("b", 1, 0.5), ("b", 2, 0.5 + 1e-13)]
+    df = spark.createDataFrame(rows, "seed string, item long, score double")
+    order = lambda found, key: [r["item"] for r in found.orderBy("rank").collect() if r.seed == key]
+    assert order(ranking.top_k(df, 4), "a") == [2, 3, 1, 4]
+    assert order(ranking.top_k(df, 4), "b") == [1, 2]  # equal to nine decimals
+    assert order(ranking.top_k(df, 4, exact=True), "b") == [2, 1]
 
 
 def test_song_index_keeps_the_first(spark):
