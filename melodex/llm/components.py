@@ -45,18 +45,23 @@ def _ordered(links: DataFrame) -> DataFrame:
     )
 
 
+def _stored(least: DataFrame) -> DataFrame:
+    """Stored ahead of the join with it, so that Spark can split the rows of a node with very many neighbours."""
+    return materialise(least, "star-least")
+
+
 def _large_star(stars: DataFrame) -> DataFrame:
     both = stars.select(F.col("big").alias("u"), F.col("small").alias("v")).union(
         stars.select(F.col("small").alias("u"), F.col("big").alias("v"))
     )
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    least = _stored(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
     # big is the larger neighbour of small
     moved = stars.select(F.col("small").alias("u"), F.col("big").alias("v")).join(least, "u")
     return _ordered(moved.select(F.col("v").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(stars: DataFrame) -> DataFrame:
-    least = stars.groupBy(F.col("big").alias("u")).agg(F.min("small").alias("m"))
+    least = _stored(stars.groupBy(F.col("big").alias("u")).agg(F.min("small").alias("m")))
     moved = stars.select(F.col("big").alias("u"), F.col("small").alias("v")).join(least, "u")
     return _ordered(
         moved.select(F.col("v").alias("a"), F.col("m").alias("b")).union(
