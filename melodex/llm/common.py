@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # the white space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+# steps of frequency per doubling, in which the most frequent entries of a table are chosen
+LEVELS = 8
 
 
 def ship(module: str) -> None:
@@ -66,3 +68,13 @@ def hash_sample(df: DataFrame, rows: int, *key: str) -> DataFrame:
     if total <= rows:
         return df
     return df.filter(F.xxhash64(F.lit("sample"), *key) < int((rows / total - 0.5) * 2**64))
+
+
+def least_level(counts: list[tuple[int, int]], entries: int) -> int:
+    """The lowest level of frequency (level, entries of it) that leaves no more entries than wished for."""
+    kept = 0
+    for level, count in sorted(counts, reverse=True):
+        kept += count
+        if kept > entries:
+            return level + 1
+    return 0

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from melodex.llm.common import ship
+from melodex.llm.common import LEVELS, least_level, ship
 from melodex.session import materialise
 
 ship(__name__)
@@ -22,7 +22,6 @@ ship(__name__)
 LANGUAGES = 200  # languages learned at most, those of most texts
 LONGEST_GRAM = 5
 ENTRIES = 60_000  # known words, and known n-grams of each length, at most: the most frequent over all languages
-LEVELS = 8  # steps of frequency per doubling in which the most frequent are chosen
 UNKNOWN = "und"
 # runs whose scores a task keeps at hand
 CACHE = 400_000
@@ -115,7 +114,7 @@ def fit_languages(
         levels.setdefault(row["length"], []).append((row["level"], row["count"]))
     tables, scores, rows = [], [], 0
     for length in [0, *range(LONGEST_GRAM, 0, -1)]:
-        least = _least_level(levels.get(length, []), entries)
+        least = least_level(levels.get(length, []), entries)
         kept = per_entry.filter((F.col("length") == length) & (F.col("level") >= least)).orderBy("entry").collect()
         tables.append({row["entry"]: rows + place for place, row in enumerate(kept)})
         rows += len(kept)
@@ -128,17 +127,6 @@ def fit_languages(
     return LanguageModel(languages, tables, np.concatenate(scores))
 
 
-def _least_level(counts: list[tuple[int, int]], entries: int) -> int:
-    """The lowest level of frequency that leaves no more entries than wished for."""
-    least, kept = 2**31 - 1, 0
-    for level, count in sorted(counts, reverse=True):
-        kept += count
-        if kept > entries:
-            break
-        least = level
-    return least
-
-
 def rows_of_word(word: str, model: LanguageModel) -> list[int]:
     """The row of a known word; of another, those of its longest known n-grams. The word scores their mean."""
     row = model.tables[0].get(word)

@@ -6,7 +6,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 import sentencepiece
@@ -24,7 +24,7 @@ from melodex.llm.quality import fit_quality, keep_by_quality, labelled_sample, s
 from melodex.llm.queries import PIECE_MODEL, URL_RULES, op9_judge_urls, piece_model
 from melodex.llm.sharding import shard_documents
 from melodex.llm.simhash import covering_masks, fingerprint, fingerprint_links, first_of_each_group, simhash_groups
-from melodex.llm.urls import judge_urls
+from melodex.llm.urls import BINS, ORDER, best_threshold, count_contexts, judge_urls
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 LINE = "this very line is long enough to be looked at by the rule"
@@ -380,6 +380,55 @@ def test_url_ratio_tells_hosts_apart(spark):
     assert com.count("block") > 0.9 * len(com) and org.count("allow") > 0.8 * len(org)
 
 
+def test_contexts_are_counted_over_all_addresses(spark):
+    rows = [("allow", "abab\u00e9/x"), ("allow", "ab"), ("block", "ba" * 40), ("allow", "")]
+    found = count_contexts(spark.createDataFrame(rows, "verdict string, address string").repartition(3), 10_000)
+    for verdict in ("allow", "block"):
+        plain = {}
+        for text in (address.encode() for kind, address in rows if kind == verdict):
+            for i in range(len(text)):
+                for length in range(min(i, ORDER) + 1):
+                    plain.setdefault(text[i - length : i], []).append(text[i])
+        assert found[verdict] == {
+            context: (len(seen), len(set(seen)), dict(Counter(seen))) for context, seen in plain.items()
+        }
+
+
+def test_kept_contexts_hold_their_ends(spark):
+    rows = [("allow", f"host{i % 7}.org/{i * i}/{'z' * (i % 5)}") for i in range(300)]
+    addresses = spark.createDataFrame(rows, "verdict string, address string")
+    model, whole = count_contexts(addresses, 40)["allow"], count_contexts(addresses, 10_000)["allow"]
+    assert 1 < len(model) < len(whole)
+    for length in range(ORDER + 1):
+        assert sum(kinds for context, (_, kinds, _) in model.items() if len(context) == length) <= 40
+    assert all(context[1:] in model for context in model if context)
+    assert all(whole[context] == entry for context, entry in model.items())
+
+
+@given(st.lists(st.tuples(st.integers(-30, 30), st.booleans()), max_size=40))
+def test_threshold_has_the_fewest_wrong_verdicts(scores):
+    bins = Counter(number for number, _ in scores)
+    kinds = Counter(scores)
+    found = best_threshold([(n, kinds[n, True], kinds[n, False]) for n in bins])
+    good = [n for n, accepted in scores if accepted]
+    bad = [n for n, accepted in scores if not accepted]
+    if not good or not bad:
+        assert found == 0
+        return
+
+    def wrong(limit):
+        return sum(n < limit for n in good) / len(good) + sum(n >= limit for n in bad) / len(bad)
+
+    assert wrong(found * BINS) <= min(wrong(limit) for limit in range(-31, 33)) + 1e-9
+
+
+def test_quality_of_a_repeated_document_is_taught_once(spark):
+    docs = spark.createDataFrame([(1, f"text number {i}", "en", "a") for i in range(50)] + [(2, "x", "en", "a")], SCHEMA)
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1)], "doc_id long, quality int")
+    terms, taught = labelled_sample(docs, labels)
+    assert taught == [1, 0] and len(terms) == 2
+
+
 def test_hash_of_kept_text_is_that_of_its_bytes(spark):
     rows = deduplicate_lines(spark.createDataFrame([(1, "\u00e9\n" + LINE, "en", "a")], SCHEMA))
     got = rows.select(F.sha2("text", 256).alias("h")).first().h
