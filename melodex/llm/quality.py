@@ -77,12 +77,11 @@ def latent_vectors(terms: np.ndarray, idf: np.ndarray, axes: np.ndarray) -> np.n
     return _unit_rows(_unit_rows(terms * idf) @ axes)
 
 
-def fit_quality(texts: list[str | None], labels: list[int], dimensions: int = DIMENSIONS) -> QualityModel:
-    """Term weights, latent axes and the vectors of the labelled texts."""
-    if not texts:
+def fit_quality(terms: np.ndarray, labels: list[int], dimensions: int = DIMENSIONS) -> QualityModel:
+    """Term weights, latent axes and the vectors of the labelled texts, given as one row of term weights each."""
+    if not len(terms):
         return QualityModel(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1)), np.zeros(0), 0.5)
-    terms = np.stack([text_terms(text) for text in texts])
-    idf = np.log((1 + len(texts)) / (1 + np.count_nonzero(terms, axis=0))).astype(np.float32)
+    idf = np.log((1 + len(terms)) / (1 + np.count_nonzero(terms, axis=0))).astype(np.float32)
     idf[TRIGRAM_TERMS:] = SHAPE_WEIGHT
     weighted = _unit_rows(terms * idf)
     # the strongest right singular vectors, from the small matrix of term products
@@ -120,6 +119,14 @@ def _score_batches(sent, neighbours: int):
     return score
 
 
+def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        terms = [text_terms(batch.column(2)[i].as_py()).tobytes() for i in range(batch.num_rows)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(terms, pa.binary())], names=["id", "label", "terms"]
+        )
+
+
 def labelled_sample(
     docs: DataFrame,
     labels: DataFrame,
@@ -128,15 +135,29 @@ def labelled_sample(
     id_column: str = "doc_id",
     text: str = "text",
     training_texts: int = TRAINING_TEXTS,
-) -> tuple[list[str | None], list[int]]:
-    """About ``training_texts`` labelled texts, chosen by the hash of their id; null labels don't count."""
-    known = labels.filter(F.col(label).isNotNull()).select(F.col(id_column).alias("__id"), F.col(label).alias("__label"))
+) -> tuple[np.ndarray, list[int]]:
+    """Term weights and labels of about ``training_texts`` labelled texts, chosen by the hash of their id.
+
+    Null labels don't count. A document with several labels teaches each once; of rows that share an id one
+    teaches. Only the term weights, of fixed size, are brought together, not the texts.
+    """
+    known = labels.filter(F.col(label).isNotNull() & F.col(id_column).isNotNull())
+    known = known.select(F.col(id_column).alias("__id"), F.col(label).cast("int").alias("__label")).distinct()
     # the ids are chosen before the texts are read, so that only chosen texts are moved
     present = known.join(docs.select(F.col(id_column).alias("__id")), "__id", "left_semi")
     chosen = F.broadcast(hash_sample(present, training_texts, "__id"))
-    rows = docs.join(chosen, F.col(id_column) == F.col("__id")).select("__id", "__label", text)
-    rows = sorted(rows.collect(), key=lambda row: (row[0], row[1], row[2] or ""))
-    return [row[2] for row in rows], [int(row[1]) for row in rows]
+    taught = docs.join(chosen, F.col(id_column) == F.col("__id")).select("__id", "__label", text)
+    schema = T.StructType(
+        [
+            T.StructField("id", taught.schema["__id"].dataType),
+            T.StructField("label", T.IntegerType()),
+            T.StructField("terms", T.BinaryType()),
+        ]
+    )
+    one_each = taught.mapInArrow(_term_batches, schema).groupBy("id", "label").agg(F.min("terms").alias("terms"))
+    rows = sorted(one_each.collect(), key=lambda row: (row["id"], row["label"]))
+    terms = [np.frombuffer(bytes(row["terms"]), np.float32) for row in rows]
+    return np.stack(terms) if terms else np.zeros((0, TERMS), np.float32), [row["label"] for row in rows]
 
 
 def score_quality(
