@@ -3,24 +3,20 @@
 from __future__ import annotations
 
 from melodex.workload import sql as s
-from melodex.workload.tables import RECENT
 
-# all tracks of the log, under the name that the named seeds look them up by
-WHOLE_HISTORY = "recent_history AS (SELECT DISTINCT track_id FROM inter)"
-
-RECENT_HISTORY = f"""recent_history AS (
-  SELECT DISTINCT l_partkey AS track_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE o_orderdate >= TIMESTAMP '{RECENT} 00:00:00')"""
+# the tracks of either log, under the name that the named seeds look them up by
+WHOLE_HISTORY = "heard AS (SELECT DISTINCT track_id FROM inter)"
+RADIO_HISTORY = "heard AS (SELECT DISTINCT CAST(floor(value) AS BIGINT) AS track_id FROM events WHERE value IS NOT NULL)"
 
 NAMED = """named AS (
   SELECT p_partkey AS seed_id, lower(p_name) AS name, 'brand#' || p_size AS artist FROM part),
 by_name AS (SELECT name, artist, min(track_id) AS track_id, count(*) AS n_matches FROM tracks GROUP BY 1, 2),
 listed AS (
   SELECT name, artist, min(track_id) AS listed_id, count(*) AS listed_matches FROM tracks
-  WHERE track_id IN (SELECT track_id FROM recent_history) GROUP BY 1, 2),
+  WHERE track_id IN (SELECT track_id FROM heard) GROUP BY 1, 2),
 resolved AS (
   SELECT seed_id, name, artist, by_name.track_id, coalesce(n_matches, 0) AS n_matches,
-         track_id IN (SELECT track_id FROM recent_history) AS has_history, listed_id, listed_matches
+         track_id IN (SELECT track_id FROM heard) AS has_history, listed_id, listed_matches
   FROM named LEFT JOIN by_name USING (name, artist) LEFT JOIN listed USING (name, artist))"""
 
 LISTS = "SELECT seed, item, round(score, 6) AS score, rank FROM lists"
@@ -198,7 +194,7 @@ QUALIFY row_number() OVER (PARTITION BY spotify_id, year, duration_ms ORDER BY {
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "b8_seed_lookup": s.query(
         s.TRACKS,
-        RECENT_HISTORY,
+        RADIO_HISTORY,
         NAMED,
         select="""SELECT seed_id, track_id, n_matches,
        CASE WHEN n_matches = 0 THEN 'not_found' ELSE 'ok' END AS content_status,
@@ -206,11 +202,11 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
             WHEN NOT has_history THEN 'no_history' ELSE 'ok' END AS collab_status FROM resolved""",
     ),
     "b9_known_names": s.query(
-        s.TRACKS, RECENT_HISTORY, NAMED, select="SELECT seed_id, name, artist FROM resolved WHERE n_matches > 0"
+        s.TRACKS, RADIO_HISTORY, NAMED, select="SELECT seed_id, name, artist FROM resolved WHERE n_matches > 0"
     ),
     "b10_route": s.query(
         s.TRACKS,
-        RECENT_HISTORY,
+        RADIO_HISTORY,
         NAMED,
         select="""SELECT seed_id, coalesce(listed_id, track_id) AS track_id,
        CASE WHEN listed_id IS NOT NULL THEN 'hybrid' WHEN n_matches > 0 THEN 'content_based' END AS model,
@@ -221,8 +217,8 @@ FROM resolved""",
     # joins
     "c1_tracks_with_history": s.query(
         s.TRACKS,
-        RECENT_HISTORY,
-        select="SELECT track_id, name, artist, tags, year FROM tracks WHERE track_id IN (SELECT track_id FROM recent_history)",
+        RADIO_HISTORY,
+        select="SELECT track_id, name, artist, tags, year FROM tracks WHERE track_id IN (SELECT track_id FROM heard)",
     ),
     "c2_attach_catalogue": s.query(
         s.TRACKS,
@@ -265,8 +261,8 @@ FROM by_content a JOIN by_collab b USING (seed, item)""",
     ),
     "c8_tracks_without_history": s.query(
         s.TRACKS,
-        RECENT_HISTORY,
-        select="SELECT track_id, name, artist, tags, year FROM tracks WHERE track_id NOT IN (SELECT track_id FROM recent_history)",
+        RADIO_HISTORY,
+        select="SELECT track_id, name, artist, tags, year FROM tracks WHERE track_id NOT IN (SELECT track_id FROM heard)",
     ),
     # aggregates
     "d1_interactions": s.query(s.INTERACTIONS, select="SELECT * FROM inter"),
@@ -438,8 +434,8 @@ FROM tracks GROUP BY year""",
     "g8_transform": s.query(s.FEATURES, select=DENSE),
     "g9_transform_subset": s.query(
         s.FEATURES,
-        RECENT_HISTORY,
-        select=f"SELECT * FROM ({DENSE}) WHERE track_id IN (SELECT track_id FROM recent_history)",
+        RADIO_HISTORY,
+        select=f"SELECT * FROM ({DENSE}) WHERE track_id IN (SELECT track_id FROM heard)",
     ),
     "g10_feature_names": _NAMES,
     "g11_tag_tokens": s.query(
@@ -463,7 +459,7 @@ centres AS (SELECT label, list(x ORDER BY i) AS centre FROM (SELECT label, i, av
     "h2_content": s.query(s.FEATURES, s.content(), s.top("content", 10), select=LISTS),
     "h2_content_named": s.query(
         s.FEATURES,
-        RECENT_HISTORY,
+        RADIO_HISTORY,
         NAMED,
         "seed_feat AS (SELECT * FROM feat WHERE track_id IN (SELECT track_id FROM resolved))",
         s.content("seed_feat"),
@@ -479,15 +475,15 @@ centres AS (SELECT label, list(x ORDER BY i) AS centre FROM (SELECT label, i, av
     ),
     "h4_collab": s.query(s.INTERACTIONS, s.collab(), s.filled(), s.top("filled", 10), select=LISTS),
     "h4_collab_filled": s.query(
-        s.RECENT_INTERACTIONS, s.collab("recent"), s.filled("recent"), s.top("filled", 100), select=LISTS
+        s.RADIO_INTERACTIONS, s.collab("radio"), s.filled("radio"), s.top("filled", 100), select=LISTS
     ),
     "h4_collab_named": s.query(
         s.TRACKS,
-        RECENT_HISTORY,
+        RADIO_HISTORY,
         NAMED,
-        s.RECENT_INTERACTIONS,
-        s.collab("recent"),
-        s.filled("recent"),
+        s.RADIO_INTERACTIONS,
+        s.collab("radio"),
+        s.filled("radio"),
         s.top("filled", 5),
         """named_status AS (
   SELECT seed_id, track_id, CASE WHEN n_matches = 0 THEN 'not_found' WHEN n_matches > 1 THEN 'ambiguous'
@@ -525,10 +521,10 @@ FROM named_status LEFT JOIN lists ON seed = listed_id AND status = 'ok'""",
        10 - (p_size % 9 + 1) AS personalised FROM part""",
     "h9_routed": s.query(
         s.FEATURES,
-        RECENT_HISTORY,
+        RADIO_HISTORY,
         NAMED,
-        s.RECENT_INTERACTIONS,
-        s.hybrid(0.5, "recent"),
+        s.RADIO_INTERACTIONS,
+        s.hybrid(0.5, "radio"),
         s.top("hybrid", 5, "hybrid_lists"),
         s.content().replace("content AS", "all_content AS"),
         s.top("all_content", 5, "content_lists"),

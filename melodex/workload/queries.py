@@ -41,9 +41,14 @@ def _features(spark: SparkSession, folder: str) -> DataFrame:
     return materialise(features.fit_transform(content), "features")
 
 
-def _log(spark: SparkSession, folder: str, since: str | None = None) -> DataFrame:
+def _log(spark: SparkSession, folder: str) -> DataFrame:
     """Interactions as an artifact."""
-    return materialise(t.interactions(spark, folder, since), "interactions")
+    return materialise(t.interactions(spark, folder), "interactions")
+
+
+def _radio_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Interactions of the radio log, in which many tracks have no plays."""
+    return materialise(t.radio_interactions(spark, folder), "radio")
 
 
 def _named_seeds(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,7 +214,7 @@ def b7_cast_playcount(spark, folder):
 @query
 def b8_seed_lookup(spark, folder):
     resolved = lookup.resolve_seeds(_named_seeds(spark, folder), t.tracks(spark, folder))
-    flagged = lookup.with_history_flag(resolved, t.interactions(spark, folder, t.RECENT))
+    flagged = lookup.with_history_flag(resolved, t.radio_interactions(spark, folder))
     return flagged.select(
         "seed_id",
         "track_id",
@@ -228,7 +233,7 @@ def b9_known_names(spark, folder):
 @query
 def b10_route(spark, folder):
     routed = lookup.route(
-        _named_seeds(spark, folder), t.tracks(spark, folder), t.interactions(spark, folder, t.RECENT)
+        _named_seeds(spark, folder), t.tracks(spark, folder), t.radio_interactions(spark, folder)
     )
     return routed.select("seed_id", "track_id", "model", "status")
 
@@ -243,7 +248,7 @@ def b11_filter_artist(spark, folder):
 
 @query
 def c1_tracks_with_history(spark, folder):
-    kept = interactions.tracks_with_history(t.tracks(spark, folder), t.history(spark, folder, t.RECENT))
+    kept = interactions.tracks_with_history(t.tracks(spark, folder), t.radio_history(spark, folder))
     return kept.select("track_id", "name", "artist", "tags", "year")
 
 
@@ -303,7 +308,7 @@ def c7_content_ranges(spark, folder):
 
 @query
 def c8_tracks_without_history(spark, folder):
-    kept = interactions.tracks_without_history(t.tracks(spark, folder), t.history(spark, folder, t.RECENT))
+    kept = interactions.tracks_without_history(t.tracks(spark, folder), t.radio_history(spark, folder))
     return kept.select("track_id", "name", "artist", "tags", "year")
 
 
@@ -584,10 +589,10 @@ def g8_transform(spark, folder):
 
 @query
 def g9_transform_subset(spark, folder):
-    """Only tracks with recent history, encoded as the whole catalogue was."""
+    """Only tracks played on the radio, encoded as the whole catalogue was."""
     content = clean.content_columns(t.tracks(spark, folder))
     encoder = features.fit_encoder(content)
-    subset = interactions.tracks_with_history(content, t.history(spark, folder, t.RECENT))
+    subset = interactions.tracks_with_history(content, t.radio_history(spark, folder))
     return _dense_rows(features.transform(subset, encoder))
 
 
@@ -678,14 +683,14 @@ def h4_collab(spark, folder):
 @query
 def h4_collab_filled(spark, folder):
     """A sparse log, so that lists are completed with tracks of score 0."""
-    log = _log(spark, folder, t.RECENT)
+    log = _radio_log(spark, folder)
     return _lists(recommend.collab_lists(log, log.select("track_id"), 100))
 
 
 @query
 def h4_collab_named(spark, folder):
     found = recommend.collab_recommendations(
-        _named_seeds(spark, folder), t.tracks(spark, folder), _log(spark, folder, t.RECENT), 5
+        _named_seeds(spark, folder), t.tracks(spark, folder), _radio_log(spark, folder), 5
     )
     return _rounded(found, "score")
 
@@ -749,7 +754,7 @@ def h9_routed(spark, folder):
         _named_seeds(spark, folder),
         t.tracks(spark, folder),
         _features(spark, folder),
-        _log(spark, folder, t.RECENT),
+        _radio_log(spark, folder),
         5,
         diversity=5,
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from melodex.workload.tables import LISTING_ORDER, RECENT
+from melodex.workload.tables import LISTING_ORDER
 
 ORDER = ", ".join(LISTING_ORDER)
 
@@ -29,15 +29,13 @@ tracks AS (
   FROM listings QUALIFY row_number() OVER (PARTITION BY track_id ORDER BY {ORDER}) = 1)"""
 
 
-def interactions(since: str | None = None, name: str = "inter") -> str:
-    recent = f"WHERE o_orderdate >= TIMESTAMP '{since} 00:00:00'" if since else ""
-    return f"""{name} AS (
+INTERACTIONS = """inter AS (
   SELECT l_partkey AS track_id, o_custkey AS user_id, sum(l_quantity) AS playcount
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey {recent} GROUP BY 1, 2)"""
-
-
-INTERACTIONS = interactions()
-RECENT_INTERACTIONS = interactions(RECENT, "recent")
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
+RADIO_INTERACTIONS = """radio AS (
+  SELECT CAST(floor(value) AS BIGINT) AS track_id, user_id,
+         sum(CAST(json_extract_string(props, '$.k') AS BIGINT) + 1)::DOUBLE AS playcount
+  FROM events WHERE value IS NOT NULL AND user_id IS NOT NULL GROUP BY 1, 2)"""
 
 STANDARD = ("duration_ms", "loudness", "tempo")
 MINMAX = ("danceability", "energy", "speechiness", "acousticness", "instrumentalness", "liveness", "valence")

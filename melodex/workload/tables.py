@@ -3,6 +3,8 @@
 * catalogue: every ``lineitem`` row is one listing of its ``part`` (a track), so a track is listed many
   times with different values and cleaning has to keep the first listing;
 * log: the customer of an order plays the ordered part ``l_quantity`` times;
+* radio log: every row of ``events`` is a user's plays of one track on air, which few tracks of the catalogue are, and
+  some of which the catalogue lacks;
 * requests: ``events``.
 """
 
@@ -31,10 +33,6 @@ LISTING_ORDER = [
     "l_shipdate",
 ]
 
-# the log of the last months, in which some tracks have no plays
-RECENT = "2001-01-01"
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(spark, f"{folder}/{name}.parquet")
 
@@ -84,13 +82,10 @@ def tracks(spark: SparkSession, folder: str) -> DataFrame:
     return clean_catalogue(listings(spark, folder), LISTING_ORDER).drop(*LISTING_ORDER)
 
 
-def history(spark: SparkSession, folder: str, since: str | None = None) -> DataFrame:
-    orders = table(spark, folder, "orders")
-    if since is not None:
-        orders = orders.filter(F.col("o_orderdate") >= F.lit(since).cast(orders.schema["o_orderdate"].dataType))
+def history(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("l_partkey").alias("track_id"),
             F.col("o_custkey").alias("user_id"),
@@ -99,8 +94,20 @@ def history(spark: SparkSession, folder: str, since: str | None = None) -> DataF
     )
 
 
-def interactions(spark: SparkSession, folder: str, since: str | None = None) -> DataFrame:
-    return build_interactions(history(spark, folder, since))
+def radio_history(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "events").select(
+        F.floor("value").alias("track_id"),
+        "user_id",
+        (F.get_json_object("props", "$.k").cast("long") + 1).alias("playcount"),
+    )
+
+
+def interactions(spark: SparkSession, folder: str) -> DataFrame:
+    return build_interactions(history(spark, folder))
+
+
+def radio_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    return build_interactions(radio_history(spark, folder))
 
 
 def _requests(events: DataFrame) -> DataFrame:
