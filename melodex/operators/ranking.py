@@ -8,75 +8,47 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from melodex.functions.scoring import rank_key
-
-# A group is split once it holds more rows than this and more than one in LARGE_SHARE of all rows; fewer
-# than LARGE_SHARE groups can, which bounds what is broadcast about them.
-SPLIT_ROWS = 1_000_000
-LARGE_SHARE = 1_000
-CUTS_PER_GROUP = 128
+from melodex.session import materialise
 
 
 def grouped_row_number(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    rank: str = "rank",
-    size: str | None = None,
-    split_rows: int = SPLIT_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: str = "rank", size: str | None = None
 ) -> DataFrame:
     """Zero-based position of each row in its group, and optionally the group's size.
 
     ``order`` holds ascending sort expressions that make a total order within a group. A plain window
-    would sort a whole group in one task. Here a large group is cut into value ranges, at positions drawn
-    by hash so that recomputing a task gives the same cuts; each range is ranked by itself and shifted by
-    the number of rows in the ranges before it.
+    would sort a whole group in one task. Here the rows are first divided into ranges of group and position, which
+    are stored; each range ranks its own rows, and a group that runs over several ranges adds the rows of the
+    ranges before. So a task's share depends on the number of ranges (shuffle partitions) and not on any group.
     """
     keys = list(keys)
-    groups = keys or ["_all"]
-    positioned = df.withColumn("_position", F.struct(*order))
-    if not keys:
-        positioned = positioned.withColumn("_all", F.lit(0))
+    positioned = df.withColumn("_position", F.struct(*order)).repartitionByRange(*keys, "_position")
+    ranged = materialise(positioned.withColumn("_range", F.spark_partition_id()), "ranges")
 
-    sizes = positioned.groupBy(*groups).agg(F.count("*").alias("_rows"))
-    total = sizes.agg(F.sum("_rows")).scalar()
-    large = F.broadcast(
-        sizes.filter((F.col("_rows") > split_rows) & (F.col("_rows") > F.floor(total / LARGE_SHARE)))
-    )
-    every = F.greatest(F.floor(F.col("_rows") / CUTS_PER_GROUP), F.lit(1))
-    cuts = F.broadcast(
-        positioned.join(large, groups)
-        .filter(F.pmod(F.xxhash64("_position"), every) == 0)
-        .groupBy(*groups)
-        .agg(F.array_sort(F.collect_list("_position")).alias("_cuts"), F.max("_rows").alias("_large_rows"))
-    )
-    ranged = positioned.join(cuts, groups, "left").withColumn(
-        "_range",
-        F.coalesce(
-            F.size(F.filter("_cuts", lambda cut: cut <= F.col("_position"))), F.lit(0)
-        ),
+    in_group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = in_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (
+        ranged.groupBy(*keys, "_range")
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+        .withColumn("_group_rows", F.sum("_rows").over(in_group))
+        .filter(F.col("_rows") < F.col("_group_rows"))
+        .select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_range").alias("_of"), "_offset", "_group_rows")
     )
-    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = F.broadcast(
-        ranged.filter(F.col("_cuts").isNotNull())
-        .groupBy(*groups, "_range")
-        .agg(F.count("*").alias("_in_range"))
-        .withColumn("_offset", F.coalesce(F.sum("_in_range").over(before), F.lit(0)))
-        .drop("_in_range")
-    )
-    # the explicit repartition keeps ranges of one group apart: a shuffle by the group alone would satisfy
-    # the window, too
-    placed = (
-        ranged.drop("_cuts")
-        .join(offsets, [*groups, "_range"], "left")
-        .repartition(*groups, "_range")
+    here = F.col("_range") == F.col("_of")
+    for key in keys:
+        here &= F.col(key).eqNullSafe(F.col(f"_{key}"))
+    # a border between ranges cuts one group at most: no more than two rows per range
+    within = Window.partitionBy(*keys, "_range")
+    placed = ranged.withColumn("_number", F.row_number().over(within.orderBy("_position")) - 1)
+    if size is not None:
+        placed = placed.withColumn("_here", F.count("*").over(within))
+    placed = placed.join(F.broadcast(spans), here, "left").withColumn(
+        rank, F.col("_number") + F.coalesce("_offset", F.lit(0))
     )
-    within = Window.partitionBy(*groups, "_range")
-    number = F.coalesce("_offset", F.lit(0)) + F.row_number().over(within.orderBy("_position")) - 1
-    placed = placed.withColumn(rank, number)
     if size is not None:
-        placed = placed.withColumn(size, F.coalesce("_large_rows", F.count("*").over(within)))
-    extra = ["_position", "_large_rows", "_range", "_offset"] + ([] if keys else ["_all"])
-    return placed.drop(*extra)
+        placed = placed.withColumn(size, F.coalesce("_group_rows", "_here"))
+    return placed.select(*df.columns, rank, *([size] if size is not None else []))
 
 
 def top_k(
@@ -97,7 +69,7 @@ def top_k(
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def dictionary(df: DataFrame, column: str, code: str = "code", split_rows: int = SPLIT_ROWS) -> DataFrame:
+def dictionary(df: DataFrame, column: str, code: str = "code") -> DataFrame:
     """Dense codes 0..n-1 of the distinct values in ascending order."""
     values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    return grouped_row_number(values, [], [F.col(column)], code, split_rows=split_rows)
+    return grouped_row_number(values, [], [F.col(column)], code)
