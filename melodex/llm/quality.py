@@ -24,6 +24,7 @@ TERMS = TRIGRAM_TERMS + SHAPES * SHAPE_STEPS + LENGTH_STEPS + len(REPEAT_STEPS)
 SHAPE_WEIGHT = 1.5
 TRAINING_TEXTS = 4_000  # labelled texts, chosen by hash
 DIMENSIONS = 32
+POWER_ROUNDS = 20
 NEIGHBOURS = 11
 BLOCK = 512  # documents compared with all labelled texts in one product
 
@@ -77,6 +78,15 @@ def latent_vectors(terms: np.ndarray, idf: np.ndarray, axes: np.ndarray) -> np.n
     return _unit_rows(_unit_rows(terms * idf) @ axes)
 
 
+def singular_axes(rows: np.ndarray, count: int) -> np.ndarray:
+    """The strongest right singular vectors, as columns: a few more than wished for are turned towards the rows until they settle."""
+    axes = np.random.default_rng(3).standard_normal((rows.shape[1], min(2 * count, *rows.shape))).astype(np.float32)
+    for _ in range(POWER_ROUNDS):
+        axes = np.linalg.qr(rows.T @ (rows @ axes))[0]
+    turned = np.linalg.svd(rows @ axes, full_matrices=False)[2]
+    return axes @ turned[:count].T
+
+
 def fit_quality(terms: np.ndarray, labels: list[int], dimensions: int = DIMENSIONS) -> QualityModel:
     """Term weights, latent axes and the vectors of the labelled texts, given as one row of term weights each."""
     if not len(terms):
@@ -84,8 +94,7 @@ def fit_quality(terms: np.ndarray, labels: list[int], dimensions: int = DIMENSIO
     idf = np.log((1 + len(terms)) / (1 + np.count_nonzero(terms, axis=0))).astype(np.float32)
     idf[TRIGRAM_TERMS:] = SHAPE_WEIGHT
     weighted = _unit_rows(terms * idf)
-    # the strongest right singular vectors, from the small matrix of term products
-    axes = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))[1][:, -dimensions:].astype(np.float32)
+    axes = singular_axes(weighted, dimensions)
     votes = np.asarray(labels, np.float64)
     return QualityModel(idf, axes, latent_vectors(terms, idf, axes), votes, float(votes.mean()))
 

@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import sentencepiece
 import xxhash
@@ -20,7 +21,7 @@ from melodex.llm.langid import fit_languages, identify_languages
 from melodex.llm.line_dedup import deduplicate_lines
 from melodex.llm.mixing import mix_sources, mixed_documents
 from melodex.llm.pieces import WordTable, encode_documents
-from melodex.llm.quality import fit_quality, keep_by_quality, labelled_sample, score_quality
+from melodex.llm.quality import fit_quality, keep_by_quality, labelled_sample, score_quality, singular_axes
 from melodex.llm.queries import PIECE_MODEL, URL_RULES, op9_judge_urls, piece_model
 from melodex.llm.sharding import shard_documents
 from melodex.llm.simhash import covering_masks, fingerprint, fingerprint_links, first_of_each_group, simhash_groups
@@ -422,6 +423,15 @@ def test_threshold_has_the_fewest_wrong_verdicts(scores):
     assert wrong(found * BINS) <= min(wrong(limit) for limit in range(-31, 33)) + 1e-9
 
 
+def test_axes_are_the_singular_vectors():
+    random_rows = np.random.default_rng(1).standard_normal((60, 90))
+    left, _, right = np.linalg.svd(random_rows, full_matrices=False)
+    rows = ((left * 0.8 ** np.arange(60)) @ right).astype(np.float32)
+    axes = singular_axes(rows, 6)
+    assert np.allclose(np.abs((axes * right[:6].T).sum(0)), 1, atol=1e-3)
+    assert singular_axes(rows[:2], 6).shape == (90, 2)
+
+
 def test_quality_of_a_repeated_document_is_taught_once(spark):
     docs = spark.createDataFrame([(1, f"text number {i}", "en", "a") for i in range(50)] + [(2, "x", "en", "a")], SCHEMA)
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1)], "doc_id long, quality int")
