@@ -46,6 +46,9 @@ class EncoderSpec:
     passthrough: Sequence[str] | None = None
     # "frequency" or "raw" (the year itself)
     year_encoding: str = "frequency"
+    # null, NaN and infinite numbers: "keep" them (the rankers refuse such vectors) or "impute" the fitted mean
+    # (standard), the middle of the fitted range (min-max), 0 (columns taken as they are)
+    missing: str = "keep"
     word_pattern: str = WORD_PATTERN
 
     def rest(self, df: DataFrame) -> list[str]:
@@ -85,72 +88,65 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _column_values(df, columns).distinct()
 
 
-def term_counts(df: DataFrame, key: str, text: str, pattern: str = WORD_PATTERN) -> DataFrame:
-    """(key, term, tf) of every document."""
-    terms = df.select(key, F.explode(words(F.col(text), pattern)).alias("term"))
-    return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
+def fit_vocabulary(df: DataFrame, text: str, max_features: int, pattern: str = WORD_PATTERN) -> DataFrame:
+    """(term, idx, corpus_tf, df, idf) of the terms most frequent in the corpus; ties by term.
 
+    A document gives every word once for the corpus and every term once for itself. Both are summed per term
+    ahead of the shuffle, which carries no row per document.
+    """
+
+    def counted(terms: Column, tf: int, df: int) -> Column:
+        return F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(tf).alias("tf"), F.lit(df).alias("df")))
 
-def vocabulary_of(counts: DataFrame, n_docs: Column, max_features: int) -> DataFrame:
-    """(term, idx, corpus_tf, df, idf) of the terms most frequent in the corpus; ties by term."""
+    uses = let(words(F.col(text), pattern), lambda w: F.concat(counted(w, 1, 0), counted(F.array_distinct(w), 0, 1)))
     best = (
-        counts.groupBy("term")
-        .agg(F.sum("tf").alias("corpus_tf"), F.count("*").alias("df"))
+        df.select(F.inline(uses))
+        .groupBy("term")
+        .agg(F.sum("tf").alias("corpus_tf"), F.sum("df").alias("df"))
         .orderBy(F.desc("corpus_tf"), "term")
         .limit(max_features)
     )
     # at most max_features rows, so one window over all of them
-    idf = F.log((1 + n_docs).cast("double") / (1 + F.col("df"))) + 1
+    idf = F.log((1 + df.agg(F.count("*")).scalar()).cast("double") / (1 + F.col("df"))) + 1
     return best.select(
         "term", (F.row_number().over(Window.orderBy("term")) - 1).alias("idx"), "corpus_tf", "df", idf.alias("idf")
     )
 
 
-def fit_vocabulary(
-    df: DataFrame, key: str, text: str, max_features: int, pattern: str = WORD_PATTERN
+def tfidf_weights(
+    df: DataFrame, vocabulary: DataFrame, key: str, text: str, pattern: str = WORD_PATTERN
 ) -> DataFrame:
-    return vocabulary_of(term_counts(df, key, text, pattern), df.agg(F.count("*")).scalar(), max_features)
+    """(key, term, weight) with unit length per document, as rows: for long documents.
 
-
-def weights_of(counts: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
-    """(key, term, weight) with unit length per document, as rows: for long documents."""
+    Words outside the vocabulary leave before documents are grouped.
+    """
     known = F.broadcast(vocabulary.select("term", "idf"))  # at most max_features rows
-    raw = counts.join(known, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    terms = df.select(key, F.explode(words(F.col(text), pattern)).alias("term")).join(known, "term")
+    raw = terms.groupBy(key, "term").agg((F.count("*") * F.max("idf")).alias("raw"))
     # at most max_features rows per document
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("raw") / norm).alias("weight"))
 
 
-def tfidf_weights(
-    df: DataFrame, vocabulary: DataFrame, key: str, text: str, pattern: str = WORD_PATTERN
-) -> DataFrame:
-    """As ``weights_of``, from texts. Words outside the vocabulary leave before documents are grouped."""
-    known = F.broadcast(vocabulary.select("term"))
-    terms = df.select(key, F.explode(words(F.col(text), pattern)).alias("term")).join(known, "term", "left_semi")
-    return weights_of(terms.groupBy(key, "term").agg(F.count("*").alias("tf")), vocabulary, key)
+def finite(column: str) -> Column:
+    """The number as a double; null where it is null, NaN or infinite."""
+    value = F.col(column).cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)  # NaN compares as larger
 
 
 def fit_standard(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, mean, std) with the population deviation."""
+    """(column, mean, std) of the finite values, with the population deviation."""
     rows = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.avg(F.col(c).cast("double")).alias("mean"),
-            F.stddev_pop(F.col(c).cast("double")).alias("std"),
-        )
+        F.struct(F.lit(c).alias("column"), F.avg(finite(c)).alias("mean"), F.stddev_pop(finite(c)).alias("std"))
         for c in columns
     ]
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def fit_minmax(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, low, high)."""
+    """(column, low, high) of the finite values."""
     rows = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.min(F.col(c).cast("double")).alias("low"),
-            F.max(F.col(c).cast("double")).alias("high"),
-        )
+        F.struct(F.lit(c).alias("column"), F.min(finite(c)).alias("low"), F.max(finite(c)).alias("high"))
         for c in columns
     ]
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
@@ -161,7 +157,7 @@ def fit_encoder(df: DataFrame, spec: EncoderSpec = EncoderSpec()) -> dict[str, D
     return {
         "frequency": fit_frequency(df, spec.frequency),
         "categories": fit_categories(df, spec.onehot),
-        "vocabulary": fit_vocabulary(df, spec.key, spec.tfidf, spec.max_features, spec.word_pattern),
+        "vocabulary": fit_vocabulary(df, spec.tfidf, spec.max_features, spec.word_pattern),
         "standard": fit_standard(df, spec.standard),
         "minmax": fit_minmax(df, spec.minmax),
     }
@@ -184,6 +180,10 @@ def _minmax_scaled(column: str) -> Column:
     return (F.col(column) - fitted["low"]) / F.when(width == 0, F.lit(1.0)).otherwise(width)
 
 
+def _minmax_middle(column: str) -> Column:
+    return F.when(F.col("_minmax")[column]["high"] == F.col("_minmax")[column]["low"], 0.0).otherwise(0.5)
+
+
 def standard_scale(df: DataFrame, table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Centred and scaled columns; a constant column becomes zero."""
     fitted = _with_parameters(df, "_standard", table, ("mean", "std"))
@@ -240,10 +240,16 @@ def transform(
     ``all_known`` skips looking the categories up: true for the rows the encoder was fitted on, or any
     subset of them.
     """
+    if spec.missing not in ("keep", "impute"):
+        raise ValueError(f"missing must be 'keep' or 'impute', got {spec.missing!r}")
+
+    def known(column: str, value: Column, imputed: Column | float) -> Column:
+        return value if spec.missing == "keep" else F.when(finite(column).isNull(), imputed).otherwise(value)
+
     rest = spec.rest(df)
     df = _with_categories(df, None if all_known else encoder["categories"], spec.onehot)
     if spec.year_encoding == "raw":
-        frequencies = [F.col(c).cast("double") for c in spec.frequency]
+        frequencies = [known(c, F.col(c).cast("double"), 0.0) for c in spec.frequency]
     else:
         df = _with_frequencies(df, encoder["frequency"], spec.frequency)
         frequencies = [F.coalesce(F.col(f"_{c}_frequency"), F.lit(0.0)) for c in spec.frequency]
@@ -254,9 +260,9 @@ def transform(
         F.array(*frequencies),
         tfidf_vector(F.col("_terms"), F.col(spec.tfidf), spec.word_pattern),
         F.array(
-            *[_standard_scaled(c) for c in spec.standard],
-            *[_minmax_scaled(c) for c in spec.minmax],
-            *[F.col(c).cast("double") for c in rest],
+            *[known(c, _standard_scaled(c), 0.0) for c in spec.standard],
+            *[known(c, _minmax_scaled(c), _minmax_middle(c)) for c in spec.minmax],
+            *[known(c, F.col(c).cast("double"), 0.0) for c in rest],
         ),
     )
     cats = F.array(*[F.col(f"_{c}_category") for c in spec.onehot])

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OK, NOT_FOUND, AMBIGUOUS, NO_HISTORY = "ok", "not_found", "ambiguous", "no_history"
 
 
-def _named(tracks: DataFrame) -> DataFrame:
-    """One row per (name, artist), however many tracks share it."""
-    return tracks.groupBy("name", "artist").agg(
-        F.min("track_id").alias("track_id"), F.count("*").alias("n_matches")
-    )
+NAME_AND_ARTIST = ("name", "artist")
+
+
+def _named(tracks: DataFrame, keys: Sequence[str] = NAME_AND_ARTIST) -> DataFrame:
+    """One row per name and artist, however many tracks share them."""
+    return tracks.groupBy(*keys).agg(F.min("track_id").alias("track_id"), F.count("*").alias("n_matches"))
 
 
-def resolve_seeds(seeds: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Add ``track_id`` (the first match) and ``n_matches`` to seeds named by (name, artist)."""
-    lowered = seeds.withColumns({c: F.lower(c) for c in ("name", "artist")})
-    return lowered.join(_named(tracks), ["name", "artist"], "left").withColumn(
+def resolve_seeds(seeds: DataFrame, tracks: DataFrame, keys: Sequence[str] = NAME_AND_ARTIST) -> DataFrame:
+    """Add ``track_id`` (the first match) and ``n_matches`` to seeds named by ``keys``: with ``("name",)``, by name alone."""
+    lowered = seeds.withColumns({c: F.lower(c) for c in keys})
+    return lowered.join(_named(tracks, keys), list(keys), "left").withColumn(
         "n_matches", F.coalesce("n_matches", F.lit(0))
     )
 

@@ -103,6 +103,8 @@ def encoder_tables(artifacts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def write_report(metrics: DataFrame, path: str) -> None:
-    """Evaluation report as JSON lines, one row per model and k."""
-    metrics.write.mode("overwrite").json(path)
+def write_report(metrics: DataFrame, path: str, run: DataFrame | None = None) -> None:
+    """Evaluation report as JSON lines: in ``metrics`` one row per model and k, in ``run`` one row about the data."""
+    write_table(metrics, f"{path}/metrics", "json")
+    if run is not None:
+        write_table(run, f"{path}/run", "json")

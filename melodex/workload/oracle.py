@@ -116,24 +116,33 @@ _ARTIFACT_COUNTS = s.query(
 
 _CLEANED = s.query(s.TRACKS, select=f"SELECT {s.TRACK_COLUMNS} FROM tracks")
 
-_REPORT_UNION = s.query(
-    s.FEATURES,
-    s.SPLIT,
-    s.hybrid(0.5, "inter", "seeds"),
-    s.filled("inter", "seeds"),
-    "seed_feat AS (SELECT * FROM feat WHERE track_id IN (SELECT track_id FROM seeds))",
-    s.content("seed_feat").replace("content AS", "all_content AS"),
-    s.top("all_content", 100, "lists_a"),
-    s.top("filled", 100, "lists_b"),
-    s.top("hybrid", 100, "lists_c"),
-    s.evaluation("lists_a", suffix="_a"),
-    s.evaluation("lists_b", suffix="_b"),
-    s.evaluation("lists_c", suffix="_c"),
-    select=" UNION ALL ".join(
-        f"SELECT '{model}' AS model, k::INT AS k, {REPORT} FROM report_{x}"
-        for model, x in (("content_based", "a"), ("collaborative", "b"), ("hybrid", "c"))
-    ),
-)
+
+def _report_union(split: str, log: str) -> str:
+    return s.query(
+        s.FEATURES,
+        split,
+        s.hybrid(0.5, log, "seeds"),
+        s.filled(log, "seeds"),
+        "seed_feat AS (SELECT * FROM feat WHERE track_id IN (SELECT track_id FROM seeds))",
+        s.content("seed_feat").replace("content AS", "all_content AS"),
+        s.top("all_content", 100, "lists_a"),
+        s.top("filled", 100, "lists_b"),
+        s.top("hybrid", 100, "lists_c"),
+        s.evaluation("lists_a", suffix="_a"),
+        s.evaluation("lists_b", suffix="_b"),
+        s.evaluation("lists_c", suffix="_c"),
+        select=" UNION ALL ".join(
+            f"SELECT '{model}' AS model, k::INT AS k, {REPORT} FROM report_{x}"
+            for model, x in (("content_based", "a"), ("collaborative", "b"), ("hybrid", "c"))
+        ),
+    )
+
+
+_REPORT_UNION = _report_union(s.SPLIT, "inter")
+
+RUN = """SELECT (SELECT count(DISTINCT user_id) FROM inter) AS n_users_total, (SELECT count(DISTINCT track_id) FROM inter) AS n_items,
+       count(*) FILTER (NOT is_test) AS n_train_interactions, count(*) FILTER (is_test) AS n_test_interactions,
+       (SELECT count(*) FROM user_seeds) AS sampled_users"""
 
 _NAMES = s.query(
     s.FEATURES,
@@ -169,6 +178,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "a7_stored_encoder": s.query(s.FEATURES, select=DENSE),
     "a8_load_artifacts": _ARTIFACT_COUNTS,
     "a9_report": s.query(*COLLAB_REPORT, select=f"SELECT 'collaborative' AS model, k::INT AS k, {REPORT} FROM report"),
+    "a9_report_run": s.query(s.SPLIT, select=f"{RUN}, '5,10,20' AS k_values FROM marked"),
     # cleaning
     "b1_dedup_first": s.query(
         s.LISTINGS,
@@ -201,6 +211,19 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
        CASE WHEN n_matches = 0 THEN 'not_found' WHEN n_matches > 1 THEN 'ambiguous'
             WHEN NOT has_history THEN 'no_history' ELSE 'ok' END AS collab_status FROM resolved""",
     ),
+    "b8_seed_lookup_by_name": s.query(
+        s.TRACKS,
+        RADIO_HISTORY,
+        "asked AS (SELECT p_partkey AS seed_id, lower(CASE WHEN p_size % 2 = 0 THEN p_name ELSE p_name || ' (live)' END) AS name FROM part)",
+        "by_name AS (SELECT name, min(track_id) AS track_id, count(*) AS n_matches FROM tracks GROUP BY 1)",
+        """resolved AS (
+  SELECT seed_id, by_name.track_id, coalesce(n_matches, 0) AS n_matches, by_name.track_id IN (SELECT track_id FROM heard) AS has_history
+  FROM asked LEFT JOIN by_name USING (name))""",
+        select="""SELECT seed_id, track_id, n_matches,
+       CASE WHEN n_matches = 0 THEN 'not_found' ELSE 'ok' END AS content_status,
+       CASE WHEN n_matches = 0 THEN 'not_found' WHEN n_matches > 1 THEN 'ambiguous'
+            WHEN NOT has_history THEN 'no_history' ELSE 'ok' END AS collab_status FROM resolved""",
+    ),
     "b9_known_names": s.query(
         s.TRACKS, RADIO_HISTORY, NAMED, select="SELECT seed_id, name, artist FROM resolved WHERE n_matches > 0"
     ),
@@ -432,6 +455,8 @@ FROM tracks GROUP BY year""",
         ),
     ),
     "g8_transform": s.query(s.FEATURES, select=DENSE),
+    "g8_transform_raw_year": s.query(s.RAW_YEAR_FEATURES, select=DENSE),
+    "g8_transform_missing": s.query(s.HOLED_FEATURES, select=DENSE),
     "g9_transform_subset": s.query(
         s.FEATURES,
         RADIO_HISTORY,
@@ -504,6 +529,9 @@ FROM normal GROUP BY 1""",
     "h7_hybrid_towards_content": s.query(
         s.FEATURES, s.INTERACTIONS, s.hybrid(0.75), s.top("hybrid", 10), select=LISTS
     ),
+    "h7_hybrid_missing": s.query(
+        s.HOLED_FEATURES, s.INTERACTIONS, s.hybrid(0.5), s.top("hybrid", 10), select=LISTS
+    ),
     "h7_hybrid_named": s.query(
         s.FEATURES,
         s.INTERACTIONS,
@@ -574,12 +602,8 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY playcount DESC, track_i
         select="""SELECT dense_rank() OVER (ORDER BY track_id) - 1 AS track_idx, dense_rank() OVER (ORDER BY user_id) - 1 AS user_idx,
        playcount, track_id FROM inter""",
     ),
-    "i8_run": s.query(
-        s.SPLIT,
-        select="""SELECT (SELECT count(DISTINCT user_id) FROM inter) AS n_users_total, (SELECT count(DISTINCT track_id) FROM inter) AS n_items,
-       count(*) FILTER (NOT is_test) AS n_train_interactions, count(*) FILTER (is_test) AS n_test_interactions,
-       (SELECT count(*) FROM user_seeds) AS sampled_users FROM marked""",
-    ),
+    "i8_run": s.query(s.SPLIT, select=f"{RUN} FROM marked"),
+    "i8_sampled_on_train": _report_union(s.split(50), "train"),
     "i9_flat_metrics": _flat(),
     # search
     "j1_song_index": s.query(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from melodex.functions.scoring import DIVERSITY_STEPS, diversity_weight_column
-from melodex.functions.text import ASCII_WORD_PATTERN, title_case, words
+from melodex.functions.text import ASCII_WORD_PATTERN, MISSING_TAGS, title_case, words
 from melodex.functions.vectors import cosine, dot, l2_norm
 from melodex.operators import clean, features, interactions, lookup, metrics, profile, ranking, search, similarity, split
 from melodex.plans import evaluate, pipeline, recommend
@@ -155,7 +155,17 @@ def a9_report(spark, folder):
     report = _collab_report(spark, folder)
     path = new_folder(spark, "report")
     files.write_report(report, path)
-    return _rounded(files.read_table(spark, path, report.schema, "json"), *metrics.METRICS)
+    return _rounded(files.read_table(spark, f"{path}/metrics", report.schema, "json"), *metrics.METRICS)
+
+
+@query
+def a9_report_run(spark, folder):
+    """What the stored report says about the data it was made from."""
+    evaluation = _evaluation(spark, folder)
+    path = new_folder(spark, "report")
+    files.write_report(evaluation.metrics, path, evaluation.run)
+    run = files.read_table(spark, f"{path}/run", evaluation.run.schema, "json")
+    return run.withColumn("k_values", F.array_join(F.col("k_values").cast("array<string>"), ","))
 
 
 # ---- cleaning ------------------------------------------------------------------------------------
@@ -224,6 +234,23 @@ def b8_seed_lookup(spark, folder):
     )
 
 
+@query
+def b8_seed_lookup_by_name(spark, folder):
+    """Seeds given by name alone; recordings of about half of the parts are asked for as live ones, which there are none of."""
+    part = t.table(spark, folder, "part")
+    asked = F.when(F.col("p_size") % 2 == 0, F.upper("p_name")).otherwise(F.concat("p_name", F.lit(" (live)")))
+    seeds = part.select(F.col("p_partkey").alias("seed_id"), asked.alias("name"))
+    resolved = lookup.resolve_seeds(seeds, t.tracks(spark, folder), ["name"])
+    flagged = lookup.with_history_flag(resolved, t.radio_interactions(spark, folder))
+    return flagged.select(
+        "seed_id",
+        "track_id",
+        "n_matches",
+        lookup.content_status().alias("content_status"),
+        lookup.collab_status(F.col("has_history")).alias("collab_status"),
+    )
+
+
 @query
 def b9_known_names(spark, folder):
     seeds = clean.lower_columns(_named_seeds(spark, folder), ["name", "artist"])
@@ -528,22 +555,21 @@ def g2_onehot_categories(spark, folder):
 @query
 def g3_tfidf_vocabulary(spark, folder):
     documents = t.documents(spark, folder)
-    return _rounded(features.fit_vocabulary(documents, "doc_id", "text", 85, ASCII_WORD_PATTERN), "idf")
+    return _rounded(features.fit_vocabulary(documents, "text", 85, ASCII_WORD_PATTERN), "idf")
 
 
 @query
 def g3_tfidf_weights(spark, folder):
     documents = t.documents(spark, folder)
-    counts = materialise(features.term_counts(documents, "doc_id", "text", ASCII_WORD_PATTERN), "terms")
-    known = features.vocabulary_of(counts, documents.agg(F.count("*")).scalar(), 85)
-    return _rounded(features.weights_of(counts, known, "doc_id"), "weight")
+    known = features.fit_vocabulary(documents, "text", 85, ASCII_WORD_PATTERN)
+    return _rounded(features.tfidf_weights(documents, known, "doc_id", "text", ASCII_WORD_PATTERN), "weight")
 
 
 @query
 def g3_tfidf_weights_fitted(spark, folder):
-    """The same from the texts, for a vocabulary that was fitted before."""
+    """The same for a vocabulary that was fitted and stored before."""
     documents = t.documents(spark, folder)
-    known = materialise(features.fit_vocabulary(documents, "doc_id", "text", 85, ASCII_WORD_PATTERN), "vocabulary")
+    known = materialise(features.fit_vocabulary(documents, "text", 85, ASCII_WORD_PATTERN), "vocabulary")
     return _rounded(features.tfidf_weights(documents, known, "doc_id", "text", ASCII_WORD_PATTERN), "weight")
 
 
@@ -587,6 +613,30 @@ def g8_transform(spark, folder):
     return _dense_rows(_features(spark, folder))
 
 
+@query
+def g8_transform_raw_year(spark, folder):
+    content = clean.content_columns(t.tracks(spark, folder))
+    return _dense_rows(features.fit_transform(content, features.EncoderSpec(year_encoding="raw")))
+
+
+def _holed_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of a catalogue that lacks numbers, which are imputed."""
+    content = clean.content_columns(t.tracks(spark, folder)).withColumns(
+        {
+            "tempo": F.when(F.col("tags") == MISSING_TAGS, float("nan")).otherwise(F.col("tempo")),
+            "energy": F.when(F.col("time_signature") > 1, F.col("energy")),
+            "mode": F.when(F.col("key") > 0, F.col("mode")),
+        }
+    )
+    holed = materialise(content, "holed")
+    return materialise(features.fit_transform(holed, features.EncoderSpec(missing="impute")), "holed-features")
+
+
+@query
+def g8_transform_missing(spark, folder):
+    return _dense_rows(_holed_features(spark, folder))
+
+
 @query
 def g9_transform_subset(spark, folder):
     """Only tracks played on the radio, encoded as the whole catalogue was."""
@@ -721,6 +771,13 @@ def h7_hybrid_towards_content(spark, folder):
     return _lists(recommend.hybrid_lists(encoded, log, encoded.select("track_id"), 10, 0.75))
 
 
+@query
+def h7_hybrid_missing(spark, folder):
+    """Numbers that the catalogue lacks are imputed, so that no score is NaN."""
+    encoded, log = _holed_features(spark, folder), _log(spark, folder)
+    return _lists(recommend.hybrid_lists(encoded, log, encoded.select("track_id"), 10, 0.5))
+
+
 @query
 def h7_hybrid_named(spark, folder):
     found = recommend.hybrid_recommendations(
@@ -866,6 +923,13 @@ def i8_run(spark, folder):
     return _evaluation(spark, folder).run.drop("k_values")
 
 
+@query
+def i8_sampled_on_train(spark, folder):
+    """Fifty users, ranked without the plays that were held out."""
+    found = evaluate.run_evaluation(_features(spark, folder), _log(spark, folder), sample=50, fit_on="train")
+    return _rounded(found.metrics, *metrics.METRICS)
+
+
 @query
 def i9_flat_metrics(spark, folder):
     return _rounded(metrics.flat_metrics(_collab_report(spark, folder), "eval_"), "value")

@@ -52,23 +52,24 @@ def vocabulary(source: str, key: str, text: str, prefix: str = "", size: int = 8
         ORDER BY corpus_tf DESC, term LIMIT {size}))"""
 
 
-_SCALED = ", ".join(
-    [f"({c} - avg({c}::DOUBLE) OVER ()) / stddev_pop({c}::DOUBLE) OVER ()" for c in STANDARD]
-    + [f"({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ())" for c in MINMAX]
-    + ["mode::DOUBLE"]
-)
+YEAR_FREQUENCY = "(count(*) OVER (PARTITION BY year))::DOUBLE / count(*) OVER ()"
+
 
-FEATURES = f"""{TRACKS},
-{vocabulary("tracks", "track_id", "tags")},
+def features(source: str = "tracks", year: str = YEAR_FREQUENCY) -> str:
+    """Feature vectors of a catalogue; numbers that it lacks are imputed."""
+    numbers = ", ".join(
+        [f"coalesce(({c} - avg({c}::DOUBLE) OVER ()) / stddev_pop({c}::DOUBLE) OVER (), 0)" for c in STANDARD]
+        + [f"coalesce(({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()), 0.5e0)" for c in MINMAX]
+        + ["coalesce(mode, 0)::DOUBLE"]
+    )
+    return f"""{vocabulary(source, "track_id", "tags")},
 raw_weights AS (
   SELECT track_id, list(coalesce(tf, 0) * idf ORDER BY idx) AS w
-  FROM tracks CROSS JOIN vocab LEFT JOIN tf USING (track_id, term) GROUP BY 1),
+  FROM {source} CROSS JOIN vocab LEFT JOIN tf USING (track_id, term) GROUP BY 1),
 weights AS (
   SELECT track_id, w, sqrt(list_dot_product(w, w)) AS length FROM raw_weights),
 scaled AS (
-  SELECT track_id, artist, time_signature, key,
-         [(count(*) OVER (PARTITION BY year))::DOUBLE / count(*) OVER ()] AS freq, [{_SCALED}] AS rest
-  FROM tracks),
+  SELECT track_id, artist, time_signature, key, [{year}] AS freq, [{numbers}] AS rest FROM {source}),
 feat AS (
   SELECT *, sqrt(list_dot_product(dense, dense) + 3) AS norm FROM (
     SELECT track_id, artist, time_signature, key,
@@ -76,6 +77,15 @@ feat AS (
     FROM scaled JOIN weights USING (track_id)))"""
 
 
+FEATURES = f"{TRACKS},\n{features()}"
+RAW_YEAR_FEATURES = f"{TRACKS},\n{features(year='year::DOUBLE')}"
+HOLED_FEATURES = f"""{TRACKS},
+holed AS (
+  SELECT * REPLACE (CASE WHEN tags <> 'no_tags' THEN tempo END AS tempo, CASE WHEN time_signature > 1 THEN energy END AS energy,
+                    CASE WHEN key > 0 THEN mode END AS mode) FROM tracks),
+{features("holed")}"""
+
+
 def content(seeds: str = "feat", items: str = "feat") -> str:
     """All cosines between two feature tables."""
     return f"""content AS (
@@ -131,17 +141,25 @@ hybrid AS (
   FROM ranged)"""
 
 
-SPLIT = f"""{INTERACTIONS},
+def split(sample: int | None = None) -> str:
+    """The held-out rows of all users, or of a sample drawn by hash."""
+    drawn = "(SELECT DISTINCT user_id FROM marked WHERE is_test)"
+    chosen = f"AND user_id IN (SELECT user_id FROM {drawn} ORDER BY md5(user_id || ':42'), user_id LIMIT {sample})"
+    return f"""{INTERACTIONS},
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY playcount DESC, track_id) - 1 AS rank,
          count(*) OVER (PARTITION BY user_id) AS group_size FROM inter),
 marked AS (
   SELECT track_id, user_id, playcount, group_size >= 3 AND rank < greatest(2, group_size // 2) AS is_test FROM ranked),
-test AS (SELECT track_id, user_id, playcount FROM marked WHERE is_test),
+train AS (SELECT track_id, user_id, playcount FROM marked WHERE NOT is_test),
+test AS (SELECT track_id, user_id, playcount FROM marked WHERE is_test {chosen if sample else ""}),
 user_seeds AS (SELECT user_id, min(track_id) AS seed FROM test GROUP BY 1),
 seeds AS (SELECT DISTINCT seed AS track_id FROM user_seeds)"""
 
 
+SPLIT = split()
+
+
 def evaluation(lists: str = "lists", ks: tuple[int, ...] = (5, 10, 20), suffix: str = "") -> str:
     """Needs SPLIT and a ranked list table; gives hits, per_user and report."""
     values = ", ".join(f"({k})" for k in ks)

@@ -232,15 +232,36 @@ def test_encoder_by_hand(spark):
     assert features.transform(songs, encoder, raw, all_known=True).filter("track_id = 1").first().dense[0] == 2000
 
 
+def test_missing_numbers_are_imputed_when_asked(spark):
+    nan, infinite = float("nan"), float("inf")
+    songs = _songs(
+        spark,
+        [
+            (1, "x", 2000, "aa", 1.0, 2.0, 7.0, 1),
+            (2, "x", 2000, "aa", 5.0, 6.0, 7.0, 3),
+            (3, "x", 2000, "aa", nan, None, nan, None),
+            (4, "x", 2000, "aa", None, -infinite, infinite, 2),
+        ],
+    )
+    spec = features.EncoderSpec(**{**SPEC.__dict__, "missing": "impute"})
+    rows = {r.track_id: r.dense[-4:] for r in features.fit_transform(songs, spec).collect()}
+    # tempo about its mean, energy in the middle, a constant column at its constant, the rest 0
+    assert rows == {1: [-1, 0, 0, 1], 2: [1, 1, 0, 3], 3: [0, 0.5, 0, 0], 4: [0, 0.5, 0, 2]}
+    kept = {r.track_id: r.dense[-4:] for r in features.fit_transform(songs, SPEC).collect()}
+    assert kept[3][1] is None and math.isnan(kept[3][0])
+    with pytest.raises(ValueError):
+        features.fit_transform(songs, features.EncoderSpec(**{**SPEC.__dict__, "missing": "drop"}))
+
+
 def test_vocabulary_is_limited_by_corpus_frequency(spark):
     docs = spark.createDataFrame([(1, "aa aa aa bb"), (2, "bb cc"), (3, "bb cc dd")], "doc_id long, text string")
-    kept = features.fit_vocabulary(docs, "doc_id", "text", 3).collect()
+    kept = features.fit_vocabulary(docs, "text", 3).collect()
     assert {r.term: (r.corpus_tf, r.df) for r in kept} == {"aa": (3, 1), "bb": (3, 3), "cc": (2, 2)}
 
 
 def test_row_and_relational_tfidf_agree(spark):
     docs = spark.createDataFrame([(1, "aa aa bb"), (2, "béa cc"), (3, "zz")], "doc_id long, text string")
-    vocabulary = features.fit_vocabulary(docs, "doc_id", "text", 4)
+    vocabulary = features.fit_vocabulary(docs, "text", 4)
     long = {(r.doc_id, r.term): r.weight for r in features.tfidf_weights(docs, vocabulary, "doc_id", "text").collect()}
     with_terms = features._with_terms(docs, vocabulary)
     for row in with_terms.select("doc_id", "_terms", features.tfidf_vector(F.col("_terms"), F.col("text")).alias("v")).collect():
