@@ -42,10 +42,3 @@ def discard(df: DataFrame) -> None:
     for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
         folder = jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan that would keep most cores idle, such as one small file, ahead of costly
-    per-row work. Scans with enough partitions stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 < cores else df

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from melodex.operators.clean import clean_catalogue
 from melodex.operators.interactions import build_interactions
-from melodex.session import spread
 from melodex.sources.files import read_table
 from melodex.sources.schemas import PREVIEW_URL, SOURCE_ID
 
@@ -38,7 +37,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents"))
+    return table(spark, folder, "documents")
 
 
 def listings(spark: SparkSession, folder: str) -> DataFrame:
