@@ -83,14 +83,20 @@ def leaf_of(points: np.ndarray, tree: Tree) -> np.ndarray:
     return at
 
 
-def visiting_order(query: np.ndarray, tree: Tree, visits: int) -> list[int]:
-    """The first leaves of a best-bin-first search: always the nearest node seen so far is opened next."""
-    queue, leaves = [(0.0, 0)], []
-    while queue and len(leaves) < visits:
+def visiting_order(
+    query: np.ndarray, tree: Tree, visits: int, sizes: dict[int, int] | None = None, wanted: int = 0
+) -> list[int]:
+    """The first leaves of a best-bin-first search: always the nearest node seen so far is opened next.
+
+    With the rows of each leaf (``sizes``) it goes on until the leaves hold as many rows as wanted.
+    """
+    queue, leaves, held = [(0.0, 0)], [], 0
+    while queue and (len(leaves) < visits or held < wanted):
         node = heapq.heappop(queue)[1]
         below = tree.children[node]
         if not below:
             leaves.append(node)
+            held += sizes.get(node, 0) if sizes else 0
             continue
         gaps = ((tree.centres[below] - query) ** 2).sum(1)
         for gap, child in zip(gaps.tolist(), below):
@@ -159,12 +165,13 @@ def _truth_batches(sent, k: int):
     return search
 
 
-def _visit_batches(sent, visits: int):
+def _visit_batches(sent, visits: int, sizes: dict[int, int], k: int):
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = Tree(*sent.value)
         for batch in batches:
             queries = exploded(batch.column(1)) if batch.num_rows else []
-            orders = [visiting_order(query, tree, visits) for query in queries]
+            own = batch.column(2).to_pylist()  # rows that are no candidates
+            orders = [visiting_order(query, tree, visits, sizes, k + n) for query, n in zip(queries, own)]
             at = np.repeat(np.arange(len(orders)), [len(o) for o in orders]) if orders else np.zeros(0, int)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -240,7 +247,8 @@ def nearest_neighbours(
 
     A tree of k-means cells is fitted on about ``training_vectors`` rows, chosen by hash; every row goes
     into the leaf reached by always taking the nearest child. A query visits leaves in the order of a
-    best-bin-first search, as many as a calibration on some queries needs for ``recall``. Rows of a leaf are dealt
+    best-bin-first search, as many as a calibration on some queries needs for ``recall``, and on until they hold
+    ``k`` candidates, if there are so many. Rows of a leaf are dealt
     into blocks of bounded size, and each block is compared with blocks of queries, so a leaf that holds a
     third of all rows is many tasks. Distances are exact and ties go to the smaller id. A row whose id is the
     query's own is no candidate. Vectors that are null, empty, zero, hold null or non-finite components, or have another
@@ -259,7 +267,13 @@ def nearest_neighbours(
     leaves = materialise(given.mapInArrow(_assign_batches(sent), pair), "ann-leaves")
     visits = leaf_visits(leaves, asked, tree, sent, k, recall)
 
-    visited = materialise(asked.mapInArrow(_visit_batches(sent, visits), pair), "ann-visits")
+    # one row per leaf: at most as many as training vectors
+    sizes = {row["leaf"]: row["count"] for row in leaves.groupBy("leaf").count().collect()}
+    same = leaves.join(asked.select("id").distinct(), "id", "left_semi").groupBy(F.col("id").alias("__id"))
+    same = materialise(same.agg(F.count("*").alias("own")), "ann-own")
+    asked = asked.select("id", "vector").join(same, F.col("id") == F.col("__id"), "left")
+    asked = asked.select("id", "vector", F.coalesce("own", F.lit(0).cast("long")).alias("own"))
+    visited = materialise(asked.mapInArrow(_visit_batches(sent, visits, sizes, k), pair), "ann-visits")
     rows_in = _blocks(leaves, ROWS_PER_BLOCK, "row_blocks")
     queries_in = _blocks(visited, QUERIES_PER_BLOCK, "query_blocks")
     counts = rows_in.join(queries_in, "leaf")  # one row per leaf: at most as many as training vectors
