@@ -19,16 +19,17 @@ ship(__name__)
 
 NEIGHBOURS = 8  # length of a neighbour list at the start
 MOST_NEIGHBOURS = 16  # of a saturated list; what goes beyond is found by comparing whole groups
-TABLES = 6  # random cuttings of the space that give the first lists
+FIRST_SHARE = 0.99  # chance that two vectors at the threshold share a cell of one of the random cuttings at least
 CELL = 48  # vectors wished for in a cell of a cutting
 CELL_BLOCK = 512  # a larger cell is dealt into blocks of about this size
 REVERSE_BLOCK = 24  # vectors that list a vector, taken at a time in its local join
 NODES_PER_TASK = 64  # local joins done in one call
-ROUNDS = 3
+ROUNDS = 12  # at most; they end when few entries are new
+SETTLED = 0.002  # share of new entries of which there are few
 GROUP_BLOCK = 512  # vectors of a group compared with each other at a time
 AUDITED = 1_024  # vectors compared with all others, chosen by hash
-RECALL = 0.995  # share of the audited vectors' links that must lie inside their groups
-ATTEMPTS = 3
+RECALL = 0.995  # mean share of an audited vector's links that must lie inside its group
+ATTEMPTS = 8
 # cosines in single precision this near to the threshold are computed again
 MARGIN = 1e-5
 
@@ -45,15 +46,21 @@ def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def _cell_batches(bits: int, seed: int):
+def cuttings(bits: int, threshold: float) -> int:
+    """How many cuttings of so many bits two vectors at the threshold need to share a cell with ``FIRST_SHARE``."""
+    alike = (1 - math.acos(min(1.0, threshold)) / math.pi) ** bits
+    return 1 if alike >= FIRST_SHARE else math.ceil(math.log(1 - FIRST_SHARE) / math.log(1 - alike))
+
+
+def _cell_batches(bits: int, tables: int, seed: int):
     """Adds the cell of each random cutting: the signs of the products with ``bits`` random directions."""
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 units = exploded(batch.column(1))
-                directions = np.random.default_rng(seed).standard_normal((units.shape[1], TABLES * bits))
-                signs = (units @ directions > 0).reshape(len(units), TABLES, bits)
+                directions = np.random.default_rng(seed).standard_normal((units.shape[1], tables * bits))
+                signs = (units @ directions > 0).reshape(len(units), tables, bits)
                 keys = signs @ (1 << np.arange(bits, dtype=np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pack(units.astype(np.float32)), pack(keys)], names=["node", "unit", "cells"]
@@ -122,7 +129,7 @@ class NeighbourGraph:
         self.threshold = threshold
         bits = max(1, math.ceil(math.log2(max(2, units.count() / CELL))))
         placed = units.select("node", "unit").mapInArrow(
-            _cell_batches(bits, seed), "node long, unit array<float>, cells array<long>"
+            _cell_batches(bits, cuttings(bits, threshold), seed), "node long, unit array<float>, cells array<long>"
         )
         self.placed = materialise(placed, "descent-cells")
         self.units = self.placed.select("node", "unit")
@@ -224,7 +231,7 @@ def _dot(a: str, b: str):
 
 
 def _audit_batches(sent, threshold: float):
-    """Links of the audited vectors: inside their group, outside it, and one pair for each group outside."""
+    """Links of each audited vector inside and outside its group, and one pair for each group outside."""
 
     def audit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, groups, units = sent.value
@@ -240,12 +247,16 @@ def _audit_batches(sent, threshold: float):
                 a, b = a[apart], b[apart]
                 outside = groups[a] != group[b]
                 pairs = {(int(nodes[x]), int(group[y])): int(other[y]) for x, y in zip(a[outside], b[outside])}
+                seen = np.unique(a)
+                within = np.bincount(a[~outside], minlength=len(nodes))[seen]
+                beyond = np.bincount(a[outside], minlength=len(nodes))[seen]
+                none = [0] * len(pairs)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([k[0] for k in pairs] + [0], pa.int64()),
-                        pa.array([*pairs.values(), 0], pa.int64()),
-                        pa.array([0] * len(pairs) + [int((~outside).sum())], pa.int64()),
-                        pa.array([0] * len(pairs) + [int(outside.sum())], pa.int64()),
+                        pa.array([k[0] for k in pairs] + nodes[seen].tolist(), pa.int64()),
+                        pa.array([*pairs.values(), *[None] * len(seen)], pa.int64()),
+                        pa.array(none + within.tolist(), pa.int64()),
+                        pa.array(none + beyond.tolist(), pa.int64()),
                     ],
                     names=["a", "b", "inside", "outside"],
                 )
@@ -253,13 +264,14 @@ def _audit_batches(sent, threshold: float):
     return audit
 
 
-def audit_links(grouped: DataFrame, threshold: float) -> tuple[float, DataFrame]:
+def audit_links(grouped: DataFrame, threshold: float, seed: int = 0) -> tuple[float, DataFrame]:
     """Share of the links of some vectors that lie inside their groups, and the links found that don't.
 
-    The vectors, a bounded number chosen by hash, are compared with all others.
+    The vectors, a bounded number chosen by hash, are compared with all others. The share is taken per vector
+    that has links, and is the mean of those: a dense group weighs by its vectors, not by its links.
     """
     spark = grouped.sparkSession
-    rows = hash_sample(grouped, AUDITED, "node").collect()
+    rows = hash_sample(grouped, AUDITED, F.lit(seed), "node").collect()
     sample = (
         np.array([r["node"] for r in rows]),
         np.array([r["component"] for r in rows]),
@@ -270,10 +282,10 @@ def audit_links(grouped: DataFrame, threshold: float) -> tuple[float, DataFrame]
         "a long, b long, inside long, outside long",
     )
     seen = materialise(seen, "descent-audit")
-    inside, outside = seen.agg(F.sum("inside"), F.sum("outside")).first()
-    missed = seen.filter("inside = 0 and outside = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    total = (inside or 0) + (outside or 0)
-    return (1.0 if not total else inside / total), missed
+    shares = seen.filter("b is null").groupBy("a").agg((F.sum("inside") / F.sum(F.col("inside") + F.col("outside"))).alias("share"))
+    recall = shares.agg(F.avg("share")).first()[0]
+    missed = seen.filter("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return (1.0 if recall is None else recall), missed
 
 
 def _block_links(threshold: float):
@@ -355,9 +367,9 @@ def embedding_groups(
 
     Equal vectors are one node with a weight. Random cuttings of the space give every node a first list of
     neighbours; rounds of NN-descent compare the neighbours of each node with each other and keep the best;
-    lists full of links grow. Links join nodes to groups. An audit compares a bounded sample of nodes with all
-    vectors: if too few of their links lie inside their groups, the links found are added and the search
-    starts again with other cuttings. Inside a group all links are counted, however long the lists are.
+    lists full of links grow. Links join nodes to groups.
+    An audit compares a bounded sample of nodes with all vectors; the links it finds are added, and if too few
+    of a node's links lay inside its group, the search starts again with other cuttings, and fails after ``ATTEMPTS``. Inside a group all links are counted, however long the lists are.
 
     Vectors that are null, empty, zero, of another length than most, or hold null or non-finite components
     link with nothing. Rows without an id are returned with no links and no component. Rows that share an id
@@ -372,25 +384,30 @@ def embedding_groups(
     )
     nodes = materialise(nodes, "groups-nodes")
 
+    dimensions = nodes.select(F.size("unit")).head()
     components, links = None, None
-    if nodes.count() > 1:
+    count = nodes.count()
+    if count > 1:
         for attempt in range(ATTEMPTS):
             graph = NeighbourGraph(nodes, threshold, seed=attempt)
             for _ in range(rounds):
-                if graph.refine() == 0:
+                if graph.refine() <= SETTLED * count * NEIGHBOURS:
                     break
             found = materialise(graph.links(nodes), "groups-links")
             graph.drop()
             links = found if links is None else links.union(found)
             components = materialise(connected_components(links), "groups-components")
-            recall, missed = audit_links(_grouped(nodes, components), threshold)
+            recall, missed = audit_links(_grouped(nodes, components), threshold, attempt)
+            if not missed.isEmpty():
+                links = links.union(missed)
+                components = materialise(connected_components(links), "groups-components")
             if recall >= RECALL:
                 break
-            links = links.union(missed)
+        else:
+            raise RuntimeError(f"groups hold {recall:.4f} of the audited links after {ATTEMPTS} attempts")
     if components is None:
         components = nodes.select("node", F.col("node").alias("component")).limit(0)
 
-    dimensions = nodes.select(F.size("unit")).head()
     linked = _grouped(nodes, components).join(components.select("node"), "node", "left_semi")
     linked = materialise(linked, "groups-linked")
     inside = links_inside_groups(linked, threshold, dimensions[0] if dimensions else 1)
