@@ -220,6 +220,11 @@ class NeighbourGraph:
         close = close.join(left, "a").join(right, "b").filter(_dot("unit_a", "unit_b") >= self.threshold)
         return sure.union(close.select("a", "b")).distinct()
 
+    def saturated(self) -> DataFrame:
+        """The nodes whose lists are full of links, so that links may have had no place."""
+        near = self.lists.filter(F.col("cosine") >= self.threshold - MARGIN)
+        return near.groupBy(F.col("src").alias("node")).count().filter(F.col("count") >= MOST_NEIGHBOURS).select("node")
+
     def drop(self) -> None:
         for done in (self.lists, self.placed):
             discard(done)
@@ -288,6 +293,77 @@ def audit_links(grouped: DataFrame, threshold: float, seed: int = 0) -> tuple[fl
     return (1.0 if recall is None else recall), missed
 
 
+def _near_groups(threshold: float):
+    """Pairs of groups, of two blocks of them, whose centres and radii allow a link."""
+
+    def pairs(block: pa.Table) -> pa.Table:
+        low, high = block["low"][0].as_py(), block["high"][0].as_py()
+        side, names, radius = (block[c].to_numpy() for c in ("block", "component", "radius"))
+        centres = exploded(block["centre"].combine_chunks())
+        left, right = np.nonzero(side == low)[0], np.nonzero(side == high)[0]
+        gaps = np.arccos(np.clip(centres[left] @ centres[right].T, -1, 1))
+        near = gaps <= radius[left][:, None] + radius[right][None, :] + math.acos(threshold) + 1e-6
+        x, y = np.nonzero(near)
+        x, y = names[left[x]], names[right[y]]
+        once = x < y if low == high else x != y
+        return pa.table({"x": pa.array(x[once], pa.int64()), "y": pa.array(y[once], pa.int64())})
+
+    return pairs
+
+
+def _one_link(threshold: float):
+    def link(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = np.zeros(0, int), np.zeros(0, int)
+        if left.num_rows and right.num_rows:
+            products = exploded(left["unit"].combine_chunks()) @ exploded(right["other_unit"].combine_chunks()).T
+            a, b = np.nonzero(products >= threshold)
+            a, b = left["node"].to_numpy()[a[:1]], right["other_node"].to_numpy()[b[:1]]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return link
+
+
+def links_across_groups(full: DataFrame, threshold: float, dimensions: int) -> DataFrame:
+    """Links (a, b) that join the groups of nodes whose lists are full: one for each two blocks with a link.
+
+    A link missing for want of a place has a full list at both ends, so only such nodes (node, component,
+    unit) are compared, exactly, for all pairs of groups whose centres and radii allow a link.
+    """
+    sums = full.groupBy("component").agg(
+        F.count("*").alias("members"), F.array(*[F.sum(F.get("unit", F.lit(i))) for i in range(dimensions)]).alias("sum")
+    )
+    length = F.sqrt(_dot("sum", "sum"))
+    sums = sums.withColumn("centre", F.transform("sum", lambda x: F.when(length > 0, x / length).otherwise(0.0)))
+    sums = materialise(sums.select("component", "members", "centre"), "across-sums")
+    radius = F.acos(F.least(F.greatest(F.min(_dot("unit", "centre")), F.lit(-1.0)), F.lit(1.0)))
+    radii = full.join(sums, "component").groupBy("component").agg(radius.alias("radius"))
+    groups = materialise(sums.join(radii, "component"), "across-groups")
+    blocks = max(1, math.ceil(groups.count() / GROUP_BLOCK))
+    own = F.pmod(F.xxhash64("component"), F.lit(blocks))
+    tiles = groups.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    tiles = tiles.withColumn("low", F.least("block", F.col("other").cast("long"))).withColumn(
+        "high", F.greatest("block", F.col("other").cast("long"))
+    )
+    near = tiles.select("low", "high", "block", "component", "radius", "centre").groupBy("low", "high")
+    near = materialise(near.applyInArrow(_near_groups(threshold), "x long, y long"), "across-near")
+    chunks = groups.select("component", F.ceil(F.col("members") / GROUP_BLOCK).alias("chunks"))
+    for side in ("x", "y"):
+        counted = chunks.select(F.col("component").alias(side), F.col("chunks").alias(f"chunks_{side}"))
+        near = near.join(counted, side)
+    key = ["x", "y", "chunk_x", "chunk_y"]
+
+    def members(mine: str, others: str) -> DataFrame:
+        named = full.select(F.col("component").alias(mine), "node", "unit")
+        dealt = near.join(named, mine).withColumn(f"chunk_{mine}", F.pmod(F.xxhash64("node"), f"chunks_{mine}"))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"chunks_{others}") - 1))
+        return dealt.withColumn(f"chunk_{others}", every).select(*key, "node", "unit")
+
+    left, right = members("x", "y"), members("y", "x")
+    named = [f"other_{name}" for name in right.columns]  # names of its own: both sides come from the same tables
+    left, right = left.groupBy(*key), right.toDF(*named).groupBy(*named[: len(key)])
+    return left.cogroup(right).applyInArrow(_one_link(threshold), "a long, b long")
+
+
 def _block_links(threshold: float):
     def count(block: pa.Table) -> pa.Table:
         nodes, weights, chunk = (block[c].to_numpy() for c in ("node", "weight", "chunk"))
@@ -367,7 +443,7 @@ def embedding_groups(
 
     Equal vectors are one node with a weight. Random cuttings of the space give every node a first list of
     neighbours; rounds of NN-descent compare the neighbours of each node with each other and keep the best;
-    lists full of links grow. Links join nodes to groups.
+    lists full of links grow. Links join nodes to groups, and nodes whose lists stayed full are compared across groups.
     An audit compares a bounded sample of nodes with all vectors; the links it finds are added, and if too few
     of a node's links lay inside its group, the search starts again with other cuttings, and fails after ``ATTEMPTS``. Inside a group all links are counted, however long the lists are.
 
@@ -394,9 +470,15 @@ def embedding_groups(
                 if graph.refine() <= SETTLED * count * NEIGHBOURS:
                     break
             found = materialise(graph.links(nodes), "groups-links")
+            full = materialise(graph.saturated(), "groups-full")
             graph.drop()
             links = found if links is None else links.union(found)
             components = materialise(connected_components(links), "groups-components")
+            if not full.isEmpty():
+                crowded = materialise(_grouped(nodes, components).join(full, "node"), "groups-crowded")
+                across = materialise(links_across_groups(crowded, threshold, dimensions[0]), "groups-across")
+                links = links.union(across)
+                components = materialise(connected_components(links), "groups-components")
             recall, missed = audit_links(_grouped(nodes, components), threshold, attempt)
             if not missed.isEmpty():
                 links = links.union(missed)

@@ -1,4 +1,4 @@
-"""What the audit of the vector groups must notice."""
+"""What the audit of the vector groups must notice, and links between groups with full lists."""
 
 from __future__ import annotations
 
@@ -34,6 +34,13 @@ def frame(spark, matrix):
     return spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(matrix)], SCHEMA)
 
 
+def test_groups_with_full_lists_are_joined(spark, monkeypatch):
+    nothing = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(embed_dedup, "audit_links", lambda *args: (1.0, nothing))  # as if it had seen none
+    rows = embedding_groups(frame(spark, touching())).collect()
+    assert {(r.component_id, r.n_links) for r in rows} == {(0, 119)}
+
+
 def test_groups_fail_loudly(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "RECALL", 2.0)
     monkeypatch.setattr(embed_dedup, "ATTEMPTS", 1)
