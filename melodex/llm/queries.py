@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from melodex.llm.alignment import alignment_figures
 from melodex.llm.ann import nearest_neighbours
 from melodex.llm.embed_dedup import embedding_groups
 from melodex.llm.langid import fit_languages, identify_languages
@@ -17,13 +18,23 @@ from melodex.llm.pieces import encode_documents
 from melodex.llm.quality import QualityModel, fit_quality, labelled_sample, score_quality
 from melodex.llm.sharding import shard_documents
 from melodex.llm.simhash import simhash_groups
+from melodex.llm.spelling import count_words, group_variants
+from melodex.llm.token_files import read_token_files, token_count, write_token_files
 from melodex.llm.urls import Rule, judge_urls
+from melodex.session import new_folder
 
 # weight of documents that are labelled as of low quality
 LOW_QUALITY_WEIGHT = 0.25
 # a document scores at least this much to be kept
 QUALITY_THRESHOLD = 0.3
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+END_ID = 1
+# one (document, word) in so many is misspelt
+DAMAGE = 97
+# shingle length and bit distance of near copies
+SIMHASH = {"words": 3, "radius": 2}
 URL_RULES = (
     Rule("block", "net", "/"),
     Rule("allow", "example.net", "/en/"),
@@ -110,7 +121,7 @@ def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
-    groups = simhash_groups(table(spark, folder, "documents"), words=3, radius=2)
+    groups = simhash_groups(table(spark, folder, "documents"), **SIMHASH)
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
 
@@ -124,6 +135,28 @@ def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_neighbours(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10)
 
 
+def tokenizer_file(path: str) -> str:
+    with open(path, encoding="utf-8") as file:
+        return file.read()
+
+
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "token-files")
+    write_token_files(table(spark, folder, "documents"), path, tokenizer_file(WORD_TOKENIZER), END_ID)
+    return read_token_files(spark, path).select(
+        "doc_id", "start", token_count(F.col("ids")).alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment_figures(table(spark, folder, "documents"), tokenizer_file(BYTE_TOKENIZER), piece_model())
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = count_words(table(spark, folder, "documents"), least_length=5, least_count=3, damage=DAMAGE)
+    return group_variants(words, dominance=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_embedding_groups": op2_embedding_groups,
@@ -135,6 +168,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_groups": op8_simhash_groups,
     "op9_judge_urls": op9_judge_urls,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_token_files": op11_token_files,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
@@ -163,5 +199,49 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (shared.key IS NOT NULL AND doc_id <> keeper) AS n_dropped,
   sha256(coalesce(string_agg(line, E'\\n' ORDER BY pos) FILTER (shared.key IS NULL OR doc_id = keeper), '')) AS kept_sha256
 FROM keyed LEFT JOIN shared USING (key) GROUP BY doc_id
+""",
+    "op13_spelling_variants": """
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce([b] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END)
+    ORDER BY b) AS entries
+  FROM (SELECT unnest(range(256)) AS b)
+), runs AS (
+  SELECT doc_id, run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{C0}-\\x{FF}]+')) AS run
+        FROM documents)
+  GROUP BY doc_id, run
+), hexed AS (
+  SELECT *, hex(encode(concat(doc_id, ':', run))) AS bytes FROM runs
+), hashed AS (
+  SELECT run, times, xor(4294967295::BIGINT, list_reduce(
+    [4294967295::BIGINT] || [('0x' || substr(bytes, i, 2))::BIGINT FOR i IN range(1, length(bytes), 2)],
+    lambda c, b: xor(entries[xor(c, b) % 256 + 1], c >> 8))) AS h
+  FROM hexed, crc_table
+), counted AS (
+  SELECT word, sum(times)::BIGINT AS n
+  FROM (SELECT times, CASE WHEN h % 97 = 0
+          THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), shorter AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM counted)
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b USING (rest, i) WHERE a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM shorter a JOIN counted b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM shorter a JOIN counted b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS most, min(other) FILTER (other_n = highest) AS first
+  FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS highest FROM near) GROUP BY word
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * n THEN first END AS form,
+    CASE WHEN most >= 2 * n THEN most END AS form_n
+  FROM counted LEFT JOIN best USING (word)
+), followed(word, last_form) AS (
+  SELECT word, word FROM formed
+  UNION SELECT followed.word, formed.form FROM followed JOIN formed ON followed.last_form = formed.word WHERE formed.form IS NOT NULL
+)
+SELECT formed.word, formed.form, followed.last_form AS root, formed.n, formed.n_near, formed.form_n
+FROM formed JOIN followed USING (word) JOIN formed AS last ON last.word = followed.last_form AND last.form IS NULL
 """,
 }
