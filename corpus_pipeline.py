@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from melodex.llm.line_dedup import deduplicate_lines
 from melodex.llm.mixing import mixed_documents
-from melodex.llm.near_copies import first_of_each_near_copy
 from melodex.llm.pieces import encode_documents
 from melodex.llm.quality import keep_by_quality
-from melodex.llm.queries import QUALITY_THRESHOLD, piece_model, quality_model, quality_weights
+from melodex.llm.queries import QUALITY_THRESHOLD, SIMHASH, piece_model, quality_model, quality_weights
+from melodex.llm.simhash import first_of_each_group
 from melodex.session import materialise
 
 
@@ -28,8 +28,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word Jaccard of 0.8 or more) stays, that of the smallest id."""
-    return first_of_each_near_copy(docs)
+    """One document of each group stays, that of the smallest id; fingerprints link as in the operator's own query."""
+    return first_of_each_group(docs, **SIMHASH)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
