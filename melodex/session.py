@@ -2,37 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
-
-    Only a local session that names none falls back to a temporary folder of this machine.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _LOCAL_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="melodex-"))
+    """Folder every executor can reach: what the cluster names in ``spark.checkpoint.dir``, else the warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return configured.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/melodex/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: computed once, short lineage, survives lost executors."""
+def materialise(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: computed once, short lineage, survives lost executors.
+
+    ``options`` are the writer's, like ``compression``.
+    """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
