@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from melodex.llm.chunks import ChunkTable, encode_joined, ragged, slices
+from melodex.llm.chunks import ChunkTable, encode_joined, flat, interleave, ragged, slices
 from melodex.llm.common import ship
 from melodex.session import materialise
 
@@ -68,39 +68,40 @@ class TokenizerPair:
         self.a_marked = np.array([x.startswith(b" ") for x in self.a_bytes])
         self.b_marked = np.array([x.startswith(b" ") for x in self.b_bytes])
 
-    def ids(self, chunks: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of both for each chunk. Chunks with odd blanks are no texts to join: they are encoded alone."""
-        odd = [bool(ODD_BLANKS.search(chunk)) for chunk in chunks]
+    def ids(self, chunks: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both for the chunks, and how many each has. Chunks with odd blanks can't be joined: they are encoded alone."""
+        odd = np.array([bool(ODD_BLANKS.search(chunk)) for chunk in chunks], bool)
         simple = [chunk for chunk, is_odd in zip(chunks, odd) if not is_odd]
-        others = [[chunk] for chunk, is_odd in zip(chunks, odd) if is_odd]
-        found = []
-        for encode in (self.a_ids, self.b_ids):
-            joined, apart = iter(encode(simple)), (encode(one)[0] for one in others)
-            found.append([next(apart if is_odd else joined) for is_odd in odd])
-        return found[0], found[1]
-
-    def a_ids(self, chunks: list[str]) -> list[np.ndarray]:
-        def alone(part: list[str]) -> list[list[int]]:
-            return [x.ids for x in self.a.encode_batch([" " + chunk for chunk in part], add_special_tokens=False)]
-
-        def together(text: str) -> list[int]:
-            return self.a.encode(text, add_special_tokens=False).ids
-
-        return encode_joined(
-            chunks, together, alone, lambda part: " " + " ".join(part), lambda ids: np.flatnonzero(self.a_marked[ids])
-        )
+        others = [chunk for chunk, is_odd in zip(chunks, odd) if is_odd]
+        a = encode_joined(simple, self._a_together, self._a_alone, lambda ids: np.flatnonzero(self.a_marked[ids]))
+        b = encode_joined(simple, self._b_together, self.b.encode, lambda ids: np.flatnonzero(self.b_marked[ids]))
+        return [interleave(a, flat(self._a_alone(others)), odd), interleave(b, flat(self.b.encode(others)), odd)]
 
-    def b_ids(self, chunks: list[str]) -> list[np.ndarray]:
-        def alone(part: list[str]) -> list[list[int]]:
-            return self.b.encode(part)
+    def _a_together(self, chunks: list[str]) -> list[int]:
+        return self.a.encode(" " + " ".join(chunks), add_special_tokens=False).ids
 
-        return encode_joined(
-            chunks, self.b.encode, alone, " ".join, lambda ids: np.flatnonzero(self.b_marked[ids])
-        )
+    def _a_alone(self, chunks: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.a.encode_batch([" " + chunk for chunk in chunks], add_special_tokens=False)]
+
+    def _b_together(self, chunks: list[str]) -> list[int]:
+        return self.b.encode(" ".join(chunks))
 
     def faithful(self, chunk: str, a: np.ndarray, b: np.ndarray) -> bool:
         whole = b" " + chunk.encode()
-        return whole == b"".join(self.a_bytes[i] for i in a) == b"".join(self.b_bytes[i] for i in b)
+        return whole == b"".join([self.a_bytes[i] for i in a]) == b"".join([self.b_bytes[i] for i in b])
+
+    def all_faithful(self, chunks: list[str], found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Whether the bytes of both are those of the chunk, for each chunk."""
+        wholes = [b" " + chunk.encode() for chunk in chunks]
+        sizes, together = np.fromiter(map(len, wholes), np.int64, len(wholes)), b"".join(wholes)
+        good = np.ones(len(chunks), bool)
+        for (ids, lengths), table, byte_lengths in zip(found, (self.a_bytes, self.b_bytes), (self.a_lengths, self.b_lengths)):
+            ends = np.cumsum(lengths)
+            made = np.diff(np.concatenate([[0], np.cumsum(byte_lengths[ids])])[np.concatenate([[0], ends])])
+            if not np.array_equal(made, sizes) or b"".join(map(table.__getitem__, ids.tolist())) != together:
+                parts = np.split(ids, ends[:-1])
+                good &= [whole == b"".join([table[i] for i in part]) for whole, part in zip(wholes, parts)]
+        return good
 
 
 class PairTable(ChunkTable):
@@ -108,21 +109,20 @@ class PairTable(ChunkTable):
 
     def __init__(self, pair: TokenizerPair):
         self.pair = pair
-        super().__init__(pair.a_ids)
+        super().__init__(lambda chunks: pair.ids(chunks)[0])
 
     def clear(self) -> None:
         super().clear()
-        self.other = ChunkTable(self.pair.b_ids)
+        self.other = ChunkTable(lambda chunks: self.pair.ids(chunks)[1])
         self.faithful = np.zeros(0, bool)
 
     def settle(self) -> None:
         if self.new:
-            found, others = self.pair.ids(self.new)
-            good = [self.pair.faithful(chunk, a, b) for chunk, a, b in zip(self.new, found, others)]
-            self.faithful = np.concatenate([self.faithful, good])
-            self.encode, self.other.encode, self.other.new = (lambda _: found), (lambda _: others), self.new
-            self.other.settle()
-            super().settle()
+            found = self.pair.ids(self.new)
+            self.faithful = np.concatenate([self.faithful, self.pair.all_faithful(self.new, found)])
+            self.add(*found[0])
+            self.other.add(*found[1])
+            self.new = []
 
 
 class WindowTable(dict):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,11 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class ChunkTable(dict):
     """Codes of the chunks met, in the order of their first occurrence; ``gather`` gives ids for codes.
 
-    ``encode`` gets the new chunks of a slice together and returns the ids of each, in order.
+    ``encode`` gets the new chunks of a slice together and returns their ids, one chunk after the other, and how
+    many each has.
     """
 
-    def __init__(self, encode: Callable[[list], list[np.ndarray]]):
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
         self.clear()
 
@@ -63,12 +65,13 @@ class ChunkTable(dict):
 
     def settle(self) -> None:
         if self.new:
-            found = self.encode(self.new)
-            ends = self.starts[-1] + np.cumsum([len(ids) for ids in found])
-            self.values = np.concatenate([self.values, *found])
-            self.starts = np.concatenate([self.starts, ends])
+            self.add(*self.encode(self.new))
             self.new = []
 
+    def add(self, values: np.ndarray, lengths: np.ndarray) -> None:
+        self.values = np.concatenate([self.values, values])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+
 
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list[bytes]]]:
     """(start, stop, texts) of a batch, about ``SLICE_BYTES`` at a time; a null text is empty."""
@@ -81,22 +84,37 @@ def slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list[
             start, held, size = i + 1, [], 0
 
 
+def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids, and how many each list has."""
+    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum())), lengths
+
+
 def encode_joined(
     chunks: list[str],
-    together: Callable[[str], Iterable[int]],
+    together: Callable[[list[str]], list[int]],
     alone: Callable[[list[str]], list[list[int]]],
-    join: Callable[[list[str]], str],
     borders: Callable[[np.ndarray], np.ndarray],
-) -> list[np.ndarray]:
-    """Ids of each chunk, from texts of many joined chunks. ``borders`` gives the first places of the chunks in the
-    ids of a text, or another number of places where it can't tell; such chunks are encoded alone."""
-    found: list[np.ndarray] = []
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the chunks and how many each has, from texts of many joined chunks. ``borders`` gives the first places of the
+    chunks in the ids of a text, or another number of places where it can't tell; such chunks are encoded alone."""
+    found = [flat([])]
     for start in range(0, len(chunks), JOINED):
         part = chunks[start : start + JOINED]
-        ids = np.array(together(join(part)), np.int32)
+        ids = np.array(together(part), np.int32)
         places = borders(ids)
-        if len(places) == len(part):
-            found += np.split(ids, places[1:])
-        else:
-            found += [np.array(one, np.int32) for one in alone(part)]
-    return found
+        found.append((ids, np.diff([*places, len(ids)])) if len(places) == len(part) else flat(alone(part)))
+    values, lengths = zip(*found)
+    return np.concatenate(values), np.concatenate(lengths)
+
+
+def interleave(
+    first: tuple[np.ndarray, np.ndarray], second: tuple[np.ndarray, np.ndarray], is_second: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and lengths of chunks that were encoded in two lists, in the order given by ``is_second``."""
+    values, lengths = (np.concatenate(x) for x in zip(first, second))
+    order = np.empty(len(is_second), np.int64)
+    order[~is_second] = np.arange(len(first[1]))
+    order[is_second] = len(first[1]) + np.arange(len(second[1]))
+    starts = np.cumsum(lengths) - lengths
+    return values[ragged(starts[order], lengths[order])], lengths[order]

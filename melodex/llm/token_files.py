@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from melodex.llm.chunks import ChunkTable, encode_joined, slices
+from melodex.llm.chunks import ChunkTable, encode_joined, flat, interleave, slices
 from melodex.llm.common import ship, total_before
 from melodex.session import discard, materialise
 
@@ -24,7 +24,7 @@ FILE_BLOCKS = 4
 MAGIC = b"TOKBLK1\n"
 HEADER = "<8sIIIQQ"  # magic, shard, block of the shard, documents, ids, bytes of the codes
 # ASCII punctuation that ends words; letters before it are a token run of their own
-ENDINGS = ".,;:!?"
+ENDINGS = b".,;:!?"
 LATIN_END = "ɐ"
 
 # lengths of the four codes of a control byte, and what to keep of four bytes for a code of each length
@@ -84,6 +84,11 @@ def unpack_blocks(content: bytes) -> Iterator[tuple[int, int, list[int | None],
         at += 1
 
 
+def latin(word: str) -> bool:
+    """Whether the word is of letters and ends with one of the first Latin blocks, in lower case, too."""
+    return word.isalpha() and word[-1] < LATIN_END and word[-1].lower().isalpha()
+
+
 class WordTokens:
     """Ids of texts by a tokenizer that drops white space and whose tokens never cross it."""
 
@@ -95,47 +100,46 @@ class WordTokens:
         whole, first, second = self._alone(["a b.", "a", "b."])
         if whole != first + second:
             raise ValueError("tokens of this tokenizer cross white space: words can't be encoded one by one")
-        self.words = ChunkTable(self._letters)
-        self.table = ChunkTable(self._chunks)
+        self.parts = ChunkTable(self._encode_parts)
+        self.table = ChunkTable(self._encode_chunks)
 
     def _alone(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self.library.encode_batch(texts, add_special_tokens=False)]
 
-    def _letters(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words of letters: one run of tokens each, the last of which is marked."""
+    def _first_places(self, ids: np.ndarray) -> np.ndarray:
+        ends = np.flatnonzero(self.last_of_word[ids])
+        return np.concatenate([[0], ends[:-1] + 1]) if len(ends) and ends[-1] == len(ids) - 1 else ends[:0]
 
-        def first_places(ids: np.ndarray) -> np.ndarray:
-            ends = np.flatnonzero(self.last_of_word[ids])
-            return np.concatenate([[0], ends[:-1] + 1]) if len(ends) and ends[-1] == len(ids) - 1 else ends[:0]
+    def _encode_parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """A word of letters is one run of tokens, the last of which is marked: such words are encoded joined."""
 
-        def together(text: str) -> list[int]:
-            return self.library.encode(text, add_special_tokens=False).ids
+        def together(words: list[str]) -> list[int]:
+            return self.library.encode(" ".join(words), add_special_tokens=False).ids
 
-        return encode_joined(words, together, self._alone, " ".join, first_places)
+        texts = [part.decode() for part in parts]
+        other = np.array([not text.isalpha() for text in texts], bool)
+        words = [text for text, is_other in zip(texts, other) if not is_other]
+        others = [text for text, is_other in zip(texts, other) if is_other]
+        return interleave(
+            encode_joined(words, together, self._alone, self._first_places), flat(self._alone(others)), other
+        )
 
-    def _chunks(self, chunks: list[bytes]) -> list[np.ndarray]:
-        """Letters and the punctuation after them are encoded apart; all other chunks as they are."""
-        parts, others, place = [], [], []
+    def _encode_chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Letters and the punctuation after them are parts of their own; all other chunks are one part."""
+        parts, counts = [], []
         for chunk in chunks:
-            text = chunk.decode()
-            word = text.rstrip(ENDINGS)
-            if word.isalpha() and word[-1] < LATIN_END and word[-1].lower().isalpha():
-                place.append((0, len(parts), 1 + (len(word) < len(text))))
-                parts += [word, text[len(word) :]] if len(word) < len(text) else [word]
-            else:
-                place.append((1, len(others), 1))
-                others.append(text)
-        self.words.make_room()
-        codes = self.words.codes(parts)
-        self.words.settle()
-        found = [np.array(ids, np.int32) for ids in self._alone(others)] if others else []
-        return [
-            found[at] if kind else self.words.gather(codes[at : at + count])[0] if count > 1 else self._word(codes[at])
-            for kind, at, count in place
-        ]
-
-    def _word(self, code: int) -> np.ndarray:
-        return self.words.values[self.words.starts[code] : self.words.starts[code + 1]]
+            word = chunk.rstrip(ENDINGS)
+            if word.isalpha():  # bytes: A-Z and a-z only
+                word = word.lower()
+            elif len(word) == len(chunk) or not latin(word.decode()):
+                word = chunk
+            parts.append(word)
+            if len(word) < len(chunk):
+                parts.append(chunk[len(word) :])
+            counts.append(1 + (len(word) < len(chunk)))
+        self.parts.make_room()
+        ids, lengths = self.parts.gather(self.parts.codes(parts))
+        return ids, np.add.reduceat(lengths, np.cumsum(counts) - counts)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and how many each text has."""
@@ -147,14 +151,16 @@ class WordTokens:
         return ids, np.diff(borders)
 
 
-def _token_batches(sent, end_id: int):
+def _token_batches(sent, end_id: int, kind: str):
+    """``kind``: numpy's name of the numbers stored, of 16 bits where the vocabulary allows."""
+
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokens(sent.value)
         for batch in batches:
             for start, stop, texts in slices(batch, 1):
                 ids, lengths = tokens.encode(texts)
-                ids = np.insert(ids, np.cumsum(lengths), end_id).astype("<u4")
-                offsets = np.concatenate([[0], np.cumsum(lengths + 1)]).astype(np.int32) * 4
+                ids = np.insert(ids, np.cumsum(lengths), end_id).astype(kind)
+                offsets = np.concatenate([[0], np.cumsum(lengths + 1)]).astype(np.int32) * ids.itemsize
                 rows = pa.Array.from_buffers(
                     pa.binary(), len(texts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(ids.tobytes())]
                 )
@@ -163,19 +169,22 @@ def _token_batches(sent, end_id: int):
     return per_batch
 
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for ids in batch.column(0):
-            found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-            if len(found) > len(total):
-                total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-            total[: len(found)] += found
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["token", "times"])
+def _count_batches(kind: str):
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for start, stop, ids in slices(batch, 0):
+                found = np.bincount(np.frombuffer(b"".join(ids), kind))
+                if len(found) > len(total):
+                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
+                total[: len(found)] += found
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["token", "times"])
+
+    return per_batch
 
 
-def _block_batches(by_frequency: list[int], block_ids: int):
+def _block_batches(by_frequency: list[int], block_ids: int, kind: str):
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.zeros(max(by_frequency, default=0) + 1, np.uint32)
         rank[by_frequency] = np.arange(len(by_frequency))
@@ -188,7 +197,7 @@ def _block_batches(by_frequency: list[int], block_ids: int):
 
         for batch in batches:
             for key, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(ids.as_buffer(), "<u4").copy()
+                ids = np.frombuffer(ids.as_py(), kind)
                 if keys and held + len(ids) > block_ids:
                     yield block()
                     number += 1
@@ -228,15 +237,17 @@ def write_token_files(
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(tokenizer_json)
     slim = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
-    tokens = slim.mapInArrow(_token_batches(sent, end_id), "id long, ids binary")
+    vocabulary = Tokenizer.from_str(tokenizer_json).get_vocab().values()
+    kind = "<u2" if max(end_id, *vocabulary) < 1 << 16 else "<u4"
+    tokens = slim.mapInArrow(_token_batches(sent, end_id, kind), "id long, ids binary")
     # the place makes equal rows different, so that many rows of one id can be divided, too
-    tokens = materialise(tokens.withColumn("place", F.monotonically_increasing_id()), "token-ids")
-    counts = tokens.select("ids").mapInArrow(_count_batches, "token long, times long")
+    tokens = materialise(tokens.withColumn("place", F.monotonically_increasing_id()), "token-ids", compression="zstd")
+    counts = tokens.select("ids").mapInArrow(_count_batches(kind), "token long, times long")
     counts = counts.groupBy("token").agg(F.sum("times").alias("times"))
     by_frequency = [row["token"] for row in counts.orderBy(F.desc("times"), "token").collect()]  # the vocabulary at most
     order = ["id", F.crc32("ids"), F.xxhash64("place")]
     sorted_ids = tokens.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "ids")
-    blocks = sorted_ids.mapInArrow(_block_batches(by_frequency, block_ids), "block binary")
+    blocks = sorted_ids.mapInArrow(_block_batches(by_frequency, block_ids, kind), "block binary")
     _write_bytes(blocks, f"{path}/blocks", FILE_BLOCKS)
     ranks = np.array(by_frequency, "<u4").tobytes()
     _write_bytes(spark.createDataFrame([(bytearray(ranks),)], "block binary"), f"{path}/ranks", 1)
