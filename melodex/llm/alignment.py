@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from melodex.llm.chunks import ChunkTable, encode_joined, flat, interleave, ragged, slices
+from melodex.llm.chunks import ChunkTable, encode_alone, encode_joined, interleave, ragged, slices
 from melodex.llm.common import ship
 from melodex.session import materialise
 
@@ -75,7 +75,8 @@ class TokenizerPair:
         others = [chunk for chunk, is_odd in zip(chunks, odd) if is_odd]
         a = encode_joined(simple, self._a_together, self._a_alone, lambda ids: np.flatnonzero(self.a_marked[ids]))
         b = encode_joined(simple, self._b_together, self.b.encode, lambda ids: np.flatnonzero(self.b_marked[ids]))
-        return [interleave(a, flat(self._a_alone(others)), odd), interleave(b, flat(self.b.encode(others)), odd)]
+        apart = [encode_alone(others, alone) for alone in (self._a_alone, self.b.encode)]
+        return [interleave(a, apart[0], odd), interleave(b, apart[1], odd)]
 
     def _a_together(self, chunks: list[str]) -> list[int]:
         return self.a.encode(" " + " ".join(chunks), add_special_tokens=False).ids
@@ -223,7 +224,8 @@ def _group_batches(load):
         pair = load()
         chunks, windows = PairTable(pair), WindowTable(pair)
         for batch in batches:
-            for start, stop, texts in slices(batch, 1):
+            for start, stop in slices(batch.column(1)):
+                texts = [text or b"" for text in batch.column(1).slice(start, stop - start).cast(pa.binary()).to_pylist()]
                 found = Aligned(texts, chunks, windows)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -246,7 +248,8 @@ def _block_batches(load):
         chunks, windows = PairTable(pair), WindowTable(pair)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for start, stop, texts in slices(batch, 1):
+            for start, stop in slices(batch.column(1)):
+                texts = [text or b"" for text in batch.column(1).slice(start, stop - start).cast(pa.binary()).to_pylist()]
                 found = Aligned(texts, chunks, windows)
                 numbers, n_links = found.links()
                 times = np.bincount(numbers, minlength=len(windows.numbers))

@@ -7,13 +7,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from melodex.llm.common import ship
 
 ship(__name__)
 
 # chunks kept in a task's table; a full table is emptied, which changes no result
-TABLE_CHUNKS = 600_000
+TABLE_CHUNKS = 500_000
 # bytes of text worked on at a time; a longer text is a slice of its own
 SLICE_BYTES = 6_000_000
 # words handed to a library as one text
@@ -73,15 +74,14 @@ class ChunkTable(dict):
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
 
 
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list[bytes]]]:
-    """(start, stop, texts) of a batch, about ``SLICE_BYTES`` at a time; a null text is empty."""
-    texts, start, held, size = batch.column(column).cast(pa.binary()), 0, [], 0
-    for i in range(batch.num_rows):
-        held.append(texts[i].as_py() or b"")
-        size += len(held[-1])
-        if size >= SLICE_BYTES or i == batch.num_rows - 1:
-            yield start, i + 1, held
-            start, held, size = i + 1, [], 0
+def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, stop) of slices of about ``SLICE_BYTES``; a longer text is in a slice of its own or the last of one."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start, before = 0, 0
+    while start < len(ends):
+        stop = min(int(np.searchsorted(ends, before + SLICE_BYTES)) + 1, len(ends))
+        yield start, stop
+        start, before = stop, ends[stop - 1]
 
 
 def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,6 +90,13 @@ def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum())), lengths
 
 
+def encode_alone(chunks: list[str], alone: Callable[[list[str]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the chunks and how many each has, some chunks at a time: a library's results take much memory."""
+    found = [flat([]), *(flat(alone(chunks[i : i + JOINED])) for i in range(0, len(chunks), JOINED))]
+    values, lengths = zip(*found)
+    return np.concatenate(values), np.concatenate(lengths)
+
+
 def encode_joined(
     chunks: list[str],
     together: Callable[[list[str]], list[int]],

@@ -7,13 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from melodex.llm.chunks import ChunkTable, encode_joined, flat, interleave, slices
+from melodex.llm.chunks import ChunkTable, encode_alone, encode_joined, interleave, slices
 from melodex.llm.common import ship, total_before
 from melodex.session import discard, materialise
 
@@ -24,7 +25,7 @@ FILE_BLOCKS = 4
 MAGIC = b"TOKBLK1\n"
 HEADER = "<8sIIIQQ"  # magic, shard, block of the shard, documents, ids, bytes of the codes
 # ASCII punctuation that ends words; letters before it are a token run of their own
-ENDINGS = b".,;:!?"
+ENDINGS = ".,;:!?"
 LATIN_END = "ɐ"
 
 # lengths of the four codes of a control byte, and what to keep of four bytes for a code of each length
@@ -110,28 +111,28 @@ class WordTokens:
         ends = np.flatnonzero(self.last_of_word[ids])
         return np.concatenate([[0], ends[:-1] + 1]) if len(ends) and ends[-1] == len(ids) - 1 else ends[:0]
 
-    def _encode_parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """A word of letters is one run of tokens, the last of which is marked: such words are encoded joined."""
 
         def together(words: list[str]) -> list[int]:
             return self.library.encode(" ".join(words), add_special_tokens=False).ids
 
-        texts = [part.decode() for part in parts]
-        other = np.array([not text.isalpha() for text in texts], bool)
-        words = [text for text, is_other in zip(texts, other) if not is_other]
-        others = [text for text, is_other in zip(texts, other) if is_other]
-        return interleave(
-            encode_joined(words, together, self._alone, self._first_places), flat(self._alone(others)), other
-        )
+        other = np.array([not part.isalpha() for part in parts], bool)
+        words = [part for part, is_other in zip(parts, other) if not is_other]
+        others = [part for part, is_other in zip(parts, other) if is_other]
+        joined = encode_joined(words, together, self._alone, self._first_places)
+        return interleave(joined, encode_alone(others, self._alone), other)
 
-    def _encode_chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Letters and the punctuation after them are parts of their own; all other chunks are one part."""
         parts, counts = [], []
         for chunk in chunks:
             word = chunk.rstrip(ENDINGS)
-            if word.isalpha():  # bytes: A-Z and a-z only
+            if not word.isalpha():
+                word = chunk
+            elif word.isascii():
                 word = word.lower()
-            elif len(word) == len(chunk) or not latin(word.decode()):
+            elif len(word) < len(chunk) and not latin(word):
                 word = chunk
             parts.append(word)
             if len(word) < len(chunk):
@@ -141,47 +142,54 @@ class WordTokens:
         ids, lengths = self.parts.gather(self.parts.codes(parts))
         return ids, np.add.reduceat(lengths, np.cumsum(counts) - counts)
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, and how many each text has."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and how many each text has; a null text is empty."""
         self.table.make_room()
-        codes = [self.table.codes(text.split()) for text in texts]  # at the six ASCII blanks, where no token reaches across
-        ids, lengths = self.table.gather(np.concatenate(codes) if codes else np.zeros(0, np.int32))
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))  # no token reaches across the six ASCII blanks
+        distinct = words.flatten().dictionary_encode()
+        codes = self.table.codes(distinct.dictionary.to_pylist())
+        ids, lengths = self.table.gather(codes[distinct.indices.to_numpy()])
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        borders = ends[np.cumsum([0, *map(len, codes)])]
-        return ids, np.diff(borders)
+        return ids, np.diff(ends[np.cumsum([0, *words.value_lengths().to_numpy()])])
+
+
+def _binaries(ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Runs of numbers as a column of bytes."""
+    offsets = (np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]) * ids.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(ids.tobytes())]
+    )
 
 
 def _token_batches(sent, end_id: int, kind: str):
-    """``kind``: numpy's name of the numbers stored, of 16 bits where the vocabulary allows."""
+    """Ids of each document as numbers of ``kind`` (of 16 bits where the vocabulary allows); after each slice a row
+    with how often each id stands in it."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokens(sent.value)
+        names = ["id", "ids", "counts"]
         for batch in batches:
-            for start, stop, texts in slices(batch, 1):
-                ids, lengths = tokens.encode(texts)
-                ids = np.insert(ids, np.cumsum(lengths), end_id).astype(kind)
-                offsets = np.concatenate([[0], np.cumsum(lengths + 1)]).astype(np.int32) * ids.itemsize
-                rows = pa.Array.from_buffers(
-                    pa.binary(), len(texts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(ids.tobytes())]
-                )
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), rows], names=["id", "ids"])
+            for start, stop in slices(batch.column(1)):
+                ids, lengths = tokens.encode(batch.column(1).slice(start, stop - start))
+                ids = np.insert(ids, np.cumsum(lengths), end_id)
+                rows = [batch.column(0).slice(start, stop - start), _binaries(ids.astype(kind), lengths + 1)]
+                yield pa.RecordBatch.from_arrays([*rows, pa.nulls(stop - start, pa.binary())], names=names)
+                counts = np.bincount(ids).astype("<i8").tobytes()
+                nulls = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*nulls, pa.array([counts], pa.binary())], names=names)
 
     return per_batch
 
 
-def _count_batches(kind: str):
-    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for start, stop, ids in slices(batch, 0):
-                found = np.bincount(np.frombuffer(b"".join(ids), kind))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-                total[: len(found)] += found
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["token", "times"])
-
-    return per_batch
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(0, np.int64)
+    for batch in batches:
+        for counts in batch.column(0).to_pylist():
+            found = np.frombuffer(counts, "<i8")
+            total = np.concatenate([total, np.zeros(max(0, len(found) - len(total)), np.int64)])
+            total[: len(found)] += found
+    seen = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["token", "times"])
 
 
 def _block_batches(by_frequency: list[int], block_ids: int, kind: str):
@@ -239,14 +247,14 @@ def write_token_files(
     slim = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
     vocabulary = Tokenizer.from_str(tokenizer_json).get_vocab().values()
     kind = "<u2" if max(end_id, *vocabulary) < 1 << 16 else "<u4"
-    tokens = slim.mapInArrow(_token_batches(sent, end_id, kind), "id long, ids binary")
+    tokens = slim.mapInArrow(_token_batches(sent, end_id, kind), "id long, ids binary, counts binary")
     # the place makes equal rows different, so that many rows of one id can be divided, too
     tokens = materialise(tokens.withColumn("place", F.monotonically_increasing_id()), "token-ids", compression="zstd")
-    counts = tokens.select("ids").mapInArrow(_count_batches(kind), "token long, times long")
+    counts = tokens.select("counts").filter("counts is not null").mapInArrow(_count_batches, "token long, times long")
     counts = counts.groupBy("token").agg(F.sum("times").alias("times"))
     by_frequency = [row["token"] for row in counts.orderBy(F.desc("times"), "token").collect()]  # the vocabulary at most
     order = ["id", F.crc32("ids"), F.xxhash64("place")]
-    sorted_ids = tokens.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "ids")
+    sorted_ids = tokens.filter("ids is not null").repartitionByRange(*order).sortWithinPartitions(*order).select("id", "ids")
     blocks = sorted_ids.mapInArrow(_block_batches(by_frequency, block_ids, kind), "block binary")
     _write_bytes(blocks, f"{path}/blocks", FILE_BLOCKS)
     ranks = np.array(by_frequency, "<u4").tobytes()
@@ -267,8 +275,7 @@ def _read_batches(by_frequency: np.ndarray):
                 for shard, number, keys, lengths, ranks in unpack_blocks(content.as_py()):
                     ids = by_frequency[ranks]
                     ends = np.cumsum(lengths, dtype=np.int64)
-                    offsets = pa.py_buffer((np.concatenate([[0], ends]) * 4).astype(np.int32).tobytes())
-                    lists = pa.Array.from_buffers(pa.binary(), len(keys), [None, offsets, pa.py_buffer(ids.tobytes())])
+                    lists = _binaries(ids, lengths)
                     alike = [pa.array(np.full(len(keys), x, np.int32)) for x in (shard, number)]
                     before = pa.array(ends - lengths)
                     yield pa.RecordBatch.from_arrays(
