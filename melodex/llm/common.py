@@ -5,14 +5,14 @@ from __future__ import annotations
 import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # the white space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-# steps of frequency per doubling, in which the most frequent entries of a table are chosen
-LEVELS = 8
 
 
 def ship(module: str) -> None:
@@ -70,11 +70,32 @@ def hash_sample(df: DataFrame, rows: int, *key: str) -> DataFrame:
     return df.filter(F.xxhash64(F.lit("sample"), *key) < int((rows / total - 0.5) * 2**64))
 
 
-def least_level(counts: list[tuple[int, int]], entries: int) -> int:
-    """The lowest level of frequency (level, entries of it) that leaves no more entries than wished for."""
-    kept = 0
-    for level, count in sorted(counts, reverse=True):
-        kept += count
-        if kept > entries:
-            return level + 1
-    return 0
+def as_list(values: pa.Array) -> pa.Array:
+    """A column of one row that holds all values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def narrow(numbers: np.ndarray, below: int) -> bytes:
+    """Numbers from 0 to below ``below`` as 16 bits where that is enough, else as 32."""
+    return numbers.astype("<u2" if below <= 1 << 16 else "<u4").tobytes()
+
+
+def widen(numbers: bytes, below: int) -> np.ndarray:
+    return np.frombuffer(numbers, "<u2" if below <= 1 << 16 else "<u4")
+
+
+def with_entries(blocks: DataFrame, entries: str, table: DataFrame, *values: str) -> DataFrame:
+    """The blocks, each with ``found``: a list of (place, values) of its entries that ``table`` (entry, values) has,
+    in the order of their places.
+
+    A block holds many rows and lists their distinct entries once, so the join has one row per block and entry,
+    however often the block's rows use it, and an entry found everywhere has one row per block.
+    """
+    places = blocks.select("block", F.posexplode(entries).alias("place", "entry"))
+    known = table.withColumnRenamed("entry", "__entry")
+    found = (
+        places.join(known, F.col("entry") == F.col("__entry"))
+        .groupBy(F.col("block").alias("__block"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", *values))).alias("found"))  # entries of one block
+    )
+    return blocks.join(found, F.col("block") == F.col("__block"), "left").drop("__block", entries)

@@ -6,25 +6,31 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from melodex.llm.common import LEVELS, least_level, ship
+from melodex.llm.chunks import ragged
+from melodex.llm.common import as_list, ship, with_entries
+from melodex.llm.token_files import pack, unpack
 from melodex.session import materialise
 
 ship(__name__)
 
-LANGUAGES = 200  # languages learned at most, those of most texts
+# more languages than this are refused: a table of their totals is sent to all tasks
+LANGUAGES = 10_000
 LONGEST_GRAM = 5
-ENTRIES = 60_000  # known words, and known n-grams of each length, at most: the most frequent over all languages
 UNKNOWN = "und"
-# runs whose scores a task keeps at hand
-CACHE = 400_000
+# distinct words of a block of documents, at which the next block begins
+BLOCK_WORDS = 400_000
+# bytes of the texts of a block at most, unless one text has more
+BLOCK_BYTES = 64_000_000
 
 # runs of word characters without decimal digits and underscores; what is no letter among them is cut off later
 WORD = re.compile(r"[^\W\d_]+")
@@ -32,8 +38,8 @@ WORD = re.compile(r"[^\W\d_]+")
 
 class LanguageModel(NamedTuple):
     languages: list[str]
-    tables: list[dict[str, int]]  # rows of the known words, then of the n-grams from the longest to the shortest
-    scores: np.ndarray  # log frequency of each row in each language
+    defaults: np.ndarray  # log frequency of what a language lacks: a row per length (0: words), a column per language
+    counts: DataFrame  # (length, entry, places, times): languages and counts of every word and n-gram, stored
 
 
 def letter_words(run: str) -> list[str]:
@@ -82,133 +88,176 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _counts([language] * len(count), [len(g) for g in count], list(count), list(count.values()))
 
 
-def fit_languages(
-    docs: DataFrame, *, text: str = "text", language: str = "lang", entries: int = ENTRIES
-) -> LanguageModel:
-    """Count the words and n-grams of all texts with a language, and keep the most frequent of each length, at
-    most ``entries``, with their counts per language; entries of one level of frequency are kept or left together. Null texts and null languages teach nothing; of more than
-    ``LANGUAGES`` languages those with the most texts are learned."""
+def fit_languages(docs: DataFrame, *, text: str = "text", language: str = "lang") -> LanguageModel:
+    """Count the words and n-grams of all texts with a language, per language. All counts are kept, in a stored table.
+
+    Null texts and null languages teach nothing.
+    """
     known = docs.filter(F.col(language).isNotNull() & F.col(text).isNotNull())
-    common = known.groupBy(language).count().orderBy(F.desc("count"), language).limit(LANGUAGES).collect()
-    languages = sorted(row[0] for row in common)
-    texts = known.filter(F.col(language).isin(languages)).select(F.col(language).alias("lang"), F.col(text).alias("text"))
+    texts = known.select(F.col(language).alias("lang"), F.col(text).alias("text"))
     schema = "lang string, length int, entry string, times long"
     alike = ["lang", "length", "entry"]
     words = texts.mapInArrow(_count_words, schema).groupBy(*alike).agg(F.sum("times").alias("times"))
     # n-grams are taken from the distinct words, not from the texts
     counts = words.mapInArrow(_count_grams, schema).groupBy(*alike).agg(F.sum("times").alias("times"))
-    per_entry = counts.groupBy("length", "entry").agg(
-        F.sum("times").alias("times"), F.map_from_entries(F.collect_list(F.struct("lang", "times"))).alias("by_lang")
+    by_entry = counts.groupBy("length", "entry").agg(
+        F.sort_array(F.collect_list(F.struct("lang", "times"))).alias("found")  # languages of one entry
     )
-    per_entry = materialise(per_entry, "language-counts")
-    totals = {
-        (row["length"], row["lang"]): row["times"]
-        for row in per_entry.select("length", F.explode("by_lang").alias("lang", "times"))
-        .groupBy("length", "lang")
-        .agg(F.sum("times").alias("times"))
-        .collect()
-    }
-    per_entry = per_entry.withColumn("level", F.floor(F.log2("times") * LEVELS))
-    levels: dict[int, list[tuple[int, int]]] = {}
-    for row in per_entry.groupBy("length", "level").count().collect():  # a few hundred levels of each length
-        levels.setdefault(row["length"], []).append((row["level"], row["count"]))
-    tables, scores, rows = [], [], 0
-    for length in [0, *range(LONGEST_GRAM, 0, -1)]:
-        least = least_level(levels.get(length, []), entries)
-        kept = per_entry.filter((F.col("length") == length) & (F.col("level") >= least)).orderBy("entry").collect()
-        tables.append({row["entry"]: rows + place for place, row in enumerate(kept)})
-        rows += len(kept)
-        values = np.zeros((len(kept), len(languages)))
-        for column, name in enumerate(languages):
-            total = totals.get((length, name), 0) + len(kept) + 1
-            # an entry a language lacks counts as half a sighting
-            values[:, column] = [math.log((row["by_lang"].get(name, 0) + 0.5) / total) for row in kept]
-        scores.append(values)
-    return LanguageModel(languages, tables, np.concatenate(scores))
-
-
-def rows_of_word(word: str, model: LanguageModel) -> list[int]:
-    """The row of a known word; of another, those of its longest known n-grams. The word scores their mean."""
-    row = model.tables[0].get(word)
-    if row is not None:
-        return [row]
-    for length, table in zip(range(LONGEST_GRAM, 0, -1), model.tables[1:]):
-        rows = [table[gram] for gram in word_grams(word, length) if gram in table]
-        if rows:
-            return rows
-    return []
-
-
-class RunTable(dict):
-    """Scores of the runs of word characters met, up to ``CACHE`` of them; new ones are scored together."""
-
-    def __init__(self, model: LanguageModel):
-        self.model = model
-        self.scores = np.zeros((CACHE, len(model.languages) + 1))  # the last column counts words
-        self.new: list[str] = []
-
-    def __missing__(self, run: str) -> int:
-        row = self[run] = len(self)
-        self.new.append(run)
-        return row
-
-    def total(self, runs: list[str]) -> np.ndarray:
-        if len(self) + len(runs) > CACHE:
-            self.clear()
-        places = np.fromiter(map(self.__getitem__, runs), np.int64, len(runs))
-        self._score_new()
-        return self.scores[places].sum(0)
-
-    def _score_new(self) -> None:
-        first = len(self) - len(self.new)
-        self.scores[first : len(self)] = 0
-        rows: list[int] = []
-        starts, counts, runs = [], [], []
-        for place, run in enumerate(self.new, first):
-            words = letter_words(run)
-            self.scores[place, -1] = len(words)
-            for word in words:
-                found = rows_of_word(word, self.model)
-                if found:
-                    starts.append(len(rows))
-                    counts.append(len(found))
-                    runs.append(place)
-                    rows += found
-        if rows:
-            means = np.add.reduceat(self.model.scores[rows], starts, axis=0) / np.array(counts)[:, None]
-            np.add.at(self.scores[:, :-1], runs, means)
-        self.new = []
-
-
-def identify(text: str | None, table: RunTable) -> tuple[str, float]:
-    languages = table.model.languages
-    runs = WORD.findall((text or "").lower())
-    total = np.zeros(len(languages) + 1)
-    for start in range(0, len(runs), CACHE // 2):
-        total += table.total(runs[start : start + CACHE // 2])
-    words, total = total[-1], total[:-1]
-    if not words or not languages:
-        return UNKNOWN, 0.0
-    best = int(total.argmax())  # of equal scores the first in code point order
-    # share of the best language if a text's evidence grows with the root of its words
-    odds = np.exp((total - total[best]) / math.sqrt(words))
-    return languages[best], float(1 / odds.sum())
-
-
-def _identify_batches(sent):
+    by_entry = materialise(by_entry, "language-counts")
+    each = by_entry.select("length", F.explode("found").alias("found"))
+    totals = each.groupBy("length", "found.lang").agg(F.sum("found.times").alias("times"))
+    totals = totals.limit(LANGUAGES * (LONGEST_GRAM + 1) + 1).collect()
+    languages = sorted({row["lang"] for row in totals})
+    if len(languages) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    kinds = {row["length"]: row["count"] for row in by_entry.groupBy("length").count().collect()}
+    sums = {(row["length"], row["lang"]): row["times"] for row in totals}
+    # an entry a language lacks counts as half a sighting
+    defaults = [
+        [math.log(0.5 / (sums.get((length, name), 0) + kinds.get(length, 0) + 1)) for name in languages]
+        for length in range(LONGEST_GRAM + 1)
+    ]
+    shape = (LONGEST_GRAM + 1, len(languages))
+    places = F.transform("found", lambda x: F.array_position(F.lit(languages), x["lang"]) - 1) if languages else F.lit([])
+    table = by_entry.select(
+        "length",
+        "entry",
+        places.cast("array<int>").alias("places"),
+        F.transform("found", lambda x: x["times"]).alias("times"),
+    )
+    return LanguageModel(languages, np.array(defaults).reshape(shape), table)
+
+
+def _word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents: their ids, the distinct words of the block, and each document's words as places among them
+    with their counts."""
+    block, words, rows, size = TaskContext.get().partitionId() << 32, {}, [], 0
+
+    def finished(ids: pa.Array) -> pa.RecordBatch:
+        # the most frequent words of a block get the smallest places, whose codes are short
+        uses = [np.array(places, np.int64) for places, _ in rows]
+        order = np.argsort(-np.bincount(np.concatenate(uses), minlength=len(words)), kind="stable")
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        steps, times = [], []
+        for found, (_, count) in zip(uses, rows):
+            found = place[found]
+            sorting = np.argsort(found)
+            steps.append(np.diff(found[sorting], prepend=0))
+            times.append(np.array(count, np.int64)[sorting])
+        names = list(words)
+        packed = [*pack(np.concatenate(steps)), *pack(np.concatenate(times) - 1)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([block], pa.int64()),
+                as_list(ids),
+                as_list(pa.array([len(x) for x in steps], pa.int64())),
+                as_list(pa.array([names[i] for i in order], pa.string())),
+                pa.array([packed], pa.list_(pa.binary())),
+            ],
+            names=["block", "ids", "lengths", "words", "uses"],
+        )
+
+    def words_of(text: str) -> tuple[list[int], list[int]]:
+        counts: dict[int, int] = {}
+        for run, times in Counter(WORD.findall(text.lower())).items():
+            for word in letter_words(run):
+                place = words.setdefault(word, len(words))
+                counts[place] = counts.get(place, 0) + times
+        return list(counts), list(counts.values())
+
+    for batch in batches:
+        start = 0
+        for i in range(batch.num_rows):
+            text = batch.column(1)[i].as_py() or ""
+            rows.append(words_of(text))
+            size += len(text)
+            if len(words) >= BLOCK_WORDS or size >= BLOCK_BYTES or i == batch.num_rows - 1:
+                yield finished(batch.column(0).slice(start, i + 1 - start))
+                block, start, words, rows, size = block + 1, i + 1, {}, [], 0
+
+
+def _word_scores(blocks: DataFrame, model: LanguageModel) -> DataFrame:
+    """(entry, length, places, values) for each word of the blocks that is known or has known n-grams: by how much it
+    exceeds the default log frequency of its length in some languages."""
+    counts = model.counts
+    logs = F.transform("times", lambda n: F.log(2.0 * n + 1))  # log (n + 0.5) over log 0.5
+    known = counts.filter("length = 0").select("entry", "length", "places", logs.alias("values"))
+    distinct = blocks.select(F.explode("words").alias("word")).distinct()
+    known_words = counts.filter("length = 0").select(F.col("entry").alias("word"))
+    left = materialise(distinct.join(known_words, "word", "left_anti"), "language-unseen")
+    found = [known]
+    for length in range(LONGEST_GRAM, 0, -1):
+        marked = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
+        starts = F.sequence(F.lit(1), F.length("word") + (3 - length))
+        grams = left.filter(F.length("word") >= length - 2).select(
+            "word", F.explode(F.transform(starts, lambda i: F.substring(marked, i, F.lit(length)))).alias("gram")
+        )
+        table = counts.filter(F.col("length") == length).select(F.col("entry").alias("gram"), "places", logs.alias("values"))
+        met = grams.join(table, "gram")
+        sums = met.select("word", F.explode(F.arrays_zip("places", "values")).alias("x")).groupBy("word", "x.places")
+        sums = sums.agg(F.sum("x.values").alias("value")).groupBy("word")
+        sums = sums.agg(F.sort_array(F.collect_list(F.struct("places", "value"))).alias("sums"))  # languages of one word
+        known_grams = met.groupBy(F.col("word").alias("__word")).agg(F.count("*").alias("grams"))
+        means = sums.join(known_grams, F.col("word") == F.col("__word")).select(
+            F.col("word").alias("entry"),
+            F.lit(length).alias("length"),
+            F.transform("sums", lambda x: x["places"]).alias("places"),
+            F.transform("sums", lambda x: x["value"] / F.col("grams")).alias("values"),
+        )
+        means = materialise(means, "language-means")
+        found.append(means)
+        left = left.join(means.select(F.col("entry").alias("word")), "word", "left_anti")
+        if length > 1:
+            left = materialise(left, "language-unseen")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _score_blocks(languages: list[str], defaults: np.ndarray):
+    def score(row: tuple) -> tuple[list[str], np.ndarray]:
+        lengths, (controls, data, time_controls, time_data), found = row
+        total, documents = int(lengths.sum()), len(lengths)
+        steps = unpack(controls, data, total).astype(np.int64)
+        times = unpack(time_controls, time_data, total).astype(np.int64) + 1
+        ends = np.cumsum(steps)
+        first = np.cumsum(lengths) - lengths
+        places = ends - np.repeat(np.concatenate([[0], ends])[first], lengths)
+        document = np.repeat(np.arange(documents), lengths)
+        words = np.bincount(document, times, documents)
+        size = int(places.max(initial=-1)) + 1
+        where = np.full(size, -1)
+        scores = np.zeros((documents, len(languages)))
+        if found is not None and len(languages):
+            where[found.field("place").to_numpy()] = np.arange(len(found))
+            at = where[places]
+            document, times, at = document[at >= 0], times[at >= 0], at[at >= 0]
+            kind = found.field("length").to_numpy()[at]
+            kinds = np.bincount(document * len(defaults) + kind, times, documents * len(defaults))
+            scores += kinds.reshape(documents, -1) @ defaults
+            lists, values = found.field("places"), found.field("values")
+            starts = lists.offsets.to_numpy().astype(np.int64)
+            per_word = np.diff(starts)[at]
+            index = ragged(starts[:-1][at], per_word)
+            cell = np.repeat(document, per_word) * len(languages) + lists.values.to_numpy()[index]
+            weights = values.values.to_numpy()[index] * np.repeat(times, per_word)
+            scores += np.bincount(cell, weights, scores.size).reshape(scores.shape)
+        if not len(languages):
+            return [UNKNOWN] * documents, np.zeros(documents)
+        best = scores.argmax(1)  # of equal scores the first in code point order
+        # share of the best language if a text's evidence grows with the root of its words
+        with np.errstate(invalid="ignore", divide="ignore"):
+            odds = np.exp((scores - scores.max(1, keepdims=True)) / np.sqrt(words)[:, None])
+        share = np.where(words > 0, 1 / np.where(words > 0, odds.sum(1), 1), 0.0)
+        return [languages[k] if n else UNKNOWN for k, n in zip(best.tolist(), words)], share
+
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = RunTable(LanguageModel(*sent.value))
         for batch in batches:
-            texts = batch.column(1)
-            found = [identify(texts[i].as_py(), table) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([f[0] for f in found], pa.string()),
-                    pa.array([f[1] for f in found], pa.float64()),
-                ],
-                names=["id", "lang_pred", "score"],
-            )
+            for row in range(batch.num_rows):
+                ids, lengths, uses, found = (batch.column(k)[row] for k in range(4))
+                names, share = score((lengths.values.to_numpy(), uses.as_py(), found.values))
+                yield pa.RecordBatch.from_arrays(
+                    [ids.values, pa.array(names, pa.string()), pa.array(share)], names=["id", "lang_pred", "score"]
+                )
 
     return per_batch
 
@@ -220,16 +269,32 @@ def identify_languages(
 
     Only the text is used, all of it, in lower case. A known word adds its log frequency per language; another
     word adds the mean over its n-grams of the greatest length of which any is known, from five characters down
-    to one. A null text and one without letters are ``und`` with score 0. The model is broadcast: its tables are
-    of bounded size.
+    to one; a word of which nothing is known adds nothing. A null text and one without letters are ``und`` with score 0.
+
+    Documents are stored as blocks with their distinct words; these are joined with all counts of the model, so no
+    part of the model is sent to all tasks but the totals of the languages.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(tuple(model))
+    id_type = docs.schema[id_column].dataType
     schema = T.StructType(
         [
-            T.StructField("id", docs.schema[id_column].dataType),
-            T.StructField("lang_pred", T.StringType()),
-            T.StructField("score", T.DoubleType()),
+            T.StructField("block", T.LongType()),
+            T.StructField("ids", T.ArrayType(id_type)),
+            T.StructField("lengths", T.ArrayType(T.LongType())),
+            T.StructField("words", T.ArrayType(T.StringType())),
+            T.StructField("uses", T.ArrayType(T.BinaryType())),
         ]
     )
     slim = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    return slim.mapInArrow(_identify_batches(sent), schema).withColumnRenamed("id", id_column)
+    blocks = materialise(slim.mapInArrow(_word_blocks, schema), "language-blocks", compression="zstd")
+    looked_up = with_entries(blocks, "words", _word_scores(blocks, model), "length", "places", "values")
+    rows = looked_up.select("ids", "lengths", "uses", "found").mapInArrow(
+        _score_blocks(model.languages, model.defaults),
+        T.StructType(
+            [
+                T.StructField("id", id_type),
+                T.StructField("lang_pred", T.StringType()),
+                T.StructField("score", T.DoubleType()),
+            ]
+        ),
+    )
+    return rows.withColumnRenamed("id", id_column)

@@ -17,7 +17,7 @@ LEAST_WEIGHT = 1.0 / 1024
 
 
 class Mix(NamedTuple):
-    rows: DataFrame  # one row per document: id, source, size, source_size, target, copies, taken
+    rows: DataFrame  # one row per document: id, size, source_size, target, taken, source, copies
     sources: DataFrame  # one row per source: size, target, whole epochs and the last key of the fraction
 
 
@@ -49,7 +49,8 @@ def mix_sources(
 
     ``weights`` (id, ``weight``): quality weights in (0, 1], one row per id; missing, null or out of range
     count as 1 or the nearest bound. Null and empty texts have size 0 and are never taken. Rows of one id share
-    a key and are taken one by one. A null source is a source. No rows in, no rows out.
+    a key; they are taken one by one here, but all together by ``mixed_documents``, which knows keys only. A null
+    source is a source. No rows in, no rows out.
     """
     slim = docs.select(
         F.col(id_column).alias("id"),
@@ -67,7 +68,8 @@ def mix_sources(
     )
     placed = total_before(keyed, ["code"], "bucket", ["key", "id", "size"], F.col("size"), "before")
     more = (F.col("rest") > 0) & (F.col("before") + F.col("size") / 2 <= F.col("rest"))
-    rows = placed.withColumn("copies", F.col("epochs") + more.cast("int")).withColumn(
+    copies = F.when(F.col("size") > 0, F.col("epochs") + more.cast("int")).otherwise(0)
+    rows = placed.withColumn("copies", copies).withColumn(
         "taken", F.col("size") * F.col("copies")
     )
     cuts = (
@@ -77,7 +79,7 @@ def mix_sources(
         .withColumnRenamed("code", "__code")
     )
     sources = sources.join(cuts, F.col("code") == F.col("__code"), "left").drop("__code")
-    wanted = ["id", "source", "size", "source_size", "target", "copies", "taken"]
+    wanted = ["id", "size", "source_size", "target", "taken", "source", "copies"]
     return Mix(
         rows.select(*wanted).withColumnRenamed("id", id_column),
         sources.select("source", "source_size", "target", "epochs", "cut"),
@@ -89,6 +91,7 @@ def mixed_documents(
     weights: DataFrame | None = None,
     *,
     id_column: str = "doc_id",
+    text: str = "text",
     source: str = "source",
     seed: int = 17,
     **options,
@@ -98,7 +101,7 @@ def mixed_documents(
     A document is in the fraction when its key is not above the last key of its source, so the texts are
     matched with one small row per source instead of one row per document.
     """
-    mix = mix_sources(docs, weights, id_column=id_column, source=source, seed=seed, **options)
+    mix = mix_sources(docs, weights, id_column=id_column, text=text, source=source, seed=seed, **options)
     cuts = materialise(mix.sources, "mix-cuts").select(
         F.col("source").alias("__source"), F.col("epochs").alias("__epochs"), F.col("cut").alias("__cut")
     )
@@ -108,7 +111,7 @@ def mixed_documents(
     return (
         _weighted(docs, id_column, weights, "__weight")
         .join(cuts, F.col(source).eqNullSafe(F.col("__source")))
-        .withColumn("__copies", copies)
+        .withColumn("__copies", F.when(F.regexp_like(F.col(text), F.lit(WORD_PATTERN)), copies).otherwise(0))
         .filter("__copies > 0")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
         .select(*columns)

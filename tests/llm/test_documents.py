@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -16,6 +17,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from melodex.llm import langid
 from melodex.llm.components import connected_components
 from melodex.llm.langid import fit_languages, identify_languages
 from melodex.llm.line_dedup import deduplicate_lines
@@ -25,7 +27,7 @@ from melodex.llm.quality import fit_quality, keep_by_quality, labelled_sample, s
 from melodex.llm.queries import PIECE_MODEL, URL_RULES, op9_judge_urls, piece_model
 from melodex.llm.sharding import shard_documents
 from melodex.llm.simhash import covering_masks, fingerprint, fingerprint_links, first_of_each_group, simhash_groups
-from melodex.llm.urls import BINS, ORDER, best_threshold, count_contexts, judge_urls
+from melodex.llm.urls import BINS, ORDER, best_threshold, gram_differences, judge_urls, with_ratio
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 LINE = "this very line is long enough to be looked at by the rule"
@@ -301,6 +303,57 @@ def test_languages(spark):
     assert got[4][1] == 0 and all(0 <= s <= 1 for _, s in got.values())
 
 
+def plain_languages(taught, texts):
+    """Every word by all counts: log frequency if it is known, else the mean of its longest known n-grams."""
+    counts, languages = defaultdict(Counter), sorted({lang for lang, _ in taught})
+    for lang, text in taught:
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            counts[0, lang][word] += 1
+            for n in range(1, 6):
+                counts[n, lang].update(f" {word} "[i : i + n] for i in range(len(word) + 3 - n))
+    kinds = {n: len(set().union(*(counts[n, lang] for lang in languages))) for n in range(6)}
+
+    def log(n, lang, entry):
+        table = counts[n, lang]
+        return math.log((table[entry] + 0.5) / (table.total() + kinds[n] + 1))
+
+    def word_scores(word):
+        for n, entries in [(0, [word]), *((n, [f" {word} "[i : i + n] for i in range(len(word) + 3 - n)]) for n in range(5, 0, -1))]:
+            known = [e for e in entries if any(e in counts[n, lang] for lang in languages)]
+            if known:
+                return [sum(log(n, lang, e) for e in known) / len(known) for lang in languages]
+        return [0.0] * len(languages)
+
+    out = []
+    for text in texts:
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        if not words:
+            out.append(("und", 0.0))
+            continue
+        total = [sum(x) for x in zip(*map(word_scores, words))]
+        best = max(total)
+        out.append((languages[total.index(best)], 1 / sum(math.exp((x - best) / math.sqrt(len(words))) for x in total)))
+    return out
+
+
+def test_languages_equal_the_plain_version(spark, monkeypatch):
+    monkeypatch.setattr(langid, "BLOCK_WORDS", 60)
+    draw = random.Random(6)
+    letters = {"aa": "abcd", "bb": "bcde", "cc": "cdeé"}
+    taught = []
+    for _ in range(60):
+        lang = draw.choice(list(letters))
+        taught.append((lang, " ".join("".join(draw.choices(letters[lang], k=draw.randint(1, 7))) for _ in range(12))))
+    taught.append(("bb", "once"))  # a word seen a single time counts
+    texts = ["once", "onces", "ONCE once", "zzz 世界 12", "世", "12 _ !", "", None, *(text for _, text in taught[:20])]
+    texts += ["".join(draw.choices("abcdeé z", k=40)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, text, lang, "s") for i, (lang, text) in enumerate(taught)], SCHEMA).repartition(3)
+    rows = spark.createDataFrame([(i, t, None, "s") for i, t in enumerate(texts)], SCHEMA).repartition(2)
+    got = {r.doc_id: r for r in identify_languages(rows, fit_languages(docs)).collect()}
+    for i, (lang, score) in enumerate(plain_languages(taught, texts)):
+        assert got[i].lang_pred == lang and got[i].score == pytest.approx(score), texts[i]
+
+
 def test_languages_of_awkward_rows(spark):
     docs = awkward(spark)
     assert identify_languages(docs, fit_languages(docs)).count() == 7
@@ -381,29 +434,45 @@ def test_url_ratio_tells_hosts_apart(spark):
     assert com.count("block") > 0.9 * len(com) and org.count("allow") > 0.8 * len(org)
 
 
-def test_contexts_are_counted_over_all_addresses(spark):
-    rows = [("allow", "abab\u00e9/x"), ("allow", "ab"), ("block", "ba" * 40), ("allow", "")]
-    found = count_contexts(spark.createDataFrame(rows, "verdict string, address string").repartition(3), 10_000)
+def plain_ratios(rows):
+    """Mean log ratio per byte of every address, by counting all contexts of the addresses of each verdict."""
+    models = {}
     for verdict in ("allow", "block"):
-        plain = {}
-        for text in (address.encode() for kind, address in rows if kind == verdict):
+        contexts = models.setdefault(verdict, defaultdict(list))
+        for text in (address.encode() for kind, address in set(rows) if kind == verdict):
             for i in range(len(text)):
                 for length in range(min(i, ORDER) + 1):
-                    plain.setdefault(text[i - length : i], []).append(text[i])
-        assert found[verdict] == {
-            context: (len(seen), len(set(seen)), dict(Counter(seen))) for context, seen in plain.items()
-        }
-
-
-def test_kept_contexts_hold_their_ends(spark):
-    rows = [("allow", f"host{i % 7}.org/{i * i}/{'z' * (i % 5)}") for i in range(300)]
-    addresses = spark.createDataFrame(rows, "verdict string, address string")
-    model, whole = count_contexts(addresses, 40)["allow"], count_contexts(addresses, 10_000)["allow"]
-    assert 1 < len(model) < len(whole)
-    for length in range(ORDER + 1):
-        assert sum(kinds for context, (_, kinds, _) in model.items() if len(context) == length) <= 40
-    assert all(context[1:] in model for context in model if context)
-    assert all(whole[context] == entry for context, entry in model.items())
+                    contexts[text[i - length : i]].append(text[i])
+
+    def probability(contexts, context, byte):
+        value = 1 / 256
+        for length in range(len(context) + 1):
+            seen = contexts.get(context[len(context) - length :], [])
+            if seen:
+                kinds = len(set(seen))
+                value = (seen.count(byte) + kinds * value) / (len(seen) + kinds)
+        return value
+
+    out = []
+    for _, address in rows:
+        text, total = address.encode(), 0.0
+        for i in range(len(text)):
+            accepted, rejected = (probability(models[v], text[max(0, i - ORDER) : i], text[i]) for v in ("allow", "block"))
+            total += math.log(accepted / rejected)
+        out.append(total / len(text) if text else 0.0)
+    return out
+
+
+def test_url_ratios_equal_the_plain_version(spark):
+    draw = random.Random(2)
+    rows = [("allow", "abab\u00e9/x"), ("allow", "ab"), ("block", "ba" * 40), ("allow", ""), (None, "seen nowhere"), (None, "abx")]
+    rows += [(draw.choice(["allow", "block", None]), "".join(draw.choices("abc/.é", k=draw.randint(0, 12)))) for _ in range(200)]
+    taught = dict((address, verdict) for verdict, address in rows)  # one verdict per address
+    rows = [(taught[address], address) for _, address in rows]
+    table = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "n long, verdict string, address string").repartition(3)
+    scored = with_ratio(table, gram_differences(table.select("verdict", "address").distinct())).collect()
+    got = {row.n: row.ratio for row in scored}
+    assert [got[i] for i in range(len(rows))] == pytest.approx(plain_ratios(rows))
 
 
 @given(st.lists(st.tuples(st.integers(-30, 30), st.booleans()), max_size=40))
