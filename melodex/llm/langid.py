@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,9 +28,9 @@ LANGUAGES = 10_000
 LONGEST_GRAM = 5
 UNKNOWN = "und"
 # distinct words of a block of documents, at which the next block begins
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 200_000
 # bytes of the texts of a block at most, unless one text has more
-BLOCK_BYTES = 64_000_000
+BLOCK_BYTES = 32_000_000
 
 # runs of word characters without decimal digits and underscores; what is no letter among them is cut off later
 WORD = re.compile(r"[^\W\d_]+")
@@ -103,7 +103,7 @@ def fit_languages(docs: DataFrame, *, text: str = "text", language: str = "lang"
     by_entry = counts.groupBy("length", "entry").agg(
         F.sort_array(F.collect_list(F.struct("lang", "times"))).alias("found")  # languages of one entry
     )
-    by_entry = materialise(by_entry, "language-counts")
+    by_entry = materialise(by_entry, "language-counts", compression="zstd")
     each = by_entry.select("length", F.explode("found").alias("found"))
     totals = each.groupBy("length", "found.lang").agg(F.sum("found.times").alias("times"))
     totals = totals.limit(LANGUAGES * (LONGEST_GRAM + 1) + 1).collect()
@@ -177,12 +177,18 @@ def _word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 block, start, words, rows, size = block + 1, i + 1, {}, [], 0
 
 
+def _score_text(length: int, pairs: Column, value: str) -> Column:
+    """``length language:value language:value ...``; as text, as most words have one language and a small count."""
+    parts = F.transform(pairs, lambda x: F.concat(x["places"].cast("string"), F.lit(":"), x[value].cast("string")))
+    return F.concat_ws(" ", F.lit(str(length)), parts).alias("score")
+
+
 def _word_scores(blocks: DataFrame, model: LanguageModel) -> DataFrame:
-    """(entry, length, places, values) for each word of the blocks that is known or has known n-grams: by how much it
-    exceeds the default log frequency of its length in some languages."""
+    """(entry, score) for each word of the blocks that is known or has known n-grams: the counts of a known word, else by how
+    much the mean of its n-grams exceeds the default log frequency of their length, in the languages that have them."""
     counts = model.counts
     logs = F.transform("times", lambda n: F.log(2.0 * n + 1))  # log (n + 0.5) over log 0.5
-    known = counts.filter("length = 0").select("entry", "length", "places", logs.alias("values"))
+    known = counts.filter("length = 0").select("entry", _score_text(0, F.arrays_zip("places", "times"), "times"))
     distinct = blocks.select(F.explode("words").alias("word")).distinct()
     known_words = counts.filter("length = 0").select(F.col("entry").alias("word"))
     left = materialise(distinct.join(known_words, "word", "left_anti"), "language-unseen")
@@ -199,11 +205,11 @@ def _word_scores(blocks: DataFrame, model: LanguageModel) -> DataFrame:
         sums = sums.agg(F.sum("x.values").alias("value")).groupBy("word")
         sums = sums.agg(F.sort_array(F.collect_list(F.struct("places", "value"))).alias("sums"))  # languages of one word
         known_grams = met.groupBy(F.col("word").alias("__word")).agg(F.count("*").alias("grams"))
+        mean = F.transform(
+            "sums", lambda x: F.struct(x["places"].alias("places"), (x["value"] / F.col("grams")).alias("value"))
+        )
         means = sums.join(known_grams, F.col("word") == F.col("__word")).select(
-            F.col("word").alias("entry"),
-            F.lit(length).alias("length"),
-            F.transform("sums", lambda x: x["places"]).alias("places"),
-            F.transform("sums", lambda x: x["value"] / F.col("grams")).alias("values"),
+            F.col("word").alias("entry"), _score_text(length, mean, "value")
         )
         means = materialise(means, "language-means")
         found.append(means)
@@ -213,6 +219,28 @@ def _word_scores(blocks: DataFrame, model: LanguageModel) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+class ScoreTable(dict):
+    """The different scores met, by their text: length, and languages with what they add to the default."""
+
+    def __init__(self):
+        self.lengths: list[int] = []
+        self.counts: list[int] = []
+        self.languages: list[int] = []
+        self.values: list[float] = []
+
+    def __missing__(self, text: str) -> int:
+        length, *parts = text.split(" ")
+        for part in parts:
+            language, value = part.split(":")
+            self.languages.append(int(language))
+            # a known word has its count
+            self.values.append(math.log(2 * int(value) + 1) if length == "0" else float(value))
+        self.lengths.append(int(length))
+        self.counts.append(len(parts))
+        code = self[text] = len(self)
+        return code
+
+
 def _score_blocks(languages: list[str], defaults: np.ndarray):
     def score(row: tuple) -> tuple[list[str], np.ndarray]:
         lengths, (controls, data, time_controls, time_data), found = row
@@ -224,22 +252,21 @@ def _score_blocks(languages: list[str], defaults: np.ndarray):
         places = ends - np.repeat(np.concatenate([[0], ends])[first], lengths)
         document = np.repeat(np.arange(documents), lengths)
         words = np.bincount(document, times, documents)
-        size = int(places.max(initial=-1)) + 1
-        where = np.full(size, -1)
         scores = np.zeros((documents, len(languages)))
-        if found is not None and len(languages):
-            where[found.field("place").to_numpy()] = np.arange(len(found))
+        if found is not None and len(languages) and total:
+            table = ScoreTable()
+            codes = np.fromiter(map(table.__getitem__, found.field("score").to_pylist()), np.int64, len(found))
+            where = np.full(int(places.max()) + 1, -1)
+            where[found.field("place").to_numpy()] = codes
             at = where[places]
             document, times, at = document[at >= 0], times[at >= 0], at[at >= 0]
-            kind = found.field("length").to_numpy()[at]
+            kind = np.array(table.lengths)[at]
             kinds = np.bincount(document * len(defaults) + kind, times, documents * len(defaults))
             scores += kinds.reshape(documents, -1) @ defaults
-            lists, values = found.field("places"), found.field("values")
-            starts = lists.offsets.to_numpy().astype(np.int64)
-            per_word = np.diff(starts)[at]
-            index = ragged(starts[:-1][at], per_word)
-            cell = np.repeat(document, per_word) * len(languages) + lists.values.to_numpy()[index]
-            weights = values.values.to_numpy()[index] * np.repeat(times, per_word)
+            counts = np.array(table.counts)
+            index = ragged((np.cumsum(counts) - counts)[at], counts[at])
+            cell = np.repeat(document, counts[at]) * len(languages) + np.array(table.languages)[index]
+            weights = np.array(table.values)[index] * np.repeat(times, counts[at])
             scores += np.bincount(cell, weights, scores.size).reshape(scores.shape)
         if not len(languages):
             return [UNKNOWN] * documents, np.zeros(documents)
@@ -286,7 +313,7 @@ def identify_languages(
     )
     slim = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     blocks = materialise(slim.mapInArrow(_word_blocks, schema), "language-blocks", compression="zstd")
-    looked_up = with_entries(blocks, "words", _word_scores(blocks, model), "length", "places", "values")
+    looked_up = with_entries(blocks, "words", _word_scores(blocks, model), "score")
     rows = looked_up.select("ids", "lengths", "uses", "found").mapInArrow(
         _score_blocks(model.languages, model.defaults),
         T.StructType(

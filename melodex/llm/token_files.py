@@ -28,31 +28,37 @@ HEADER = "<8sIIIQQ"  # magic, shard, block of the shard, documents, ids, bytes o
 ENDINGS = ".,;:!?"
 LATIN_END = "ɐ"
 
-# lengths of the four codes of a control byte, and what to keep of four bytes for a code of each length
+# lengths of the four codes of a control byte
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
-KEEP = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes (two bits per value: its bytes less one) and the values' bytes, little end first."""
-    values = values.astype("<u4")
-    lengths = 1 + (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    values = values.astype(np.uint32)
+    more = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
     padded = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    padded[: len(values)] = lengths - 1
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    used = np.arange(4) < lengths[:, None]
-    return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    padded[: len(values)] = more
+    control = padded[0::4] | padded[1::4] << 2 | padded[2::4] << 4 | padded[3::4] << 6
+    ends = np.cumsum(more, dtype=np.int64) + np.arange(1, len(values) + 1)
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    places = ends - more - 1
+    data[places] = values.astype(np.uint8)
+    for byte in range(1, int(more.max(initial=0)) + 1):
+        longer = np.flatnonzero(more >= byte)
+        data[places[longer] + byte] = values[longer] >> np.uint32(8 * byte)
+    return control.tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The values of ``pack``: lengths are looked up by control byte, then all codes are read at once."""
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
     places = np.cumsum(lengths, dtype=np.int64) - lengths
-    codes = np.frombuffer(data + b"\0\0\0", np.uint8)
-    values = np.zeros(count, np.uint32)
-    for byte in range(int(lengths.max(initial=0))):
-        values |= codes[places + byte].astype(np.uint32) << np.uint32(8 * byte)
-    return values & KEEP[lengths]
+    codes = np.frombuffer(data, np.uint8)
+    values = codes[places].astype(np.uint32)
+    for byte in range(1, int(lengths.max(initial=0))):
+        longer = np.flatnonzero(lengths > byte)
+        values[longer] |= codes[places[longer] + byte].astype(np.uint32) << np.uint32(8 * byte)
+    return values
 
 
 def pack_block(shard: int, number: int, keys: list[int | None], lengths: list[int], ranks: np.ndarray) -> bytes:
