@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,7 +57,7 @@ def _codes(items: pa.ChunkedArray, seeds: pa.ChunkedArray) -> tuple[np.ndarray,
     return of_items, np.where(of_seeds < 0, -2, of_seeds)
 
 
-class _Tile:
+class Tile:
     """Cosines between the seeds and the items of one tile, a slice of seeds at a time."""
 
     def __init__(self, items: pa.Table, seeds: pa.Table):
@@ -155,7 +155,7 @@ class _Blocks:
         )
 
 
-def _per_tile(
+def per_tile(
     left: DataFrame,
     right: DataFrame,
     function: Callable[[pa.Table, pa.Table], pa.Table],
@@ -192,32 +192,38 @@ def as_seeds(features: DataFrame, key: str = "track_id") -> DataFrame:
 # ---- content -------------------------------------------------------------------------------------
 
 
-def content_top_k(items: DataFrame, seeds: DataFrame, k: int, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """(seed, item, score, rank) of the k items with the highest cosine, the seed itself left out.
+def best_of_tile(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Of a tile's items and seeds, the k best items of each seed (seed, item, score)."""
 
-    Both sides are feature rows: (item, dense, cats) and (seed, dense, cats).
-    """
-    blocks = _Blocks(items, seeds, tile_rows, tile_rows)
-    schema = T.StructType(
-        [_id_field(seeds, "seed"), _id_field(items, "item"), T.StructField("score", T.DoubleType())]
-    )
-
-    def best_of_tile(left: pa.Table, right: pa.Table) -> pa.Table:
+    def best(left: pa.Table, right: pa.Table) -> pa.Table:
         out = pa.schema(
             [("seed", right.schema.field("seed").type), ("item", left.schema.field("item").type), ("score", pa.float64())]
         )
         parts = []
         if left.num_rows and right.num_rows:
-            tile = _Tile(left.sort_by("item"), right)
+            tile = Tile(left.sort_by("item"), right)
             for part, scores in tile.slices():
                 rows, columns = _best(scores, k, tile.own_columns(part))
                 parts.append((tile.seed_ids[part].take(pa.array(rows)), tile.item_ids.take(pa.array(columns)), scores[rows, columns]))
         return _result(out, parts)
 
-    tiles = _per_tile(
+    return best
+
+
+def content_top_k(items: DataFrame, seeds: DataFrame, k: int, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(seed, item, score, rank) of the k items with the highest cosine, the seed itself left out.
+
+    Both sides are feature rows: (item, dense, cats) and (seed, dense, cats).
+    """
+    blocks = _Blocks(items, seeds, tile_rows, tile_rows)
+    schema = T.StructType(
+        [_id_field(seeds, "seed"), _id_field(items, "item"), T.StructField("score", T.DoubleType())]
+    )
+
+    tiles = per_tile(
         blocks.tile_items(items, "item", "dense", "cats"),
         blocks.tile_seeds(seeds, "seed", "dense", "cats"),
-        best_of_tile,
+        best_of_tile(k),
         schema,
     )
     return top_k(tiles, k)
@@ -234,12 +240,12 @@ def content_ranges(items: DataFrame, seeds: DataFrame, tile_rows: int = TILE_ROW
         out = pa.schema([("seed", right.schema.field("seed").type), ("low", pa.float64()), ("high", pa.float64())])
         parts = []
         if left.num_rows and right.num_rows:
-            tile = _Tile(left, right)
+            tile = Tile(left, right)
             for part, scores in tile.slices():
                 parts.append((tile.seed_ids[part], scores.min(axis=1), scores.max(axis=1)))
         return _result(out, parts)
 
-    tiles = _per_tile(
+    tiles = per_tile(
         blocks.tile_items(items, "item", "dense", "cats"),
         blocks.tile_seeds(seeds, "seed", "dense", "cats"),
         range_of_tile,
@@ -325,7 +331,7 @@ def _heavy_products(entries: DataFrame, users: DataFrame) -> DataFrame:
                 parts.append(tuple(_array(column) for column in found.filter(once).columns))
         return _result(out, parts)
 
-    return _per_tile(left, right, product_of_tile, schema, tile)
+    return per_tile(left, right, product_of_tile, schema, tile)
 
 
 def collab_products(interactions: DataFrame, seeds: DataFrame, heavy_items: int = HEAVY_ITEMS) -> DataFrame:
@@ -370,14 +376,14 @@ def collab_products(interactions: DataFrame, seeds: DataFrame, heavy_items: int
 
 
 def collab_scores(interactions: DataFrame, seeds: DataFrame, heavy_items: int = HEAVY_ITEMS) -> DataFrame:
-    """(seed, item, score): cosine of the user profiles, the seed's own row included."""
-    norms = item_norms(interactions)
-    products = collab_products(interactions, seeds, heavy_items)
-    return (
-        products.join(norms.select(F.col("track_id").alias("seed"), F.col("norm").alias("seed_norm")), "seed")
-        .join(norms.select(F.col("track_id").alias("item"), F.col("norm").alias("item_norm")), "item")
-        .select("seed", "item", (F.col("dot") / (F.col("seed_norm") * F.col("item_norm"))).alias("score"))
-    )
+    """(seed, item, score): cosine of the user profiles, the seed's own row included.
+
+    Plays are divided by the norm of their track first, so the products are the scores.
+    """
+    norms = item_norms(interactions).select(F.col("track_id").alias("__track"), "norm")
+    scaled = interactions.filter("playcount != 0").join(norms, F.col("track_id") == F.col("__track"))
+    scaled = scaled.withColumn("playcount", F.col("playcount") / F.col("norm")).drop("__track", "norm")
+    return collab_products(scaled, seeds, heavy_items).withColumnRenamed("dot", "score")
 
 
 def collab_top_k(
@@ -434,29 +440,8 @@ def collab_ranges(scores: DataFrame, n_items: Column) -> DataFrame:
     )
 
 
-def collab_ranges_of_seeds(interactions: DataFrame, seeds: DataFrame, n_items: Column) -> DataFrame:
-    """(seed, low, high) of each seed's collaborative scores over the ``n_items`` tracks of the log.
-
-    A seed scores highest against itself, 1, and 0 against any track it shares no listener with. Only a seed
-    that may share listeners with every track needs all its scores: one whose listeners' track counts add
-    up to the number of tracks. Finding those is one pass over the log; mostly there are none.
-    """
-    entries = interactions.filter("playcount != 0").select("track_id", "user_id")
-    sizes = entries.groupBy("user_id").agg(F.count("*").alias("n"))
-    reach = (
-        entries.join(seeds.select("track_id").distinct(), "track_id", "left_semi")
-        .join(sizes, "user_id")
-        .groupBy("track_id")
-        .agg(F.sum("n").alias("reach"))
-    )
-    default = reach.select(F.col("track_id").alias("seed"), F.lit(0.0).alias("low"), F.lit(1.0).alias("high"))
-    # with negative plays no range is known beforehand
-    least = interactions.agg(F.min("playcount")).scalar()
-    far = reach.filter((F.col("reach") >= n_items) | (least < 0)).select("track_id")
-    exact = collab_ranges(collab_scores(interactions, far), n_items)
-    return default.join(exact.withColumnsRenamed({"low": "_low", "high": "_high"}), "seed", "left").select(
-        "seed", F.coalesce("_low", "low").alias("low"), F.coalesce("_high", "high").alias("high")
-    )
+# what a tile returns beyond the k best pairs without a collaborative score, as ranks are only final after rounding
+SPARE = 8
 
 
 def hybrid_top_k(
@@ -466,15 +451,17 @@ def hybrid_top_k(
 
     ``items`` and ``seeds`` are feature rows of the same universe, ``collab`` the non-zero collaborative
     scores (seed, item, score) inside it and ``collab_range`` their ranges (seed, low, high). Pairs missing
-    in ``collab`` score 0. The ranges are known before the tiles run, so a tile can rank final scores and
-    return k items per seed.
+    in ``collab`` score 0. The content cosines are computed once: a tile returns each seed's lowest and highest, its best pairs
+    without a collaborative score (the blend ranks these as their cosines do), and all pairs with one. The
+    ranges of a seed's tiles give the scores, and the scores the ranks, where its rows meet.
     """
-    content_range = content_ranges(items, seeds)
-    ranged = (
-        seeds.join(content_range.withColumnsRenamed({"low": "content_low", "high": "content_high"}), "seed")
-        .join(collab_range.withColumnsRenamed({"low": "collab_low", "high": "collab_high"}), "seed", "left")
-        .na.fill(0.0, ["collab_low", "collab_high"])
-    )
+    ranged = seeds.join(
+        collab_range.select(
+            F.col("seed").alias("__seed"), F.col("low").alias("collab_low"), F.col("high").alias("collab_high")
+        ),
+        F.col("seed") == F.col("__seed"),
+        "left",
+    ).na.fill(0.0, ["collab_low", "collab_high"])
     blocks = _Blocks(items, seeds, HYBRID_TILE_ITEMS, HYBRID_TILE_SEEDS)
     # one side of the tile carries both the items and their collaborative scores
     nothing = F.lit(None)
@@ -493,22 +480,26 @@ def hybrid_top_k(
         "score",
     )
     left_side = item_rows.unionByName(score_rows)
-    right_side = blocks.tile_seeds(
-        ranged, "seed", "dense", "cats", "content_low", "content_high", "collab_low", "collab_high"
-    )
+    right_side = blocks.tile_seeds(ranged, "seed", "dense", "cats", "collab_low", "collab_high")
     schema = T.StructType(
-        [_id_field(seeds, "seed"), _id_field(items, "item"), T.StructField("score", T.DoubleType())]
+        [
+            _id_field(seeds, "seed"),
+            _id_field(items, "item"),  # null in the rows of the ranges
+            T.StructField("content", T.DoubleType()),
+            T.StructField("rest", T.DoubleType()),  # the collaborative part of the score; the highest content in the rows of the ranges
+        ]
     )
 
-    def best_of_tile(left: pa.Table, right: pa.Table) -> pa.Table:
+    def pairs_of_tile(left: pa.Table, right: pa.Table) -> pa.Table:
+        item_type = left.schema.field("item").type
         out = pa.schema(
-            [("seed", right.schema.field("seed").type), ("item", left.schema.field("item").type), ("score", pa.float64())]
+            [("seed", right.schema.field("seed").type), ("item", item_type), ("content", pa.float64()), ("rest", pa.float64())]
         )
         is_item = pc.is_null(left["seed"])
         item_table = left.filter(is_item)
         parts = []
         if item_table.num_rows and right.num_rows:
-            tile = _Tile(item_table.select(["item", "dense", "cats"]).sort_by("item"), right)
+            tile = Tile(item_table.select(["item", "dense", "cats"]).sort_by("item"), right)
             scored = left.filter(pc.invert(is_item))
             at_seed = pc.index_in(scored["seed"], value_set=tile.seed_ids)
             at_item = pc.index_in(scored["item"], value_set=tile.item_ids)
@@ -518,23 +509,34 @@ def hybrid_top_k(
             values = _array(scored["score"].filter(inside)).to_numpy(zero_copy_only=False)
             by_seed = np.argsort(seed_rows, kind="stable")
             seed_rows, item_columns, values = seed_rows[by_seed], item_columns[by_seed], values[by_seed]
-            bounds = {
-                name: _array(right[name]).to_numpy(zero_copy_only=False)[:, None]
-                for name in ("content_low", "content_high", "collab_low", "collab_high")
-            }
-            for part, content in tile.slices():
-                first, last = np.searchsorted(seed_rows, [part.start, part.start + len(content)])
-                collab_part = np.zeros_like(content)
-                collab_part[seed_rows[first:last] - part.start, item_columns[first:last]] = values[first:last]
+            low, high = (_array(right[f"collab_{end}"]).to_numpy(zero_copy_only=False) for end in ("low", "high"))
 
-                def normalised(scores, name, part=part):
-                    low, high = bounds[f"{name}_low"][part], bounds[f"{name}_high"][part]
-                    return (scores - low) / (high - low + MINMAX_EPSILON)
+            def rest(of: np.ndarray, collab: np.ndarray | float) -> np.ndarray:
+                return (1 - weight_content) * (collab - low[of]) / (high[of] - low[of] + MINMAX_EPSILON)
 
-                scores = weight_content * normalised(content, "content")
-                scores += (1 - weight_content) * normalised(collab_part, "collab")
-                rows, columns = _best(scores, k, tile.own_columns(part))
-                parts.append((tile.seed_ids[part].take(pa.array(rows)), tile.item_ids.take(pa.array(columns)), scores[rows, columns]))
+            for part, content in tile.slices():
+                first, last = np.searchsorted(seed_rows, [part.start, part.start + len(content)])
+                rows, columns = seed_rows[first:last] - part.start, item_columns[first:last]
+                own = tile.own_columns(part)
+                taken = tuple(np.concatenate(x) for x in zip(own, (rows, columns)))
+                best = _best(weight_content * content, k + SPARE, taken)
+                is_own = np.zeros(content.shape, bool)
+                is_own[own] = True
+                other = ~is_own[rows, columns]
+                ids = tile.seed_ids[part]
+                for (r, c), collab in ((best, 0.0), ((rows[other], columns[other]), values[first:last][other])):
+                    of = r + part.start
+                    parts.append((ids.take(pa.array(r)), tile.item_ids.take(pa.array(c)), content[r, c], rest(of, collab)))
+                parts.append((ids, pa.nulls(len(ids), item_type), content.min(axis=1), content.max(axis=1)))
         return _result(out, parts)
 
-    return top_k(_per_tile(left_side, right_side, best_of_tile, schema), k)
+    rows = per_tile(left_side, right_side, pairs_of_tile, schema)
+    of_seed = Window.partitionBy("seed")
+    is_range = F.col("item").isNull()
+    ranges = {
+        "low": F.min(F.when(is_range, F.col("content"))).over(of_seed),
+        "high": F.max(F.when(is_range, F.col("rest"))).over(of_seed),
+    }
+    content = (F.col("content") - F.col("low")) / (F.col("high") - F.col("low") + MINMAX_EPSILON)
+    pairs = rows.withColumns(ranges).filter(~is_range)
+    return top_k(pairs.select("seed", "item", (weight_content * content + F.col("rest")).alias("score")), k)

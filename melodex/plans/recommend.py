@@ -18,15 +18,16 @@ from melodex.operators.lookup import (
     route,
     with_history_flag,
 )
+from melodex.operators.pruned import pruned_top_k
 from melodex.operators.similarity import (
     as_items,
     as_seeds,
-    collab_ranges_of_seeds,
+    collab_ranges,
     collab_scores,
     collab_top_k,
-    content_top_k,
     hybrid_top_k,
 )
+from melodex.session import materialise
 from melodex.sources.schemas import PREVIEW_URL
 
 # Default list lengths of the recommenders and of the lists that are evaluated.
@@ -43,7 +44,7 @@ def _seed_features(features: DataFrame, seeds: DataFrame) -> DataFrame:
 
 def content_lists(features: DataFrame, seeds: DataFrame, k: int = EVALUATED_K) -> DataFrame:
     """(seed, item, score, rank) by content for every seed ``track_id``."""
-    return content_top_k(as_items(features), _seed_features(features, seeds), check_k(k))
+    return pruned_top_k(as_items(features), _seed_features(features, seeds), check_k(k))
 
 
 def collab_lists(
@@ -66,12 +67,12 @@ def hybrid_lists(
     common = tracks_with_history(features, interactions)
     inside = interactions.join(features.select("track_id"), "track_id", "left_semi")
     listed = seeds.select("track_id").distinct()
-    collab_range = collab_ranges_of_seeds(inside, listed, common.agg(F.count("*")).scalar())
+    scores = materialise(collab_scores(inside, listed), "collab-scores")  # read for the ranges and for the pairs
     return hybrid_top_k(
         as_items(common),
         _seed_features(common, listed),
-        collab_scores(inside, listed),
-        collab_range,
+        scores,
+        collab_ranges(scores, common.agg(F.count("*")).scalar()),
         k,
         weight_content,
     )
@@ -168,7 +169,7 @@ def routed_recommendations(
 
 def adhoc_recommendations(features: DataFrame, adhoc_features: DataFrame, k: int = CONTENT_K) -> DataFrame:
     """Content lists for encoded songs that are not in the catalogue."""
-    return content_top_k(as_items(features), as_seeds(adhoc_features), check_k(k))
+    return pruned_top_k(as_items(features), as_seeds(adhoc_features), check_k(k))
 
 
 def _weight(weight_content: float | None, diversity: int | None) -> float:

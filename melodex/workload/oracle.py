@@ -660,3 +660,4 @@ steps AS (
   regexp_extract_all(text, '\\p{L}+|\\P{L}+'), lambda r: CASE WHEN r[1] = 'ß' THEN 'Ss' ELSE upper(r[1]) END || lower(r[2:])), '')) AS title_md5 FROM documents""",
     "s2_words": "SELECT doc_id, len(regexp_extract_all(lower(text), '\\w\\w+'))::BIGINT AS n_words FROM documents",
 }
+ORACLE["h1_pruned_search"] = ORACLE["h1_embedding_cosine"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from melodex.functions.scoring import DIVERSITY_STEPS, diversity_weight_column
 from melodex.functions.text import ASCII_WORD_PATTERN, MISSING_TAGS, title_case, words
 from melodex.functions.vectors import cosine, dot, l2_norm
-from melodex.operators import clean, features, interactions, lookup, metrics, profile, ranking, search, similarity, split
+from melodex.operators import clean, features, interactions, lookup, metrics, profile, pruned, ranking, search, similarity, split
 from melodex.plans import evaluate, pipeline, recommend
 from melodex.session import materialise, new_folder
 from melodex.sources import files
@@ -672,10 +672,29 @@ def _embedding_features(spark: SparkSession, folder: str) -> DataFrame:
 def h1_embedding_cosine(spark, folder):
     vectors = _embedding_features(spark, folder)
     return _lists(
-        similarity.content_top_k(similarity.as_items(vectors), similarity.as_seeds(vectors), 10)
+        pruned.pruned_top_k(similarity.as_items(vectors), similarity.as_seeds(vectors), 10)
     )
 
 
+@query
+def h1_pruned_search(spark, folder):
+    """The same lists by blocks of like items, without the blocks that cannot hold a nearer one."""
+    return _lists(_pruned(spark, folder).lists)
+
+
+@query
+def h1_visited_blocks(spark, folder):
+    """How many pairs of a vector and a block the search visited, of all."""
+    return _pruned(spark, folder).visits.agg(
+        F.count("*").alias("seeds"), F.sum("visited").alias("visited"), F.sum("blocks").alias("pairs")
+    )
+
+
+def _pruned(spark, folder):
+    vectors = materialise(_embedding_features(spark, folder), "vectors")
+    return pruned.search(similarity.as_items(vectors), similarity.as_seeds(vectors), 10, pivots=64)
+
+
 @query
 def h1_label_centre_cosine(spark, folder):
     """Cosine of every embedding to the mean embedding of its label, by column expressions."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import listening
 from melodex.functions.scoring import diversity_weight
-from melodex.operators import similarity
+from melodex.operators import pruned, similarity
 from melodex.plans import recommend as r
 
 
@@ -164,6 +164,46 @@ def test_content_lists_against_numpy(spark):
     assert _lists(found) == _expected(cosine, 7, range(60))
 
 
+def _clustered(spark, clusters=12, members=25):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(clusters, 8))
+    dense = np.repeat(centres, members, axis=0) + rng.normal(size=(clusters * members, 8)) * 0.05
+    dense[3] = dense[4]  # copies, and a vector without direction
+    dense[9] = 0
+    artists = [[f"={i // members}"] if i % 3 else [None] for i in range(len(dense))]
+    features = spark.createDataFrame(
+        [(i, dense[i].tolist(), artists[i]) for i in range(len(dense))], "track_id long, dense array<double>, cats array<string>"
+    )
+    onehot = np.array([[float(a == [f"={c}"]) for c in range(clusters)] for a in artists])
+    return features, _cosine(np.hstack([dense, onehot]))
+
+
+@pytest.mark.parametrize("pivots", [1, 7, 40])
+def test_pruned_lists_against_numpy(spark, pivots):
+    features, cosine = _clustered(spark)
+    found = pruned.search(similarity.as_items(features), similarity.as_seeds(features), 9, pivots, tile_rows=16)
+    assert _lists(found.lists) == _expected(cosine, 9, range(300))
+    features, _, cosine, _ = _random_case(spark)
+    found = pruned.search(similarity.as_items(features), similarity.as_seeds(features), 70, pivots, tile_rows=16)
+    assert _lists(found.lists) == _expected(cosine, 70, range(60))  # lists as long as the table
+
+
+def test_blocks_of_other_clusters_are_not_visited(spark):
+    features, _ = _clustered(spark)
+    visits = pruned.search(similarity.as_items(features), similarity.as_seeds(features), 9, 40).visits.collect()
+    assert len(visits) == 300 and {row.blocks for row in visits} == {40}
+    zero = [row.visited for row in visits if row.seed == 9]
+    assert zero == [40]  # all scores of a vector without direction tie
+    assert sum(row.visited for row in visits) < 0.4 * 300 * 40
+
+
+def test_few_seeds_are_scored_without_blocks(spark):
+    features, cosine = _clustered(spark)
+    few = similarity.as_seeds(features.filter("track_id < 3"))
+    found = _lists(pruned.pruned_top_k(similarity.as_items(features), few, 5))
+    assert found == {s: items for s, items in _expected(cosine, 5, range(300)).items() if s < 3}
+
+
 @pytest.mark.parametrize("heavy_items", [5, 30, 10_000])
 def test_collab_scores_do_not_depend_on_the_heavy_limit(spark, heavy_items):
     _, log, _, cosine = _random_case(spark)
