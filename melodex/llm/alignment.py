@@ -26,7 +26,7 @@ MARKER = "▁"
 ODD_BLANKS = re.compile(r" \s|\s |\A\s|\s\Z")
 LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 # windows kept in a task's table; a full table is emptied, which changes no result
-TABLE_WINDOWS = 600_000
+TABLE_WINDOWS = 300_000
 LOW = (1 << 32) - 1
 
 
@@ -65,6 +65,7 @@ class TokenizerPair:
             raise ValueError("pieces of this model cross white space: chunks can't be encoded one by one")
         self.a_lengths = np.array([len(x) for x in self.a_bytes], np.int32)
         self.b_lengths = np.array([len(x) for x in self.b_bytes], np.int32)
+        self.a_sizes, self.b_sizes = self.a_lengths.tolist(), self.b_lengths.tolist()
         self.a_marked = np.array([x.startswith(b" ") for x in self.a_bytes])
         self.b_marked = np.array([x.startswith(b" ") for x in self.b_bytes])
 
@@ -141,17 +142,20 @@ class WindowTable(dict):
         self.numbers: dict[int, int] = {}  # of each pair of ids
 
     def __missing__(self, key: tuple[bytes, bytes]) -> int:
-        a, b = (np.frombuffer(ids, "<i4") for ids in key)
-        a_ends, b_ends = self.pair.a_lengths[a].cumsum(), self.pair.b_lengths[b].cumsum()
-        shared, a_last, b_last = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
-        texts, a_at, b_at = [], 0, 0
-        for i, j in zip(a_last.tolist(), b_last.tolist()):
-            texts.append(",".join(map(str, a[a_at : i + 1])) + "|" + ",".join(map(str, b[b_at : j + 1])))
-            pair = int(a[i]) << 32 | int(b[j])
-            self.links.append(self.numbers.setdefault(pair, len(self.numbers)))
-            a_at, b_at = i + 1, j + 1
+        a, b = (memoryview(ids).cast("i").tolist() for ids in key)
+        a_lengths, b_lengths = self.pair.a_sizes, self.pair.b_sizes
+        texts, a_from, b_from, j, b_end, end = [], 0, 0, 0, 0, 0
+        for i, token in enumerate(a):
+            end += a_lengths[token]
+            while b_end < end:
+                b_end += b_lengths[b[j]]
+                j += 1
+            if b_end == end:
+                texts.append(",".join(map(str, a[a_from : i + 1])) + "|" + ",".join(map(str, b[b_from:j])))
+                self.links.append(self.numbers.setdefault(token << 32 | b[j - 1], len(self.numbers)))
+                a_from, b_from = i + 1, j
         self.texts.append(";".join(texts))
-        self.counts.append(len(shared))
+        self.counts.append(len(texts))
         code = self[key] = len(self)
         return code
 

@@ -14,7 +14,7 @@ from melodex.llm.common import ship
 ship(__name__)
 
 # chunks kept in a task's table; a full table is emptied, which changes no result
-TABLE_CHUNKS = 500_000
+TABLE_CHUNKS = 400_000
 # bytes of text worked on at a time; a longer text is a slice of its own
 SLICE_BYTES = 6_000_000
 # words handed to a library as one text
