@@ -65,7 +65,6 @@ class TokenizerPair:
             raise ValueError("pieces of this model cross white space: chunks can't be encoded one by one")
         self.a_lengths = np.array([len(x) for x in self.a_bytes], np.int32)
         self.b_lengths = np.array([len(x) for x in self.b_bytes], np.int32)
-        self.a_sizes, self.b_sizes = self.a_lengths.tolist(), self.b_lengths.tolist()
         self.a_marked = np.array([x.startswith(b" ") for x in self.a_bytes])
         self.b_marked = np.array([x.startswith(b" ") for x in self.b_bytes])
 
@@ -128,40 +127,69 @@ class PairTable(ChunkTable):
 
 
 class WindowTable(dict):
-    """Alignment of each pair of id tuples met: its groups as text, how many, and the pairs of ids that end together."""
+    """Alignment of each pair of id tuples met: its groups as text, how many, and the pairs of ids that end together.
+
+    Codes are given out in the order of first occurrence; ``settle`` aligns the new windows, all at once.
+    """
 
     def __init__(self, pair: TokenizerPair):
         self.pair = pair
+        # each id as it is written in the middle and at the end of its side of a group: A's ids, then B's
+        signs = [f"{i}{sign}" for i in range(len(pair.a_bytes)) for sign in ",|"]
+        signs += [f"{i}{sign}" for i in range(len(pair.b_bytes)) for sign in ",;"]
+        self.signs = pa.array(signs, pa.large_string())
         self.clear()
 
     def clear(self) -> None:
         super().clear()
-        self.texts: list[str] = []
-        self.counts: list[int] = []  # groups, and so links, of each window
-        self.links: list[int] = []  # numbers of pairs, window after window
+        self.new: list[tuple[bytes, bytes]] = []
+        self.texts: list[str] = []  # every group with a semicolon after it
+        self.counts = np.zeros(0, np.int64)  # groups, and so links, of each window
+        self.links = np.zeros(0, np.int32)  # numbers of pairs, window after window
         self.numbers: dict[int, int] = {}  # of each pair of ids
 
     def __missing__(self, key: tuple[bytes, bytes]) -> int:
-        a, b = (memoryview(ids).cast("i").tolist() for ids in key)
-        a_lengths, b_lengths = self.pair.a_sizes, self.pair.b_sizes
-        texts, a_from, b_from, j, b_end, end = [], 0, 0, 0, 0, 0
-        for i, token in enumerate(a):
-            end += a_lengths[token]
-            while b_end < end:
-                b_end += b_lengths[b[j]]
-                j += 1
-            if b_end == end:
-                texts.append(",".join(map(str, a[a_from : i + 1])) + "|" + ",".join(map(str, b[b_from:j])))
-                self.links.append(self.numbers.setdefault(token << 32 | b[j - 1], len(self.numbers)))
-                a_from, b_from = i + 1, j
-        self.texts.append(";".join(texts))
-        self.counts.append(len(texts))
         code = self[key] = len(self)
+        self.new.append(key)
         return code
 
     def codes(self, windows) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, windows), np.int32)
 
+    def settle(self) -> None:
+        """Align the new windows. Both sides of a window have the same bytes, so windows laid end to end share the
+        ends that each has alone."""
+        if not self.new:
+            return
+        sides = list(zip(*self.new))
+        a, b = (np.frombuffer(b"".join(side), "<i4") for side in sides)
+        a_borders, b_borders = (np.cumsum([0, *map(len, side)]) // 4 for side in sides)
+        a_ends, b_ends = np.cumsum(self.pair.a_lengths[a]), np.cumsum(self.pair.b_lengths[b])
+        other = np.searchsorted(b_ends, a_ends)
+        a_shared = b_ends[other] == a_ends
+        a_last = np.flatnonzero(a_shared)  # of each group
+        b_last = other[a_last]
+        b_shared = np.zeros(len(b), bool)
+        b_shared[b_last] = True
+        counts = np.diff(np.searchsorted(a_last, a_borders))
+
+        # a group's A ids follow the B ids of the groups before, its B ids follow its own A ids
+        a_group, b_group = np.cumsum(a_shared) - a_shared, np.cumsum(b_shared) - b_shared
+        signs = np.empty(len(a) + len(b), np.int32)
+        signs[np.arange(len(a)) + np.concatenate([[0], b_last + 1])[a_group]] = 2 * a + a_shared
+        signs[np.arange(len(b)) + a_last[b_group] + 1] = 2 * (len(self.pair.a_bytes) + b) + b_shared
+        written = self.signs.take(pa.array(signs))
+        borders = np.frombuffer(written.buffers()[1], np.int64)[a_borders + b_borders]
+        texts = pa.LargeStringArray.from_buffers(len(self.new), pa.py_buffer(borders), written.buffers()[2])
+
+        found, place = np.unique(a[a_last].astype(np.int64) << 32 | b[b_last], return_inverse=True)
+        numbers = self.numbers
+        numbered = np.array([numbers.setdefault(p, len(numbers)) for p in found.tolist()], np.int32)
+        self.texts += texts.to_pylist()
+        self.counts = np.concatenate([self.counts, counts])
+        self.links = np.concatenate([self.links, numbered[place]])
+        self.new = []
+
 
 class Aligned:
     """The alignments of a slice of texts, one document after the other."""
@@ -200,18 +228,19 @@ class Aligned:
             (a_ids[i:j], b_ids[k:m])
             for i, j, k, m in zip(a_from, [*a_from[1:], len(a_ids)], b_from, [*b_from[1:], len(b_ids)])
         )
+        windows.settle()
         self.table = windows
 
     def groups(self, i: int) -> str:
-        texts = self.table.texts
-        return ";".join([texts[w] for w in self.windows[self.borders[i] : self.borders[i + 1]].tolist()])
+        windows = self.windows[self.borders[i] : self.borders[i + 1]].tolist()
+        return "".join(map(self.table.texts.__getitem__, windows))[:-1]
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the linked pairs, and how many links each document has."""
-        counts = np.array(self.table.counts, np.int64)
+        counts = self.table.counts
         starts = np.cumsum(counts) - counts
         lengths = counts[self.windows]
-        numbers = np.array(self.table.links, np.int32)[ragged(starts[self.windows], lengths)]
+        numbers = self.table.links[ragged(starts[self.windows], lengths)]
         return numbers, np.diff(np.concatenate([[0], np.cumsum(lengths)])[self.borders])
 
 
