@@ -26,7 +26,9 @@ MARKER = "▁"
 ODD_BLANKS = re.compile(r" \s|\s |\A\s|\s\Z")
 LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 # windows kept in a task's table; a full table is emptied, which changes no result
-TABLE_WINDOWS = 300_000
+TABLE_WINDOWS = 200_000
+# windows looked up at a time, and bytes of text aligned at a time
+KEYS, SLICE_BYTES = 50_000, 4_000_000
 LOW = (1 << 32) - 1
 
 
@@ -199,8 +201,7 @@ class Aligned:
         chunks.make_room()
         if len(windows) >= TABLE_WINDOWS:
             windows.clear()
-        cut = [lone_blank_chunks(text.decode()) if text else [] for text in texts]
-        codes = [chunks.codes(parts) for parts in cut]
+        codes = [chunks.codes(lone_blank_chunks(text.decode()) if text else []) for text in texts]
         chunks.settle()
         for i, found in enumerate(codes):
             if len(found) and not chunks.faithful[found].all():
@@ -223,11 +224,12 @@ class Aligned:
         a_from, b_from = a_places[shared], b_places[where[shared]] if len(b_places) else b_places
         self.borders = np.searchsorted(a_from, self.a_borders)  # windows of each document
         a_ids, b_ids = a.astype("<i4").tobytes(), b.astype("<i4").tobytes()
-        a_from, b_from = (a_from * 4).tolist(), (b_from * 4).tolist()
-        self.windows = windows.codes(
-            (a_ids[i:j], b_ids[k:m])
-            for i, j, k, m in zip(a_from, [*a_from[1:], len(a_ids)], b_from, [*b_from[1:], len(b_ids)])
-        )
+        a_from, b_from = np.append(a_from * 4, len(a_ids)), np.append(b_from * 4, len(b_ids))
+        self.windows = np.zeros(len(a_from) - 1, np.int32)
+        for start in range(0, len(self.windows), KEYS):  # a list of all places would take much memory
+            i, k = a_from[start : start + KEYS + 1].tolist(), b_from[start : start + KEYS + 1].tolist()
+            keys = ((a_ids[p:q], b_ids[r:t]) for p, q, r, t in zip(i, i[1:], k, k[1:]))
+            self.windows[start : start + KEYS] = windows.codes(keys)
         windows.settle()
         self.table = windows
 
@@ -257,7 +259,7 @@ def _group_batches(load):
         pair = load()
         chunks, windows = PairTable(pair), WindowTable(pair)
         for batch in batches:
-            for start, stop in slices(batch.column(1)):
+            for start, stop in slices(batch.column(1), SLICE_BYTES):
                 texts = [text or b"" for text in batch.column(1).slice(start, stop - start).cast(pa.binary()).to_pylist()]
                 found = Aligned(texts, chunks, windows)
                 yield pa.RecordBatch.from_arrays(
@@ -281,7 +283,7 @@ def _block_batches(load):
         chunks, windows = PairTable(pair), WindowTable(pair)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for start, stop in slices(batch.column(1)):
+            for start, stop in slices(batch.column(1), SLICE_BYTES):
                 texts = [text or b"" for text in batch.column(1).slice(start, stop - start).cast(pa.binary()).to_pylist()]
                 found = Aligned(texts, chunks, windows)
                 numbers, n_links = found.links()

@@ -74,12 +74,12 @@ class ChunkTable(dict):
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """(start, stop) of slices of about ``SLICE_BYTES``; a longer text is in a slice of its own or the last of one."""
+def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(start, stop) of slices of about ``size`` bytes; a longer text is in a slice of its own or the last of one."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start, before = 0, 0
     while start < len(ends):
-        stop = min(int(np.searchsorted(ends, before + SLICE_BYTES)) + 1, len(ends))
+        stop = min(int(np.searchsorted(ends, before + size)) + 1, len(ends))
         yield start, stop
         start, before = stop, ends[stop - 1]
 
