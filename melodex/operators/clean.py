@@ -57,11 +57,24 @@ def content_columns(tracks: DataFrame, drop: Sequence[str] = NON_CONTENT_COLUMNS
     return tracks.drop(*drop)
 
 
+def duplicate_stats(raw: DataFrame, keys: Sequence[str] = ("track_id",)) -> DataFrame:
+    """What ``cleaning_stats`` says of a cleaning that drops repeated keys alone, from one pass over the keys. Rows are
+    counted per key, so an executor lost on the way does not make any count twice."""
+    per_key = raw.groupBy(*keys).agg(F.count("*").alias("n"))
+    rows = F.coalesce(F.sum("n"), F.lit(0))
+    counts = per_key.agg(rows.alias("raw_rows"), F.count("*").alias("cleaned_rows"))
+    return _with_drop_rate(counts)
+
+
 def cleaning_stats(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     """One row: raw_rows, cleaned_rows, rows_dropped, drop_rate."""
     counts = raw.agg(F.count("*").alias("raw_rows")).withColumn(
         "cleaned_rows", cleaned.agg(F.count("*")).scalar()
     )
+    return _with_drop_rate(counts)
+
+
+def _with_drop_rate(counts: DataFrame) -> DataFrame:
     dropped = F.col("raw_rows") - F.col("cleaned_rows")
     rate = F.coalesce(F.try_divide(dropped, "raw_rows"), F.lit(0.0))
     return counts.withColumns({"rows_dropped": dropped, "drop_rate": rate})

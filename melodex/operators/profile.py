@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from melodex.functions.text import tag_list
 
 
+# two to this power registers in a sketch of distinct values
+SKETCH_BITS = 12
+
+
 def _per_column(df: DataFrame, aggregates: dict[str, Sequence[Column]], fields: Sequence[str]) -> DataFrame:
     """All aggregates of all columns in one pass, then one row per column."""
     rows = [
@@ -85,6 +89,23 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
     )
 
 
+def distinct_sketches(df: DataFrame, columns: Sequence[str], parts: Sequence[str], bits: int = SKETCH_BITS) -> DataFrame:
+    """One row per part of a table with a sketch of each column's distinct values, to be stored. Sketches of parts
+    added later are rows added later."""
+    return df.groupBy(*parts).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), bits).alias(c) for c in columns])
+
+
+def merged_distinct_counts(sketches: DataFrame, columns: Sequence[str], bits: int = SKETCH_BITS) -> DataFrame:
+    """Estimated distinct values of the whole table per column, from its parts' sketches alone, and the error
+    (three standard errors of merged sketches, one at least) that the estimate should keep to."""
+    merged = {c: F.hll_union_agg(c) for c in columns}
+    estimates = {c: F.coalesce(F.hll_sketch_estimate(s), F.lit(0).cast("long")) for c, s in merged.items()}
+    error = 3 * 1.04 / 2 ** (bits / 2)
+    return _per_column(
+        sketches, {c: (e, F.greatest(e * F.lit(error), F.lit(1.0))) for c, e in estimates.items()}, ("estimate", "error")
+    )
+
+
 def shape_report(df: DataFrame) -> DataFrame:
     """One row per column: its position and type, and the table's row and column counts."""
     fields = [

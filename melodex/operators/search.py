@@ -11,6 +11,7 @@ from melodex.functions.text import DISPLAY_SEPARATOR, display, strip
 LIMIT, CUTOFF = 10, 0.4
 
 GRAM_LENGTH = 3
+EDITS = 2
 
 
 def song_index(tracks: DataFrame, separator: str = DISPLAY_SEPARATOR) -> DataFrame:
@@ -70,6 +71,55 @@ def fuzzy_matches(
     return matched.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= limit)
 
 
+def _cuts(length: Column, parts: int) -> Column:
+    """(part, start, size) of a text of some length cut into parts as equal as can be; starts count from 0."""
+    border = lambda i: F.floor(i * length / F.lit(parts)).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(parts - 1)),
+        lambda i: F.struct(i.alias("part"), border(i).alias("start"), (border(i + 1) - border(i)).alias("size")),
+    )
+
+
+def _substring(text: Column, cut: Column, start: Column) -> Column:
+    return F.substr(text, start + 1, cut["size"])
+
+
+def edit_candidates(queries: DataFrame, keys: DataFrame, distance: int) -> DataFrame:
+    """(query, key) pairs that may lie within an edit distance; no pair that does is missing.
+
+    A key is cut into one part more than the distance allows edits, so one part at least stands unchanged in the query, and
+    shifted by no more than the distance. Queries and keys meet on equal (key length, part, text of the part).
+    """
+    parts = distance + 1
+    length = F.length("key")
+    cut_keys = keys.select("key", length.alias("length"), F.explode(_cuts(length, parts)).alias("cut")).select(
+        "key", "length", F.col("cut.part").alias("part"), _substring(F.col("key"), F.col("cut"), F.col("cut.start")).alias("piece")
+    )
+    n, query = F.length("query"), F.col("query")
+    lengths = F.sequence(F.greatest(n - distance, F.lit(0)), n + distance)
+    wanted = queries.select("query", F.explode(lengths).alias("length"))
+    wanted = wanted.select("query", "length", F.explode(_cuts(F.col("length"), parts)).alias("cut"))
+    first = F.greatest(F.col("cut.start") - distance, F.lit(0))
+    last = F.least(F.col("cut.start") + distance, n - F.col("cut.size"))
+    pieces = F.transform(F.sequence(first, last), lambda start: _substring(query, F.col("cut"), start))
+    wanted = wanted.filter(first <= last).select(
+        "query", "length", F.col("cut.part").alias("part"), F.explode(F.array_distinct(pieces)).alias("piece")
+    )
+    return wanted.join(cut_keys, ["length", "part", "piece"]).select("query", "key").distinct()
+
+
+def edit_matches(queries: DataFrame, keys: DataFrame, distance: int = EDITS, limit: int = LIMIT) -> DataFrame:
+    """(query, key, distance, rank) of the keys nearest to each distinct query by Levenshtein distance, in
+    characters. Null texts and blank queries match nothing; equal distances rank by key."""
+    asked = queries.select(F.lower(strip(F.col("query"))).alias("query")).filter("query != ''").distinct()
+    known = keys.select("key").filter("key IS NOT NULL").distinct()
+    pairs = edit_candidates(asked, known, distance)
+    # beyond the bound the function gives -1
+    measured = pairs.withColumn("distance", F.levenshtein("query", "key", distance)).filter("distance >= 0")
+    best = Window.partitionBy("query").orderBy("distance", "key")
+    return measured.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= limit)
+
+
 def search(
     queries: DataFrame, tracks: DataFrame, limit: int = LIMIT, cutoff: float = CUTOFF
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -103,13 +103,22 @@ def flight_events(requests: DataFrame) -> DataFrame:
     return known.select(F.inline(F.when(ended, marks).otherwise(F.slice(marks, 1, 1))))
 
 
+def flight_steps(requests: DataFrame, step: str = STEP) -> DataFrame:
+    """Starts less ends, per step that saw one."""
+    return flight_events(requests).groupBy(F.window("at", step)).agg(F.sum("delta").alias("delta"))
+
+
 def in_flight(requests: DataFrame, step: str = STEP) -> DataFrame:
-    """Requests in flight at the end of each step that saw a start or an end.
+    """Requests in flight at the end of each step that saw a start or an end."""
+    return _gauge(flight_steps(requests, step))
+
 
-    The running total is taken per day and shifted by the totals of the days before, so no task sees more
+def _gauge(steps: DataFrame) -> DataFrame:
+    """The running total of steps.
+
+    It is taken per day and shifted by the totals of the days before, so no task sees more
     than a day of steps; the days themselves are few (one row each).
     """
-    steps = flight_events(requests).groupBy(F.window("at", step)).agg(F.sum("delta").alias("delta"))
     steps = steps.select(
         F.col("window.end").alias("step_end"), F.to_date("window.start").alias("day"), "delta"
     )
@@ -129,6 +138,31 @@ def net_flight(requests: DataFrame) -> DataFrame:
     return flight_events(requests).agg(F.sum("delta").alias("in_flight"))
 
 
+def write_flight(requests: DataFrame, path: str, checkpoint: str, step: str = STEP) -> StreamingQuery:
+    """Start a query that keeps the gauge's steps up to date and stops when the source is read through.
+
+    Each batch stores the sums of its own steps in a folder of its number. A batch that runs again after a failure
+    has the same requests and replaces its folder, so nothing counts twice. The query holds no state and
+    has no watermark: a late request corrects the steps it belongs to.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        flight_steps(batch, step).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (
+        requests.writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def stored_in_flight(spark: SparkSession, path: str) -> DataFrame:
+    """The gauge from what ``write_flight`` has stored so far; also while it runs."""
+    stored = spark.read.schema("window struct<start: timestamp, end: timestamp>, delta long").parquet(path)
+    return _gauge(stored.groupBy("window").agg(F.sum("delta").alias("delta")))
+
+
 def open_windows(
     requests: DataFrame, metric: Callable[[DataFrame], DataFrame], closed: DataFrame
 ) -> DataFrame:

@@ -660,4 +660,15 @@ steps AS (
   regexp_extract_all(text, '\\p{L}+|\\P{L}+'), lambda r: CASE WHEN r[1] = 'ß' THEN 'Ss' ELSE upper(r[1]) END || lower(r[2:])), '')) AS title_md5 FROM documents""",
     "s2_words": "SELECT doc_id, len(regexp_extract_all(lower(text), '\\w\\w+'))::BIGINT AS n_words FROM documents",
 }
+ORACLE["k3_in_flight_stream"] = ORACLE["k3_in_flight"]
+ORACLE["d15_duplicate_stats"] = ORACLE["d15_clean_stats"]
+ORACLE["d3_merged_sketches"] = f"SELECT *, true AS within_error FROM ({ORACLE['d3_distinct_counts']})"
+ORACLE["j2_fuzzy_levenshtein"] = s.query(
+    s.TRACKS,
+    "asked AS (SELECT DISTINCT lower(trim(p_name)) AS query FROM part)",
+    "names AS (SELECT DISTINCT name AS key FROM tracks)",
+    "measured AS (SELECT query, key, levenshtein(query, key)::INT AS distance FROM asked CROSS JOIN names)",
+    select="""SELECT query, key, distance, (row_number() OVER (PARTITION BY query ORDER BY distance, key))::INT AS rank
+FROM measured WHERE distance <= 2 QUALIFY rank <= 10""",
+)
 ORACLE["h1_pruned_search"] = ORACLE["h1_embedding_cosine"]

@@ -357,6 +357,18 @@ def d3_distinct_counts(spark, folder):
     return profile.distinct_counts(t.raw_catalogue(spark, folder), ["track_id", "name", "artist", "year", "tags"])
 
 
+@query
+def d3_merged_sketches(spark, folder):
+    """Exact counts, and whether those merged from the sketches of the years' listings keep to their error."""
+    columns = ["track_id", "name", "artist", "year", "tags"]
+    parts = t.listings(spark, folder).withColumn("shipped", F.year("l_shipdate"))
+    sketches = materialise(profile.distinct_sketches(parts, columns, ["shipped"]), "sketches")
+    estimates = profile.merged_distinct_counts(sketches, columns)
+    exact = profile.distinct_counts(t.raw_catalogue(spark, folder), columns)
+    near = F.abs(F.col("estimate") - F.col("n_distinct")) <= F.col("error")
+    return exact.join(estimates, "column").select("column", "n_distinct", near.alias("within_error"))
+
+
 @query
 def d3_distinct_tracks(spark, folder):
     return interactions.history_tracks(t.history(spark, folder))
@@ -425,6 +437,11 @@ def d15_clean_stats(spark, folder):
     return _rounded(clean.cleaning_stats(t.raw_catalogue(spark, folder), t.tracks(spark, folder)), "drop_rate")
 
 
+@query
+def d15_duplicate_stats(spark, folder):
+    return _rounded(clean.duplicate_stats(t.raw_catalogue(spark, folder)), "drop_rate")
+
+
 @query
 def d16_matrix_stats(spark, folder):
     return _rounded(
@@ -968,6 +985,12 @@ def j2_fuzzy_matches(spark, folder):
     return _rounded(found, "ratio").select("query", "key", "ratio", "rank", "name", "artist", "display")
 
 
+@query
+def j2_fuzzy_levenshtein(spark, folder):
+    names = t.tracks(spark, folder).select(F.col("name").alias("key"))
+    return search.edit_matches(t.searches(spark, folder), names)
+
+
 # ---- request metrics -----------------------------------------------------------------------------
 
 
@@ -987,6 +1010,13 @@ def k3_in_flight(spark, folder):
     return _ntz(monitor.in_flight(t.requests(spark, folder)), "step_end")
 
 
+@query
+def k3_in_flight_stream(spark, folder):
+    path = new_folder(spark, "flight")
+    monitor.write_flight(t.request_stream(spark, folder), path, new_folder(spark, "progress")).awaitTermination()
+    return _ntz(monitor.stored_in_flight(spark, path), "step_end")
+
+
 @query
 def k4_served(spark, folder):
     return _ntz(monitor.recommendations_served(t.requests(spark, folder)), "window_start", "window_end")

@@ -100,3 +100,24 @@ def test_live_gauge_as_a_stream(spark):
     )
     query.awaitTermination(120)
     assert spark.table("live_gauge").first().in_flight == 0
+
+
+def test_live_gauge_survives_a_restart_and_a_batch_that_runs_twice(spark, tmp_path):
+    source, out, progress = (f"{tmp_path}/{name}" for name in ("requests", "flight", "progress"))
+    early = _requests(spark, [_request(s, latency=45.0) for s in (0, 20, 400)])
+    late = _requests(spark, [_request(500, latency=1.0), _request(10, latency=40.0), _request(510, latency=None, status=None)])
+
+    def run():
+        stream = spark.readStream.schema(REQUEST_SCHEMA).parquet(source)
+        monitor.write_flight(stream, out, progress).awaitTermination()
+        return sorted(map(tuple, monitor.stored_in_flight(spark, out).collect()))
+
+    early.coalesce(1).write.parquet(source)
+    assert run() == sorted(map(tuple, monitor.in_flight(early).collect()))
+    late.coalesce(1).write.mode("append").parquet(source)
+    whole = sorted(map(tuple, monitor.in_flight(early.union(late)).collect()))
+    assert run() == whole and whole[-1][1] == 1
+    # as if the query had died after it wrote its last batch and before it noted that
+    for name in ("1", ".1.crc"):
+        (tmp_path / "progress" / "commits" / name).unlink(missing_ok=True)
+    assert run() == whole

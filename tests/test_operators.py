@@ -358,3 +358,46 @@ def test_collab_ranges_count_missing_pairs_as_zero(spark):
     scores = spark.createDataFrame([(1, 1, 1.0), (1, 2, 0.5), (2, 1, 0.5), (2, 2, 1.0)], "seed long, item long, score double")
     assert {(r.low, r.high) for r in similarity.collab_ranges(scores, F.lit(2)).collect()} == {(0.5, 1.0)}
     assert {(r.low, r.high) for r in similarity.collab_ranges(scores, F.lit(3)).collect()} == {(0.0, 1.0)}
+
+
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_edit_matches_equal_all_pairs(spark):
+    draw = random.Random(5)
+    texts = ["".join(draw.choices("abé", k=draw.randint(0, 9))) for _ in range(150)] + ["a", "ab", "x" * 300, "x" * 299 + "y"]
+    queries = spark.createDataFrame([(t,) for t in [*texts, " ", None]], "query string")
+    keys = spark.createDataFrame([(t,) for t in [*texts, None, "a"]], "key string")
+    plain = {(a, b, _edits(a, b)) for a in set(texts) if a for b in set(texts) if abs(len(a) - len(b)) <= 2}
+    for distance in (0, 1, 2):
+        got = {(r.query, r.key, r.distance) for r in search.edit_matches(queries, keys, distance, 1000).collect()}
+        assert got == {pair for pair in plain if pair[2] <= distance}
+
+
+def test_edit_candidates_are_few(spark):
+    draw = random.Random(6)
+    texts = ["".join(draw.choices("abcdefgh", k=20)) for _ in range(400)]
+    pairs = spark.createDataFrame([(t,) for t in texts], "query string")
+    assert search.edit_candidates(pairs, pairs.toDF("key"), 2).count() < 400 * 400 / 50
+
+
+def test_merged_sketches_of_appended_parts(spark):
+    parts = spark.range(6000).selectExpr("id % 3 AS part", "id % 2000 AS a", "CAST(NULL AS string) AS b")
+    first = profile.distinct_sketches(parts.filter("part < 2"), ["a", "b"], ["part"])
+    added = profile.distinct_sketches(parts.filter("part = 2"), ["a", "b"], ["part"])
+    rows = {r.column: r for r in profile.merged_distinct_counts(first.unionByName(added), ["a", "b"]).collect()}
+    assert abs(rows["a"].estimate - 2000) <= rows["a"].error < 200
+    assert (rows["b"].estimate, rows["b"].error) == (0, 1.0)
+    assert {r.estimate for r in profile.merged_distinct_counts(first.limit(0), ["a", "b"]).collect()} == {0}
+
+
+def test_duplicate_stats(spark):
+    raw = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d"), (2, "e")], "track_id int, name string")
+    assert tuple(clean.duplicate_stats(raw).first()) == (5, 3, 2, 0.4)
+    assert tuple(clean.duplicate_stats(raw.limit(0)).first()) == (0, 0, 0, 0.0)
