@@ -44,23 +44,29 @@ def collab_status(has_history: Column) -> Column:
 def with_history_flag(seeds: DataFrame, history_tracks: DataFrame) -> DataFrame:
     """Whether each seed's ``track_id`` occurs in the log."""
     flagged = history_tracks.select("track_id").distinct().withColumn("_listed", F.lit(True))
+    # seeds that nothing matches stay out of the join: their null keys would meet in one task
+    found = seeds.filter(F.col("track_id").isNotNull()).join(flagged, "track_id", "left")
+    unmatched = seeds.filter(F.col("track_id").isNull())
     return (
-        seeds.join(flagged, "track_id", "left")
+        found.unionByName(unmatched, allowMissingColumns=True)
         .withColumn("has_history", F.coalesce("_listed", F.lit(False)))
         .drop("_listed")
     )
 
 
-def route(seeds: DataFrame, tracks: DataFrame, history_tracks: DataFrame) -> DataFrame:
-    """Hybrid where a track of that (name, artist) has history, else content; null where nothing matches.
+def route(
+    seeds: DataFrame, tracks: DataFrame, history_tracks: DataFrame, keys: Sequence[str] = NAME_AND_ARTIST
+) -> DataFrame:
+    """Hybrid where a track of those ``keys`` has history, else content; null where nothing matches.
 
     The seed keeps the match its recommender will use: the one with history for hybrid.
     """
-    everywhere = resolve_seeds(seeds, tracks)
-    listed = _named(tracks.join(history_tracks.select("track_id").distinct(), "track_id", "left_semi")).select(
-        "name", "artist", F.col("track_id").alias("_listed_id"), F.col("n_matches").alias("_listed_matches")
+    everywhere = resolve_seeds(seeds, tracks, keys)
+    with_history = tracks.join(history_tracks.select("track_id").distinct(), "track_id", "left_semi")
+    listed = _named(with_history, keys).select(
+        *keys, F.col("track_id").alias("_listed_id"), F.col("n_matches").alias("_listed_matches")
     )
-    routed = everywhere.join(listed, ["name", "artist"], "left")
+    routed = everywhere.join(listed, list(keys), "left")
     has_history = F.col("_listed_id").isNotNull()
     return (
         routed.withColumn(
@@ -76,8 +82,3 @@ def route(seeds: DataFrame, tracks: DataFrame, history_tracks: DataFrame) -> Dat
         .withColumn("track_id", F.coalesce("_listed_id", "track_id"))
         .drop("_listed_id", "_listed_matches")
     )
-
-
-def any_match(tracks: DataFrame, condition: Column) -> bool:
-    """Whether some row satisfies the condition; reads until the first hit."""
-    return not tracks.filter(condition).isEmpty()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from melodex.functions.scoring import check_k, check_weight, diversity_weight
 from melodex.operators.interactions import tracks_with_history
 from melodex.operators.lookup import (
     AMBIGUOUS,
+    NAME_AND_ARTIST,
     NO_HISTORY,
     NOT_FOUND,
     OK,
@@ -79,6 +82,8 @@ def hybrid_lists(
 
 
 # ---- named seeds ---------------------------------------------------------------------------------
+#
+# Seeds have a seed_id and the columns of ``keys``: name and artist, or with ("name",) the name alone.
 
 
 def attach_catalogue(lists: DataFrame, tracks: DataFrame, project: str = "all") -> DataFrame:
@@ -89,32 +94,44 @@ def attach_catalogue(lists: DataFrame, tracks: DataFrame, project: str = "all")
     return lists.join(catalogue, "item")
 
 
-def _named_lists(resolved: DataFrame, lists: DataFrame) -> DataFrame:
-    """Lists per seed_id; seeds without a list keep one row that says why."""
-    by_track = lists.withColumnRenamed("seed", "track_id")
-    usable = F.when(F.col("status") == OK, F.col("track_id"))
+def _named_lists(resolved: DataFrame, lists: DataFrame, keys: Sequence[str] = ("seed",)) -> DataFrame:
+    """Lists per seed_id; seeds without a list keep one row that says why. Those stay out of the join: they have no
+    track, and all null keys would meet in one task."""
+    asked = resolved.withColumnRenamed("track_id", "seed").select("seed_id", "status", *keys)
+    usable = F.col("status") == OK
+    rest = asked.filter(~usable).withColumn("seed", F.lit(None).cast(asked.schema["seed"].dataType))
     return (
-        resolved.select("seed_id", "status", usable.alias("track_id"))
-        .join(by_track, "track_id", "left")
-        .select("seed_id", "status", F.col("track_id").alias("seed"), "item", "score", "rank")
+        asked.filter(usable)
+        .join(lists, list(keys), "left")
+        .unionByName(rest, allowMissingColumns=True)
+        .select("seed_id", "status", *[c for c in keys if c != "seed"], "seed", "item", "score", "rank")
     )
 
 
 def content_recommendations(
-    seeds: DataFrame, tracks: DataFrame, features: DataFrame, k: int = CONTENT_K
+    seeds: DataFrame,
+    tracks: DataFrame,
+    features: DataFrame,
+    k: int = CONTENT_K,
+    keys: Sequence[str] = NAME_AND_ARTIST,
 ) -> DataFrame:
-    """Content lists for seeds (seed_id, name, artist). Status: ok or not_found."""
+    """Content lists for seeds (seed_id and ``keys``). Status: ok or not_found."""
     check_k(k)
-    resolved = resolve_seeds(seeds, tracks).withColumn("status", content_status())
+    resolved = resolve_seeds(seeds, tracks, keys).withColumn("status", content_status())
     return _named_lists(resolved, content_lists(features, resolved.filter(F.col("status") == OK), k))
 
 
 def collab_recommendations(
-    seeds: DataFrame, tracks: DataFrame, interactions: DataFrame, k: int = COLLAB_K, fill_zero: bool = True
+    seeds: DataFrame,
+    tracks: DataFrame,
+    interactions: DataFrame,
+    k: int = COLLAB_K,
+    fill_zero: bool = True,
+    keys: Sequence[str] = NAME_AND_ARTIST,
 ) -> DataFrame:
-    """Collaborative lists for seeds (seed_id, name, artist). Status: ok, not_found, ambiguous or no_history."""
+    """Collaborative lists for seeds (seed_id and ``keys``). Status: ok, not_found, ambiguous or no_history."""
     check_k(k)
-    resolved = with_history_flag(resolve_seeds(seeds, tracks), interactions)
+    resolved = with_history_flag(resolve_seeds(seeds, tracks, keys), interactions)
     resolved = resolved.withColumn("status", collab_status(F.col("has_history")))
     ok = resolved.filter(F.col("status") == OK)
     return _named_lists(resolved, collab_lists(interactions, ok, k, fill_zero))
@@ -128,12 +145,13 @@ def hybrid_recommendations(
     k: int = CONTENT_K,
     weight_content: float | None = None,
     diversity: int | None = None,
+    keys: Sequence[str] = NAME_AND_ARTIST,
 ) -> DataFrame:
-    """Hybrid lists for seeds (seed_id, name, artist), which are looked up among the tracks with history."""
+    """Hybrid lists for seeds (seed_id and ``keys``), which are looked up among the tracks with history."""
     weight = _weight(weight_content, diversity)
     check_k(k, "number_of_recommendations")
     listed = tracks_with_history(tracks, interactions)
-    resolved = resolve_seeds(seeds, listed).withColumn("status", collab_status(F.lit(True)))
+    resolved = resolve_seeds(seeds, listed, keys).withColumn("status", collab_status(F.lit(True)))
     ok = resolved.filter(F.col("status") == OK)
     return _named_lists(resolved, hybrid_lists(features, interactions, ok, k, weight))
 
@@ -146,25 +164,20 @@ def routed_recommendations(
     k: int = CONTENT_K,
     weight_content: float | None = None,
     diversity: int | None = None,
+    keys: Sequence[str] = NAME_AND_ARTIST,
 ) -> DataFrame:
     """Hybrid lists for seeds with history, content lists for the others; ``model`` says which."""
     weight = _weight(weight_content, diversity)
     check_k(k)
-    routed = route(seeds, tracks, interactions)
+    routed = route(seeds, tracks, interactions, keys)
     by_hybrid = routed.filter((F.col("model") == "hybrid") & (F.col("status") == OK))
     by_content = routed.filter((F.col("model") == "content_based") & (F.col("status") == OK))
     lists = (
         hybrid_lists(features, interactions, by_hybrid, k, weight)
         .withColumn("model", F.lit("hybrid"))
         .unionByName(content_lists(features, by_content, k).withColumn("model", F.lit("content_based")))
-        .withColumnRenamed("seed", "track_id")
-    )
-    usable = F.when(F.col("status") == OK, F.col("track_id"))
-    return (
-        routed.select("seed_id", "status", "model", usable.alias("track_id"))
-        .join(lists, ["track_id", "model"], "left")
-        .select("seed_id", "status", "model", F.col("track_id").alias("seed"), "item", "score", "rank")
     )
+    return _named_lists(routed, lists, ("seed", "model"))
 
 
 def adhoc_recommendations(features: DataFrame, adhoc_features: DataFrame, k: int = CONTENT_K) -> DataFrame:
@@ -183,19 +196,27 @@ def _weight(weight_content: float | None, diversity: int | None) -> float:
 # ---- one seed ------------------------------------------------------------------------------------
 
 
-def _one_seed(tracks: DataFrame, name: str, artist: str) -> DataFrame:
-    session = tracks.sparkSession
-    return session.range(1).select(F.col("id").alias("seed_id"), F.lit(name).alias("name"), F.lit(artist).alias("artist"))
+# An artist of None looks the song up by its name alone.
+
+
+def _keys(artist: str | None) -> Sequence[str]:
+    return ("name",) if artist is None else NAME_AND_ARTIST
 
 
-def _resolved_id(resolved: DataFrame, name: str, artist: str, message: str):
+def _one_seed(tracks: DataFrame, name: str, artist: str | None) -> DataFrame:
+    given = {"name": name, "artist": artist}
+    seed = tracks.sparkSession.range(1).withColumnRenamed("id", "seed_id")
+    return seed.withColumns({key: F.lit(given[key]) for key in _keys(artist)})
+
+
+def _resolved_id(resolved: DataFrame, name: str, artist: str | None, message: str):
     row = resolved.first()
     if row.status == NOT_FOUND:
-        raise ValueError(f"Song '{name.lower()}' by '{artist.lower()}' not found in database")
+        by = "" if artist is None else f" by '{artist.lower()}'"
+        raise ValueError(f"Song '{name.lower()}'{by} not found in database")
     if row.status == AMBIGUOUS:
-        raise ValueError(
-            f"Multiple songs match {name.lower()!r} / {artist.lower()!r}: {row.n_matches} track ids. {message}"
-        )
+        song = repr(name.lower()) + ("" if artist is None else f" / {artist.lower()!r}")
+        raise ValueError(f"Multiple songs match {song}: {row.n_matches} track ids. {message}")
     if row.status == NO_HISTORY:
         raise ValueError(f"Track ID '{row.track_id}' not found in collaborative filtering data")
     return row.track_id
@@ -213,19 +234,21 @@ def _only(tracks: DataFrame, track_id) -> DataFrame:
 
 
 def recommend_content(
-    name: str, artist: str, tracks: DataFrame, features: DataFrame, k: int = CONTENT_K, project: str = "all"
+    name: str, artist: str | None, tracks: DataFrame, features: DataFrame, k: int = CONTENT_K, project: str = "all"
 ) -> DataFrame:
     check_k(k)
-    resolved = resolve_seeds(_one_seed(tracks, name, artist), tracks).withColumn("status", content_status())
+    found = resolve_seeds(_one_seed(tracks, name, artist), tracks, _keys(artist))
+    resolved = found.withColumn("status", content_status())
     track_id = _resolved_id(resolved, name, artist, _DEDUPLICATE)
     return _listed(content_lists(features, _only(tracks, track_id), k), tracks, project)
 
 
 def recommend_collab(
-    name: str, artist: str, tracks: DataFrame, interactions: DataFrame, k: int = COLLAB_K, project: str = "all"
+    name: str, artist: str | None, tracks: DataFrame, interactions: DataFrame, k: int = COLLAB_K, project: str = "all"
 ) -> DataFrame:
     check_k(k)
-    resolved = with_history_flag(resolve_seeds(_one_seed(tracks, name, artist), tracks), interactions)
+    found = resolve_seeds(_one_seed(tracks, name, artist), tracks, _keys(artist))
+    resolved = with_history_flag(found, interactions)
     resolved = resolved.withColumn("status", collab_status(F.col("has_history")))
     track_id = _resolved_id(resolved, name, artist, _DEDUPLICATE)
     return _listed(collab_lists(interactions, _only(tracks, track_id), k), tracks, project)
@@ -233,7 +256,7 @@ def recommend_collab(
 
 def recommend_hybrid(
     name: str,
-    artist: str,
+    artist: str | None,
     tracks: DataFrame,
     features: DataFrame,
     interactions: DataFrame,
@@ -246,7 +269,8 @@ def recommend_hybrid(
     weight = _weight(weight_content, diversity)
     check_k(k, "number_of_recommendations")
     listed = tracks_with_history(tracks, interactions)
-    resolved = resolve_seeds(_one_seed(tracks, name, artist), listed).withColumn("status", collab_status(F.lit(True)))
+    found = resolve_seeds(_one_seed(tracks, name, artist), listed, _keys(artist))
+    resolved = found.withColumn("status", collab_status(F.lit(True)))
     track_id = _resolved_id(resolved, name, artist, _DEDUPLICATE)
     lists = hybrid_lists(features, interactions, _only(tracks, track_id), k, weight)
     return _listed(lists, listed, project)
@@ -254,7 +278,7 @@ def recommend_hybrid(
 
 def recommend(
     name: str,
-    artist: str,
+    artist: str | None,
     tracks: DataFrame,
     features: DataFrame,
     interactions: DataFrame,
@@ -263,7 +287,7 @@ def recommend(
     project: str = "all",
 ) -> DataFrame:
     """Hybrid where the song has history, else content."""
-    seed = route(_one_seed(tracks, name, artist), tracks, interactions).first()
+    seed = route(_one_seed(tracks, name, artist), tracks, interactions, _keys(artist)).first()
     if seed.model == "hybrid":
         return recommend_hybrid(
             name, artist, tracks, features, interactions, k, diversity=diversity, project=project

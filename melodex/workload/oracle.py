@@ -661,6 +661,23 @@ steps AS (
     "s2_words": "SELECT doc_id, len(regexp_extract_all(lower(text), '\\w\\w+'))::BIGINT AS n_words FROM documents",
 }
 ORACLE["k3_in_flight_stream"] = ORACLE["k3_in_flight"]
+ORACLE["c1_bucketed"] = ORACLE["c1_tracks_with_history"]
+ORACLE["k2_merged_sketches"] = s.query(
+    s.REQUESTS,
+    """timed AS (
+  SELECT window_start, latency, row_number() OVER (PARTITION BY window_start ORDER BY latency) AS place,
+         count(*) OVER (PARTITION BY window_start) AS n FROM windowed WHERE status = 'success' AND latency IS NOT NULL)""",
+    select="SELECT window_start, count(*) AS n_requests, true AS within_error, "
+    + ", ".join(f"round(min(latency) FILTER (place >= {q}::DOUBLE * n), 6) AS p{round(q * 100)}" for q in (0.5, 0.95, 0.99))
+    + " FROM timed GROUP BY 1",
+)
+BY_NAME = """named AS (SELECT p_partkey AS seed_id, lower(p_name) AS name FROM part),
+by_name AS (SELECT name, min(track_id) AS track_id, count(*) AS n_matches FROM tracks GROUP BY 1),
+resolved AS (
+  SELECT seed_id, by_name.track_id, coalesce(n_matches, 0) AS n_matches, by_name.track_id IN (SELECT track_id FROM heard) AS has_history
+  FROM named LEFT JOIN by_name USING (name))"""
+ORACLE["h2_content_by_name"] = ORACLE["h2_content_named"].replace(NAMED, BY_NAME)
+ORACLE["h4_collab_by_name"] = ORACLE["h4_collab_named"].replace(NAMED, BY_NAME)
 ORACLE["d15_duplicate_stats"] = ORACLE["d15_clean_stats"]
 ORACLE["d3_merged_sketches"] = f"SELECT *, true AS within_error FROM ({ORACLE['d3_distinct_counts']})"
 ORACLE["j2_fuzzy_levenshtein"] = s.query(

@@ -21,6 +21,9 @@ from melodex.workload import tables as t
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# of the tables stored hashed by track
+BUCKETS = 16
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -279,6 +282,17 @@ def c1_tracks_with_history(spark, folder):
     return kept.select("track_id", "name", "artist", "tags", "year")
 
 
+@query
+def c1_bucketed(spark, folder):
+    """The same from a catalogue and a log that are stored hashed by track, joined without a shuffle."""
+    catalogue = files.store_bucketed(t.tracks(spark, folder), new_folder(spark, "catalogue"), "track_id", BUCKETS)
+    # one row per track: no track holds more of them than another
+    listed = interactions.history_tracks(t.radio_history(spark, folder))
+    heard = files.store_bucketed(listed, new_folder(spark, "heard"), "track_id", BUCKETS)
+    kept = interactions.tracks_with_history(catalogue, heard)
+    return kept.select("track_id", "name", "artist", "tags", "year")
+
+
 @query
 def c2_attach_catalogue(spark, folder):
     log = _log(spark, folder)
@@ -748,6 +762,16 @@ def h2_content_named(spark, folder):
     return _rounded(found, "score")
 
 
+@query
+def h2_content_by_name(spark, folder):
+    """Seeds given by name alone."""
+    seeds = _named_seeds(spark, folder).drop("artist")
+    found = recommend.content_recommendations(
+        seeds, t.tracks(spark, folder), _features(spark, folder), 5, keys=("name",)
+    )
+    return _rounded(found, "score")
+
+
 @query
 def h3_collab_scores(spark, folder):
     """All collaborative scores, summed up per seed."""
@@ -781,6 +805,16 @@ def h4_collab_named(spark, folder):
     return _rounded(found, "score")
 
 
+@query
+def h4_collab_by_name(spark, folder):
+    """Seeds given by name alone."""
+    seeds = _named_seeds(spark, folder).drop("artist")
+    found = recommend.collab_recommendations(
+        seeds, t.tracks(spark, folder), _radio_log(spark, folder), 5, keys=("name",)
+    )
+    return _rounded(found, "score")
+
+
 @query
 def h5_normalised(spark, folder):
     """Min-max normalised collaborative scores, summed up per seed."""
@@ -1005,6 +1039,26 @@ def k2_latency_quantiles(spark, folder):
     return _ntz(_rounded(found, "p50", "p95", "p99"), "window_start", "window_end")
 
 
+@query
+def k2_merged_sketches(spark, folder):
+    """Exact quantiles, and whether those of the models' stored sketches, merged, keep to twice their error."""
+    requests = t.requests(spark, folder)
+    sketches = materialise(monitor.latency_sketches(requests, ["model_type"]), "latency-sketches")
+    estimates = monitor.sketched_quantiles(sketches).select("window_start", "p50", "p95", "p99")
+    timed = requests.filter((F.col("status") == monitor.SUCCESS) & F.col("latency").isNotNull())
+    windowed = timed.select(F.window("ts", monitor.RANGE, monitor.STEP)["start"].alias("window_start"), "latency")
+    error, n = 2 * monitor.sketch_error(), F.count("*").cast("double")
+    values, kept = [], F.lit(True)
+    for q in monitor.QUANTILES:
+        name = f"p{round(q * 100)}"
+        values.append(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY latency)").alias(name))
+        kept &= F.count_if(F.col("latency") < F.col(name)) / n <= q + error
+        kept &= F.count_if(F.col("latency") <= F.col(name)) / n >= q - error
+    found = windowed.join(estimates, "window_start").groupBy("window_start")
+    exact = found.agg(F.count("*").alias("n_requests"), *values, kept.alias("within_error"))
+    return _ntz(_rounded(exact, "p50", "p95", "p99"), "window_start")
+
+
 @query
 def k3_in_flight(spark, folder):
     return _ntz(monitor.in_flight(t.requests(spark, folder)), "step_end")

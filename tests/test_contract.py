@@ -21,7 +21,8 @@ SAMPLE = (
     "a1_csv_catalogue a8_load_artifacts b5_clean_data b8_seed_lookup b8_seed_lookup_by_name b10_route c5_sampled_users c8_tracks_without_history "
     "d2_matrix d4_dictionary_encode d12_null_ratio_top2 d16_matrix_stats e3_split_test g3_tfidf_weights g8_transform g8_transform_missing "
     "g10_feature_names h1_embedding_cosine h2_content h4_collab_filled h7_hybrid i5_collab j2_fuzzy_matches "
-    "k1_request_rate k2_latency_quantiles_stream k3_in_flight k3_in_flight_stream j2_fuzzy_levenshtein d3_merged_sketches d15_duplicate_stats"
+    "k1_request_rate k2_latency_quantiles_stream k3_in_flight k3_in_flight_stream j2_fuzzy_levenshtein d3_merged_sketches d15_duplicate_stats "
+    "c1_bucketed h2_content_by_name k2_merged_sketches"
 ).split()
 NAMES = sorted(contract.queries()) if os.environ.get("ALL_QUERIES") else SAMPLE
 

@@ -121,3 +121,30 @@ def test_live_gauge_survives_a_restart_and_a_batch_that_runs_twice(spark, tmp_pa
     for name in ("1", ".1.crc"):
         (tmp_path / "progress" / "commits" / name).unlink(missing_ok=True)
     assert run() == whole
+
+
+def test_merged_sketches_keep_to_their_rank_error(spark):
+    """5,000 requests in a window, sketched by model and in two stored parts."""
+    rows = [_request(i % 290, ("hybrid", "content_based")[i % 3 == 0], latency=((i * 7919) % 5000) / 1000) for i in range(5000)]
+    parts = [monitor.latency_sketches(_requests(spark, part), ["model_type"]) for part in (rows[:1500], rows[1500:])]
+    merged = monitor.sketched_quantiles(parts[0].union(parts[1]))
+    window = merged.filter(F.col("window_start") == F.lit(START)).first()
+    assert window.n_requests == 5000
+    for q, value in zip(monitor.QUANTILES, (window.p50, window.p95, window.p99)):
+        assert abs(value / 5 - q) <= 2 * monitor.sketch_error()  # latencies are the ranks in thousandths
+    by_model = monitor.sketched_quantiles(parts[0].union(parts[1]), keys=["model_type"])
+    at_start = by_model.filter(F.col("window_start") == F.lit(START))
+    assert {row.model_type: row.n_requests for row in at_start.collect()} == {"hybrid": 3333, "content_based": 1667}
+    sizes = parts[1].select(F.max(F.length("sketch"))).first()[0]
+    assert sizes < 8 * 3500 / 4  # of bounded size
+
+
+def test_sketches_of_a_stream(spark):
+    source, out = new_folder(spark, "source"), new_folder(spark, "windows")
+    rows = [_request(s, latency=s / 1000, status="error" if s == 7 else "success") for s in range(600)] + [_request(5000)]
+    _requests(spark, rows).write.parquet(source)
+    stream = spark.readStream.schema(REQUEST_SCHEMA).parquet(source)
+    metric = monitor.latency_sketches(monitor.with_lateness(stream))
+    monitor.write_windows(metric, out, new_folder(spark, "progress")).awaitTermination(120)
+    found = monitor.sketched_quantiles(spark.read.parquet(out)).filter(F.col("window_start") == F.lit(START)).first()
+    assert found.n_requests == 299 and abs(found.p50 * 1000 / 299 - 0.5) <= 2 * monitor.sketch_error() + 0.01

@@ -401,3 +401,21 @@ def test_duplicate_stats(spark):
     raw = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d"), (2, "e")], "track_id int, name string")
     assert tuple(clean.duplicate_stats(raw).first()) == (5, 3, 2, 0.4)
     assert tuple(clean.duplicate_stats(raw.limit(0)).first()) == (0, 0, 0, 0.0)
+
+
+def test_tables_stored_in_buckets_meet_without_a_shuffle(spark):
+    left = spark.range(200).select((F.col("id") % 50).alias("track_id"), F.col("id").alias("plays"))
+    right = spark.range(20, 70).select(F.col("id").alias("track_id"), F.lit("x").alias("name"))
+    plays, tracks = (files.store_bucketed(df, new_folder(spark, "bucketed"), "track_id", 4) for df in (left, right))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too large to send
+    try:
+        summed = plays.groupBy("track_id").agg(F.sum("plays").alias("plays")).join(tracks, "track_id")
+        plan = summed._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        unstored = left.join(right, "track_id")._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in unstored
+        rows = {row.track_id: row.plays for row in summed.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert rows == {i: sum(range(i, 200, 50)) for i in range(20, 50)}

@@ -258,3 +258,36 @@ def test_string_ids(spark):
     )
     plain = r.hybrid_lists(features, log, log.select("track_id"), 4)
     assert _lists(found) == {f"TR{s:04d}": [f"TR{i:04d}" for i in items] for s, items in _lists(plain).items()}
+
+
+def test_seeds_given_by_name_alone(spark, harbour):
+    tracks, features, log = harbour
+    by_name = r.recommend_content("Night Ferry", None, tracks, features, 3).collect()
+    assert [row["item"] for row in by_name] == [11, 17, 23]
+    assert r.recommend_collab("night ferry", None, tracks, log, 1).first()["item"] == 11
+    assert r.recommend("night ferry", None, tracks, features, log, 2).count() == 2
+    with pytest.raises(ValueError, match="Song 'low tide' not found in database"):
+        r.recommend_content("low tide", None, tracks, features)
+    # one title by two artists: the name alone is ambiguous, the name and artist are not
+    twice = tracks.union(spark.createDataFrame([(31, "salt road", "tide", "p31")], tracks.schema))
+    log = log.union(listening(spark, [("di", 31, 1)]))
+    with pytest.raises(ValueError, match="Multiple songs match 'salt road': 2 track ids"):
+        r.recommend_collab("salt road", None, twice, log)
+    assert r.recommend_collab(*SEED, twice, log, 2).count() == 2
+    seeds = spark.createDataFrame([(1, "Salt ROAD"), (2, "low water"), (3, "none such"), (4, None)], "seed_id long, name string")
+    found = r.collab_recommendations(seeds, twice, log, 2, keys=("name",))
+    assert {row.seed_id: row.status for row in found.collect()} == {1: "ambiguous", 2: "ok", 3: "not_found", 4: "not_found"}
+    routed = r.routed_recommendations(seeds, tracks, features, log.filter("track_id != 31"), 2, keys=("name",)).collect()
+    assert {(row.seed_id, row.status, row.model) for row in routed} == {
+        (1, "ok", "hybrid"), (2, "ok", "hybrid"), (3, "not_found", None), (4, "not_found", None)
+    }
+
+
+def test_seeds_without_a_list_keep_one_row_and_stay_out_of_the_join(spark, harbour):
+    tracks, features, log = harbour
+    asked = [(i, f"unknown {i}", "nobody") for i in range(40)] + [(99, *SEED)]
+    seeds = spark.createDataFrame(asked, "seed_id long, name string, artist string")
+    for found in (r.content_recommendations(seeds, tracks, features, 2), r.collab_recommendations(seeds, tracks, log, 2)):
+        rows = found.collect()
+        assert len(rows) == 42 and sum(row.status == "not_found" and row.seed is None for row in rows) == 40
+        assert [row["rank"] for row in rows if row.seed_id == 99] in ([1, 2], [2, 1])
