@@ -37,6 +37,28 @@ def held_out(interactions: DataFrame, sample: int | None = None, check: bool = T
     return train, test
 
 
+def _described(
+    interactions: DataFrame, train: DataFrame, test: DataFrame, user_seeds: DataFrame, ks: Sequence[int]
+) -> DataFrame:
+    return interactions.agg(
+        F.count_distinct("user_id").alias("n_users_total"), F.count_distinct("track_id").alias("n_items")
+    ).select(
+        "*",
+        train.agg(F.count("*")).scalar().alias("n_train_interactions"),
+        test.agg(F.count("*")).scalar().alias("n_test_interactions"),
+        user_seeds.agg(F.count("*")).scalar().alias("sampled_users"),
+        F.array(*[F.lit(k) for k in ks]).alias("k_values"),
+    )
+
+
+def describe_run(
+    interactions: DataFrame, sample: int | None = None, ks: Sequence[int] = K_VALUES, seed_rule: str = "track_id"
+) -> DataFrame:
+    """The row that ``run_evaluation`` gives about the data, without ranking anything."""
+    train, test = held_out(interactions, sample)
+    return _described(interactions, train, test, seed_per_user(test, seed_rule), ks)
+
+
 def run_evaluation(
     features: DataFrame,
     interactions: DataFrame,
@@ -69,13 +91,5 @@ def run_evaluation(
             for name, ranked in lists.items()
         }
     )
-    run = interactions.agg(
-        F.count_distinct("user_id").alias("n_users_total"), F.count_distinct("track_id").alias("n_items")
-    ).select(
-        "*",
-        train.agg(F.count("*")).scalar().alias("n_train_interactions"),
-        test.agg(F.count("*")).scalar().alias("n_test_interactions"),
-        user_seeds.agg(F.count("*")).scalar().alias("sampled_users"),
-        F.array(*[F.lit(k) for k in ks]).alias("k_values"),
-    )
+    run = _described(interactions, train, test, user_seeds, ks)
     return Evaluation(metrics, run)
