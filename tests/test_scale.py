@@ -67,6 +67,26 @@ def test_no_pair_is_shuffled(spark):
         assert shuffles and not [line for line in shuffles if "(seed#" in line and ", item#" in line]
 
 
+def test_lists_leave_a_block_of_seeds_final(spark, harbour, monkeypatch):
+    """No list per block of items is shuffled, however few items pass at a time."""
+    log = listening(spark, [(u, i, (u * i) % 5 + 1) for u in range(6) for i in range(u, 30, u + 1)])
+    features = harbour[1]
+    sides = similarity.as_items(features), similarity.as_seeds(features)
+    found = []
+    for rows, plays in ((1 << 17, 1 << 23), (2, 3)):
+        monkeypatch.setattr(similarity, "TILE_ROWS", rows)
+        monkeypatch.setattr(similarity, "PASSING_PLAYS", plays)
+        lists = [
+            similarity.collab_top_k(log, log.select("track_id"), 9),
+            similarity.content_top_k(*sides, 3, tile_rows=1 << 17),
+            r.hybrid_lists(features, harbour[2], features.select("track_id"), 3),
+        ]
+        found.append([sorted((x.seed, x.rank, x["item"], round(x.score, 9)) for x in df.collect()) for df in lists])
+        if rows > 2:
+            assert not [df for df in lists if "Window" in df._jdf.queryExecution().executedPlan().toString()]
+    assert found[0] == found[1]
+
+
 def test_collab_scores_normalised_by_ranges(spark):
     log = listening(spark, [(0, 1, 3), (0, 2, 4), (1, 2, 5), (1, 3, 1)])
     seeds = log.select("track_id")
