@@ -34,8 +34,8 @@ class ChunkTable(dict):
     many each has.
     """
 
-    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int | None = None):
+        self.encode, self.most = encode, TABLE_CHUNKS if most is None else most
         self.clear()
 
     def clear(self) -> None:
@@ -51,7 +51,7 @@ class ChunkTable(dict):
 
     def make_room(self) -> None:
         """Call it between slices: codes handed out before are void if the table was full."""
-        if len(self) >= TABLE_CHUNKS:
+        if len(self) >= self.most:
             self.clear()
 
     def codes(self, chunks: list) -> np.ndarray:

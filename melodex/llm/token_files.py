@@ -22,6 +22,9 @@ ship(__name__)
 
 BLOCK_IDS = 4_000_000  # ids of a block, unless one document has more
 FILE_BLOCKS = 4
+# chunks and parts of a task's tables, and bytes of text encoded at a time: several tasks share an executor's memory
+KEPT_CHUNKS = 200_000
+ENCODED_BYTES = 2_000_000
 MAGIC = b"TOKBLK1\n"
 HEADER = "<8sIIIQQ"  # magic, shard, block of the shard, documents, ids, bytes of the codes
 # ASCII punctuation that ends words; letters before it are a token run of their own
@@ -107,8 +110,8 @@ class WordTokens:
         whole, first, second = self._alone(["a b.", "a", "b."])
         if whole != first + second:
             raise ValueError("tokens of this tokenizer cross white space: words can't be encoded one by one")
-        self.parts = ChunkTable(self._encode_parts)
-        self.table = ChunkTable(self._encode_chunks)
+        self.parts = ChunkTable(self._encode_parts, KEPT_CHUNKS)
+        self.table = ChunkTable(self._encode_chunks, KEPT_CHUNKS)
 
     def _alone(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self.library.encode_batch(texts, add_special_tokens=False)]
@@ -168,21 +171,25 @@ def _binaries(ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
 
 
 def _token_batches(sent, end_id: int, kind: str):
-    """Ids of each document as numbers of ``kind`` (of 16 bits where the vocabulary allows); after each slice a row
+    """Ids of each document as numbers of ``kind`` (of 16 bits where the vocabulary allows); at the end of a task a row
     with how often each id stands in it."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokens(sent.value)
         names = ["id", "ids", "counts"]
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            for start, stop in slices(batch.column(1)):
+            for start, stop in slices(batch.column(1), ENCODED_BYTES):
                 ids, lengths = tokens.encode(batch.column(1).slice(start, stop - start))
                 ids = np.insert(ids, np.cumsum(lengths), end_id)
                 rows = [batch.column(0).slice(start, stop - start), _binaries(ids.astype(kind), lengths + 1)]
                 yield pa.RecordBatch.from_arrays([*rows, pa.nulls(stop - start, pa.binary())], names=names)
-                counts = np.bincount(ids).astype("<i8").tobytes()
-                nulls = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
-                yield pa.RecordBatch.from_arrays([*nulls, pa.array([counts], pa.binary())], names=names)
+                counts = np.bincount(ids, minlength=len(total))
+                counts[: len(total)] += total
+                total = counts
+        if len(total):
+            nulls = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*nulls, pa.array([total.astype("<i8").tobytes()], pa.binary())], names=names)
 
     return per_batch
 

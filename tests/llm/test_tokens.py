@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 
 from melodex.llm.alignment import TokenizerPair, aligned_groups, alignment_figures
 from melodex.llm.queries import BYTE_TOKENIZER, WORD_TOKENIZER, op11_token_files, op12_token_alignment, piece_model, tokenizer_file
+from melodex.llm import token_files
 from melodex.llm.token_files import WordTokens, pack, read_token_files, unpack, write_token_files
 
 SCHEMA = "doc_id long, text string"
@@ -79,6 +80,26 @@ def test_token_files_are_read_back(spark, tmp_path):
     assert np.frombuffer(ranks, "<u4").tolist() == sorted(counts, key=lambda i: (-counts[i], i))
 
 
+def test_ids_are_counted_once_per_task(monkeypatch):
+    """However small the slices are, a task counts its ids in one row, and its tables hold a bounded number of chunks."""
+    monkeypatch.setattr(token_files, "ENCODED_BYTES", 10)
+    monkeypatch.setattr(token_files, "KEPT_CHUNKS", 3)
+    texts = [None, "", *mixtures(60), "the end"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["id", "text"])
+
+    class Sent:
+        value = tokenizer_file(WORD_TOKENIZER)
+
+    found = pa.Table.from_batches(token_files._token_batches(Sent, 1, "<u2")(iter([batch, batch])))
+    ids = np.concatenate([np.frombuffer(x, "<u2") for x in found["ids"].drop_null().to_pylist()])
+    counts = found["counts"].drop_null().to_pylist()
+    assert len(counts) == 1
+    assert np.frombuffer(counts[0], "<i8").tolist() == np.bincount(ids).tolist()
+    library = Tokenizer.from_str(Sent.value)
+    expected = [[*library.encode(text or "", add_special_tokens=False).ids, 1] for text in texts]
+    assert ids.tolist() == 2 * [token for each in expected for token in each]
+
+
 def test_token_files_of_awkward_rows(spark, tmp_path):
     docs = awkward(spark)
     write_token_files(docs, f"{tmp_path}/a", tokenizer_file(WORD_TOKENIZER), 1)
