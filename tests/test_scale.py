@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from conftest import listening
 from melodex.operators import similarity
@@ -87,6 +88,39 @@ def test_lists_leave_a_block_of_seeds_final(spark, harbour, monkeypatch):
     assert found[0] == found[1]
 
 
+def test_no_row_is_copied_per_block_of_seeds(spark, harbour, monkeypatch):
+    """Items are stored once and read by every task, in any number of blocks, ranges and packed rows."""
+    log = listening(spark, [(u, i, (u * i) % 5 + 1) for u in range(6) for i in range(u, 30, u + 1)])
+    features, seeds = harbour[1], log.select("track_id")
+    sides = similarity.as_items(features), similarity.as_seeds(features)
+    found = []
+    for few in (False, True):
+        if few:
+            for name in ("SLICE_ROWS", "PACKED_ROWS", "RANGE_ROWS", "PASSING_PLAYS", "TILE_ROWS"):
+                monkeypatch.setattr(similarity, name, 2)
+            monkeypatch.setattr(similarity, "TILE_PLAYS", 20)
+        scores = similarity.collab_scores(log, seeds)
+        tables = [
+            similarity.collab_top_k(log, seeds, 9),
+            similarity.content_top_k(*sides, 3, tile_rows=2),
+            similarity.content_ranges(*sides, tile_rows=1),
+            similarity.collab_ranges(scores, F.lit(30)),
+            scores,
+            r.hybrid_lists(features, harbour[2], features.select("track_id"), 3),
+        ]
+        for df in tables:
+            assert "explode(" not in df._jdf.queryExecution().optimizedPlan().toString()
+        found.append([sorted(tuple(round(x, 9) for x in row) for row in df.collect()) for df in tables])
+    assert found[0] == found[1]
+
+
+def test_rows_of_one_item_are_packed_together(monkeypatch):
+    monkeypatch.setattr(similarity, "PACKED_ROWS", 2)
+    batches = [pa.RecordBatch.from_pydict({"item": ids}) for ids in ([None, None, None, 1], [1, 1, 1], [], [2, 3, 3, 3, 4])]
+    found = [table["item"].to_pylist() for table in similarity._whole_items(iter(batches))]
+    assert found == [[None, None, None], [1, 1, 1, 1], [2, 3, 3, 3], [4]]
+
+
 def test_collab_scores_normalised_by_ranges(spark):
     log = listening(spark, [(0, 1, 3), (0, 2, 4), (1, 2, 5), (1, 3, 1)])
     seeds = log.select("track_id")
