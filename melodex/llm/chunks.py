@@ -74,6 +74,50 @@ class ChunkTable(dict):
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
 
 
+class TextTable:
+    """Distinct texts met, as one Arrow column, and the ids of each; a text's code is its place in the column.
+
+    ``encode`` gets the new texts of a slice together, as an Arrow column, and returns their ids, one text after the
+    other, and how many each has. No text becomes a Python string to be looked up.
+    """
+
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], most: int, most_bytes: int):
+        self.encode, self.most, self.most_bytes = encode, most, most_bytes
+        self.clear()
+
+    def clear(self) -> None:
+        self.texts = pa.array([], pa.string())
+        self.values = np.zeros(0, np.int32)
+        self.starts = np.zeros(1, np.int64)  # of each text's ids, and the end of the last
+
+    def make_room(self) -> None:
+        """Call it between slices: codes handed out before are void if the table was full."""
+        if len(self.texts) >= self.most or self.texts.nbytes >= self.most_bytes:
+            self.clear()
+
+    def codes(self, texts: pa.Array) -> np.ndarray:
+        """Codes of texts that may repeat."""
+        coded = texts.dictionary_encode()
+        found = pc.index_in(coded.dictionary, value_set=self.texts)
+        if found.null_count:
+            new = coded.dictionary.filter(pc.is_null(found))
+            values, lengths = self.encode(new)
+            codes = pc.fill_null(found, -1).to_numpy().copy()
+            codes[codes < 0] = len(self.texts) + np.arange(len(new))
+            self.texts = pa.concat_arrays([self.texts, new])
+            self.values = np.concatenate([self.values, values])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        else:
+            codes = found.to_numpy()
+        return codes[coded.indices.to_numpy()]
+
+    def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts, one after the other, and how many each text has."""
+        starts = self.starts[codes]
+        lengths = self.starts[codes + 1] - starts
+        return self.values[ragged(starts, lengths)], lengths
+
+
 def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """(start, stop) of slices of about ``size`` bytes; a longer text is in a slice of its own or the last of one."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import struct
 from collections.abc import Iterator
 
@@ -14,21 +15,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from melodex.llm.chunks import ChunkTable, encode_alone, encode_joined, interleave, slices
+from melodex.llm.chunks import TextTable, encode_alone, encode_joined, interleave, slices
 from melodex.llm.common import ship, total_before
 from melodex.session import discard, materialise
 
 ship(__name__)
 
-BLOCK_IDS = 4_000_000  # ids of a block, unless one document has more
-FILE_BLOCKS = 4
+BLOCK_IDS = 1_000_000  # ids of a block, unless one document has more
+FILE_BLOCKS = 8
 # chunks and parts of a task's tables, and bytes of text encoded at a time: several tasks share an executor's memory
-KEPT_CHUNKS = 200_000
-ENCODED_BYTES = 2_000_000
+KEPT_CHUNKS = 1_000_000
+KEPT_BYTES = 32_000_000
+ENCODED_BYTES = 4_000_000
 MAGIC = b"TOKBLK1\n"
 HEADER = "<8sIIIQQ"  # magic, shard, block of the shard, documents, ids, bytes of the codes
 # ASCII punctuation that ends words; letters before it are a token run of their own
-ENDINGS = ".,;:!?"
+ENDINGS = ".,;:!?*$%&#"
 LATIN_END = "ɐ"
 
 # lengths of the four codes of a control byte
@@ -99,6 +101,16 @@ def latin(word: str) -> bool:
     return word.isalpha() and word[-1] < LATIN_END and word[-1].lower().isalpha()
 
 
+def _word_and_ending(chunk: str) -> tuple[str, str]:
+    """Letters, and the punctuation after them; all of a chunk that isn't so, and nothing."""
+    word = chunk.rstrip(ENDINGS)
+    if not word.isalpha():
+        return chunk, ""
+    if word.isascii():
+        return word.lower(), chunk[len(word) :]
+    return (word, chunk[len(word) :]) if latin(word) else (chunk, "")
+
+
 class WordTokens:
     """Ids of texts by a tokenizer that drops white space and whose tokens never cross it."""
 
@@ -110,54 +122,55 @@ class WordTokens:
         whole, first, second = self._alone(["a b.", "a", "b."])
         if whole != first + second:
             raise ValueError("tokens of this tokenizer cross white space: words can't be encoded one by one")
-        self.parts = ChunkTable(self._encode_parts, KEPT_CHUNKS)
-        self.table = ChunkTable(self._encode_chunks, KEPT_CHUNKS)
+        self.parts = TextTable(self._encode_parts, KEPT_CHUNKS, KEPT_BYTES)
+        self.table = TextTable(self._encode_chunks, KEPT_CHUNKS, KEPT_BYTES)
 
     def _alone(self, texts: list[str]) -> list[list[int]]:
-        return [found.ids for found in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [found.ids for found in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _first_places(self, ids: np.ndarray) -> np.ndarray:
         ends = np.flatnonzero(self.last_of_word[ids])
         return np.concatenate([[0], ends[:-1] + 1]) if len(ends) and ends[-1] == len(ids) - 1 else ends[:0]
 
-    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """A word of letters is one run of tokens, the last of which is marked: such words are encoded joined."""
 
         def together(words: list[str]) -> list[int]:
-            return self.library.encode(" ".join(words), add_special_tokens=False).ids
+            return self._alone([" ".join(words)])[0]
 
+        parts = parts.to_pylist()
         other = np.array([not part.isalpha() for part in parts], bool)
         words = [part for part, is_other in zip(parts, other) if not is_other]
         others = [part for part, is_other in zip(parts, other) if is_other]
         joined = encode_joined(words, together, self._alone, self._first_places)
         return interleave(joined, encode_alone(others, self._alone), other)
 
-    def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Letters and the punctuation after them are parts of their own; all other chunks are one part."""
-        parts, counts = [], []
-        for chunk in chunks:
-            word = chunk.rstrip(ENDINGS)
-            if not word.isalpha():
-                word = chunk
-            elif word.isascii():
-                word = word.lower()
-            elif len(word) < len(chunk) and not latin(word):
-                word = chunk
-            parts.append(word)
-            if len(word) < len(chunk):
-                parts.append(chunk[len(word) :])
-            counts.append(1 + (len(word) < len(chunk)))
+        words = pc.utf8_rtrim(chunks, characters=ENDINGS)
+        plain = pc.ascii_is_alpha(words)  # of ASCII letters
+        first = pc.if_else(plain, pc.ascii_lower(words), chunks)
+        second = pc.if_else(plain, pc.ascii_ltrim(chunks, characters=string.ascii_letters), "")
+        odd = pc.invert(pc.string_is_ascii(chunks))
+        if pc.any(odd).as_py():
+            pairs = [_word_and_ending(chunk) for chunk in chunks.filter(odd).to_pylist()]
+            first, second = (pc.replace_with_mask(x, odd, pa.array(y)) for x, y in zip((first, second), zip(*pairs)))
+        ends = pc.not_equal(second, "")
+        counts = 1 + ends.to_numpy(zero_copy_only=False)
+        starts = np.cumsum(counts) - counts
         self.parts.make_room()
-        ids, lengths = self.parts.gather(self.parts.codes(parts))
-        return ids, np.add.reduceat(lengths, np.cumsum(counts) - counts)
+        found = self.parts.codes(pa.concat_arrays([first, second.filter(ends)]))
+        codes = np.empty(len(found), np.int64)
+        codes[starts] = found[: len(chunks)]
+        codes[starts[counts > 1] + 1] = found[len(chunks) :]
+        ids, lengths = self.parts.gather(codes)
+        return ids, np.add.reduceat(lengths, starts)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and how many each text has; a null text is empty."""
         self.table.make_room()
         words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))  # no token reaches across the six ASCII blanks
-        distinct = words.flatten().dictionary_encode()
-        codes = self.table.codes(distinct.dictionary.to_pylist())
-        ids, lengths = self.table.gather(codes[distinct.indices.to_numpy()])
+        ids, lengths = self.table.gather(self.table.codes(words.flatten().cast(pa.string())))
         ends = np.concatenate([[0], np.cumsum(lengths)])
         return ids, np.diff(ends[np.cumsum([0, *words.value_lengths().to_numpy()])])
 

@@ -100,6 +100,27 @@ def test_ids_are_counted_once_per_task(monkeypatch):
     assert ids.tolist() == 2 * [token for each in expected for token in each]
 
 
+def test_a_word_is_encoded_once_per_task():
+    """A task's tables have room for the different words of large inputs; a full table is emptied."""
+    tokens = WordTokens(tokenizer_file(WORD_TOKENIZER))
+    letters = str.maketrans("0123456789", "abcdefghij")
+    words = [str(i).translate(letters) for i in range(100_000, 350_000)]
+    texts, sent, encode = pa.array([" ".join(words[i : i + 50_000]) for i in range(0, 250_000, 50_000)]), [], tokens.parts.encode
+
+    def counted(parts):
+        sent.append(len(parts))
+        return encode(parts)
+
+    tokens.parts.encode = counted
+    first, again = ([tokens.encode(texts.slice(i, 1)) for i in range(len(texts))] for _ in range(2))
+    assert sum(sent) == len(words)
+    assert all((a == b).all() for pair in zip(first, again) for a, b in zip(*pair))
+    assert first[0][0].tolist() == library_ids(texts[0].as_py())
+    tokens.table.most_bytes = 1000
+    assert tokens.encode(pa.array(["word, Word***"]))[0].tolist() == library_ids("word, Word***")
+    assert len(tokens.table.texts) == 2
+
+
 def test_token_files_of_awkward_rows(spark, tmp_path):
     docs = awkward(spark)
     write_token_files(docs, f"{tmp_path}/a", tokenizer_file(WORD_TOKENIZER), 1)
