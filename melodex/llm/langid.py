@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -11,13 +12,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from melodex.llm.chunks import ragged
-from melodex.llm.common import as_list, ship, with_entries
+from melodex.llm.chunks import TextTable, ragged, slices
+from melodex.llm.common import as_list, ship
 from melodex.llm.token_files import pack, unpack
 from melodex.session import materialise
 
@@ -27,8 +29,16 @@ ship(__name__)
 LANGUAGES = 10_000
 LONGEST_GRAM = 5
 UNKNOWN = "und"
-# distinct words of a block of documents, at which the next block begins
-BLOCK_WORDS = 200_000
+# distinct words of a block of documents, after the slice that reaches it the next block begins
+BLOCK_WORDS = 400_000
+# bytes of text taken apart at a time, unless one text has more
+SLICE_BYTES = 4_000_000
+# distinct chunks and words of a task's tables, and their bytes; counts and scores gathered before they are handed on
+KEPT_TEXTS = 1_000_000
+KEPT_BYTES = 32_000_000
+GATHERED = 1_000_000
+# words whose n-grams are counted together
+GRAM_WORDS = 40_000
 # bytes of the texts of a block at most, unless one text has more
 BLOCK_BYTES = 32_000_000
 
@@ -52,40 +62,128 @@ def word_grams(word: str, length: int) -> list[str]:
     return [marked[i : i + length] for i in range(len(marked) - length + 1)]
 
 
-def _counts(language: list, length: list, entry: list, times: list) -> pa.RecordBatch:
-    columns = [
-        pa.array(language, pa.string()),
-        pa.array(length, pa.int32()),
-        pa.array(entry, pa.string()),
-        pa.array(times, pa.int64()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "length", "entry", "times"])
+class WordTable:
+    """Words of texts as codes, their places in ``words.texts``. A chunk between ASCII blanks is taken apart once; no word and
+    no lower-casing depends on what stands across such a blank."""
+
+    def __init__(self):
+        self.words = TextTable(lambda new: (np.zeros(0, np.int32), np.zeros(len(new), np.int64)), KEPT_TEXTS, KEPT_BYTES)
+        self.chunks = TextTable(self._take_apart, KEPT_TEXTS, KEPT_BYTES)
+
+    def full(self) -> bool:
+        return any(len(t.texts) >= KEPT_TEXTS or t.texts.nbytes >= KEPT_BYTES for t in (self.words, self.chunks))
+
+    def _take_apart(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words = pc.utf8_trim(chunks, characters=string.punctuation)
+        plain = pc.ascii_is_alpha(words)  # one word of ASCII letters
+        found = [
+            [word for run in WORD.findall(chunk.lower()) for word in letter_words(run)]
+            for chunk in chunks.filter(pc.invert(plain)).to_pylist()
+        ]
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        counts = np.ones(len(chunks), np.int64)
+        counts[~is_plain] = [len(x) for x in found]
+        starts = np.cumsum(counts) - counts
+        others = pa.array([word for x in found for word in x], pa.string())
+        codes = self.words.codes(pa.concat_arrays([pc.ascii_lower(words.filter(plain)), others]))
+        placed = np.empty(len(codes), np.int32)
+        placed[starts[is_plain]] = codes[: len(codes) - len(others)]
+        placed[ragged(starts[~is_plain], counts[~is_plain])] = codes[len(codes) - len(others) :]
+        return placed, counts
+
+    def codes(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of all words of the texts, and how many each text has; a null text has none."""
+        chunks = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        codes, lengths = self.chunks.gather(self.chunks.codes(chunks.flatten().cast(pa.string())))
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return codes, np.diff(ends[np.cumsum([0, *chunks.value_lengths().to_numpy()])])
+
+
+def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in ascending order, the sums of their times, and a place of each."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[: len(keys)]
+    return keys[firsts], np.add.reduceat(times[order], firsts) if len(keys) else times, order[firsts]
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, 0, word, times) of each batch of texts."""
+    """(lang, word, times): a task's counts, handed on whenever a good number is gathered."""
+    table, languages, held, size = WordTable(), {}, [], 0
+
+    def gathered() -> Iterator[pa.RecordBatch]:
+        keys, times, _ = _summed(*(np.concatenate(x) for x in zip(*held)))
+        names = pa.array(list(languages), pa.string())
+        columns = [names.take(pa.array(keys >> 32)), table.words.texts.take(pa.array(keys & 0xFFFFFFFF)), pa.array(times)]
+        rows = pa.RecordBatch.from_arrays(columns, names=["lang", "entry", "times"])
+        for start in range(0, rows.num_rows, 100_000):
+            yield rows.slice(start, 100_000)
+
     for batch in batches:
-        runs: dict[str, Counter] = {}
-        languages = batch.column(0).to_pylist()
-        for i, language in enumerate(languages):
-            runs.setdefault(language, Counter()).update(WORD.findall(batch.column(1)[i].as_py().lower()))
-        for language, count in runs.items():
-            words = [(word, times) for run, times in count.items() for word in letter_words(run)]
-            yield _counts([language] * len(words), [0] * len(words), [w[0] for w in words], [w[1] for w in words])
+        of_row = np.array([languages.setdefault(x, len(languages)) for x in batch.column(0).to_pylist()], np.int64)
+        for start, stop in slices(batch.column(1), SLICE_BYTES):
+            codes, lengths = table.codes(batch.column(1).slice(start, stop - start))
+            keys, times = np.unique(np.repeat(of_row[start:stop], lengths) << 32 | codes, return_counts=True)
+            held.append((keys, times))
+            size += len(keys)
+            if size >= 2 * GATHERED or table.full():
+                yield from gathered()
+                table, held, size = WordTable(), [], 0
+    if held:
+        yield from gathered()
+
+
+def _grams_one_by_one(language: list, words: list, times: list) -> Iterator[tuple[list, list, list, int]]:
+    found: dict[tuple, int] = Counter()
+    for name, word, n in zip(language, words, times):
+        for length in range(1, LONGEST_GRAM + 1):
+            for gram in word_grams(word, length):
+                found[length, name, gram] += n
+    for length in range(1, LONGEST_GRAM + 1):
+        keys = [key for key in found if key[0] == length]
+        yield [key[1] for key in keys], [key[2] for key in keys], [found[key] for key in keys], length
+
+
+def _grams_together(language: list, words: list, times: list) -> Iterator[tuple[list, list, np.ndarray, int]]:
+    """Like ``_grams_one_by_one``: n-grams are numbers in the base of the alphabet met."""
+    names: dict[str, int] = {}
+    of_word = np.array([names.setdefault(x, len(names)) for x in language], np.int64)
+    points = np.frombuffer("".join(f" {word} " for word in words).encode("utf-32-le"), "<u4")
+    alphabet, letters = np.unique(points, return_inverse=True)
+    base = len(alphabet)
+    if len(names) * base**LONGEST_GRAM >= 1 << 62:
+        yield from _grams_one_by_one(language, words, times)
+        return
+    lengths = np.array([len(word) + 2 for word in words], np.int64)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(points))  # code points from here to the word's end
+    of_point, times_of_point = np.repeat(of_word, lengths), np.repeat(np.array(times, np.int64), lengths)
+    keys, listed = np.zeros(len(points), np.int64), list(names)
+    for length in range(1, LONGEST_GRAM + 1):
+        at = np.flatnonzero(left >= length)
+        keys = keys[: len(points) - length + 1] * base + letters[length - 1 :]
+        distinct, sums, places = _summed(of_point[at] * base**length + keys[at], times_of_point[at])
+        grams = points[at[places][:, None] + np.arange(length)].astype("<u4").view(f"<U{length}").reshape(-1)
+        yield [listed[k] for k in (distinct // base**length).tolist()], grams.tolist(), sums, length
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words given, and (lang, length, n-gram, times) of their n-grams."""
+    """(lang, length, n-gram, times) of the words given."""
+
+    def counted(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        for language, grams, times, length in _grams_together(*(rows.column(k).to_pylist() for k in range(3))):
+            columns = [pa.array(language, pa.string()), pa.array([length] * len(grams), pa.int32())]
+            columns += [pa.array(grams, pa.string()), pa.array(times, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "length", "entry", "times"])
+
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        yield batch
-        found: dict[str, Counter] = {}
-        for language, word, times in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3))):
-            count = found.setdefault(language, Counter())
-            for length in range(1, LONGEST_GRAM + 1):
-                for gram in word_grams(word, length):
-                    count[gram] += times
-        for language, count in found.items():
-            yield _counts([language] * len(count), [len(g) for g in count], list(count), list(count.values()))
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= GRAM_WORDS:
+            yield from counted(held)
+            held = []
+    if sum(x.num_rows for x in held):
+        yield from counted(held)
 
 
 def fit_languages(docs: DataFrame, *, text: str = "text", language: str = "lang") -> LanguageModel:
@@ -95,15 +193,17 @@ def fit_languages(docs: DataFrame, *, text: str = "text", language: str = "lang"
     """
     known = docs.filter(F.col(language).isNotNull() & F.col(text).isNotNull())
     texts = known.select(F.col(language).alias("lang"), F.col(text).alias("text"))
-    schema = "lang string, length int, entry string, times long"
-    alike = ["lang", "length", "entry"]
-    words = texts.mapInArrow(_count_words, schema).groupBy(*alike).agg(F.sum("times").alias("times"))
+    in_order = F.sort_array(F.collect_list(F.struct("lang", "times"))).alias("found")  # languages of one entry
+    # the rows of a word meet once, for both sums
+    words = texts.mapInArrow(_count_words, "lang string, entry string, times long").repartition("entry")
+    words = words.groupBy("lang", "entry").agg(F.sum("times").alias("times")).groupBy("entry").agg(in_order)
+    words = materialise(words, "language-words", compression="zstd")
     # n-grams are taken from the distinct words, not from the texts
-    counts = words.mapInArrow(_count_grams, schema).groupBy(*alike).agg(F.sum("times").alias("times"))
-    by_entry = counts.groupBy("length", "entry").agg(
-        F.sort_array(F.collect_list(F.struct("lang", "times"))).alias("found")  # languages of one entry
-    )
-    by_entry = materialise(by_entry, "language-counts", compression="zstd")
+    of_words = words.select("entry", F.explode("found").alias("found")).select("found.lang", "entry", "found.times")
+    grams = of_words.mapInArrow(_count_grams, "lang string, length int, entry string, times long")
+    grams = grams.groupBy("lang", "length", "entry").agg(F.sum("times").alias("times"))
+    grams = materialise(grams.groupBy("length", "entry").agg(in_order), "language-grams", compression="zstd")
+    by_entry = words.select(F.lit(0).alias("length"), "entry", "found").unionByName(grams)
     each = by_entry.select("length", F.explode("found").alias("found"))
     totals = each.groupBy("length", "found.lang").agg(F.sum("found.times").alias("times"))
     totals = totals.limit(LANGUAGES * (LONGEST_GRAM + 1) + 1).collect()
@@ -131,50 +231,46 @@ def fit_languages(docs: DataFrame, *, text: str = "text", language: str = "lang"
 def _word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of documents: their ids, the distinct words of the block, and each document's words as places among them
     with their counts."""
-    block, words, rows, size = TaskContext.get().partitionId() << 32, {}, [], 0
+    block, table, held, size = TaskContext.get().partitionId() << 32, WordTable(), [], 0
 
     def finished(ids: pa.Array) -> pa.RecordBatch:
+        keys, times = (np.concatenate(x) for x in zip(*held))
+        words = table.words.texts
         # the most frequent words of a block get the smallest places, whose codes are short
-        uses = [np.array(places, np.int64) for places, _ in rows]
-        order = np.argsort(-np.bincount(np.concatenate(uses), minlength=len(words)), kind="stable")
+        order = np.argsort(-np.bincount(keys & 0xFFFFFFFF, minlength=len(words)), kind="stable")
         place = np.empty(len(words), np.int64)
         place[order] = np.arange(len(words))
-        steps, times = [], []
-        for found, (_, count) in zip(uses, rows):
-            found = place[found]
-            sorting = np.argsort(found)
-            steps.append(np.diff(found[sorting], prepend=0))
-            times.append(np.array(count, np.int64)[sorting])
-        names = list(words)
-        packed = [*pack(np.concatenate(steps)), *pack(np.concatenate(times) - 1)]
+        keys = (keys >> 32 << 32) | place[keys & 0xFFFFFFFF]
+        sorting = np.argsort(keys)
+        keys, times = keys[sorting], times[sorting]
+        lengths = np.bincount(keys >> 32, minlength=len(ids))
+        places = keys & 0xFFFFFFFF
+        steps = np.diff(places, prepend=0)
+        firsts = (np.cumsum(lengths) - lengths)[lengths > 0]
+        steps[firsts] = places[firsts]
+        packed = [*pack(steps), *pack(times - 1)]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([block], pa.int64()),
                 as_list(ids),
-                as_list(pa.array([len(x) for x in steps], pa.int64())),
-                as_list(pa.array([names[i] for i in order], pa.string())),
+                as_list(pa.array(lengths, pa.int64())),
+                as_list(words.take(pa.array(order))),
                 pa.array([packed], pa.list_(pa.binary())),
             ],
             names=["block", "ids", "lengths", "words", "uses"],
         )
 
-    def words_of(text: str) -> tuple[list[int], list[int]]:
-        counts: dict[int, int] = {}
-        for run, times in Counter(WORD.findall(text.lower())).items():
-            for word in letter_words(run):
-                place = words.setdefault(word, len(words))
-                counts[place] = counts.get(place, 0) + times
-        return list(counts), list(counts.values())
-
     for batch in batches:
-        start = 0
-        for i in range(batch.num_rows):
-            text = batch.column(1)[i].as_py() or ""
-            rows.append(words_of(text))
-            size += len(text)
-            if len(words) >= BLOCK_WORDS or size >= BLOCK_BYTES or i == batch.num_rows - 1:
-                yield finished(batch.column(0).slice(start, i + 1 - start))
-                block, start, words, rows, size = block + 1, i + 1, {}, [], 0
+        first = 0
+        for start, stop in slices(batch.column(1), SLICE_BYTES):
+            texts = batch.column(1).slice(start, stop - start)
+            codes, lengths = table.codes(texts)
+            rows = np.repeat(np.arange(start - first, stop - first), lengths)
+            held.append(np.unique(rows << 32 | codes, return_counts=True))
+            size += pc.sum(pc.binary_length(texts)).as_py() or 0
+            if len(table.words.texts) >= BLOCK_WORDS or size >= BLOCK_BYTES or stop == batch.num_rows:
+                yield finished(batch.column(0).slice(first, stop - first))
+                block, first, table, held, size = block + 1, stop, WordTable(), [], 0
 
 
 def _score_text(length: int, pairs: Column, value: str) -> Column:
@@ -241,6 +337,48 @@ class ScoreTable(dict):
         return code
 
 
+def _pack_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (block, place, score), rows (block, n, scores, packed): the different scores of a part of a block, its ``n`` places
+    and which score each has."""
+
+    def packed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        coded = rows.column(2).combine_chunks().dictionary_encode()
+        blocks, places, codes = (x.to_numpy() for x in (rows.column(0), rows.column(1), coded.indices))
+        order = np.lexsort((places, blocks))
+        blocks, places, codes = blocks[order], places[order], codes[order]
+        ends = [*np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, len(blocks)]
+        for start, stop in zip([0, *ends[:-1]], ends):
+            used, at = np.unique(codes[start:stop], return_inverse=True)
+            parts = [*pack(np.diff(places[start:stop], prepend=0)), *pack(at)]
+            columns = [pa.array(blocks[start : start + 1], pa.int64()), pa.array([stop - start], pa.int32())]
+            columns += [as_list(coded.dictionary.take(pa.array(used))), pa.array([parts], pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "n", "scores", "packed"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= GATHERED:
+            yield from packed(held)
+            held = []
+    if sum(x.num_rows for x in held):
+        yield from packed(held)
+
+
+def _with_scores(blocks: DataFrame, scores: DataFrame) -> DataFrame:
+    """The blocks, each with ``found``: a list of rows of ``_pack_scores`` for its words that ``scores`` (entry, score) has.
+    A block lists its words once, so the join has one row per block and word, and what is gathered is packed."""
+    places = blocks.select("block", F.posexplode("words").alias("place", "entry"))
+    met = places.join(scores.withColumnRenamed("entry", "__entry"), F.col("entry") == F.col("__entry"))
+    packed = met.select("block", "place", "score").mapInArrow(
+        _pack_scores, "block long, n int, scores array<string>, packed array<binary>"
+    )
+    found = packed.groupBy(F.col("block").alias("__block")).agg(
+        F.collect_list(F.struct("n", "scores", "packed")).alias("found")  # a few rows for each task that met the block
+    )
+    return blocks.join(found, F.col("block") == F.col("__block"), "left").drop("__block", "words")
+
+
 def _score_blocks(languages: list[str], defaults: np.ndarray):
     def score(row: tuple) -> tuple[list[str], np.ndarray]:
         lengths, (controls, data, time_controls, time_data), found = row
@@ -255,9 +393,10 @@ def _score_blocks(languages: list[str], defaults: np.ndarray):
         scores = np.zeros((documents, len(languages)))
         if found is not None and len(languages) and total:
             table = ScoreTable()
-            codes = np.fromiter(map(table.__getitem__, found.field("score").to_pylist()), np.int64, len(found))
             where = np.full(int(places.max()) + 1, -1)
-            where[found.field("place").to_numpy()] = codes
+            for n, texts, (controls, data, which, which_data) in zip(*(found.field(k).to_pylist() for k in range(3))):
+                codes = np.fromiter(map(table.__getitem__, texts), np.int64, len(texts))
+                where[np.cumsum(unpack(controls, data, n).astype(np.int64))] = codes[unpack(which, which_data, n)]
             at = where[places]
             document, times, at = document[at >= 0], times[at >= 0], at[at >= 0]
             kind = np.array(table.lengths)[at]
@@ -313,7 +452,7 @@ def identify_languages(
     )
     slim = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     blocks = materialise(slim.mapInArrow(_word_blocks, schema), "language-blocks", compression="zstd")
-    looked_up = with_entries(blocks, "words", _word_scores(blocks, model), "score")
+    looked_up = _with_scores(blocks, _word_scores(blocks, model))
     rows = looked_up.select("ids", "lengths", "uses", "found").mapInArrow(
         _score_blocks(model.languages, model.defaults),
         T.StructType(

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -354,6 +355,23 @@ def test_languages_equal_the_plain_version(spark, monkeypatch):
         assert got[i].lang_pred == lang and got[i].score == pytest.approx(score), texts[i]
 
 
+def test_words_are_counted_once_per_task(monkeypatch):
+    """A task counts a word in one row however its texts are cut, and finds the words that the whole text has in lower case."""
+    monkeypatch.setattr(langid, "SLICE_BYTES", 10)
+    texts = ["ΟΔΟΣ. ΣΑΣ,\x1cΑΣ's İstanbul--x_y 12a ǅ² ﬀ e\u0301", None, "", "the The (THE) --", "\u2003one\u3000two\nthree ſ ß 世界9"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", "b", "a", "b", "a"]), pa.array(texts)], names=["lang", "text"])
+    found = pa.Table.from_batches(langid._count_words(iter([batch, batch]))).to_pydict()
+    expected = Counter()
+    for lang, text in zip("ababa", texts):
+        for run in langid.WORD.findall((text or "").lower()):
+            expected.update((lang, word) for word in langid.letter_words(run))
+    got = list(zip(found["lang"], found["entry"]))
+    assert len(got) == len(set(got))
+    assert dict(zip(got, found["times"])) == {key: 2 * n for key, n in expected.items()}
+    together = {(x, y, int(t), n) for a, b, c, n in langid._grams_together(*found.values()) for x, y, t in zip(a, b, c)}
+    assert together == {(x, y, t, n) for a, b, c, n in langid._grams_one_by_one(*found.values()) for x, y, t in zip(a, b, c)}
+
+
 def test_languages_of_awkward_rows(spark):
     docs = awkward(spark)
     assert identify_languages(docs, fit_languages(docs)).count() == 7
