@@ -37,6 +37,8 @@ SLICE_BYTES = 4_000_000
 KEPT_TEXTS = 1_000_000
 KEPT_BYTES = 32_000_000
 GATHERED = 1_000_000
+# words of documents that are scored together
+SCORED = 500_000
 # words whose n-grams are counted together
 GRAM_WORDS = 40_000
 # bytes of the texts of a block at most, unless one text has more
@@ -234,21 +236,24 @@ def _word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block, table, held, size = TaskContext.get().partitionId() << 32, WordTable(), [], 0
 
     def finished(ids: pa.Array) -> pa.RecordBatch:
-        keys, times = (np.concatenate(x) for x in zip(*held))
         words = table.words.texts
         # the most frequent words of a block get the smallest places, whose codes are short
-        order = np.argsort(-np.bincount(keys & 0xFFFFFFFF, minlength=len(words)), kind="stable")
+        uses = sum(np.bincount(keys & 0xFFFFFFFF, minlength=len(words)) for keys, _ in held)
+        order = np.argsort(-uses, kind="stable")
         place = np.empty(len(words), np.int64)
         place[order] = np.arange(len(words))
-        keys = (keys >> 32 << 32) | place[keys & 0xFFFFFFFF]
-        sorting = np.argsort(keys)
-        keys, times = keys[sorting], times[sorting]
-        lengths = np.bincount(keys >> 32, minlength=len(ids))
-        places = keys & 0xFFFFFFFF
-        steps = np.diff(places, prepend=0)
-        firsts = (np.cumsum(lengths) - lengths)[lengths > 0]
-        steps[firsts] = places[firsts]
-        packed = [*pack(steps), *pack(times - 1)]
+        lengths = np.zeros(len(ids), np.int64)
+        for i, (keys, times) in enumerate(held):  # each of documents of its own
+            rows, places = keys >> 32, place[keys & 0xFFFFFFFF]
+            sorting = np.argsort(rows << 32 | places)
+            places = places[sorting]
+            firsts = np.flatnonzero(np.diff(rows, prepend=-1))
+            steps = np.diff(places, prepend=0)
+            steps[firsts] = places[firsts]
+            lengths += np.bincount(rows, minlength=len(ids))
+            held[i] = steps.astype(np.uint32), times[sorting] - 1
+        steps, times = (np.concatenate(x) for x in zip(*held))
+        packed = [*pack(steps), *pack(times)]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([block], pa.int64()),
@@ -266,7 +271,8 @@ def _word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts = batch.column(1).slice(start, stop - start)
             codes, lengths = table.codes(texts)
             rows = np.repeat(np.arange(start - first, stop - first), lengths)
-            held.append(np.unique(rows << 32 | codes, return_counts=True))
+            keys, times = np.unique(rows << 32 | codes, return_counts=True)
+            held.append((keys, times.astype(np.uint32)))
             size += pc.sum(pc.binary_length(texts)).as_py() or 0
             if len(table.words.texts) >= BLOCK_WORDS or size >= BLOCK_BYTES or stop == batch.num_rows:
                 yield finished(batch.column(0).slice(first, stop - first))
@@ -383,30 +389,39 @@ def _score_blocks(languages: list[str], defaults: np.ndarray):
     def score(row: tuple) -> tuple[list[str], np.ndarray]:
         lengths, (controls, data, time_controls, time_data), found = row
         total, documents = int(lengths.sum()), len(lengths)
-        steps = unpack(controls, data, total).astype(np.int64)
-        times = unpack(time_controls, time_data, total).astype(np.int64) + 1
-        ends = np.cumsum(steps)
-        first = np.cumsum(lengths) - lengths
-        places = ends - np.repeat(np.concatenate([[0], ends])[first], lengths)
-        document = np.repeat(np.arange(documents), lengths)
-        words = np.bincount(document, times, documents)
+        all_steps, all_times = unpack(controls, data, total), unpack(time_controls, time_data, total)
+        words = np.zeros(documents)
         scores = np.zeros((documents, len(languages)))
-        if found is not None and len(languages) and total:
-            table = ScoreTable()
-            where = np.full(int(places.max()) + 1, -1)
+        table, entries = ScoreTable(), []
+        if found is not None:
             for n, texts, (controls, data, which, which_data) in zip(*(found.field(k).to_pylist() for k in range(3))):
                 codes = np.fromiter(map(table.__getitem__, texts), np.int64, len(texts))
-                where[np.cumsum(unpack(controls, data, n).astype(np.int64))] = codes[unpack(which, which_data, n)]
-            at = where[places]
+                entries.append((np.cumsum(unpack(controls, data, n).astype(np.int64)), codes[unpack(which, which_data, n)]))
+        where = np.full(1 + max((int(places[-1]) for places, _ in entries), default=-1), -1)
+        for places, codes in entries:
+            where[places] = codes
+        known_lengths, counts = np.array(table.lengths, np.int64), np.array(table.counts, np.int64)
+        firsts, known_languages, values = np.cumsum(counts) - counts, np.array(table.languages, np.int64), np.array(table.values)
+        ends = np.cumsum(lengths)
+        start = 0
+        while start < documents:
+            before = int(ends[start] - lengths[start])
+            stop = max(start + 1, int(np.searchsorted(ends, before + SCORED, "right")))
+            part, length = slice(before, int(ends[stop - 1])), lengths[start:stop]
+            steps, times = np.cumsum(all_steps[part], dtype=np.int64), all_times[part].astype(np.int64) + 1
+            places = steps - np.repeat(np.concatenate([[0], steps])[np.cumsum(length) - length], length)
+            document = np.repeat(np.arange(stop - start), length)
+            words[start:stop] = np.bincount(document, times, stop - start)
+            at = np.where(places < len(where), where[np.minimum(places, len(where) - 1)], -1) if len(where) else places * 0 - 1
             document, times, at = document[at >= 0], times[at >= 0], at[at >= 0]
-            kind = np.array(table.lengths)[at]
-            kinds = np.bincount(document * len(defaults) + kind, times, documents * len(defaults))
-            scores += kinds.reshape(documents, -1) @ defaults
-            counts = np.array(table.counts)
-            index = ragged((np.cumsum(counts) - counts)[at], counts[at])
-            cell = np.repeat(document, counts[at]) * len(languages) + np.array(table.languages)[index]
-            weights = np.array(table.values)[index] * np.repeat(times, counts[at])
-            scores += np.bincount(cell, weights, scores.size).reshape(scores.shape)
+            if len(at):
+                kinds = np.bincount(document * len(defaults) + known_lengths[at], times, (stop - start) * len(defaults))
+                scores[start:stop] += kinds.reshape(stop - start, -1) @ defaults
+                index = ragged(firsts[at], counts[at])
+                cell = np.repeat(document, counts[at]) * len(languages) + known_languages[index]
+                weights = values[index] * np.repeat(times, counts[at])
+                scores[start:stop] += np.bincount(cell, weights, (stop - start) * len(languages)).reshape(stop - start, -1)
+            start = stop
         if not len(languages):
             return [UNKNOWN] * documents, np.zeros(documents)
         best = scores.argmax(1)  # of equal scores the first in code point order

@@ -372,6 +372,36 @@ def test_words_are_counted_once_per_task(monkeypatch):
     assert together == {(x, y, t, n) for a, b, c, n in langid._grams_one_by_one(*found.values()) for x, y, t in zip(a, b, c)}
 
 
+def test_language_blocks_do_not_depend_on_their_parts(monkeypatch):
+    """Slices of a block and documents scored together change no word, count or score."""
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 3)
+
+    monkeypatch.setattr(langid, "TaskContext", Task)
+    texts = ["a b a c", None, "", "c c d e f", "zz", "12 -", "b " * 50 + "zz q"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
+    scores = {word: f"0 {k % 2}:{k + 1}" for k, word in enumerate("abcdef")} | {"q": "2 0:0.5 1:0.25"}
+    results = []
+    for size in (5, 1_000_000):
+        monkeypatch.setattr(langid, "SLICE_BYTES", size)
+        monkeypatch.setattr(langid, "SCORED", size)
+        rows = []
+        for block in langid._word_blocks(iter([batch])):
+            words = block.column(3)[0].as_py()
+            met = [(block.column(0)[0].as_py(), place, scores[word]) for place, word in enumerate(words) if word in scores][::-1]
+            table = pa.table(dict(zip(("block", "place", "score"), zip(*met))))
+            found = [x for part in langid._pack_scores(iter(table.to_batches())) for x in part.drop_columns("block").to_pylist()]
+            fields = [("n", pa.int32()), ("scores", pa.list_(pa.string())), ("packed", pa.list_(pa.binary()))]
+            found = pa.array([found], pa.list_(pa.struct(fields)))
+            rows.append(pa.RecordBatch.from_arrays([*(block.column(k) for k in (1, 2, 4)), found], names=["i", "l", "u", "f"]))
+        scored = langid._score_blocks(["x", "y"], np.log(np.arange(1, 13) / 20).reshape(6, 2))(iter(rows))
+        results.append(sorted(x for r in scored for x in zip(*r.to_pydict().values())))
+    assert [r[:2] for r in results[0]] == [r[:2] for r in results[1]] and len(results[0]) == len(texts)
+    assert [r[2] for r in results[0]] == pytest.approx([r[2] for r in results[1]])
+
+
 def test_languages_of_awkward_rows(spark):
     docs = awkward(spark)
     assert identify_languages(docs, fit_languages(docs)).count() == 7
