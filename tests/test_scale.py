@@ -165,3 +165,57 @@ def test_first_listing_is_found_before_the_join(spark, tmp_path):
     assert tables.first_listings(spark, str(tmp_path)).count() == 2
     kept = tables.tracks(spark, str(tmp_path)).select("track_id", "tempo").collect()
     assert sorted(kept) == [(1, 3.0), (2, 3.0)]
+
+
+def _grouped(rng, n, key):
+    """Rows of 16 pairs of categories, some of them unknown, and a few zero vectors."""
+    dense = rng.normal(size=(n, 3)) * rng.choice([0.1, 0.3, 0.6], n)[:, None]
+    dense[:2] = 0
+    cats = [[f"a{i % 4}", None if i == 13 else f"b{i // 4}"] for i in rng.integers(0, 16, n)]
+    cats[0] = [None, None]
+    return pa.table({key: np.arange(n), "dense": dense.tolist(), "cats": cats, "place": np.arange(n)})
+
+
+def test_items_that_cannot_be_listed_are_not_scored(monkeypatch):
+    """Categories and lengths rule blocks of items out; the lists are those of all pairs."""
+    monkeypatch.setattr(similarity, "BLOCK_ITEMS", 8)
+    monkeypatch.setattr(similarity, "NEAR_ITEMS", 32)
+    monkeypatch.setattr(similarity, "BOUND_ROWS", 4)
+    monkeypatch.setattr(similarity, "SLICE_ROWS", 16)
+    scored, near = [], similarity.Tile.near
+    monkeypatch.setattr(similarity.Tile, "near", lambda tile, *a: scored.append((out := near(tile, *a))[1].size) or out)
+    rng = np.random.default_rng(5)
+    items, seeds = _grouped(rng, 2000, "item"), similarity._in_order(_grouped(rng, 160, "seed").drop("place"))
+    expected, ids = _scores(items, seeds), seeds["seed"].to_numpy()
+    tile = similarity.Tile(items, seeds)
+    for part in tile.parts():
+        limits = tile.bounds(part)
+        for row in range(part.start, part.stop):
+            most = np.maximum.reduceat(expected[row][tile.order], tile.starts[:-1])
+            assert (limits[(row - part.start) // 4] >= most).all()
+    lists = similarity.Lists(tile.seed_ids, 5)
+    lists.floors = similarity._reached(items.rename_columns(["seed", "dense", "cats", "place"]), seeds, 5)
+    lists.meet(items["place"].to_numpy(), tile.item_ids)
+    scored.clear()
+    for part in tile.parts():
+        lists.put(part, *tile.best(part, 5, lists=lists))
+    rows, places, _ = lists.of(slice(0, 160))
+    for s in range(160):
+        order = sorted((i for i in range(2000) if i != ids[s]), key=lambda i: (-np.floor(expected[s, i] * 1e9 + 0.5), i))
+        assert places[rows == s].tolist() == order[:5]
+    assert sum(scored) < 2000 * 160 / 2
+
+
+def test_blocks_of_like_seeds_give_the_lists_of_all(spark, monkeypatch):
+    """Seeds are cut by their categories; rows of one id that differ in them still share a list."""
+    rng = np.random.default_rng(7)
+    rows = _grouped(rng, 60, "track_id").drop("place").to_pylist()
+    rows += [{**rows[5], "cats": ["a0", "b0"]}, {**rows[7], "track_id": None}]
+    features = spark.createDataFrame([(x["track_id"], x["dense"], x["cats"]) for x in rows], "track_id long, dense array<double>, cats array<string>")
+    found = []
+    for slice_rows in (256, 8):
+        monkeypatch.setattr(similarity, "SLICE_ROWS", slice_rows)
+        for seeds in (features.filter("track_id != 5"), features):
+            lists = similarity.content_top_k(similarity.as_items(features.filter("track_id != 5")), similarity.as_seeds(seeds), 4)
+            found.append(sorted(((x.seed if x.seed is not None else -1), x.rank, x["item"], round(x.score, 9)) for x in lists.collect() if x["item"] is not None))
+    assert found[0] == found[2] and found[1] == found[3]
