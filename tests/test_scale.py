@@ -219,3 +219,23 @@ def test_blocks_of_like_seeds_give_the_lists_of_all(spark, monkeypatch):
             lists = similarity.content_top_k(similarity.as_items(features.filter("track_id != 5")), similarity.as_seeds(seeds), 4)
             found.append(sorted(((x.seed if x.seed is not None else -1), x.rank, x["item"], round(x.score, 9)) for x in lists.collect() if x["item"] is not None))
     assert found[0] == found[2] and found[1] == found[3]
+
+
+def test_items_that_cannot_widen_a_range_are_not_scored(monkeypatch):
+    """Centres and radii, and least and greatest values, bound the lowest cosines of a block."""
+    monkeypatch.setattr(similarity, "BLOCK_ITEMS", 8)
+    monkeypatch.setattr(similarity, "NEAR_ITEMS", 32)
+    scored, near = [], similarity.Tile.near
+    monkeypatch.setattr(similarity.Tile, "near", lambda tile, *a: scored.append((out := near(tile, *a))[1].size) or out)
+    rng = np.random.default_rng(9)
+    items, seeds = _grouped(rng, 2000, "item"), _grouped(rng, 48, "seed").drop("place")
+    expected, tile = _scores(items, seeds), similarity.FarTile(items, seeds)
+    low = np.full(48, np.inf)
+    for start in range(0, 48, 16):
+        part = slice(start, start + 16)
+        limits = -tile.bounds(part)
+        blocks = np.minimum.reduceat(expected[part][:, tile.order], tile.starts[:-1], axis=1)
+        assert (limits <= blocks).all()
+        tile.lowest(part, low[part])
+    np.testing.assert_allclose(low, expected.min(axis=1), atol=1e-12)
+    assert sum(scored) < 2000 * 48 / 2
