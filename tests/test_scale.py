@@ -239,3 +239,29 @@ def test_items_that_cannot_widen_a_range_are_not_scored(monkeypatch):
         tile.lowest(part, low[part])
     np.testing.assert_allclose(low, expected.min(axis=1), atol=1e-12)
     assert sum(scored) < 2000 * 48 / 2
+
+
+def test_a_stored_row_holds_few_plays():
+    """Items that many users play are not packed by the hundred."""
+    plays = pa.RecordBatch.from_pydict(
+        {"item": np.arange(400) // 3, "users": [list(range(2000))] * 400, "plays": [[1.0] * 2000] * 400, "place": np.arange(400)}
+    )
+    tables = list(similarity._whole_items(iter([plays.slice(0, 200), plays.slice(200)])))
+    assert max(sum(map(len, table["users"].to_pylist())) for table in tables) < 80_000
+    assert [x for table in tables for x in table["place"].to_pylist()] == list(range(400))
+    ids = [set(table["item"].to_pylist()) for table in tables]
+    assert not [1 for a, b in zip(ids, ids[1:]) if a & b]
+
+
+def test_a_task_lets_go_of_what_has_passed():
+    """Only one part of the passing items is held, and a block's plays once."""
+    tables = iter([pa.table({"place": [i], "n": [1]}) for i in range(3)])
+    passing = similarity._some(tables, lambda table: 1.0)
+    import sys
+
+    first = next(passing)
+    assert sys.getrefcount(first) == 2 and not [x for x in passing.gi_frame.f_locals.values() if x is first]
+    plays = similarity._Plays(pa.table({"seed": [1, 2], "users": [[5], [5, 6]], "plays": [[1.0], [2.0, 3.0]]}), "seed", True)
+    users, place, _, bounds = plays.by_code
+    assert plays.users is None and plays.codes is None
+    assert [users[i].as_py() for i in place] == [5, 5, 6] and bounds.tolist() == [0, 1, 3]
