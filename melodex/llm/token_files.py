@@ -22,7 +22,7 @@ from melodex.session import discard, materialise
 ship(__name__)
 
 BLOCK_IDS = 1_000_000  # ids of a block, unless one document has more
-FILE_BLOCKS = 8
+FILE_BLOCKS = 4
 # chunks and parts of a task's tables, and bytes of text encoded at a time: several tasks share an executor's memory
 KEPT_CHUNKS = 1_000_000
 KEPT_BYTES = 32_000_000
